@@ -199,7 +199,7 @@ def predict_forest(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str]
     rows = rows_of(nodes)
     n_trees = len({r["tree_id"] for r in rows})
     scored = df.withColumn("p1", tree_sum([{**r, "tree_weight": 1.0} for r in rows], cols) / F.lit(float(n_trees)))
-    return scored.withColumn("prediction", (F.col("p1") > 0.5).cast("int"))
+    return scored.withColumn("prediction", (F.round(F.col("p1") - 0.5, 9) > 0).cast("int"))
 
 
 def tree_summary(nodes: DataFrame) -> DataFrame:
