@@ -8,13 +8,13 @@ on its own. No task ever sees a whole group.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from treelab.functions.hashing import hash_key
-from treelab.functions.storage import broadcast_if_small, cut_lineage, local_table
+from treelab.functions.storage import broadcast_if_small, cut_lineage
 
 
 def splitters(df: DataFrame, cols: list[str], n: int, accuracy: int = 2000) -> list[list[float]]:
@@ -112,38 +112,60 @@ def exact_quantiles(long: DataFrame, keys: list[str], value: str, probs: list[fl
     return out.select(*keys, "prob", "n", (F.col("lo") + (F.col("hi") - F.col("lo")) * frac).alias("quantile"))
 
 
-def hash_cuts(df: DataFrame, label: str, key: Column, cut_ranks: dict, digits: int = 4) -> dict:
-    """Per label, the hash keys that stand at the given ranks (1-based) of the hash order.
+#: Hash keys of a bucket that may come to the driver to pick one by rank.
+MAX_BUCKET_KEYS = 50_000
 
-    ``cut_ranks`` maps label -> ascending ranks. Rows are counted per hash prefix, and only the rows of
-    the prefixes that contain a cut (1 in 16**digits each) are ordered. Returns label -> list of keys.
+
+def hash_cuts(df: DataFrame, label: str, key: Column, ranks_of) -> dict:
+    """Per label, the hash keys that stand at given ranks (1-based) of the hash order.
+
+    ``ranks_of`` turns the class sizes {label: n} into {label: [ranks]}. One job counts the rows per class
+    and hash prefix (three hex digits: 4,096 buckets); the buckets that hold a wanted rank are then
+    narrowed by three more digits at a time until their keys are few. No row is shuffled or sorted.
     """
     keyed = df.select(F.col(label).alias("label"), key.alias("hkey"))
-    keyed = keyed.withColumn("prefix", F.substring("hkey", 1, digits))
-    wanted = [(lab, r) for lab, ranks in cut_ranks.items() for r in ranks if r > 0]
-    if not wanted:
-        return {lab: [None] * len(r) for lab, r in cut_ranks.items()}
-    spark = df.sparkSession
-    label_type = df.schema[label].dataType
-    want = local_table(spark, [{"label": lab, "rank": r} for lab, r in wanted],
-                       T.StructType([T.StructField("label", label_type), T.StructField("rank", T.LongType())]))
-    small = Window.partitionBy("label").orderBy("prefix")
-    upto = (keyed.groupBy("label", "prefix").agg(F.count("*").alias("cnt"))
-            .withColumn("upto", F.sum("cnt").over(small)))
-    hit = (upto.join(F.broadcast(want), "label")
-           .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("cnt")))
-           .select("label", "prefix", "rank", (F.col("upto") - F.col("cnt")).alias("before")))
-    hit_rows = hit.collect()  # labels x cuts
-    prefixes = local_table(
-        spark, [{"label": a, "prefix": p, "before": n} for a, p, n in {(h["label"], h["prefix"], h["before"]) for h in hit_rows}],
-        T.StructType([T.StructField("label", label_type), T.StructField("prefix", T.StringType()),
-                      T.StructField("before", T.LongType())]))
-    inside = Window.partitionBy("label", "prefix").orderBy("hkey")
-    ranked = (keyed.join(F.broadcast(prefixes), ["label", "prefix"])
-              .withColumn("rank", F.row_number().over(inside) + F.col("before"))
-              .join(F.broadcast(want), ["label", "rank"]).select("label", "rank", "hkey"))
-    found = {(r["label"], r["rank"]): r["hkey"] for r in ranked.collect()}  # labels x cuts
-    return {lab: [found.get((lab, r)) for r in ranks] for lab, ranks in cut_ranks.items()}
+
+    def counts(rows: DataFrame, digits: int) -> dict:
+        out: dict = {}
+        grouped = rows.groupBy("label", F.substring("hkey", 1, digits).alias("prefix")).count()
+        for r in grouped.collect():  # at most classes x 4,096 rows per bucket looked at
+            out.setdefault(r["label"], {})[r["prefix"]] = r["count"]
+        return out
+
+    def inside(buckets: set) -> Column:
+        by_label: dict = {}
+        for lab, prefix in buckets:
+            by_label.setdefault(lab, []).append(prefix)
+        digits = len(next(iter(buckets))[1])
+        return reduce(Column.__or__, [F.col("label").eqNullSafe(F.lit(lab)) & F.substring("hkey", 1, digits).isin(sorted(p))
+                                      for lab, p in by_label.items()])
+
+    seen = counts(keyed, 3)
+    ranks = ranks_of({lab: sum(c.values()) for lab, c in seen.items()})
+    # open targets: (label, rank) -> (bucket prefix, rank within the bucket)
+    open_ = {(lab, r): ("", r) for lab, rs in ranks.items() for r in rs if r > 0}
+    found: dict = {}
+    while open_:
+        few, many = {}, {}
+        for (lab, r), (prefix, rest) in open_.items():
+            for p, n in sorted((p, n) for p, n in seen[lab].items() if p.startswith(prefix)):
+                if rest <= n:
+                    (few if n <= MAX_BUCKET_KEYS else many)[(lab, r)] = (p, rest)
+                    break
+                rest -= n
+        if few:
+            keys: dict = {}
+            buckets = {(lab, p) for (lab, _), (p, _) in few.items()}
+            width = len(next(iter(buckets))[1])
+            for row in keyed.where(inside(buckets)).collect():  # MAX_BUCKET_KEYS per wanted rank
+                keys.setdefault((row["label"], row["hkey"][:width]), []).append(row["hkey"])
+            for (lab, r), (p, rest) in few.items():
+                found[(lab, r)] = sorted(keys[(lab, p)])[rest - 1]
+        open_ = many
+        if many:
+            buckets = {(lab, p) for (lab, _), (p, _) in many.items()}
+            seen = counts(keyed.where(inside(buckets)), len(next(iter(buckets))[1]) + 3)
+    return {lab: [found.get((lab, r)) for r in rs] for lab, rs in ranks.items()}
 
 
 def sorted_ranks(distinct: DataFrame, value: str, out: str = "rank") -> DataFrame:
@@ -170,6 +192,3 @@ def hash_positions(df: DataFrame, keys: list[str], hkey: Column, out: str, digit
     return keyed.join(before, [*keys, "__p"]).select(
         *cols, (F.row_number().over(inside) + F.col("__before")).cast("long").alias(out))
 
-
-__all__ = ["splitters", "bucketize", "running_totals", "exact_quantiles", "hash_cuts", "sorted_ranks",
-           "hash_positions", "hash_key"]

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from treelab.functions.storage import spread
 from treelab.operators.bins import Bins, fit_bins, with_bins
@@ -111,12 +111,14 @@ def _prefix_hits(batches):
 
 def forest_size_curve(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str], split: str = "split") -> DataFrame:
     """Train and test accuracy of every forest prefix, from one growth."""
-    rows = rows_of(nodes)
-    parts = df.select(F.col(split).alias("split"), F.col("label").cast("int").alias("label"),
-                      tree_values(rows, cols).alias("p")).mapInPandas(
+    return prefix_accuracy(df.select(F.col(split).alias("split"), "label", tree_values(rows_of(nodes), cols).alias("p")))
+
+
+def prefix_accuracy(voted: DataFrame) -> DataFrame:
+    """Accuracy of the mean of the first n votes ``p`` (an array per row), for every n, per split."""
+    parts = voted.select("split", F.col("label").cast("int").alias("label"), "p").mapInPandas(
         _prefix_accuracy, "split string, n_trees int, hits long, n long")
-    acc = F.sum("hits") / F.sum("n")
-    by = parts.groupBy("split", "n_trees").agg(acc.alias("acc"))
+    by = parts.groupBy("split", "n_trees").agg((F.sum("hits") / F.sum("n")).alias("acc"))
     return by.groupBy("n_trees").agg(F.max(F.when(F.col("split") == "train", F.col("acc"))).alias("train_acc"),
                                      F.max(F.when(F.col("split") == "test", F.col("acc"))).alias("test_acc"))
 
@@ -130,7 +132,3 @@ def _prefix_accuracy(batches):
             yield pd.DataFrame({"split": name, "n_trees": n, "n": len(part),
                                 "hits": (ones == (part["label"].to_numpy()[:, None] == 1)).sum(axis=0)})
 
-
-def half(p: Column) -> Column:
-    """Class 1 when the share is above one half."""
-    return (F.round(p - 0.5, 9) > 0).cast("int")

@@ -10,11 +10,7 @@ from treelab.functions.hashing import hash_key, hex_to_unit, poisson_count, text
 from treelab.functions.ranks import hash_cuts, hash_positions
 
 
-def _class_sizes(df: DataFrame, label: str) -> dict:
-    return {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
-
-
-def test_quota(sizes: dict, fraction: float) -> dict:
+def split_quota(sizes: dict, fraction: float) -> dict:
     """Rows per class for the smaller part: ceil(fraction * n), shared out by largest remainder."""
     total = sum(sizes.values())
     wanted = math.ceil(fraction * total)
@@ -42,8 +38,7 @@ def stratified_split(df: DataFrame, label: str = "label", row_id: str = "row_id"
     result is a projection that compares each row's hash with its class's cut.
     """
     key = hash_key(F.col(row_id), seed)
-    quota = test_quota(_class_sizes(df, label), test_fraction)
-    cuts = hash_cuts(df, label, key, {k: [q] for k, q in quota.items()})
+    cuts = hash_cuts(df, label, key, lambda sizes: {k: [q] for k, q in split_quota(sizes, test_fraction).items()})
     is_test = _cut_case(label, key, cuts, lambda k, c: F.lit(False) if c[0] is None else k <= F.lit(c[0]))
     return df.withColumn(out, F.when(is_test, names[1]).otherwise(names[0]))
 
@@ -52,11 +47,12 @@ def stratified_folds(df: DataFrame, k: int, label: str = "label", row_id: str =
                      out: str = "fold") -> DataFrame:
     """Fold 0..k-1 per row: each class's hash order cut into k runs whose sizes differ by at most one."""
     key = hash_key(F.col(row_id), seed)
-    ranks = {}
-    for lab, n in _class_sizes(df, label).items():
+
+    def ends(n: int) -> list[int]:
         sizes = [n // k + (1 if f < n % k else 0) for f in range(k)]
-        ranks[lab] = [sum(sizes[:f + 1]) for f in range(k - 1)]
-    cuts = hash_cuts(df, label, key, ranks)
+        return [sum(sizes[:f + 1]) for f in range(k - 1)]
+
+    cuts = hash_cuts(df, label, key, lambda sizes: {lab: ends(n) for lab, n in sizes.items()})
 
     def fold(key_col: Column, keys: list) -> Column:
         out_col = F.lit(0)

@@ -224,7 +224,7 @@ def exact_split(src: str, cols: list[str], stats: dict[str, str], gain: str, nod
 
     sums = ", ".join(f"sum({e})::DOUBLE AS {s}" for s, e in stats.items())
     return [("cells", " UNION ALL ".join(f"SELECT {node} AS node, {i} AS f, '{c}' AS feature, {c}::DOUBLE AS v, {sums}, count(*) AS n FROM {src} "
-                                         f"GROUP BY {node}, {c}" for i, c in enumerate(cols))),
+                                         f"GROUP BY ALL" for i, c in enumerate(cols))),
             ("run", f"""SELECT node, f, feature, v, lead(v) OVER w AS nv, {each('sum(#) OVER w AS l_#')},
                 {each('sum(#) OVER (PARTITION BY node, f) AS t_#')} FROM cells WINDOW w AS (PARTITION BY node, f ORDER BY v)"""),
             ("rated", f"SELECT *, round({gain}, 10) AS gain FROM (SELECT *, {each('t_# - l_# AS r_#')} FROM run) WHERE nv IS NOT NULL"),

@@ -149,11 +149,11 @@ def class_histograms(spark, d):
 
 def box_summary(spark, d):
     long = table(spark, d, "lineitem").select("l_returnflag", F.pow("l_extendedprice", 3).alias("value"))
-    return profile.box_summary(long.withColumn("value", F.floor(F.col("value") / 1e6)), "l_returnflag", "value")
+    return profile.box_summary(long.withColumn("value", F.floor(F.col("value") / 1e6).cast("double")), "l_returnflag", "value")
 
 
 def box_outliers(spark, d):
-    long = table(spark, d, "orders").select("o_orderpriority", F.floor(F.pow(F.col("o_totalprice") / 1000.0, 8) / 1e9).alias("value"))
+    long = table(spark, d, "orders").select("o_orderpriority", F.floor(F.pow(F.col("o_totalprice") / 1000.0, 8) / 1e9).cast("double").alias("value"))
     return profile.box_outliers(long, "o_orderpriority", "value").groupBy("o_orderpriority").agg(
         F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
 
@@ -264,9 +264,8 @@ def metric_pivot(spark, d):
 def running_vote_accuracy(spark, d):
     # three fixed scores vote one after the other, in name order
     votes = scored_rows(spark, d).groupBy("row_id", "label").agg(F.array_sort(F.collect_list(F.struct("model", "p1"))).alias("v"))
-    parts = votes.select(F.lit("all").alias("split"), "label", F.transform("v", lambda s: s["p1"]).alias("p")).mapInPandas(
-        forest._prefix_accuracy, "split string, n_trees int, hits long, n long")
-    return r6(parts.groupBy("n_trees").agg((F.sum("hits") / F.sum("n")).alias("accuracy")), "accuracy")
+    votes = votes.select("row_id", F.lit("test").alias("split"), "label", F.transform("v", lambda s: s["p1"]).alias("p"))
+    return r6(forest.prefix_accuracy(votes).select("n_trees", F.col("test_acc").alias("accuracy")), "accuracy")
 
 
 def patience_stop(spark, d):
