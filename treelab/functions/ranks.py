@@ -132,13 +132,13 @@ def hash_cuts(df: DataFrame, label: str, key: Column, ranks_of) -> dict:
             out.setdefault(r["label"], {})[r["prefix"]] = r["count"]
         return out
 
-    def inside(buckets: set) -> Column:
-        by_label: dict = {}
-        for lab, prefix in buckets:
-            by_label.setdefault(lab, []).append(prefix)
+    def inside(buckets: set) -> DataFrame:
         digits = len(next(iter(buckets))[1])
-        return reduce(Column.__or__, [F.col("label").eqNullSafe(F.lit(lab)) & F.substring("hkey", 1, digits).isin(sorted(p))
-                                      for lab, p in by_label.items()])
+        prefix = F.substring("hkey", 1, digits)
+        # the prefix test first: it turns nearly all rows away with a single hash
+        near = keyed.where(prefix.isin(sorted({p for _, p in buckets})))
+        return near.where(reduce(Column.__or__, [F.col("label").eqNullSafe(F.lit(lab)) & (prefix == p)
+                                                 for lab, p in sorted(buckets, key=str)]))
 
     seen = counts(keyed, 3)
     ranks = ranks_of({lab: sum(c.values()) for lab, c in seen.items()})
@@ -157,14 +157,14 @@ def hash_cuts(df: DataFrame, label: str, key: Column, ranks_of) -> dict:
             keys: dict = {}
             buckets = {(lab, p) for (lab, _), (p, _) in few.items()}
             width = len(next(iter(buckets))[1])
-            for row in keyed.where(inside(buckets)).collect():  # MAX_BUCKET_KEYS per wanted rank
+            for row in inside(buckets).collect():  # MAX_BUCKET_KEYS per wanted rank
                 keys.setdefault((row["label"], row["hkey"][:width]), []).append(row["hkey"])
             for (lab, r), (p, rest) in few.items():
                 found[(lab, r)] = sorted(keys[(lab, p)])[rest - 1]
         open_ = many
         if many:
             buckets = {(lab, p) for (lab, _), (p, _) in many.items()}
-            seen = counts(keyed.where(inside(buckets)), len(next(iter(buckets))[1]) + 3)
+            seen = counts(inside(buckets), len(next(iter(buckets))[1]) + 3)
     return {lab: [found.get((lab, r)) for r in rs] for lab, rs in ranks.items()}
 
 

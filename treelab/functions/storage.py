@@ -63,9 +63,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
         return F.broadcast(df)
     return df
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table read from fewer files than there are cores; anything larger stays as it is."""
-    files = df.inputFiles()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(files) < cores else df

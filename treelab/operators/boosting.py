@@ -13,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from treelab.functions.hashing import ranked_subset, unit_hash
-from treelab.functions.storage import cut_lineage, local_table, spread
+from treelab.functions.storage import cut_lineage, local_table
 from treelab.operators.bins import Bins, fit_bins, with_bins
 from treelab.operators.forest import regression_tree
 from treelab.operators.grower import Growth, NewtonRule, node_rows, routed
@@ -94,7 +94,7 @@ def boost(df: DataFrame, cols: list[str], configs: list[BoostConfig], role: str
     binned = with_bins(df, bins).select(
         F.col(row_id).cast("string").alias("rid"), role_col.alias("role"),
         (F.col(fold) if fold else F.lit(None).cast("int")).alias("fold"), F.col("label").cast("int").alias("label"), "bins")
-    state = spread(binned).selectExpr("*", f"explode(sequence(0, {len(configs) - 1})) AS tree").selectExpr(
+    state = binned.selectExpr("*", f"explode(sequence(0, {len(configs) - 1})) AS tree").selectExpr(
         "rid", f"CASE {held} ELSE role END AS role" if held else "role", "label", "bins", "tree", f"{start} AS margin",
     ).persist(StorageLevel.MEMORY_AND_DISK)
     models = [BoostModel(c, list(cols), base[m], [], []) for m, c in enumerate(configs)]

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from treelab.operators.nodes import NODE_SCHEMA, TreeArrays, broadcast_trees, rows_of, vector_column
+from treelab.operators.nodes import NODE_SCHEMA, TreeArrays, broadcast_trees, rows_of
 
 PRUNED_SCHEMA = T.StructType([*NODE_SCHEMA.fields, T.StructField("prune_alpha", T.DoubleType())])
 
@@ -116,11 +116,12 @@ def depth_sweep(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str], d
     """Train and test accuracy of one deep tree cut at each depth: ``(depth, train_acc, test_acc)``."""
     model, = broadcast_trees(nodes, "prediction")
 
-    def at_depth(arrays: TreeArrays, x: np.ndarray) -> pd.Series:
+    def at_depth(x: np.ndarray) -> np.ndarray:
+        arrays = TreeArrays.of(model.value)
         path = arrays.path(x, arrays.roots[0])
-        return pd.Series(list(arrays.value[path[:, [min(d, arrays.depth) for d in depths]]]))
+        return arrays.value[path[:, [min(d, arrays.depth) for d in depths]]]
 
-    return _accuracy_curve(df, vector_column(model, cols, at_depth, T.ArrayType(T.DoubleType())), "depth", depths, split)
+    return _accuracy_curve(df, cols, at_depth, "depth", depths, split)
 
 
 def alpha_sweep(df: DataFrame, pruned: DataFrame | list[dict], cols: list[str], split: str = "split") -> DataFrame:
@@ -130,19 +131,36 @@ def alpha_sweep(df: DataFrame, pruned: DataFrame | list[dict], cols: list[str],
     model, = broadcast_trees(rows, "prediction")
     start, = broadcast_trees(rows, "prune_alpha")
 
-    def at_alpha(arrays: TreeArrays, x: np.ndarray) -> pd.Series:
+    def at_alpha(x: np.ndarray) -> np.ndarray:
+        arrays = TreeArrays.of(model.value)
         path = arrays.path(x, arrays.roots[0])
         from_alpha = TreeArrays.of(start.value).value[path]  # not increasing on the way down
         step = np.stack([(from_alpha > a).sum(axis=1) for a in alphas], axis=1)
-        return pd.Series(list(arrays.value[np.take_along_axis(path, step, axis=1)]))
+        return arrays.value[np.take_along_axis(path, step, axis=1)]
 
-    return _accuracy_curve(df, vector_column(model, cols, at_alpha, T.ArrayType(T.DoubleType())), "alpha", alphas, split)
+    return _accuracy_curve(df, cols, at_alpha, "alpha", alphas, split)
 
 
-def _accuracy_curve(df: DataFrame, predictions, param: str, values: list, split: str) -> DataFrame:
-    scored = df.select(split, "label", F.posexplode(predictions).alias("i", "pred"))
-    hit = (F.col("pred") == F.col("label")).cast("int")
-    out = scored.groupBy("i").agg(F.avg(F.when(F.col(split) == "train", hit)).alias("train_acc"),
-                                  F.avg(F.when(F.col(split) == "test", hit)).alias("test_acc"))
+def _accuracy_curve(df: DataFrame, cols: list[str], predict, param: str, values: list, split: str) -> DataFrame:
+    """Accuracy per parameter value and split, for ``predict`` giving one column per value.
+
+    Hits are counted within each batch, so only (split, value) sums leave a task.
+    """
+    def count(batches):
+        for b in batches:
+            hit = predict(b[cols].to_numpy(float)) == b["label"].to_numpy()[:, None]
+            for name in b["split"].unique():
+                part = hit[(b["split"] == name).to_numpy()]
+                yield pd.DataFrame({"split": name, "i": np.arange(len(values)), "hits": part.sum(axis=0), "n": len(part)})
+
+    rows = df.select(F.col(split).alias("split"), F.col("label").cast("int").alias("label"),
+                     *[F.col(c).cast("double").alias(c) for c in cols])
+    parts = rows.mapInPandas(count, "split string, i int, hits long, n long")
+
+    def share(name: str):
+        mine = F.col("split") == name
+        return (F.sum(F.when(mine, F.col("hits"))) / F.sum(F.when(mine, F.col("n")))).alias(f"{name}_acc")
+
+    out = parts.groupBy("i").agg(share("train"), share("test"))
     return out.select(F.element_at(F.array(*[F.lit(v) for v in values]), F.col("i") + 1).alias(param),
                       "train_acc", "test_acc")

@@ -12,6 +12,7 @@ from treelab.functions.hashing import unit_hash
 from treelab.operators.clean import clean_features
 from treelab.operators.resample import stratified_split
 from treelab.sources.sine import noisy_sine
+from treelab.sources.tables import read_table
 
 WIDE_COLS = [f"f{i}" for i in range(30)]
 MIXED_COLS = ["o_totalprice", "c_acctbal", "c_nationkey", "o_orderpriority", "c_mktsegment", "o_orderstatus"]
@@ -19,7 +20,7 @@ SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _flipped(clean: Column, u: Column) -> Column:

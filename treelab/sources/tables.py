@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
                rename_spaces: bool = False, **options) -> DataFrame:
-    """Read a table with a declared schema; ``mean radius`` becomes ``mean_radius`` on request."""
+    """Read a table with a declared schema; ``mean radius`` becomes ``mean_radius`` on request.
+
+    A scan with fewer partitions than cores (a few small files) is spread over the cores; any larger
+    scan is left as it is.
+    """
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt in ("csv", "json"):
         raise ValueError("text formats need a declared schema")
     df = reader.load(path)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
     if rename_spaces:
         df = df.select(*[F.col(f"`{c}`").alias(c.strip().replace(" ", "_")) for c in df.columns])
     return df
