@@ -182,7 +182,7 @@ def test_spark_tree_becomes_the_same_node_table(spark, sample):
     assert max(r["depth"] for r in rows) == model.depth and len(rows) == model.numNodes
     boosted = boosting.gbt(4).fit(train)
     parts = boosting.staged_loss(sample[0], nodes.model_nodes(boosted, COLS), COLS, scale=2.0).where("split = 'train'").orderBy("iteration").collect()
-    theirs = boosted.evaluateEachIteration(train, "logistic")
+    theirs = boosted.evaluateEachIteration(train)
     assert [r.log_loss for r in parts] == pytest.approx([v / 2 for v in theirs])
 
 

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from treelab.functions.storage import broadcast_if_small, cut_lineage
+from treelab.functions.storage import cut_lineage, settle_small
 
 
 def splitters(df: DataFrame, cols: list[str], n: int, accuracy: int = 2000) -> list[list[float]]:
@@ -91,7 +91,7 @@ def exact_quantiles(long: DataFrame, keys: list[str], value: str, probs: list[fl
         F.struct(F.lit(float(q)).alias("prob"), F.col("__a")[2 * i].alias("lo"), F.col("__a")[2 * i + 1].alias("hi"))
         for i, q in enumerate(probs)])).alias("__b")).select(*keys, "n", "__b.*")
     zone = F.when(F.col("__v") < F.col("lo"), -1).when(F.col("__v") > F.col("hi"), 1).otherwise(0)
-    rows = long.join(broadcast_if_small(brackets), keys)
+    rows = long.join(settle_small(brackets), keys)
     counted = (rows.withColumn("zone", zone)
                .withColumn("inner", F.when(F.col("zone") == 0, F.col("__v")))
                .groupBy(*keys, "prob", "n", "zone", "inner")

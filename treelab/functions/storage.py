@@ -57,9 +57,9 @@ def local_table(spark: SparkSession, rows: list[dict] | pd.DataFrame, schema: T.
     return spark.createDataFrame(table, schema=schema)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
-    """Broadcast hint only after counting: above ``max_rows`` the join stays a shuffle join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
+def settle_small(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
+    """Compute a small table once and broadcast it; above ``max_rows`` it is checkpointed and joined by shuffle."""
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows <= max_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+    return cut_lineage(df)

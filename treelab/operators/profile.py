@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from treelab.functions.ranks import exact_quantiles
+from treelab.functions.storage import settle_small
 
 
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
@@ -46,7 +47,7 @@ def class_histograms(df: DataFrame, cols: list[str], label: str = "label", bins:
     flat = F.col("lo0") == F.col("hi0")
     rng = rng.select("feature", label, F.when(flat, F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
                      F.when(flat, F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
-    rng = F.broadcast(rng)  # features x classes rows
+    rng = settle_small(rng)  # one row per feature and class, used twice
     index = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
     counts = (long.join(rng, ["feature", label]).where(F.col("value").isNotNull())
               .groupBy("feature", label, index.cast("int").alias("bin")).agg(F.count("*").alias("cnt")))
@@ -74,9 +75,9 @@ def box_outliers(long: DataFrame, series: str, value: str) -> DataFrame:
 
 
 def _fences(long: DataFrame, series: str, value: str) -> DataFrame:
-    quart = exact_quantiles(long, [series], value, [0.25, 0.5, 0.75]).groupBy(series).agg(*[
+    quart = settle_small(exact_quantiles(long, [series], value, [0.25, 0.5, 0.75]).groupBy(series).agg(*[
         F.max(F.when(F.col("prob") == q, F.col("quantile"))).alias(name)
-        for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+        for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]))
     spread = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     quart = quart.withColumn("fence_lo", F.col("q1") - spread).withColumn("fence_hi", F.col("q3") + spread)
     return long.where(F.col(value).isNotNull()).select(series, value).join(quart, series)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from treelab.functions.hashing import POISSON_CDF
 from treelab.plans.fixtures import MIXED_COLS, SCALE_COLS, SCORE_WEIGHTS, WIDE_COLS
-from treelab.plans.queries import BOOST, FOREST_BINS, FOREST_DEPTH, FOREST_TREES, PERM_REPEATS, SWEEP_DEPTHS, TREE_BINS, TREE_DEPTH
+from treelab.plans.queries import (BOOST, FOREST_BINS, FOREST_DEPTH, FOREST_TREES, PERM_REPEATS, REG_BASE, REG_SETTINGS,
+                                   SWEEP_DEPTHS, TREE_BINS, TREE_DEPTH)
 
 
 def u(key: str, at: int = 1) -> str:
@@ -176,27 +179,38 @@ def importance(nodes: str, n_trees: int, cols: list[str]) -> list[tuple[str, str
                 FROM names LEFT JOIN {nodes}_share USING (feature) GROUP BY feature""")]
 
 
-def boost_ctes() -> list[tuple[str, str]]:
-    b = BOOST
+def boost_ctes(b=BOOST, p: str = "") -> list[tuple[str, str]]:
+    """Rounds of one boosted model; ``p`` prefixes its tables (margins ``<p>m<t>``, nodes ``<p>bnodes``)."""
     keep = int(b.colsample_bytree * len(SCALE_COLS))
     shrunk = f"sign(g) * greatest(abs(g) - {b.reg_alpha}::DOUBLE, 0)"
-    out = [*SCALE_SPLIT, *binning("data", SCALE_COLS, TREE_BINS, "split = 'train'"),
-           ("m0", "SELECT row_id, label, split, 0.0::DOUBLE AS margin FROM data")]
+    out = [(f"{p}m0", "SELECT row_id, label, split, 0.0::DOUBLE AS margin FROM data")]
     for t in range(b.n_rounds):
-        sample = f"(split = 'train' AND {u(f'''row_id || ':42:row:{t}' ''')} < {b.subsample}::DOUBLE)::INT"
+        sample = "(split = 'train')::INT"
+        if b.subsample < 1:
+            sample = f"(split = 'train' AND {u(f"""row_id || ':42:row:{t}' """)} < {b.subsample}::DOUBLE)::INT"
         start = (f"SELECT {t} AS tree, row_id, s * (p - label) AS g, s * p * (1 - p) AS h, s AS n FROM ("
-                 f"SELECT *, {sample} AS s, 1 / (1 + exp(-margin)) AS p FROM m{t})")
-        feats = ("SELECT tree, node, f FROM {nodes}, names QUALIFY row_number() OVER (PARTITION BY tree, node "
-                 f"ORDER BY md5('42:{t}:' || feature), f) <= {keep}")
-        out += levels(f"b{t}_", start, ["g", "h"], newton_gain(b.reg_lambda, b.reg_alpha, b.gamma), "t_n >= 2", b.max_depth, feats)
-        out += [(f"b{t}_leaf", f"SELECT *, {b.learning_rate}::DOUBLE * (-({shrunk}) / (h + {b.reg_lambda}::DOUBLE)) AS value FROM b{t}_nodes"),
-                (f"m{t + 1}", f"""SELECT m.row_id, m.label, m.split, m.margin + l.value AS margin FROM m{t} m
-                    JOIN b{t}_cur{b.max_depth} c USING (row_id) JOIN b{t}_leaf l ON l.node = c.node""")]
-    out.append(("bnodes", " UNION ALL ".join(f"SELECT * FROM b{t}_leaf" for t in range(b.n_rounds))))
+                 f"SELECT *, {sample} AS s, 1 / (1 + exp(-margin)) AS p FROM {p}m{t})")
+        feats = None if keep >= len(SCALE_COLS) else (
+            "SELECT tree, node, f FROM {nodes}, names QUALIFY row_number() OVER (PARTITION BY tree, node "
+            f"ORDER BY md5('42:{t}:' || feature), f) <= {keep}")
+        q = f"{p}b{t}_"
+        out += levels(q, start, ["g", "h"], newton_gain(b.reg_lambda, b.reg_alpha, b.gamma), "t_n >= 2", b.max_depth, feats)
+        out += [(f"{q}leaf", f"SELECT *, {b.learning_rate}::DOUBLE * (-({shrunk}) / (h + {b.reg_lambda}::DOUBLE)) AS value FROM {q}nodes"),
+                (f"{p}m{t + 1}", f"""SELECT m.row_id, m.label, m.split, m.margin + l.value AS margin FROM {p}m{t} m
+                    JOIN {q}cur{b.max_depth} c USING (row_id) JOIN {q}leaf l ON l.node = c.node""")]
+    out.append((f"{p}bnodes", " UNION ALL ".join(f"SELECT * FROM {p}b{t}_leaf" for t in range(b.n_rounds))))
     return out
 
 
-BOOSTED = boost_ctes()
+BOOST_INPUT = [*SCALE_SPLIT, *binning("data", SCALE_COLS, TREE_BINS, "split = 'train'")]
+BOOSTED = [*BOOST_INPUT, *boost_ctes()]
+REGULARISED = [*BOOST_INPUT, *[c for i, x in enumerate(REG_SETTINGS) for c in boost_ctes(
+    replace(REG_BASE, gamma=x["gamma"], reg_lambda=x["lambda"], reg_alpha=x["alpha"]), f"r{i}_")]]
+REGULARISED_SQL = " UNION ALL ".join(f"""SELECT '{x['label']}' AS label, {x['gamma']}::DOUBLE AS gamma, {x['lambda']}::DOUBLE AS lambda,
+    {x['alpha']}::DOUBLE AS alpha, round(a, 6) AS train_acc, round(b, 6) AS test_acc, round(a - b, 6) AS gap,
+    (SELECT count(*) FROM r{i}_bnodes WHERE f IS NULL) AS leaves FROM (
+      SELECT avg(((margin > 0)::INT = label)::INT) FILTER (split = 'train') AS a, avg(((margin > 0)::INT = label)::INT) FILTER (split = 'test') AS b
+      FROM r{i}_m{REG_BASE.n_rounds})""" for i, x in enumerate(REG_SETTINGS))
 # trees of depth two: a path has at most the root's feature (a) and one child's feature (b)
 SHAP = [*BOOSTED,
         ("leaf", """SELECT l.tree, l.value, l.depth, CASE WHEN l.depth = 2 THEN r.f ELSE q.f END AS fa, CASE WHEN l.depth = 2 THEN r.bin ELSE q.bin END AS ba,
@@ -283,6 +297,31 @@ def permuted_forest() -> list[tuple[str, str]]:
 
 NODE_STATS = """coalesce(s0, 0)::DOUBLE AS count_0, coalesce(s1, 0)::DOUBLE AS count_1,
     round(1 - (s0 / (s0 + s1)) * (s0 / (s0 + s1)) - (s1 / (s0 + s1)) * (s1 / (s0 + s1)), 6) AS impurity"""
+
+
+def node_report(depth: int, where: str = "true") -> str:
+    """What a drawn tree shows, from the ``nodes`` table."""
+    return f"""SELECT tree::INT AS tree_id, node AS node_id, depth, feature || ' <= ' || threshold AS split,
+        round(1 - (s0 / (s0 + s1)) * (s0 / (s0 + s1)) - (s1 / (s0 + s1)) * (s1 / (s0 + s1)), 6) AS impurity, n::BIGINT AS n_samples,
+        s0::DOUBLE AS count_0, s1::DOUBLE AS count_1, CASE WHEN s1 > s0 THEN 'positive' ELSE 'negative' END AS class_name,
+        round(greatest(s0, s1) / (s0 + s1), 6) AS purity FROM nodes WHERE depth <= {depth} AND {where}"""
+
+
+def paths(depth: int) -> list[tuple[str, str]]:
+    """Rule and left/right turns from the root to every node."""
+    out = [("path0", "SELECT 0 AS node, NULL::VARCHAR AS rule, '' AS turns")]
+    for lv in range(depth):
+        side = [f"""SELECT 2 * p.node + {1 + i} AS node, coalesce(rule || ' AND ', '') || n.feature || ' {op} ' || printf('%.6f', n.threshold) AS rule, turns || '{i}' AS turns
+            FROM path{lv} p JOIN nodes n ON n.node = p.node AND n.f IS NOT NULL""" for i, op in enumerate(("<=", ">"))]
+        out.append((f"path{lv + 1}", " UNION ALL ".join(side)))
+    out.append(("paths", " UNION ALL ".join(f"SELECT * FROM path{k}" for k in range(depth + 1))))
+    return out
+
+
+RULES_TEXT = """SELECT 0 AS tree_id, row_number() OVER (ORDER BY pos)::INT AS line_no, line FROM (
+    SELECT turns || '0' AS pos, repeat('|   ', depth) || '|--- ' || feature || ' <= ' || printf('%.2f', threshold) AS line FROM nodes JOIN paths USING (node) WHERE f IS NOT NULL
+    UNION ALL SELECT turns || '1', repeat('|   ', depth) || '|--- ' || feature || ' >  ' || printf('%.2f', threshold) FROM nodes JOIN paths USING (node) WHERE f IS NOT NULL
+    UNION ALL SELECT turns || '-', repeat('|   ', depth) || '|--- class: ' || (s1 > s0)::INT FROM nodes JOIN paths USING (node) WHERE f IS NULL)"""
 CV_DEPTH = 3
 CV = [SCALE, ("data", folds("scale", 5)), *binning("data", SCALE_COLS, TREE_BINS),
       *levels("", """SELECT k AS tree, row_id, (fold <> k)::INT * (1 - label) AS s0, (fold <> k)::INT * label AS s1, (fold <> k)::INT AS n
@@ -393,6 +432,12 @@ ORACLE: dict[str, str] = {
         n::BIGINT AS n_samples, {NODE_STATS}, round(gain, 6) AS gain, (s1 > s0)::INT::DOUBLE AS prediction FROM nodes"""),
     "tree_size": with_(scale_tree(TREE_DEPTH), """SELECT tree AS tree_id, max(depth) AS depth, count(*) FILTER (f IS NULL) AS leaves,
         max(feature) FILTER (node = 0) AS root_feature FROM nodes GROUP BY tree"""),
+    "tree_report": with_(scale_tree(3), node_report(2)),
+    "tree_rules": with_([*scale_tree(3), *paths(3)], """SELECT 0 AS tree_id, row_number() OVER (ORDER BY turns)::INT AS leaf_no, node AS node_id, depth,
+        coalesce(rule, '') AS rule, (s1 > s0)::INT::DOUBLE AS prediction, n::BIGINT AS n_samples FROM nodes JOIN paths USING (node) WHERE f IS NULL"""),
+    "tree_rules_text": with_([*scale_tree(3), *paths(3)], RULES_TEXT),
+    "forest_first_tree": with_(FOREST, node_report(3, "tree = 0")),
+    "regularisation_table": with_(REGULARISED, REGULARISED_SQL),
     "depth_sweep": with_([*scale_tree(SWEEP_DEPTHS[-1]), ("hits", " UNION ALL ".join(
         f"SELECT {k} AS depth, d.split, ((n.s1 > n.s0)::INT = d.label)::INT AS hit FROM cur{k} c JOIN nodes n USING (tree, node) JOIN data d ON d.row_id = c.row_id"
         for k in SWEEP_DEPTHS))],

@@ -21,6 +21,7 @@ FOREST_TREES, FOREST_DEPTH, FOREST_BINS = 12, 4, 32
 PERM_REPEATS = 3
 BOOST = boosting.BoostConfig(name="boost", n_rounds=3, learning_rate=0.3, max_depth=2, subsample=0.8,
                              colsample_bytree=0.8, gamma=1.0, reg_lambda=2.0, reg_alpha=0.5)
+REG_BASE = boosting.BoostConfig(n_rounds=3, learning_rate=0.3, max_depth=3)
 REG_SETTINGS = [
     {"label": "default", "gamma": 0.0, "lambda": 1.0, "alpha": 0.0},
     {"label": "gamma=1", "gamma": 1.0, "lambda": 1.0, "alpha": 0.0},
@@ -477,8 +478,8 @@ def split_gain_cover(spark, d):
 
 def regularisation_table(spark, d):
     data = split_rows(scale_rows(spark, d)).persist()
-    base = boosting.BoostConfig(n_rounds=4, learning_rate=0.3, max_depth=3)
-    return compare.regularisation_table(data, SCALE_COLS, REG_SETTINGS, base, max_bins=32)
+    return r6(compare.regularisation_table(data, SCALE_COLS, REG_SETTINGS, REG_BASE, max_bins=TREE_BINS, method="width"),
+              "train_acc", "test_acc", "gap")
 
 
 def boost_early_stop(spark, d):
