@@ -242,7 +242,7 @@ def exact_split(src: str, cols: list[str], stats: dict[str, str], gain: str, nod
             ("run", f"""SELECT node, f, feature, v, lead(v) OVER w AS nv, {each('sum(#) OVER w AS l_#')},
                 {each('sum(#) OVER (PARTITION BY node, f) AS t_#')} FROM cells WINDOW w AS (PARTITION BY node, f ORDER BY v)"""),
             ("rated", f"SELECT *, round({gain}, 10) AS gain FROM (SELECT *, {each('t_# - l_# AS r_#')} FROM run) WHERE nv IS NOT NULL"),
-            ("top", f"""SELECT node, feature, round((v + nv) / 2, 6) AS threshold, round(gain, 6) AS gain, {each('l_#::DOUBLE AS l_#')}, {each('t_#::DOUBLE AS t_#')}
+            ("top", f"""SELECT node, feature, round((v + nv) / 2, 8) AS threshold, round(gain, 6) AS gain, {each('l_#::DOUBLE AS l_#')}, {each('t_#::DOUBLE AS t_#')}
                 FROM rated WHERE gain IS NOT NULL QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1""")]
 
 
@@ -267,7 +267,7 @@ ROC = [("pts", "SELECT model, p1, sum(label) AS pos, sum(1 - label) AS neg FROM
        ("run", """SELECT *, sum(pos) OVER w AS cpos, sum(neg) OVER w AS cneg, sum(pos) OVER m AS tpos, sum(neg) OVER m AS tneg,
             lead(pos) OVER w AS npos, lead(neg) OVER w AS nneg, row_number() OVER w AS i
             FROM pts WINDOW w AS (PARTITION BY model ORDER BY p1 DESC), m AS (PARTITION BY model)""")]
-ROC_POINTS = "SELECT model, {extra} round(cneg / tneg, 6) AS fpr, round(cpos / tpos, 6) AS tpr, round(p1, 6) AS threshold FROM run {where}"
+ROC_POINTS = "SELECT model, {extra} round(cneg / tneg, 6) AS fpr, round(cpos / tpos, 6) AS tpr, round(p1, 8) AS threshold FROM run {where}"
 ROC_START = "SELECT DISTINCT model, {extra} 0.0::DOUBLE, 0.0::DOUBLE, 'infinity'::DOUBLE FROM run"
 DESCRIBE = """SELECT feature, count(v) AS count, round_even(avg(v), 2) AS mean, round_even(stddev_samp(v), 2) AS std, round_even(min(v), 2) AS min,
     round_even(quantile_cont(v, 0.25), 2) AS p25, round_even(quantile_cont(v, 0.5), 2) AS p50, round_even(quantile_cont(v, 0.75), 2) AS p75,
@@ -428,7 +428,7 @@ ORACLE: dict[str, str] = {
                                *exact_split("noded", MIXED_COLS, GINI_STATS, gini_gain(), "flag")], "SELECT * FROM top"),
     "second_order_root_split": with_([SCALE, *exact_split("scale", SCALE_COLS, {"g": "0.5::DOUBLE - label", "h": "0.25::DOUBLE"},
                                                           newton_gain(2.0, 0.5, 1.0))], "SELECT * FROM top"),
-    "tree_nodes": with_(scale_tree(TREE_DEPTH), f"""SELECT node AS node_id, depth, feature, round(threshold, 6) AS threshold, f IS NULL AS is_leaf,
+    "tree_nodes": with_(scale_tree(TREE_DEPTH), f"""SELECT node AS node_id, depth, feature, round(threshold, 8) AS threshold, f IS NULL AS is_leaf,
         n::BIGINT AS n_samples, {NODE_STATS}, round(gain, 6) AS gain, (s1 > s0)::INT::DOUBLE AS prediction FROM nodes"""),
     "tree_size": with_(scale_tree(TREE_DEPTH), """SELECT tree AS tree_id, max(depth) AS depth, count(*) FILTER (f IS NULL) AS leaves,
         max(feature) FILTER (node = 0) AS root_feature FROM nodes GROUP BY tree"""),
@@ -445,7 +445,7 @@ ORACLE: dict[str, str] = {
            FROM hits GROUP BY depth"""),
     "cv_fold_scores": with_(CV, f"""SELECT fold, round(avg(((n.s1 > n.s0)::INT = d.label)::INT), 6) AS accuracy FROM data d
         JOIN cur{CV_DEPTH} c ON c.row_id = d.row_id AND c.tree = d.fold JOIN nodes n ON n.tree = c.tree AND n.node = c.node GROUP BY fold"""),
-    "forest_nodes": with_(FOREST, """SELECT tree::INT AS tree_id, node AS node_id, feature, round(threshold, 6) AS threshold, n::BIGINT AS n_samples,
+    "forest_nodes": with_(FOREST, """SELECT tree::INT AS tree_id, node AS node_id, feature, round(threshold, 8) AS threshold, n::BIGINT AS n_samples,
         (s0 + s1)::DOUBLE AS cover, round(s1 / (s0 + s1), 6) AS value, round(gain, 6) AS gain FROM nodes"""),
     "oob_score": with_([*FOREST, OOB], f"SELECT * FROM ({OOB_CURVE}) WHERE n_trees = {FOREST_TREES}"),
     "oob_convergence": with_([*FOREST, OOB], OOB_CURVE),
@@ -459,7 +459,7 @@ ORACLE: dict[str, str] = {
     "permutation_importance": with_([*permuted_forest(), ("whole", """SELECT avg((pred = label)::INT) AS b FROM (SELECT row_id, label,
         (round(avg(p) - 0.5, 9) > 0)::INT AS pred FROM votes WHERE split = 'test' GROUP BY row_id, label)""")],
         "SELECT feature, round(avg(b - accuracy), 6) AS importance_mean, round(stddev_pop(b - accuracy), 6) AS importance_std FROM pscore, whole GROUP BY feature"),
-    "boost_nodes": with_(BOOSTED, """SELECT tree AS tree_id, node AS node_id, feature, round(threshold, 6) AS threshold, n::BIGINT AS n_samples,
+    "boost_nodes": with_(BOOSTED, """SELECT tree AS tree_id, node AS node_id, feature, round(threshold, 8) AS threshold, n::BIGINT AS n_samples,
         round(h, 6) AS cover, round(value, 6) AS value, round(gain, 6) AS gain FROM bnodes"""),
     "boost_history": with_(BOOSTED, " UNION ALL ".join(f"""SELECT 'boost' AS model, split AS eval_set, {t} AS iteration,
         round(avg(CASE WHEN label = 1 THEN ln(1 + exp(-margin)) ELSE ln(1 + exp(margin)) END), 6) AS logloss,
@@ -477,6 +477,6 @@ ORACLE: dict[str, str] = {
                                  "SELECT *, count(*) OVER (PARTITION BY feature) AS n_models FROM rk"),
     "interpretability_summary": with_([*BEST_BOTH, OOB], f"""SELECT 'tree' AS model, 1 AS n_trees, max(depth) AS depth, count(*) FILTER (f IS NULL) AS leaves,
         max(feature) FILTER (node = 0) AS top_feature, NULL::DOUBLE AS oob_score FROM one_nodes
-        UNION ALL SELECT 'forest', n_trees, NULL, NULL, (SELECT feature FROM nodes_imp ORDER BY importance DESC, feature LIMIT 1), oob_score
+        UNION ALL SELECT 'forest', n_trees, (SELECT max(depth) FROM nodes), (SELECT count(*) FROM nodes WHERE f IS NULL), (SELECT feature FROM nodes_imp ORDER BY importance DESC, feature LIMIT 1), oob_score
         FROM ({OOB_CURVE}) WHERE n_trees = {FOREST_TREES}"""),
 }

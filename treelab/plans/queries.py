@@ -33,7 +33,8 @@ RATES = [(1.0, 1), (0.5, 5), (0.1, 10), (0.05, 20)]
 
 
 def r6(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+    """Round to six places; thresholds to eight, where equal-width edges never fall on a half."""
+    return df.withColumns({c: F.round(c, 8 if c == "threshold" else 6) for c in cols})
 
 
 # --- sources, cleaning, profiling -------------------------------------------------------------------------------
@@ -550,7 +551,8 @@ def interpretability_summary(spark, d):
         F.lit(None).cast("double").alias("oob_score"))
     top = explain.top_features(explain.impurity_importance(nodes.node_table(spark, found), MIXED_COLS), 1).first()["feature"]
     oob = forest.oob_curve(data.where("split = 'train'"), found, MIXED_COLS).where(F.col("n_trees") == FOREST_TREES)
-    wood = oob.select(F.lit("forest").alias("model"), "n_trees", F.lit(None).cast("int").alias("depth"), F.lit(None).cast("long").alias("leaves"),
+    size = nodes.tree_summary(nodes.node_table(spark, found)).agg(F.max("depth").alias("d"), F.sum("leaves").alias("l")).first()
+    wood = oob.select(F.lit("forest").alias("model"), "n_trees", F.lit(size.d).alias("depth"), F.lit(size.l).cast("long").alias("leaves"),
                       F.lit(top).alias("top_feature"), F.round("oob_score", 6).alias("oob_score"))
     return tree.unionByName(wood)
 
