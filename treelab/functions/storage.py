@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -16,11 +19,15 @@ LOCAL_ROWS = 200_000
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    A session in one process (master ``local``) that names none gets a temporary folder of its own, since there the driver is
+    the only executor. On a cluster the setting must be there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="treelab-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(path)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
