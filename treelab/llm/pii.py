@@ -185,15 +185,18 @@ def pseudonym(m: Column, key: str) -> Column:
     return let(kind_of(m), lambda k: F.when(k.isNull(), m).when(k.isin("ip", "ssn", "date"), _by_number(m, k, key)).otherwise(_by_character(m, k, key)))
 
 
-def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` rewritten; the kinds and order of what was replaced are in a new column ``pii_kinds`` (array)."""
-    source, name = F.col(text), "pii_kinds"
-    if name in docs.columns:
-        raise ValueError(f"the table has a column {name} already")
-    found = F.when(source.rlike(HINT), F.regexp_extract_all(source, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    marked = docs.withColumn(name, found)
-    pieces = F.split(source, PATTERN, -1)
-    woven = F.array_join(F.concat(F.flatten(F.zip_with(F.slice(pieces, F.lit(1), F.size(name)), F.col(name),
-                                                        lambda gap, m: F.array(gap, pseudonym(m, key)))), F.slice(pieces, -1, 1)), "")
-    return marked.withColumn(text, F.when(F.size(name) > 0, woven).otherwise(source)) \
-        .withColumn(name, F.filter(F.transform(name, kind_of), lambda k: k.isNotNull()))
+def pseudonymised(docs: DataFrame, key: str, text: str = "text", kinds: str = "pii_kinds") -> DataFrame:
+    """``docs`` with ``text`` rewritten; the kinds that were replaced, in order, are in a last column ``kinds`` (an array).
+
+    A column of that name in ``docs`` stays, and the new one gets underscores until its name is free.
+    """
+    while kinds in docs.columns:
+        kinds += "_"
+    body = F.col("row")[text]
+    marked = docs.select(F.struct("*").alias("row")).withColumn("found", F.when(body.rlike(HINT), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0))))
+    pieces = F.split(body, PATTERN, -1)
+    gaps = F.slice(pieces, F.lit(1), F.size("found"))
+    woven = F.flatten(F.zip_with(gaps, F.col("found"), lambda gap, m: F.array(gap, pseudonym(m, key))))
+    new = F.when(F.size("found") > 0, F.array_join(F.concat(woven, F.slice(pieces, -1, 1)), "")).otherwise(body)
+    replaced = F.coalesce(F.filter(F.transform("found", kind_of), lambda k: k.isNotNull()), F.array().cast("array<string>"))
+    return marked.select(*[new.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns], replaced.alias(kinds))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treelab.llm import chat, mixing, pii, quality_rules
+from treelab.llm import bagminhash, chat, decontamination, extraction, mixing, pii, quality_crf, quality_rules, tokens, toxicity
 from treelab.llm.shared import table
 
 #: Production parameters of the mixture: share of all tokens to draw, most passes over a leaf, weights by branch.
@@ -13,6 +13,21 @@ MIX = {"budget_share": 0.6, "max_epochs": 4, "seed": 17,
 PII_KEY = "corpus-2024"
 
 
+END_ID = 2
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer file of op9."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and conversation -1, whose texts are control strings, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -21,21 +36,52 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.examples(rows.unionByName(probe)))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels of held-out rows are not learned."""
+    docs = table(spark, sf_dir, "documents")
+    field = quality_crf.train(docs, table(spark, sf_dir, "labels"))
+    return quality_crf.score(docs, field).select("doc_id", quality_crf.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mixture reads each document, and from which leaf."""
     return mixing.select(table(spark, sf_dir, "documents"), **MIX)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of every document and the verdict."""
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document."""
+    return bagminhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with pseudonyms in place of personal data."""
     return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
 
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from the token shards."""
+    return tokens.token_table(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID).drop("shard")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict of every document; its host is its source."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), F.col("source")).select(
         "doc_id", *quality_rules.MEASURES, "base_failed", "kept", "shrunk_rate")
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op5_mixing, op8_pii, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_html_extraction, op2_chat_formatting, op3_decontamination, op4_quality_classifier, op5_mixing, op6_toxicity, op7_near_dedup,
+    op8_pii, op9_token_shards, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
