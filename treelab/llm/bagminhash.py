@@ -9,8 +9,8 @@ process costs the logarithm of its weight, and two documents that share a shingl
 count. Each point falls on a random component; a component keeps its first point, whose probability of being common to two
 documents is their weighted Jaccard similarity. Points of a document are drawn in order of time until the latest first arrival.
 
-Candidates. Documents that agree on a band meet in its bucket. A bucket is never expanded into pairs: its hub, the member with
-most bucket mates, is compared with all members (round one); then hubs of the parts that are still apart, twice as many in each
+Candidates. Documents that agree on a band meet in its bucket. A bucket of more than four is never expanded into pairs: its hub, the
+member with most bucket mates, is compared with all members (round one); then hubs of the parts that are still apart, twice as many in each
 round, until every part of every bucket has had its hub compared with all members of other parts. Links are verified on
 whole multisets. Two members that are both no hubs and whose hubs stay apart would be missed only if that happens in every one
 of the 28 bands.
@@ -36,6 +36,8 @@ SHINGLE = 5
 SIMILAR = (4, 5)
 BANDS, ROWS = 28, 5
 SIZE = BANDS * ROWS
+#: Members up to which a bucket has all its pairs compared at once.
+SMALL = 4
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -158,16 +160,16 @@ def enough(common, size_a, size_b):
 
 
 def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose multisets are similar."""
+    """The pairs (a, b) of nodes and whether their multisets are ``similar``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = b["bag_a"], b["bag_b"]
             good = [enough(overlap(p, q), len(p) // 8, len(q) // 8) for p, q in ((x[i].as_buffer(), y[i].as_buffer()) for i in range(b.num_rows))]
-            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(good, pa.bool_())], names=["a", "b", "similar"])
 
     both = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")), "a") \
         .join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")), "b")
-    return both.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a binary, b binary, similar boolean")
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -177,16 +179,15 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     chain of links.
     """
     edges = settle(links.union(links.select("b", "a")).distinct(), "edges")
-    roots = settle(edges.select(F.col("a").alias("root")).distinct().withColumn("low", F.col("root")), "roots")
+    roots = edges.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("root"), F.least("a", "low").alias("low"))
     while True:
         near = edges.join(roots.select(F.col("root").alias("b"), "low"), "b").groupBy("a").agg(F.min("low").alias("near"))
         moved = roots.join(near, roots["root"] == near["a"]).select("root", F.col("low").alias("old"), F.least("low", "near").alias("low"))
-        jump = moved.select(F.col("root").alias("low"), F.col("low").alias("further"))
-        new = settle(moved.join(jump, "low").select("root", "old", F.least("low", "further").alias("low")), "roots")
-        if new.where(F.col("old") != F.col("low")).isEmpty():
-            break
-        roots = new.drop("old")
-    return settle(labels.join(roots, "root", "left").select("node", F.coalesce("low", "root").alias("root")), "labels")
+        jump = roots.select(F.col("root").alias("low"), F.col("low").alias("further"))
+        roots = settle(moved.join(jump, "low").select("root", "old", F.least("low", "further").alias("low")), "roots")
+        if roots.where(F.col("old") != F.col("low")).isEmpty():
+            return settle(labels.join(roots, "root", "left").select("node", F.coalesce("low", "root").alias("root")), "labels")
+        roots = roots.drop("old")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,18 +195,16 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     rows = settle(banded(docs, doc_id, text), "banded")
     nodes = settle(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"),
                                             F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
-    spread = nodes.select("node", F.explode("bands").alias("key"))
+    spread = nodes.select("node", "n", F.col("first")["row_key"].alias("row_key"), F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count("*").alias("mates")).where("mates > 1")
     members = settle(spread.join(shared, "key"), "members")
-    degree = members.groupBy("node").agg(F.sum("mates").alias("degree"))
-    candidates = settle(nodes.select("node", "n", F.col("first")["row_key"].alias("row_key")).join(degree, "node"), "candidates")
-    members = settle(members.join(candidates.select("node", "n", "degree"), "node").select("key", "node", "n", "degree"), "members")
+    candidates = settle(members.groupBy("node").agg(F.sum("mates").alias("degree"), F.first("row_key").alias("row_key")), "candidates")
+    members = members.drop("row_key").join(candidates.select("node", "degree"), "node")
     body = docs.select(node_of(F.col(text)).alias("node"), F.col(doc_id).alias("id"), F.col(text).alias("body"))
     bodies = body.withColumn("row_key", row_key(F.col("id"), F.col("node"))).drop("id") \
         .join(candidates.select("row_key", F.col("node").alias("n2")), "row_key").where("node = n2").dropDuplicates(["row_key"])
     bags = settle(shingle_bags(bodies), "bags")
-    labels = settle(candidates.select("node", F.col("node").alias("root")), "labels")
-    labels = linked(members, bags, labels)
+    labels = linked(members, bags, candidates.select("node", F.col("node").alias("root")))
     named = nodes.select("node", "doc_id", "first").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min("first").alias("head"))
     by_node = settle(named.select("node", "root").join(heads, "root").select("node", "class_id", F.col("head")["row_key"].alias("head_key")), "classes")
@@ -214,34 +213,40 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rounds of hubs against buckets; returns the labels (node, root) of the candidate nodes."""
-    covered, used, tested, hubs = None, None, None, 1
+    """Rounds of hubs against buckets; returns the labels (node, root) of the candidate nodes. ``members``: key, node, n, degree, mates.
+
+    In the first round every member of a bucket of up to ``SMALL`` is a hub. A bucket is done when at most one member has been no
+    hub, or all its parts had one.
+    """
+    used, tested, hubs = None, None, 1
     while True:
         at = settle(members.join(labels, "node"), "buckets")
         parts = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
         at = at.join(parts, "key")
-        open_ = at if covered is None else at.join(covered, ["key", "root"], "left_anti")
+        open_ = at
+        if used is not None:
+            done = used.groupBy("key").agg(F.count("*").alias("n_hubs"))
+            covered = used.join(labels, "node").select("key", "root").distinct()
+            open_ = at.join(done, "key", "left").where(F.col("mates") > F.coalesce("n_hubs", F.lit(0)) + 1).join(covered, ["key", "root"], "left_anti")
+        lot = F.when(F.col("mates") <= SMALL, F.xxhash64("root")).otherwise(F.pmod(F.hash("root"), F.lit(hubs)))
         best = F.max_by(F.struct("node", "root", "n"), F.struct("degree", "node")).alias("hub")
-        chosen = open_.groupBy("key", F.pmod(F.hash("root"), F.lit(hubs)).alias("lot")).agg(best) \
-            .select("key", F.col("hub")["node"].alias("hub"), F.col("hub")["root"].alias("hub_root"), F.col("hub")["n"].alias("hub_n"))
-        chosen = settle(chosen, "hubs")
+        chosen = settle(open_.groupBy("key", lot.alias("lot")).agg(best).select("key", F.col("hub")["node"].alias("node"), F.col("hub")["root"].alias("hub_root"),
+                                                                               F.col("hub")["n"].alias("hub_n")), "hubs")
         if chosen.isEmpty():
             return labels
         fits = F.least("n", "hub_n") * SIMILAR[1] >= F.greatest("n", "hub_n") * SIMILAR[0]
-        pairs = at.join(chosen, "key").where((F.col("root") != F.col("hub_root")) & fits) \
+        pairs = at.join(chosen.withColumnRenamed("node", "hub"), "key").where((F.col("root") != F.col("hub_root")) & fits) \
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = settle(verified(pairs, bags), "links")
-        now = chosen.select("key", F.col("hub").alias("node"))
-        used = now if used is None else used.unionByName(now)
+        checked = settle(verified(pairs, bags), "pairs")
+        tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
+        used = chosen.select("key", "node") if used is None else used.unionByName(chosen.select("key", "node"))
+        links = checked.where("similar")
         if not links.isEmpty():
             ends = links.join(labels.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a") \
                 .join(labels.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b")
             labels = components(labels, ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        covered = settle(used.join(labels, "node").select("key", "root").distinct(), "covered")
         hubs *= 2
 
 

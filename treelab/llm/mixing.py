@@ -27,7 +27,7 @@ SLICE_DIGITS = 3
 
 def domain_of_source() -> Column:
     """Domain of a source where documents name none: the number at the end of its name modulo 4."""
-    return F.concat(F.lit("dom"), F.expr(r"cast(cast(regexp_extract(source, '([0-9]{1,9})$', 1) as int) % 4 as string)"))
+    return F.concat(F.lit("dom"), F.expr(r"cast(try_cast(regexp_extract(source, '([0-9]{1,9})$', 1) as int) % 4 as string)"))
 
 
 def leaf_rows(docs: DataFrame, domain: Column) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treelab.llm import bagminhash, chat, decontamination, extraction, mixing, pii, quality_crf, quality_rules, tokens, toxicity
+from treelab.llm import bagminhash, chat, decontamination, extraction, mixing, oracle, pii, quality_crf, quality_rules, tokens, toxicity
 from treelab.llm.shared import table
 
 #: Production parameters of the mixture: share of all tokens to draw, most passes over a leaf, weights by branch.
@@ -13,16 +14,6 @@ MIX = {"budget_share": 0.6, "max_epochs": 4, "seed": 17,
 PII_KEY = "corpus-2024"
 
 
-END_ID = 2
-
-
-def tokenizer_path() -> str:
-    """The public tokenizer file of op9."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extraction.extract(table(spark, sf_dir, "pages"))
@@ -72,16 +63,21 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, read back from the token shards."""
-    return tokens.token_table(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID).drop("shard")
+    return tokens.token_table(table(spark, sf_dir, "documents"), tokens.public_path("word_bpe_49k.json"), end_id=2).drop("shard")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict of every document; its host is its source."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), F.col("source")).select(
-        "doc_id", *quality_rules.MEASURES, "base_failed", "kept", "shrunk_rate")
+        "doc_id", *quality_rules.MEASURES, "base_failed", "kept")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, one after another."""
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_chat_formatting, op3_decontamination, op4_quality_classifier, op5_mixing, op6_toxicity, op7_near_dedup,
-    op8_pii, op9_token_shards, op10_quality_rules)}
-ORACLE: dict[str, str] = {}
+    op8_pii, op9_token_shards, op10_quality_rules, pipeline)}
+ORACLE = {"op2_chat_formatting": oracle.CHAT, "op5_mixing": oracle.mixing(**MIX), "op10_quality_rules": oracle.QUALITY_RULES}

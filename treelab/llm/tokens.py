@@ -118,6 +118,13 @@ class Encoder:
                     self.parts[p] = self._pack(e.ids)
 
 
+def public_path(name: str) -> str:
+    """Path of a file of the public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def split_pattern(spec: dict) -> str | None:
     """The pattern whose matches are the words of a tokenizer, if it drops white space, lower-cases and has no context across words."""
     kinds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
