@@ -350,10 +350,10 @@ def test_toxic_documents_are_caught(spark):
         rows.append((i, " ".join(text)))
         labels.append((i, int(toxic)))
     docs = frame(spark, rows)
-    train_on = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, toxic int")
+    train_on = spark.createDataFrame([x for x in labels if x[0] // 6 % 3], "doc_id long, toxic int")
     chain = toxicity.train(docs, train_on)
     p = {r["doc_id"]: r for r in toxicity.score(docs, chain).collect()}
-    held = [x for x in labels if x[0] % 3 == 0]
+    held = [x for x in labels if x[0] // 6 % 3 == 0]
     assert sum((p[i]["p_toxic"] >= 0.5) == bool(y) for i, y in held) >= 0.98 * len(held)
     insult = [i for i, t in rows if "IDIOT" in t]
     assert np.mean([p[i]["p_insult"] > 0.5 for i in insult]) > 0.8 and np.mean([p[i]["p_insult"] > 0.5 for i, y in labels if not y]) < 0.02
@@ -424,7 +424,7 @@ def test_token_table(spark, data, monkeypatch):
 
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(tokens, "CACHE_WORDS", 500)
+    monkeypatch.setattr(tokens, "CACHE_PARTS", 500)
     path = tokens.public_path("word_bpe_49k.json")
     docs = frame(spark, [(None, None), (-5, "x y"), (3, ""), (3, "b"), (3, "b")]).unionByName(spark.read.parquet(f"{data}/documents.parquet"), True)
     shards = tokens.write_shards(docs.withColumn("tie", F.lit(0)).withColumn("body", F.lit(1)), f"{tokens.folder(spark, 'test')}", path, 2, shard_bytes=40_000)

@@ -9,17 +9,17 @@ with rows as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), sized as (
-  select *, row_number() over (partition by conv_id order by turn, role, text) as at, count(*) over (partition by conv_id) as n,
+  select *, row_number() over (partition by conv_id order by turn, role, text) as pos, count(*) over (partition by conv_id) as n,
     length('<|turn|><|text|><|end|>') + length(role) + length(text) + len(regexp_extract_all(role || ' ' || text, '\\'))
       + len(regexp_extract_all(role || ' ' || text, '<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]')) as chars
   from rows
 ), running as (
-  select *, sum(chars) over (partition by conv_id order by at) as upto from sized
+  select *, sum(chars) over (partition by conv_id order by pos) as upto from sized
 )
-select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by at)) as turns_sha256,
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by pos)) as turns_sha256,
   coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by at) filter (where role = 'assistant'), '')) as loss_sha256,
-  sum(upto) filter (where role = 'assistant' or at = n)::bigint as formatted_chars
+  sha256(coalesce(string_agg(text, '' order by pos) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(upto) filter (where role = 'assistant' or pos = n)::bigint as formatted_chars
 from running group by conv_id
 """
 

@@ -17,13 +17,13 @@ from __future__ import annotations
 import json
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -35,17 +35,18 @@ HEADER, ENTRY = "<8sQQIIIQ", "<QIQ"
 #: Bits of a plane that are compressed together.
 BLOCK_BITS = 1 << 18
 SHARD_BYTES = 32 << 20
-#: Entries of the cache of encoded words that one worker keeps.
-CACHE_WORDS = 400_000
+#: Entries of the cache of encoded parts that one worker keeps.
+CACHE_PARTS = 900_000
 
 # --- tokenizer ---------------------------------------------------------------------------------------------------------
 
 
 class Encoder:
-    """Encodes whole texts with a tokenizer file; words seen before come from a bounded cache.
+    """Encodes whole texts with a tokenizer file; parts seen before come from a bounded cache.
 
-    A tokenizer that drops white space and splits at it gives a text the ids of its words one after another, so words may be
-    encoded once each. ``splits`` tells whether that holds for the file; other tokenizers encode text by text.
+    A tokenizer that drops white space and encodes the matches of a pattern one by one gives a text the ids of its parts one after
+    another, so each part is encoded once. ``split_pattern`` tells whether that holds for a file; others encode text by text.
+    Texts of Latin-1 characters are cut by that pattern at once; of others, words with further characters are parts of their own.
     """
 
     def __init__(self, path: str):
@@ -54,70 +55,83 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        pieces = split_pattern(json.loads(self.tokenizer.to_str()))
-        self.pieces = regex.compile(pieces) if pieces else None
-        #: Words that normalisation only lower-cases, letter by letter.
-        self.plain = re.compile("[!-~\xa1-\xff]*").fullmatch
-        self.words: dict[str, bytes] = {"": b""}
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        spec = json.loads(self.tokenizer.to_str())
+        pieces = split_pattern(spec)
+        self.pieces = re.compile(latin_pattern(pieces)) if pieces else None
+        suffix = spec["model"].get("end_of_word_suffix")
+        #: Whether an id ends a part.
+        self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
         self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
         if self.pieces is None:
             return [self._pack(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing: set[str] = set()
-        for w in split:
-            missing.update(set(w).difference(self.words))
-        found = self.words if len(self.words) + len(missing) <= CACHE_WORDS else self._restart(split)
-        if found is not self.words:
-            missing = {x for w in split for x in w}
-        self._learn(missing)
-        get = self.words.__getitem__
-        return [b"".join(map(get, w)) for w in split]
-
-    def _restart(self, split: list[list[str]]) -> dict[str, bytes]:
-        old, self.words = self.words, {"": b""}
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.parts = {}
-        return old
+        cut = [self._cut(t) for t in texts]
+        get = self.parts.get
+        known = [[get(p) for p in parts] for parts in cut]
+        self._learn({p for parts, ids in zip(cut, known, strict=True) if None in ids for p, x in zip(parts, ids, strict=True) if x is None})
+        look = self.parts.__getitem__
+        return [b"".join(map(look, parts) if None in ids else ids) for parts, ids in zip(cut, known, strict=True)]
+
+    def _cut(self, text: str) -> list[str]:
+        if self._plain(text):
+            return self.pieces.findall(text.lower())
+        out: list[str] = []
+        for word in text.replace("\n", " ").split(" "):
+            if self._plain(word):
+                out += self.pieces.findall(word.lower())
+            else:
+                out.append("\0" + word)
+        return out
+
+    def _plain(self, text: str) -> bool:
+        """Whether normalisation only lower-cases the text, letter by letter, and no special token can be in it."""
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return False
+        return "<|" not in text and "\0" not in text
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        easy, hard = {}, []
-        for w in words:
-            if self.plain(w) and "<|" not in w:
-                easy[w] = self.pieces.findall(w.lower())
-            elif w:
-                hard.append(w)
-        new = list({p for ps in easy.values() for p in ps}.difference(self.parts))
-        if new:
-            self._learn_parts(new)
-        part = self.parts.__getitem__
-        for w, ps in easy.items():
-            self.words[w] = b"".join(map(part, ps))
-        for w, e in zip(hard, self.tokenizer.encode_batch(hard, add_special_tokens=False) if hard else [], strict=True):
-            self.words[w] = self._pack(e.ids)
-
-    def _learn_parts(self, new: list[str]) -> None:
-        """One call for many parts: a space between two makes each a word of its own."""
-        for i in range(0, len(new), 2000):
-            group = new[i : i + 2000]
-            e = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
-            at = np.array(e.word_ids, np.int64)
-            ids = np.array(e.ids, self.dtype)
-            ends = np.searchsorted(at, np.arange(len(group) + 1))
-            if len(at) and at[-1] == len(group) - 1 and (np.diff(at) >= 0).all():
-                for k, p in enumerate(group):
-                    self.parts[p] = ids[ends[k] : ends[k + 1]].tobytes()
+    def _learn(self, new: set[str]) -> None:
+        """One call for many parts: a space between two makes each a part of its own."""
+        hard = [p for p in new if p[0] == "\0"]
+        for p, e in zip(hard, self.tokenizer.encode_batch([p[1:] for p in hard], add_special_tokens=False) if hard else [], strict=True):
+            self.parts[p] = self._pack(e.ids)
+        easy = [p for p in new if p[0] != "\0"]
+        for i in range(0, len(easy), 2000):
+            group = easy[i : i + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                data, size, begin = ids.tobytes(), self.dtype.itemsize, 0
+                for p, end in zip(group, ends, strict=True):
+                    self.parts[p] = data[begin * size : end * size]
+                    begin = end
             else:
                 for p, e in zip(group, self.tokenizer.encode_batch(group, add_special_tokens=False), strict=True):
                     self.parts[p] = self._pack(e.ids)
 
 
+def latin_pattern(pattern: str) -> str:
+    """The pattern with its classes of letters, numbers and white space spelled out for the characters up to U+00FF."""
+    chars = [chr(i) for i in range(256)]
+    white = "\t\n\x0b\x0c\r \x85\xa0"
+    classes = {r"\p{L}": "".join(c for c in chars if unicodedata.category(c)[0] == "L"),
+               r"\p{N}": "".join(c for c in chars if unicodedata.category(c)[0] == "N"), r"\s": white}
+    for name, members in classes.items():
+        pattern = pattern.replace(name, re.escape(members))
+    return pattern
+
+
 def public_path(name: str) -> str:
     """Path of a file of the public tokenizers."""
     import public_tokenizers
