@@ -8,6 +8,7 @@ on its own. No task ever sees a whole group.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -112,33 +113,46 @@ def exact_quantiles(long: DataFrame, keys: list[str], value: str, probs: list[fl
     return out.select(*keys, "prob", "n", (F.col("lo") + (F.col("hi") - F.col("lo")) * frac).alias("quantile"))
 
 
-#: Hash keys of a bucket that may come to the driver to pick one by rank.
+#: Distinct hash keys of a bucket that may come to the driver to pick one by rank.
 MAX_BUCKET_KEYS = 50_000
+#: Digits of a whole hash key.
+KEY_DIGITS = 32
+
+
+@dataclass(frozen=True)
+class Cut:
+    """The hash key at a rank; ``taken`` of the ``rows`` rows that have this key are at or before the rank."""
+
+    key: str
+    taken: int
+    rows: int
 
 
 def hash_cuts(df: DataFrame, label: str, key: Column, ranks_of) -> dict:
-    """Per label, the hash keys that stand at given ranks (1-based) of the hash order.
+    """Per label, the ``Cut`` at each of the given ranks (1-based) of the hash order; None for rank 0.
 
     ``ranks_of`` turns the class sizes {label: n} into {label: [ranks]}. One job counts the rows per class
-    and hash prefix (three hex digits: 4,096 buckets); the buckets that hold a wanted rank are then
-    narrowed by three more digits at a time until their keys are few. No row is shuffled or sorted.
+    and hash prefix (three hex digits: 4,096 buckets); the buckets that hold a wanted rank are narrowed by three more
+    digits at a time, all targets together, until their rows are few or the key is whole. Rows with equal keys
+    are counted, so they never hold up the search. No row is shuffled or sorted.
     """
     keyed = df.select(F.col(label).alias("label"), key.alias("hkey"))
 
     def counts(rows: DataFrame, digits: int) -> dict:
         out: dict = {}
         grouped = rows.groupBy("label", F.substring("hkey", 1, digits).alias("prefix")).count()
-        for r in grouped.collect():  # at most classes x 4,096 rows per bucket looked at
+        for r in grouped.collect():  # at most classes x 4,096 rows, or MAX_BUCKET_KEYS, per bucket looked at
             out.setdefault(r["label"], {})[r["prefix"]] = r["count"]
         return out
 
     def inside(buckets: set) -> DataFrame:
-        digits = len(next(iter(buckets))[1])
-        prefix = F.substring("hkey", 1, digits)
-        # the prefix test first: it turns nearly all rows away with a single hash
-        near = keyed.where(prefix.isin(sorted({p for _, p in buckets})))
-        return near.where(reduce(Column.__or__, [F.col("label").eqNullSafe(F.lit(lab)) & (prefix == p)
-                                                 for lab, p in sorted(buckets, key=str)]))
+        parts = []
+        for digits in sorted({len(p) for _, p in buckets}):
+            prefix, same = F.substring("hkey", 1, digits), sorted((b for b in buckets if len(b[1]) == digits), key=str)
+            # the prefix test first: it turns nearly all rows away with a single hash
+            parts.append(prefix.isin(sorted({p for _, p in same})) & reduce(Column.__or__, [
+                F.col("label").eqNullSafe(F.lit(lab)) & (prefix == p) for lab, p in same]))
+        return keyed.where(reduce(Column.__or__, parts))
 
     seen = counts(keyed, 3)
     ranks = ranks_of({lab: sum(c.values()) for lab, c in seen.items()})
@@ -150,21 +164,17 @@ def hash_cuts(df: DataFrame, label: str, key: Column, ranks_of) -> dict:
         for (lab, r), (prefix, rest) in open_.items():
             for p, n in sorted((p, n) for p, n in seen[lab].items() if p.startswith(prefix)):
                 if rest <= n:
-                    (few if n <= MAX_BUCKET_KEYS else many)[(lab, r)] = (p, rest)
+                    if len(p) >= KEY_DIGITS:
+                        found[(lab, r)] = Cut(p, rest, n)
+                    else:
+                        (few if n <= MAX_BUCKET_KEYS else many)[(lab, r)] = (p, rest)
                     break
                 rest -= n
-        if few:
-            keys: dict = {}
-            buckets = {(lab, p) for (lab, _), (p, _) in few.items()}
-            width = len(next(iter(buckets))[1])
-            for row in inside(buckets).collect():  # MAX_BUCKET_KEYS per wanted rank
-                keys.setdefault((row["label"], row["hkey"][:width]), []).append(row["hkey"])
-            for (lab, r), (p, rest) in few.items():
-                found[(lab, r)] = sorted(keys[(lab, p)])[rest - 1]
-        open_ = many
-        if many:
-            buckets = {(lab, p) for (lab, _), (p, _) in many.items()}
-            seen = counts(inside(buckets), len(next(iter(buckets))[1]) + 3)
+        open_ = few | many
+        if open_:
+            buckets = {(lab, p) for (lab, _), (p, _) in open_.items()}
+            digits = KEY_DIGITS if not many else min(KEY_DIGITS, max(len(p) for _, p in buckets) + 3)
+            seen = counts(inside(buckets), digits)
     return {lab: [found.get((lab, r)) for r in rs] for lab, rs in ranks.items()}
 
 

@@ -6,7 +6,6 @@ import atexit
 import re
 import shutil
 import tempfile
-import uuid
 
 import pandas as pd
 import pyarrow as pa
@@ -40,14 +39,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so Spark knows its real size."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def local_table(spark: SparkSession, rows: list[dict] | pd.DataFrame, schema: T.StructType) -> DataFrame:
     """A table of rows held by the driver, with exact size statistics.
 
@@ -65,8 +56,8 @@ def local_table(spark: SparkSession, rows: list[dict] | pd.DataFrame, schema: T.
 
 
 def settle_small(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
-    """Compute a small table once and broadcast it; above ``max_rows`` it is checkpointed and joined by shuffle."""
+    """Compute a small table once; Spark knows its size and broadcasts it only below its limit. Above ``max_rows`` it is checkpointed."""
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+        return df.sparkSession.createDataFrame(head, schema=df.schema)
     return cut_lineage(df)

@@ -23,37 +23,31 @@ def fit_bins(df: DataFrame, cols: list[str], max_bins: int = 32, method: str = "
 
     A feature with at most ``max_bins`` distinct values gets the midpoints between them, so no split is
     lost. Others get ``max_bins`` bins of equal frequency (``quantile``, by a bounded sketch) or of equal
-    width (``width``).
+    width (``width``). Null and NaN are missing: they count for no feature's values.
     """
-    row = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.approx_count_distinct(c).alias(f"d{i}"), F.count(F.when(F.col(c).isNull() | F.isnan(c), 1)).alias(f"m{i}"), F.min(F.col(c).cast("double")).alias(f"lo{i}"),
-        F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
-    few = [i for i in range(len(cols)) if row[f"d{i}"] <= 2 * max_bins]
+    clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(cols)])
+    row = clean.agg(F.count("*").alias("n"), *[e for i in range(len(cols)) for e in (
+        F.approx_count_distinct(f"x{i}").alias(f"d{i}"), F.count(f"x{i}").alias(f"c{i}"), F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}"))]).first()
     edges: list = [None] * len(cols)
+    # more than twice as many by estimate is surely more than max_bins; the others are counted exactly, each by itself
+    few = [i for i in range(len(cols)) if row[f"d{i}"] <= 2 * max_bins]
     if few:
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.col(cols[i]).cast("double").alias("v")) for i in few])).alias("s"))
-        values: dict = {i: [] for i in few}
-        seen = pairs.select("s.*").where(F.col("v").isNotNull() & ~F.isnan("v")).distinct()
-        # an estimate of at most 2*max_bins distinct values per feature bounds this collect; the limit makes sure
-        cap = len(few) * 4 * max_bins
-        rows = seen.limit(cap + 1).collect()
-        if len(rows) <= cap:
-            for r in rows:
-                values[r["i"]].append(r["v"])
-            for i in few:
-                v = sorted(values[i])
-                if len(v) <= max_bins:
-                    edges[i] = [(a + b) / 2.0 for a, b in zip(v, v[1:])]
+        pairs = clean.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("v")) for i in few])).alias("s"))
+        seen = pairs.select("s.*").where("v is not null").distinct().groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v"))
+        for r in seen.where(F.size("v") <= max_bins).collect():
+            edges[r["i"]] = [(a + b) / 2.0 for a, b in zip(r["v"], r["v"][1:])]
+    for i in range(len(cols)):
+        if row[f"lo{i}"] is None:  # no value at all: one bin
+            edges[i] = []
     rest = [i for i in range(len(cols)) if edges[i] is None]
     if rest and method == "width":
         for i in rest:
             lo, hi = row[f"lo{i}"], row[f"hi{i}"]
             edges[i] = [lo + (hi - lo) * k / max_bins for k in range(1, max_bins)]
     elif rest:
-        for i, cuts in zip(rest, splitters(df, [cols[i] for i in rest], max_bins, accuracy=100 * max_bins)):
+        for i, cuts in zip(rest, splitters(clean, [f"x{i}" for i in rest], max_bins, accuracy=100 * max_bins)):
             edges[i] = [c for c in cuts if c < row[f"hi{i}"]]
-    return Bins(list(cols), edges, any(row[f"m{i}"] for i in range(len(cols))))
+    return Bins(list(cols), edges, any(row[f"c{i}"] < row["n"] for i in range(len(cols))))
 
 
 def with_bins(df: DataFrame, bins: Bins, out: str = "bins") -> DataFrame:

@@ -56,6 +56,7 @@ class BoostModel:
     base_margin: float
     nodes: list[dict]
     history: list[dict]  # eval_set, iteration, logloss, accuracy
+    watch: str = "train"  # the eval set that decides when to stop
 
     def prefix(self, n_rounds: int) -> "BoostModel":
         """The model after ``n_rounds`` rounds: boosting is additive, so no refit is needed."""
@@ -64,18 +65,21 @@ class BoostModel:
                        history=[h for h in self.history if h["iteration"] < n_rounds])
 
 
+#: Least distance of a starting probability from 0 and 1.
+PRIOR_EDGE = 1e-6
 #: Rounds between two reliable checkpoints of the margins.
 CHECKPOINT_EVERY = 10
 
 
 def boost(df: DataFrame, cols: list[str], configs: list[BoostConfig], role: str | None = None, fold: str | None = None,
           patience: int | None = None, max_bins: int = 32, method: str = "quantile", row_id: str = "row_id",
-          bins: Bins | None = None, track: bool | set[int] = True) -> list[BoostModel]:
+          bins: Bins | None = None, track: bool | set[int] = True, eval_sets: list[str] | None = None) -> list[BoostModel]:
     """Fit all ``configs`` side by side: the number of jobs depends on rounds and depth, not on models.
 
     ``role`` names a column with ``train`` for rows to fit on; other values are eval sets. ``fold`` names the
-    fold column for configs with a ``holdout_fold``. With ``patience`` a model stops once its last eval set
-    (or the training loss, if there is no other) has not improved for that many rounds. ``track`` records
+    fold column for configs with a ``holdout_fold``. ``eval_sets`` names the sets in order; with ``patience`` a model stops once the
+    loss of the last one has not improved for that many rounds. Without names that is the held-out fold, else the only other role,
+    else the training rows; several other roles must be named. ``track`` records
     log loss and accuracy of every set after every round, or after the given rounds only.
     """
     spark = df.sparkSession
@@ -97,7 +101,8 @@ def boost(df: DataFrame, cols: list[str], configs: list[BoostConfig], role: str
     state = binned.selectExpr("*", f"explode(sequence(0, {len(configs) - 1})) AS tree").selectExpr(
         "rid", f"CASE {held} ELSE role END AS role" if held else "role", "label", "bins", "tree", f"{start} AS margin",
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    models = [BoostModel(c, list(cols), base[m], [], []) for m, c in enumerate(configs)]
+    watch = _watched_sets(df, role, configs, eval_sets, bool(patience))
+    models = [BoostModel(c, list(cols), base[m], [], [], watch[m]) for m, c in enumerate(configs)]
     active = {m for m, c in enumerate(configs) if c.n_rounds > 0}
     steps = max((c.max_depth for c in configs), default=0)
     held_frames = [state]
@@ -137,6 +142,7 @@ def _base_margin(fit_rows: DataFrame, c: BoostConfig, fold: str | None) -> float
         p = fit_rows.agg(F.avg("label")).first()[0]
     else:
         p = float(c.base_score)
+    p = min(max(0.5 if p is None else p, PRIOR_EDGE), 1.0 - PRIOR_EDGE)  # a fit on one class only still has a finite start
     return math.log(p / (1.0 - p)) if p != 0.5 else 0.0
 
 
@@ -193,10 +199,19 @@ def _exhausted(model: BoostModel, patience: int) -> bool:
     return len(curve) - 1 - best >= patience
 
 
+def _watched_sets(df: DataFrame, role: str | None, configs: list[BoostConfig], eval_sets: list[str] | None, needed: bool) -> list[str]:
+    if eval_sets:
+        return [eval_sets[-1]] * len(configs)
+    others: list[str] = []
+    if role and needed and any(c.holdout_fold is None for c in configs):
+        others = sorted(r[0] for r in df.select(role).where(F.col(role) != "train").distinct().limit(3).collect())
+        if len(others) > 1:
+            raise ValueError(f"name the eval sets in order, the one to watch last: {others}")
+    return ["holdout" if c.holdout_fold is not None else others[0] if others else "train" for c in configs]
+
+
 def _watched(model: BoostModel) -> list[float]:
-    sets = {h["eval_set"] for h in model.history}
-    name = next((s for s in ("test", "valid", "holdout") if s in sets), "train")
-    return [h["logloss"] for h in sorted(model.history, key=lambda h: h["iteration"]) if h["eval_set"] == name]
+    return [h["logloss"] for h in sorted(model.history, key=lambda h: h["iteration"]) if h["eval_set"] == model.watch]
 
 
 def best_iteration(model: BoostModel) -> tuple[int, float]:

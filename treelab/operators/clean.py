@@ -2,34 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from treelab.functions.ranks import sorted_ranks
-
-#: Distinct strings up to which an encoding is learnt on the driver (StringIndexer does so).
-MAX_DRIVER_LEVELS = 50_000
+from treelab.functions.storage import settle_small
 
 
 def encode_sorted(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """Replace each column by the rank of its text among the sorted distinct texts ("10" < "2").
 
-    A missing value counts as the text ``nan``. The levels of a column with up to
-    ``MAX_DRIVER_LEVELS`` distinct texts are learnt by StringIndexer; beyond that the ranks are
-    computed by range partitions and joined back.
+    A missing value counts as the text ``nan``. Ranks are computed by range partitions and joined back; Spark broadcasts a level
+    table that is small, and splits the partitions of a text that dominates otherwise.
     """
-    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in cols}
-    row = df.agg(*[F.approx_count_distinct(t).alias(f"d{i}") for i, t in enumerate(text.values())]).first()
-    small = [c for i, c in enumerate(cols) if row[f"d{i}"] <= MAX_DRIVER_LEVELS]
     order = [c if c not in cols or not suffix else c for c in df.columns] + [c + suffix for c in cols if suffix]
-    work = df.select("*", *[t.alias(f"__t_{c}") for c, t in text.items()])
-    if small:
-        work = StringIndexer(inputCols=[f"__t_{c}" for c in small], outputCols=[f"__r_{c}" for c in small],
-                             stringOrderType="alphabetAsc").fit(work).transform(work)
+    work = df.select("*", *[F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias(f"__t_{c}") for c in cols])
     for c in cols:
-        if c not in small:
-            levels = sorted_ranks(work.select(f"__t_{c}").distinct(), f"__t_{c}", f"__r_{c}")
-            work = work.join(levels, f"__t_{c}")
+        levels = settle_small(sorted_ranks(work.select(f"__t_{c}").distinct(), f"__t_{c}", f"__r_{c}"))
+        work = work.join(levels, f"__t_{c}")
     return work.withColumns({c + suffix: F.col(f"__r_{c}").cast("int") for c in cols}).select(*order)
 
 
@@ -89,10 +78,6 @@ def metrics_wide(long: DataFrame, row: str = "model", col: str = "metric", value
     return long.groupBy(row).pivot(col, metrics).agg(F.first(value))
 
 
-def metrics_long(wide: DataFrame, metrics: list[str], row: str = "model") -> DataFrame:
-    return wide.unpivot([row], metrics, "metric", "value")
-
-
 def clean_names(df: DataFrame, col: str = "model") -> DataFrame:
     """Line breaks in display names become blanks."""
     return df.withColumn(col, F.regexp_replace(col, "\n", " "))

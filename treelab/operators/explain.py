@@ -31,13 +31,6 @@ def _all_features(df: DataFrame, cols: list[str]) -> DataFrame:
     return local_table(df.sparkSession, [{"feature": c} for c in cols], schema)
 
 
-def model_importance(model, cols: list[str], spark) -> DataFrame:
-    """``featureImportances`` of a fitted Spark model as a table."""
-    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
-    values = model.featureImportances.toArray()
-    return local_table(spark, [{"feature": c, "importance": float(v)} for c, v in zip(cols, values)], schema)
-
-
 def top_features(importance: DataFrame, k: int, value: str = "importance") -> DataFrame:
     return importance.orderBy(F.desc(value), F.asc("feature")).limit(k)
 

@@ -156,7 +156,7 @@ class Growth:
                 "nr": [at[2 * n + 2] if "feature" in r else i for i, (n, r) in enumerate(zip(numbers, recs))],
                 "nv": [values(t, r) if values and r else 0.0 for r in recs],
                 "slot": [slots.get(n, -1) for n in numbers], "feats": [self.feats_of(t, n) for n in open_.get(t, [])]})
-        return F.broadcast(local_table(self.spark, rows, TREE_SCHEMA))  # bounded: see trees_per_pass
+        return local_table(self.spark, rows, TREE_SCHEMA)  # of known size: broadcast while it is below the session's limit
 
     def step(self, rows: DataFrame, min_gain: float = 0.0) -> None:
         """Grow one level of all trees."""

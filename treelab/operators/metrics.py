@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from treelab.functions.ranks import bucketize, running_totals, splitters
-from treelab.functions.storage import local_table
 
 
 def accuracy(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -15,22 +14,21 @@ def accuracy(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("accuracy"))
 
 
-def overfit_gap(scored: DataFrame, split: str = "split") -> DataFrame:
+def overfit_gap(scored: DataFrame, split: str = "split", by: list[str] | None = None) -> DataFrame:
     """Train accuracy, test accuracy and their difference, in one pass."""
     hit = (F.col("label") == F.col("prediction")).cast("int")
-    return scored.agg(F.avg(F.when(F.col(split) == "train", hit)).alias("train_acc"),
+    return scored.groupBy(*(by or [])).agg(F.avg(F.when(F.col(split) == "train", hit)).alias("train_acc"),
                       F.avg(F.when(F.col(split) == "test", hit)).alias("test_acc")
                       ).withColumn("gap", F.col("train_acc") - F.col("test_acc"))
 
 
-def confusion_matrix(scored: DataFrame, classes: list[int] = (0, 1)) -> DataFrame:
-    """All cells of the label x prediction grid, empty ones with 0."""
-    cell = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("prediction", T.IntegerType())])
-    grid = local_table(scored.sparkSession, [{"label": int(a), "prediction": int(b)} for a in classes for b in classes], cell)
-    counts = scored.groupBy(F.col("label").cast("int").alias("label"),
-                            F.col("prediction").cast("int").alias("prediction")).agg(F.count("*").alias("cnt"))
-    return grid.join(counts, ["label", "prediction"], "left").select(
-        "label", "prediction", F.coalesce("cnt", F.lit(0)).cast("long").alias("count"))
+def confusion_matrix(scored: DataFrame, classes: list[int] = (0, 1), by: list[str] | None = None) -> DataFrame:
+    """All cells of the label x prediction grid, empty ones with 0; one aggregation, whose rows are then unfolded into cells."""
+    cells = [(int(a), int(b)) for a in classes for b in classes]
+    counts = scored.groupBy(*(by or [])).agg(*[
+        F.count(F.when((F.col("label") == a) & (F.col("prediction") == b), 1)).alias(f"n_{a}_{b}") for a, b in cells])
+    lines = [F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction"), F.col(f"n_{a}_{b}").alias("count")) for a, b in cells]
+    return counts.select(*(by or []), F.inline(F.array(*lines)))
 
 
 def binary_rates(scored: DataFrame, positive_label: int = 1, by: list[str] | None = None) -> DataFrame:
@@ -46,10 +44,11 @@ def binary_rates(scored: DataFrame, positive_label: int = 1, by: list[str] | Non
                  ).withColumn("recall", F.try_divide("tp", F.col("tp") + F.col("fn")))
 
 
-def classification_report(scored: DataFrame, names: dict | None = None, classes: list[int] = (0, 1)) -> DataFrame:
+def classification_report(scored: DataFrame, names: dict | None = None, classes: list[int] = (0, 1),
+                          by: list[str] | None = None) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages; 0/0 is 0.
 
-    One aggregation yields all counts; the report rows are built from that single row.
+    One aggregation yields all counts; the report rows are built from the one row of each group.
     """
     def n(cond: Column) -> Column:
         return F.count(F.when(cond, 1))
@@ -58,7 +57,7 @@ def classification_report(scored: DataFrame, names: dict | None = None, classes:
         return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
     y, p = F.col("label"), F.col("prediction")
-    counts = scored.agg(n(y == p).alias("hits"), F.count("*").alias("total"), *[e for k in classes for e in (
+    counts = scored.groupBy(*(by or [])).agg(n(y == p).alias("hits"), F.count("*").alias("total"), *[e for k in classes for e in (
         n((y == k) & (p == k)).alias(f"tp{k}"), n(y == k).alias(f"support{k}"), n(p == k).alias(f"predicted{k}"))])
     for k in classes:
         counts = counts.withColumns({f"precision{k}": ratio(F.col(f"tp{k}"), F.col(f"predicted{k}")),
@@ -78,7 +77,7 @@ def classification_report(scored: DataFrame, names: dict | None = None, classes:
                                     for s in stats], total))
     lines.append(line("weighted avg", [ratio(reduce(Column.__add__, [F.col(f"{s}{k}") * F.col(f"support{k}")
                                                                      for k in classes]), total) for s in stats], total))
-    return counts.select(F.inline(F.array(*lines)))
+    return counts.select(*(by or []), F.inline(F.array(*lines)))
 
 
 def score_counts(scored: DataFrame, by: list[str], score: str, positive_label: int, buckets: int) -> DataFrame:
@@ -140,14 +139,6 @@ def log_loss_term(label: Column, p1: Column, eps: float = 1e-15) -> Column:
     return -F.when(label == 1, F.log(p)).otherwise(F.log(F.lit(1.0) - p))
 
 
-def metric_rows(scored: DataFrame, by: list[str]) -> DataFrame:
-    """Accuracy, AUC and log loss as long rows ``(by, metric, value)``."""
-    acc = accuracy(scored, by).select(*by, F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
-    area = auc(scored, by).select(*by, F.lit("auc_roc").alias("metric"), F.col("auc").alias("value"))
-    loss = log_loss(scored, by).select(*by, F.lit("log_loss").alias("metric"), F.col("log_loss").alias("value"))
-    return acc.unionByName(area).unionByName(loss)
-
-
 def patience_stop(losses: DataFrame, patience: int, by: list[str] | None = None, iteration: str = "iteration",
                   loss: str = "loss", tol: float = 0.0) -> DataFrame:
     """Where a patience rule stops: the first run of ``patience`` rounds without a new best loss.

@@ -111,10 +111,18 @@ def _collapse(rows: list[dict], stops) -> list[dict]:
     return out
 
 
+def one_tree(nodes: DataFrame | list[dict]) -> list[dict]:
+    """The node rows, if they are of one tree."""
+    rows = rows_of(nodes)
+    if len({r["tree_id"] for r in rows}) > 1:
+        raise ValueError("a sweep takes the nodes of one tree; call it once per tree")
+    return rows
+
+
 def depth_sweep(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str], depths: list[int],
                 split: str = "split") -> DataFrame:
     """Train and test accuracy of one deep tree cut at each depth: ``(depth, train_acc, test_acc)``."""
-    model, = broadcast_trees(nodes, "prediction")
+    model, = broadcast_trees(one_tree(nodes), "prediction")
 
     def at_depth(x: np.ndarray) -> np.ndarray:
         arrays = TreeArrays.of(model.value)
@@ -126,7 +134,7 @@ def depth_sweep(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str], d
 
 def alpha_sweep(df: DataFrame, pruned: DataFrame | list[dict], cols: list[str], split: str = "split") -> DataFrame:
     """Train and test accuracy of one grown tree at every effective alpha."""
-    rows = rows_of(pruned)
+    rows = one_tree(pruned)
     alphas = sorted({0.0, *(r["prune_alpha"] for r in rows)})
     model, = broadcast_trees(rows, "prediction")
     start, = broadcast_trees(rows, "prune_alpha")

@@ -22,12 +22,40 @@ def split_quota(sizes: dict, fraction: float) -> dict:
     return quota
 
 
-def _cut_case(label: str, key: Column, cuts: dict, pick) -> Column:
+def _cut_case(label: str, cuts: dict, pick) -> Column:
     chain = None
-    for lab, keys in cuts.items():
+    for lab, found in cuts.items():
         cond = F.col(label) == F.lit(lab) if lab is not None else F.col(label).isNull()
-        chain = F.when(cond, pick(key, keys)) if chain is None else chain.when(cond, pick(key, keys))
-    return chain
+        chain = F.when(cond, pick(found)) if chain is None else chain.when(cond, pick(found))
+    return F.lit(None) if chain is None else chain
+
+
+def _content_key(df: DataFrame) -> Column:
+    """Hash of a whole row, which orders rows with equal ids."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
+def _at_or_before(df: DataFrame, label: str, key: Column, cuts: dict) -> dict:
+    """Per label one predicate per cut: whether a row stands at or before it.
+
+    Rows that share an id share their hash; where a cut runs through them they are ordered by their whole content. Rows that are
+    equal in all columns cannot be told apart, so a cut through them is refused.
+    """
+    out: dict = {}
+    for lab, found in cuts.items():
+        out[lab] = []
+        for cut in found:
+            if cut is None:
+                out[lab].append(F.lit(False))
+            elif cut.taken == cut.rows:
+                out[lab].append(key <= F.lit(cut.key))
+            else:
+                tied = df.where(F.col(label).eqNullSafe(F.lit(lab)) & (key == F.lit(cut.key)))
+                (inner,), = hash_cuts(tied, label, _content_key(df), lambda sizes, n=cut.taken: {k: [n] for k in sizes}).values()
+                if inner.taken < inner.rows:
+                    raise ValueError(f"{inner.rows} equal rows stand where class {lab!r} is cut; give the rows distinct ids")
+                out[lab].append((key < F.lit(cut.key)) | ((key == F.lit(cut.key)) & (_content_key(df) <= F.lit(inner.key))))
+    return out
 
 
 def stratified_split(df: DataFrame, label: str = "label", row_id: str = "row_id", test_fraction: float = 0.2,
@@ -39,7 +67,7 @@ def stratified_split(df: DataFrame, label: str = "label", row_id: str = "row_id"
     """
     key = hash_key(F.col(row_id), seed)
     cuts = hash_cuts(df, label, key, lambda sizes: {k: [q] for k, q in split_quota(sizes, test_fraction).items()})
-    is_test = _cut_case(label, key, cuts, lambda k, c: F.lit(False) if c[0] is None else k <= F.lit(c[0]))
+    is_test = _cut_case(label, _at_or_before(df, label, key, cuts), lambda found: found[0])
     return df.withColumn(out, F.when(is_test, names[1]).otherwise(names[0]))
 
 
@@ -54,13 +82,13 @@ def stratified_folds(df: DataFrame, k: int, label: str = "label", row_id: str =
 
     cuts = hash_cuts(df, label, key, lambda sizes: {lab: ends(n) for lab, n in sizes.items()})
 
-    def fold(key_col: Column, keys: list) -> Column:
+    def fold(found: list) -> Column:
         out_col = F.lit(0)
-        for c in keys:
-            out_col = out_col + (F.lit(1) if c is None else (key_col > F.lit(c)).cast("int"))
+        for before in found:
+            out_col = out_col + (~before).cast("int")
         return out_col
 
-    return df.withColumn(out, _cut_case(label, key, cuts, fold).cast("int"))
+    return df.withColumn(out, _cut_case(label, _at_or_before(df, label, key, cuts), fold).cast("int"))
 
 
 def bootstrap_weights(df: DataFrame, n_trees: int, row_id: str = "row_id", seed: int = 42,

@@ -9,9 +9,7 @@ from dataclasses import replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from treelab.functions.storage import local_table
@@ -62,15 +60,6 @@ def cv_scores(folded: DataFrame, fits: dict[str, Fit], k: int, fold: str = "fold
     return accuracy(reduce(DataFrame.unionByName, scored), ["model", fold])
 
 
-def cross_validate(folded: DataFrame, estimator, cols: list[str], k: int, fold: str = "fold",
-                   parallelism: int = 4) -> tuple[float, float]:
-    """Mean and population deviation of the accuracy of a Spark classifier over given folds."""
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), numFolds=k, foldCol=fold,
-                        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), parallelism=parallelism)
-    fitted = cv.fit(assemble(folded, cols))
-    return fitted.avgMetrics[0], fitted.stdMetrics[0]
-
-
 def model_comparison(data: DataFrame, folded: DataFrame, fits: dict[str, Fit], k: int = 5, split: str = "split",
                      fold: str = "fold") -> DataFrame:
     """One row per model: train and test accuracy, CV mean and deviation, AUC on the test rows."""

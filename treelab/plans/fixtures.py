@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from treelab.functions.hashing import unit_hash
 from treelab.operators.clean import clean_features
-from treelab.operators.resample import stratified_split
+from treelab.operators.resample import stratified_folds, stratified_split
 from treelab.sources.sine import noisy_sine
 from treelab.sources.tables import read_table
 
-WIDE_COLS = [f"f{i}" for i in range(30)]
+#: The width of the vectors in ``embeddings``; every entry is a feature.
+VECTOR_SIZE = 64
+WIDE_COLS = [f"f{i}" for i in range(VECTOR_SIZE)]
 MIXED_COLS = ["o_totalprice", "c_acctbal", "c_nationkey", "o_orderpriority", "c_mktsegment", "o_orderstatus"]
 SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -29,9 +31,9 @@ def _flipped(clean: Column, u: Column) -> Column:
 
 
 def wide_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """30 numeric features per row (embeddings)."""
+    """All entries of the vectors as numeric features (embeddings)."""
     df = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("row_id"), *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(30)])
+        F.col("vec_id").alias("row_id"), *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(VECTOR_SIZE)])
     clean = ((F.col("f14") > 0) & (F.col("f28") > -0.1)) | (F.col("f3") > 0.15)
     return df.select("*", _flipped(clean, unit_hash(F.col("row_id"), "flip")))
 
@@ -80,15 +82,17 @@ def sine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCORE_WEIGHTS = {"price": (0.8, 0.1, 0.1), "priority": (0.3, 0.5, 0.2), "noise": (0.1, 0.1, 0.8)}
 
 
-def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores by a fixed formula with many ties: ``(model, row_id, split, label, p1, prediction)``."""
+def scored_rows(spark: SparkSession, sf_dir: str, folds: int = 0) -> DataFrame:
+    """Scores by a fixed formula with many ties: ``(model, row_id, split, label, p1, prediction)``, and ``fold`` if asked for."""
     df = mixed_raw(spark, sf_dir)
     df = split_rows(df.where(F.col("c_acctbal").isNotNull()))
+    extra = ["fold"] if folds else []
+    df = stratified_folds(df, folds) if folds else df
     price = F.least(F.col("o_totalprice"), F.lit(500000.0)) / F.lit(500000.0)
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("double")
     u = unit_hash(F.col("row_id"), "score")
     cols = [F.struct(F.lit(name).alias("model"), (
         F.floor((F.lit(a) * price + F.lit(b) * urgent + F.lit(c) * u) * 100) / F.lit(100.0)).alias("p1"))
         for name, (a, b, c) in SCORE_WEIGHTS.items()]
-    return df.select("row_id", "split", "label", F.explode(F.array(*cols)).alias("s")).select(
-        "s.model", "row_id", "split", "label", "s.p1", (F.col("s.p1") >= 0.5).cast("int").alias("prediction"))
+    return df.select("row_id", "split", "label", *extra, F.explode(F.array(*cols)).alias("s")).select(
+        "s.model", "row_id", "split", "label", *extra, "s.p1", (F.col("s.p1") >= 0.5).cast("int").alias("prediction"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from treelab.functions.hashing import POISSON_CDF
-from treelab.plans.fixtures import MIXED_COLS, SCALE_COLS, SCORE_WEIGHTS, WIDE_COLS
+from treelab.plans.fixtures import MIXED_COLS, SCALE_COLS, SCORE_WEIGHTS, VECTOR_SIZE, WIDE_COLS
 from treelab.plans.queries import (BOOST, FOREST_BINS, FOREST_DEPTH, FOREST_TREES, PERM_REPEATS, REG_BASE, REG_SETTINGS,
                                    SWEEP_DEPTHS, TREE_BINS, TREE_DEPTH)
 
@@ -24,7 +24,7 @@ def flip(clean: str, uniform: str) -> str:
 
 # --- feature tables -----------------------------------------------------------------------------------------------
 
-_f = {i: f"embedding[{i + 1}]::DOUBLE" for i in range(30)}
+_f = {i: f"embedding[{i + 1}]::DOUBLE" for i in range(VECTOR_SIZE)}
 WIDE = ("wide", f"SELECT vec_id AS row_id, {', '.join(f'{e} AS f{i}' for i, e in _f.items())}, "
         + flip(f"({_f[14]} > 0 AND {_f[28]} > -0.1) OR {_f[3]} > 0.15", u("vec_id || ':flip'")) + " AS label FROM embeddings")
 _clean = "o_totalprice > 300000 OR (c_acctbal < 2000 AND o_orderpriority IN ('1-URGENT', '2-HIGH'))"
@@ -249,16 +249,16 @@ def exact_split(src: str, cols: list[str], stats: dict[str, str], gain: str, nod
 GINI_STATS = {"s0": "1 - label", "s1": "label"}
 
 
-def report_rows(name: str, p: str, r: str, f: str, support: str, src: str) -> str:
-    return f"SELECT {name} AS class_name, round({p}, 6) AS precision, round({r}, 6) AS recall, round({f}, 6) AS f1, ({support})::BIGINT AS support FROM {src}"
+def report_rows(name: str, p: str, r: str, f: str, support: str, src: str, group: str = "") -> str:
+    return f"SELECT model, {name} AS class_name, round({p}, 6) AS precision, round({r}, 6) AS recall, round({f}, 6) AS f1, ({support})::BIGINT AS support FROM {src} GROUP BY model{group}"
 
 
-REPORT = [("cls", """SELECT k, coalesce(tp / nullif(pred, 0), 0) AS p, coalesce(tp / nullif(sup, 0), 0) AS r, tp, sup FROM (
-            SELECT k, sum((label = k AND prediction = k)::INT) AS tp, sum((prediction = k)::INT) AS pred, sum((label = k)::INT) AS sup
-            FROM one, (VALUES (0), (1)) v(k) GROUP BY k)"""),
+REPORT = [("cls", """SELECT model, k, coalesce(tp / nullif(pred, 0), 0) AS p, coalesce(tp / nullif(sup, 0), 0) AS r, tp, sup FROM (
+            SELECT model, k, sum((label = k AND prediction = k)::INT) AS tp, sum((prediction = k)::INT) AS pred, sum((label = k)::INT) AS sup
+            FROM one, (VALUES (0), (1)) v(k) GROUP BY model, k)"""),
           ("rep", "SELECT *, coalesce(2.0::DOUBLE * p * r / nullif(p + r, 0), 0) AS f FROM cls")]
 REPORT_SQL = " UNION ALL ".join([
-    report_rows("CASE k WHEN 0 THEN 'negative' ELSE 'positive' END", "p", "r", "f", "sup", "rep"),
+    report_rows("CASE k WHEN 0 THEN 'negative' ELSE 'positive' END", "p", "r", "f", "sup", "rep", ", k, p, r, f, sup"),
     report_rows("'accuracy'", "sum(tp) / sum(sup)", "sum(tp) / sum(sup)", "sum(tp) / sum(sup)", "sum(sup)", "rep"),
     report_rows("'macro avg'", "avg(p)", "avg(r)", "avg(f)", "sum(sup)", "rep"),
     report_rows("'weighted avg'", "sum(p * sup) / sum(sup)", "sum(r * sup) / sum(sup)", "sum(f * sup) / sum(sup)", "sum(sup)", "rep")])
@@ -383,24 +383,29 @@ ORACLE: dict[str, str] = {
                                   "SELECT cut AS best_param, a AS best_score FROM curve ORDER BY a DESC, cut LIMIT 1"),
     "stratified_split": with_(SCALE_SPLIT, "SELECT row_id, label, split FROM data"),
     "stratified_folds": with_([SCALE, ("fd", folds("scale", 10))], "SELECT row_id, label, fold FROM fd"),
+    "split_repeated_ids": """WITH sized AS (SELECT (l_quantity > 30)::INT AS label, count(*) AS n FROM lineitem GROUP BY 1),
+        parts AS (SELECT label, n, 0.2::DOUBLE * 0 + ceil(0.2::DOUBLE * sum(n) OVER ()) * n / sum(n) OVER () AS e, ceil(0.2::DOUBLE * sum(n) OVER ()) AS wanted FROM sized),
+        quotas AS (SELECT label, n, floor(e)::BIGINT + (row_number() OVER (ORDER BY e - floor(e) DESC, label::VARCHAR) <= wanted - sum(floor(e)) OVER ())::INT AS q FROM parts)
+        SELECT label, 'test' AS split, q AS n FROM quotas UNION ALL SELECT label, 'train', n - q FROM quotas""",
     "internal_holdout": with_([*SCALE_SPLIT, ("tr", "SELECT row_id, label FROM data WHERE split = 'train'"),
                                *split("tr", "inner_", seed=43, col="part", names=("fit", "valid"))], "SELECT row_id, part FROM inner_"),
     "bootstrap_weights": with_([MIXED_RAW], f"SELECT row_id, t::INT AS tree_id, {weight_case('t')} AS weight FROM mixed_raw, range(10) r(t)"),
     "row_subsample": with_([MIXED_RAW], f"""SELECT row_id FROM mixed_raw WHERE {u("row_id || ':42:row:3'")} < 0.8::DOUBLE"""),
     "colsample_subset": f"""SELECT n_nationkey AS iteration, feature FROM nation, (VALUES {', '.join(f"('{c}')" for c in WIDE_COLS)}) v(feature)
-        QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY md5('42:' || n_nationkey || ':' || feature)) <= 24""",
+        QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY md5('42:' || n_nationkey || ':' || feature)) <= {VECTOR_SIZE * 8 // 10}""",
     "permute_column": with_([MIXED_RAW, PRESENT, MIXED,
                              ("base", "SELECT row_id, o_totalprice AS value, row_number() OVER (ORDER BY md5(row_id || ':42:pos')) AS pos FROM mixed"),
                              ("shuf", """SELECT rep::INT AS rep, o_totalprice AS permuted, row_number() OVER (PARTITION BY rep
                                     ORDER BY md5(row_id || ':42:o_totalprice:' || rep)) AS pos FROM mixed, range(2) r(rep)""")],
                             "SELECT row_id, rep, value, permuted FROM base JOIN shuf USING (pos)"),
     "accuracy": with_(SCORED, "SELECT model, round(avg((label = prediction)::INT), 6) AS accuracy FROM s GROUP BY model"),
-    "confusion_matrix": with_(SCORED, """SELECT a::INT AS label, b::INT AS prediction, count(s.row_id) AS count FROM range(2) x(a) CROSS JOIN range(2) y(b)
-        LEFT JOIN s ON s.label = a AND s.prediction = b AND s.model = 'price' GROUP BY 1, 2"""),
+    "confusion_matrix": with_(SCORED, """SELECT m.model, a::INT AS label, b::INT AS prediction, count(s.row_id) AS count
+        FROM (SELECT DISTINCT model FROM s) m CROSS JOIN range(2) x(a) CROSS JOIN range(2) y(b)
+        LEFT JOIN s ON s.label = a AND s.prediction = b AND s.model = m.model GROUP BY 1, 2, 3"""),
     "specificity_recall": with_(SCORED, """SELECT model, tn, fp, fn, tp, round(tn / nullif(tn + fp, 0), 6) AS specificity, round(tp / nullif(tp + fn, 0), 6) AS recall
         FROM (SELECT model, count(*) FILTER (label = 0 AND prediction = 0) AS tn, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
         count(*) FILTER (label = 1 AND prediction = 0) AS fn, count(*) FILTER (label = 1 AND prediction = 1) AS tp FROM s GROUP BY model)"""),
-    "classification_report": with_([*SCORED, ("one", "SELECT * FROM s WHERE model = 'price'"), *REPORT], REPORT_SQL),
+    "classification_report": with_([*SCORED, ("one", "SELECT * FROM s"), *REPORT], REPORT_SQL),
     "roc_points": with_([*SCORED, *ROC], ROC_POINTS.format(extra="", where="") + " UNION ALL " + ROC_START.format(extra="")),
     "roc_points_reduced": with_([*SCORED, *ROC], ROC_POINTS.format(
         extra="'curve' AS kind,", where="WHERE i = 1 OR npos IS NULL OR npos <> pos OR nneg <> neg") + " UNION ALL "
@@ -408,9 +413,9 @@ ORACLE: dict[str, str] = {
     "auc_roc": with_([*SCORED, *ROC], """SELECT model, round(sum(neg::DOUBLE * (cpos - pos + pos / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)), 6) AS auc
         FROM run GROUP BY model"""),
     "log_loss": with_(SCORED, f"SELECT model, round({LOSS}, 6) AS log_loss FROM s GROUP BY model"),
-    "overfit_gap": with_(SCORED, """SELECT round(a, 6) AS train_acc, round(b, 6) AS test_acc, round(a - b, 6) AS gap FROM (
-        SELECT avg((label = prediction)::INT) FILTER (split = 'train') AS a, avg((label = prediction)::INT) FILTER (split = 'test') AS b
-        FROM s WHERE model = 'price')"""),
+    "overfit_gap": with_(SCORED, """SELECT model, round(a, 6) AS train_acc, round(b, 6) AS test_acc, round(a - b, 6) AS gap FROM (
+        SELECT model, avg((label = prediction)::INT) FILTER (split = 'train') AS a, avg((label = prediction)::INT) FILTER (split = 'test') AS b
+        FROM s GROUP BY model)"""),
     "metric_pivot": with_([*SCORED, ("mm", METRIC_SQL.replace("%s", " score"))],
                           "SELECT model, round(accuracy, 6) AS accuracy, round(log_loss, 6) AS log_loss FROM mm"),
     "running_vote_accuracy": with_([*SCORED, ("v", """SELECT label, row_number() OVER w AS n_trees, sum(p1) OVER w AS ones FROM s
@@ -428,6 +433,17 @@ ORACLE: dict[str, str] = {
                                *exact_split("noded", MIXED_COLS, GINI_STATS, gini_gain(), "flag")], "SELECT * FROM top"),
     "second_order_root_split": with_([SCALE, *exact_split("scale", SCALE_COLS, {"g": "0.5::DOUBLE - label", "h": "0.25::DOUBLE"},
                                                           newton_gain(2.0, 0.5, 1.0))], "SELECT * FROM top"),
+    "missing_routing": with_([MIXED_RAW, ("ends", "SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM mixed_raw"),
+        ("cuts", "SELECT lo + (hi - lo) * k / 16 AS cut, k FROM ends, range(1, 16) t(k)"),
+        ("rows_", "SELECT c_acctbal AS x, 0.5::DOUBLE - label AS g, 0.25::DOUBLE AS h FROM mixed_raw"),
+        ("whole", "SELECT sum(g) AS g, sum(h) AS h, count(*) AS n FROM rows_"),
+        ("sides", """SELECT cut, k, m AS missing_left, sum(g) FILTER (x <= cut OR (m AND x IS NULL)) AS gl, sum(h) FILTER (x <= cut OR (m AND x IS NULL)) AS hl,
+            count(*) FILTER (x <= cut OR (m AND x IS NULL)) AS nl FROM rows_, cuts, (VALUES (true), (false)) v(m) GROUP BY cut, k, m"""),
+        ("best", """SELECT s.*, w.g, w.h, w.n, 0.5::DOUBLE * (gl * gl / (hl + 1) + (w.g - gl) * (w.g - gl) / (w.h - hl + 1) - w.g * w.g / (w.h + 1)) AS gain
+            FROM sides s, whole w ORDER BY gain DESC, k, missing_left DESC LIMIT 1""")],
+        """SELECT 0::BIGINT AS node_id, false AS is_leaf, round(cut, 8) AS threshold, missing_left, n AS n_samples, round(h, 6) AS cover, round(-g / (h + 1), 6) AS value, round(gain, 6) AS gain FROM best
+        UNION ALL SELECT 1, true, NULL, NULL, nl, round(hl, 6), round(-gl / (hl + 1), 6), NULL FROM best
+        UNION ALL SELECT 2, true, NULL, NULL, n - nl, round(h - hl, 6), round(-(g - gl) / (h - hl + 1), 6), NULL FROM best"""),
     "tree_nodes": with_(scale_tree(TREE_DEPTH), f"""SELECT node AS node_id, depth, feature, round(threshold, 8) AS threshold, f IS NULL AS is_leaf,
         n::BIGINT AS n_samples, {NODE_STATS}, round(gain, 6) AS gain, (s1 > s0)::INT::DOUBLE AS prediction FROM nodes"""),
     "tree_size": with_(scale_tree(TREE_DEPTH), """SELECT tree AS tree_id, max(depth) AS depth, count(*) FILTER (f IS NULL) AS leaves,

@@ -165,8 +165,7 @@ def fold_mean_std(spark, d):
 
 
 def _fold_accuracy(spark, d):
-    scored = resample.stratified_folds(scored_rows(spark, d).where("model = 'price'").select("row_id", "label"), 5)
-    return metrics.accuracy(scored_rows(spark, d).join(scored.select("row_id", "fold"), "row_id"), ["model", "fold"])
+    return metrics.accuracy(scored_rows(spark, d, 5), ["model", "fold"])
 
 
 def best_param_first_tie(spark, d):
@@ -186,6 +185,13 @@ def stratified_folds(spark, d):
     return resample.stratified_folds(scale_rows(spark, d), 10).select("row_id", "label", "fold")
 
 
+def split_repeated_ids(spark, d):
+    """Rows that share an id (here the order of a line item) are ordered by their content where a class is cut: quotas stay exact."""
+    df = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("row_id"), (F.col("l_quantity") > 30).cast("int").alias("label"), "l_partkey",
+                                            "l_suppkey", "l_linenumber", "l_extendedprice")
+    return split_rows(df).groupBy("label", "split").agg(F.count("*").alias("n"))
+
+
 def internal_holdout(spark, d):
     train = split_rows(scale_rows(spark, d)).where("split = 'train'").drop("split")
     return resample.stratified_split(train, test_fraction=0.2, seed=43, out="part", names=("fit", "valid")).select("row_id", "part")
@@ -216,12 +222,8 @@ def accuracy(spark, d):
     return r6(metrics.accuracy(scored_rows(spark, d), ["model"]), "accuracy")
 
 
-def _price(spark, d):
-    return scored_rows(spark, d).where("model = 'price'")
-
-
 def confusion_matrix(spark, d):
-    return metrics.confusion_matrix(_price(spark, d))
+    return metrics.confusion_matrix(scored_rows(spark, d), by=["model"])
 
 
 def specificity_recall(spark, d):
@@ -229,7 +231,7 @@ def specificity_recall(spark, d):
 
 
 def classification_report(spark, d):
-    return r6(metrics.classification_report(_price(spark, d), CLASS_NAMES), "precision", "recall", "f1")
+    return r6(metrics.classification_report(scored_rows(spark, d), CLASS_NAMES, by=["model"]), "precision", "recall", "f1")
 
 
 def roc_points(spark, d):
@@ -249,7 +251,7 @@ def log_loss(spark, d):
 
 
 def overfit_gap(spark, d):
-    return r6(metrics.overfit_gap(_price(spark, d)), "train_acc", "test_acc", "gap")
+    return r6(metrics.overfit_gap(scored_rows(spark, d), by=["model"]), "train_acc", "test_acc", "gap")
 
 
 def _model_metrics(spark, d):
@@ -285,6 +287,17 @@ def _daily_losses(spark, d):
 
 # --- trees --------------------------------------------------------------------------------------------------------
 
+def missing_routing(spark, d):
+    """One second-order split over a feature with planted nulls and NaN: where the missing rows go."""
+    raw = mixed_raw(spark, d)
+    nan = F.when(F.col("c_acctbal").isNull() & (F.col("row_id") % 2 == 0), F.lit(float("nan"))).otherwise(F.col("c_acctbal"))
+    df = raw.select("row_id", "label", nan.alias("c_acctbal"), F.lit("train").alias("role"))
+    config = boosting.BoostConfig(n_rounds=1, learning_rate=1.0, max_depth=1, reg_lambda=1.0, min_child_weight=0.0)
+    model, = boosting.boost(df, ["c_acctbal"], [config], role="role", max_bins=16, method="width", track=False)
+    return r6(nodes.node_table(spark, model.nodes).select("node_id", "is_leaf", "threshold", "missing_left", "n_samples", "cover", "value", "gain"),
+              "threshold", "cover", "value", "gain")
+
+
 def gini_root_split(spark, d):
     df = scale_rows(spark, d).selectExpr(*SCALE_COLS, "0 AS node", "CAST(1 - label AS DOUBLE) AS s0", "CAST(label AS DOUBLE) AS s1")
     return r6(exact.exact_splits(df, SCALE_COLS, grower.GiniRule()), "threshold", "gain")
@@ -379,7 +392,7 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 def ml_tree_nodes(spark, d):
     """Spark's own tree, read into the node table."""
     train = tables.assemble(split_rows(wide_numeric(spark, d)).where("split = 'train'"), WIDE_COLS)
-    model = forest.decision_tree(5, 512).fit(train.coalesce(1).sortWithinPartitions("row_id"))
+    model = forest.decision_tree(5, 512).fit(train)
     return nodes.node_report(nodes.node_table(spark, nodes.model_nodes(model, WIDE_COLS)))
 
 
@@ -486,7 +499,7 @@ def regularisation_table(spark, d):
 def boost_early_stop(spark, d):
     data = split_rows(wide_numeric(spark, d)).persist()
     config = boosting.BoostConfig(n_rounds=12, learning_rate=0.5, max_depth=3, subsample=0.8, colsample_bytree=0.8)
-    model = boosting.boost_early_stop(data, WIDE_COLS, config, "split", patience=3, max_bins=16)
+    model = boosting.boost_early_stop(data, WIDE_COLS, config, "split", patience=3, max_bins=16, eval_sets=["train", "test"])
     return boosting.history_table(data, [model]).withColumn("kept", F.col("iteration") < model.config.n_rounds)
 
 
@@ -590,7 +603,10 @@ def cv_distribution(spark, d):
 def grid_search(spark, d):
     data = resample.stratified_folds(split_rows(wide_numeric(spark, d)), 3, seed=44).persist()
     grid = {"n_rounds": [2, 4], "learning_rate": [0.1, 0.3], "max_depth": [2, 3], "subsample": [0.7, 0.9], "colsample_bytree": [0.7]}
-    return compare.grid_search(data, WIDE_COLS, grid, 3, max_bins=16)[0]
+    table_, best, final = compare.grid_search(data, WIDE_COLS, grid, 3, max_bins=16)
+    test_acc = next(h["accuracy"] for h in final.history if h["eval_set"] == "test")
+    chosen = ", ".join(f"{k}={best[k]}" for k in sorted(best))
+    return table_.withColumns({"is_best": F.col("params") == chosen, "test_acc": F.when(F.col("params") == chosen, F.lit(test_acc))})
 
 
 QUERIES: dict[str, Callable] = {f.__name__: f for f in (
@@ -598,10 +614,10 @@ QUERIES: dict[str, Callable] = {f.__name__: f for f in (
     label_encode_target, target_classes, collapse_binary, drop_missing, encode_categoricals, coerce_numeric, clean_flow,
     class_filter, column_subset, relabel_codes, align_target, feature_name_join, class_distribution, class_ratio_by_split,
     describe_features, class_histograms, box_summary, box_outliers, fold_mean_std, best_param_first_tie,
-    stratified_split, stratified_folds, internal_holdout, bootstrap_weights, row_subsample, colsample_subset, permute_column,
+    stratified_split, stratified_folds, split_repeated_ids, internal_holdout, bootstrap_weights, row_subsample, colsample_subset, permute_column,
     accuracy, confusion_matrix, specificity_recall, classification_report, roc_points, roc_points_reduced, auc_roc, log_loss,
     overfit_gap, metric_pivot, running_vote_accuracy, patience_stop, window_stop,
-    gini_root_split, gini_node_splits, second_order_root_split, tree_nodes, tree_size, tree_report, tree_rules,
+    gini_root_split, gini_node_splits, second_order_root_split, missing_routing, tree_nodes, tree_size, tree_report, tree_rules,
     tree_rules_text, depth_sweep, pruning_path, tree_size_by_alpha, alpha_sweep, pruned_tree_report, ml_tree_nodes,
     cv_fold_scores, forest_nodes, forest_first_tree, oob_score, oob_convergence, forest_size_sweep, mdi_importance,
     topk_features, permutation_scores, permutation_importance, boost_nodes, boost_history, boost_scores, split_gain_cover,
