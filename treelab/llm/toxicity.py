@@ -1,8 +1,8 @@
 """Toxicity by classifier chains: linear models predict categories one after another, each with the probabilities of those before.
 
-Features of a text are the presence of terms: lower-cased words of letters, and heads of 5 and 7 bytes of longer words. The features
-that tell toxic from clean labelled rows apart (by a z-score over the counts of the training sample) are kept, by score; a model sees
-those and the probabilities of earlier categories. While training, each later model gets out-of-fold probabilities, so it learns
+Features of a text are the presence and the repetition of terms: lower-cased words of letters, and heads of 5 and 7 bytes of longer
+words. The terms that tell toxic from clean labelled rows apart (by a z-score over the counts of the training sample) are kept, by
+score; a model sees those and the probabilities of earlier categories. While training, each later model gets out-of-fold probabilities, so it learns
 from what the earlier models say about rows they did not see.
 
 Categories are a parameter: each has seed words, and a labelled toxic row with one of them belongs to it; a toxic row without any
@@ -33,10 +33,11 @@ CATEGORIES = {
     "contempt": ["trash", "scum", "disgusting", "worthless", "pathetic"],
 }
 MAX_ROWS = 10_000
-MAX_FEATURES = 1_000
-MIN_ROWS_WITH_FEATURE = 4
+MAX_TERMS = 600
+MIN_Z = 3.0
+MIN_ROWS_WITH_TERM = 4
 FOLDS = 3
-L2 = 2.0
+L2 = 0.3
 HEADS = (5, 7)
 
 
@@ -59,7 +60,7 @@ def word_keys(words: list[str]) -> np.ndarray:
 
 @dataclass
 class Chain:
-    """``keys`` sorted; per link a name, weights over keys and over earlier links, and an intercept."""
+    """``keys`` sorted; per link a name, weights over present keys, then over repeated ones, over earlier links, and an intercept."""
 
     names: list[str]
     keys: np.ndarray
@@ -70,10 +71,12 @@ class Chain:
     def probabilities(self, n: int, doc: np.ndarray, key: np.ndarray) -> np.ndarray:
         """n rows, one column per link, from the terms (doc, key) of n texts."""
         out = np.zeros((n, len(self.names)))
-        place = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        size = max(len(self.keys), 1)
+        place = np.minimum(np.searchsorted(self.keys, key), size - 1)
         hit = self.keys[place] == key if len(self.keys) else np.zeros(len(key), bool)
-        pairs = np.unique(doc[hit] * max(len(self.keys), 1) + place[hit])
-        row, column = np.divmod(pairs, max(len(self.keys), 1))
+        pairs, times = np.unique(doc[hit] * size + place[hit], return_counts=True)
+        row, column = np.divmod(np.concatenate((pairs, pairs[times > 1])), size)
+        column[len(pairs) :] += size
         for k in range(len(self.names)):
             z = np.bincount(row, weights=self.weights[k][column], minlength=n) if len(row) else np.zeros(n)
             out[:, k] = sigmoid(z + out[:, :k] @ self.earlier[k, :k] + self.intercepts[k])
@@ -81,7 +84,7 @@ class Chain:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """row, toxic, keys (distinct, as longs) of at most ``max_rows`` labelled documents."""
+    """doc_id, toxic, keys (as longs, a repeated one twice) of at most ``max_rows`` labelled documents."""
     chosen = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select("doc_id", F.col("text").alias("body")).join(settle(chosen, "toxic-labels"), "doc_id")
@@ -91,9 +94,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
             doc, key = feature_keys(b["body"])
             order = np.lexsort((key, doc))
             doc, key = doc[order], key[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-            doc, key = doc[new], key[new]
+            same = np.zeros(len(key), bool)
+            same[1:] = (key[1:] == key[:-1]) & (doc[1:] == doc[:-1])
+            kept = ~same
+            kept[1:] |= same[1:] & ~same[:-1]  # the second of its kind, but no third
+            doc, key = doc[kept], key[kept]
             ends = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view(np.int64)))],
                                              names=["doc_id", "toxic", "keys"])
@@ -102,25 +107,25 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
     return rows.select("doc_id", "toxic", "body").mapInArrow(run, f"doc_id {kind}, toxic int, keys array<bigint>")
 
 
-def informative(sample: DataFrame, max_features: int) -> np.ndarray:
-    """Sorted keys of the features whose counts in toxic and clean rows differ most."""
+def informative(sample: DataFrame, max_terms: int) -> np.ndarray:
+    """Sorted keys of the terms whose counts in toxic and clean rows differ most."""
     n = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     if not n["n"] or not n["t"] or n["t"] == n["n"]:
         return np.zeros(0, np.uint64)
     rate = n["t"] / n["n"]
-    counts = sample.select("toxic", F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("rows"), F.sum("toxic").alias("bad"))
+    counts = sample.select("toxic", F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.count("*").alias("rows"), F.sum("toxic").alias("bad"))
     z = (F.col("bad") - F.col("rows") * F.lit(rate)) / F.sqrt(F.col("rows") * F.lit(rate * (1 - rate)))
-    best = counts.where(F.col("rows") >= MIN_ROWS_WITH_FEATURE).withColumn("z", z).orderBy(F.desc("z"), "key").limit(max_features).where("z > 2")
+    best = counts.where(F.col("rows") >= MIN_ROWS_WITH_TERM).withColumn("z", z).orderBy(F.desc("z"), "key").limit(max_terms).where(F.col("z") > MIN_Z)
     return np.sort(np.array([r["key"] for r in best.select("key").collect()], np.int64).view(np.uint64))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, list[str]] | None = None, max_rows: int = MAX_ROWS,
-          max_features: int = MAX_FEATURES, folds: int = FOLDS) -> Chain:
+          max_terms: int = MAX_TERMS, folds: int = FOLDS) -> Chain:
     """Fits the chain on the bounded sample; only the kept features of the sample's rows reach the driver."""
     categories = CATEGORIES if categories is None else categories
     names = [*categories, "other", "toxic"]
     sample = settle(training_sample(docs, labels, max_rows), "toxic-sample")
-    keys = informative(sample, max_features)
+    keys = informative(sample, max_terms)
     empty = Chain(names, keys[:0], np.zeros((len(names), 0)), np.zeros((len(names), len(names))), np.full(len(names), -35.0))
     if not len(keys):
         return empty
@@ -134,10 +139,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, list[str]
     lists = lists.fill_null([]) if lists.null_count else lists
     row = np.repeat(np.arange(n), np.diff(np.asarray(lists.offsets)))
     key = np.asarray(lists.values, dtype=np.int64).view(np.uint64)
-    x = np.zeros((n, len(keys)), np.float32)
+    times = np.zeros((n, len(keys)), np.int8)
     place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
     hit = keys[place] == key
-    x[row[hit], place[hit]] = 1
+    np.add.at(times, (row[hit], place[hit]), 1)
+    x = np.concatenate((times > 0, times > 1), axis=1).astype(np.float32)
     targets = {}
     seen = np.zeros(n, bool)
     for name, words in seeds.items():
@@ -146,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, list[str]
         targets[name], seen = (has & (y == 1)).astype(float), seen | has
     targets["other"], targets["toxic"] = ((y == 1) & ~seen).astype(float), y
     fold = X.mix(np.arange(n, dtype=np.uint64)) % np.uint64(folds)
-    weights, earlier, intercepts = np.zeros((len(names), len(keys))), np.zeros((len(names), len(names))), np.zeros(len(names))
+    weights, earlier, intercepts = np.zeros((len(names), x.shape[1])), np.zeros((len(names), len(names))), np.zeros(len(names))
     before = np.zeros((n, 0), np.float32)
     for k, name in enumerate(names):
         full = np.concatenate((x, before), axis=1)
@@ -156,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, list[str]
             w, b = fit_logistic(full[~held], targets[name][~held], L2)
             out[held] = sigmoid(full[held] @ w + b)
         w, intercepts[k] = fit_logistic(full, targets[name], L2)
-        weights[k], earlier[k, :k] = w[: len(keys)], w[len(keys) :]
+        weights[k], earlier[k, :k] = w[: x.shape[1]], w[x.shape[1] :]
         before = np.concatenate((before, out[:, None]), axis=1)
     return Chain(names, keys, weights, earlier, intercepts)
 
