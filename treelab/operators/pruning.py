@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -42,20 +44,25 @@ def _weakest_links(tree: pd.DataFrame) -> pd.DataFrame:
     link = np.full(len(tree), np.inf)
     link[inner] = (own[inner] - risk[inner]) / (leaves[inner] - 1)
     reached = 0.0
-    while np.isfinite(link).any():
-        weakest = int(np.argmin(link))  # rows are in node order, so ties go to the lower node
-        reached = max(reached, link[weakest])
+    heap = [(link[i], i) for i in range(len(tree)) if inner[i]]  # rows are in node order, so ties go to the lower node
+    heapq.heapify(heap)
+    while heap:
+        value, weakest = heapq.heappop(heap)
+        if value != link[weakest]:  # the node has collapsed, or its link has changed and stands further on
+            continue
+        reached = max(reached, value)
         gained, lost = own[weakest] - risk[weakest], leaves[weakest] - 1
         below = [weakest]
         for i in below:  # grows while walking: the whole subtree collapses
             if link[i] < np.inf:
                 alpha[i], link[i] = reached, np.inf
-            below.extend(kids.get(i, []))
+            below.extend(kids.pop(i, []))
         i = parent[weakest]
         while i >= 0:
             risk[i] += gained
             leaves[i] -= lost
             link[i] = (own[i] - risk[i]) / (leaves[i] - 1)
+            heapq.heappush(heap, (link[i], i))
             i = parent[i]
     return tree.assign(prune_alpha=alpha)
 
@@ -124,10 +131,10 @@ def depth_sweep(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str], d
     """Train and test accuracy of one deep tree cut at each depth: ``(depth, train_acc, test_acc)``."""
     model, = broadcast_trees(one_tree(nodes), "prediction")
 
-    def at_depth(x: np.ndarray) -> np.ndarray:
+    def at_depth(x: np.ndarray, label: np.ndarray) -> np.ndarray:
         arrays = TreeArrays.of(model.value)
         path = arrays.path(x, arrays.roots[0])
-        return arrays.value[path[:, [min(d, arrays.depth) for d in depths]]]
+        return (arrays.value[path[:, [min(d, arrays.depth) for d in depths]]] == label[:, None]).sum(axis=0)
 
     return _accuracy_curve(df, cols, at_depth, "depth", depths, split)
 
@@ -139,27 +146,31 @@ def alpha_sweep(df: DataFrame, pruned: DataFrame | list[dict], cols: list[str],
     model, = broadcast_trees(rows, "prediction")
     start, = broadcast_trees(rows, "prune_alpha")
 
-    def at_alpha(x: np.ndarray) -> np.ndarray:
+    def at_alpha(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Each node of a row's path decides from its own alpha up to that of the node above: count its hit in and out."""
         arrays = TreeArrays.of(model.value)
         path = arrays.path(x, arrays.roots[0])
-        from_alpha = TreeArrays.of(start.value).value[path]  # not increasing on the way down
-        step = np.stack([(from_alpha > a).sum(axis=1) for a in alphas], axis=1)
-        return arrays.value[np.take_along_axis(path, step, axis=1)]
+        since = np.searchsorted(alphas, TreeArrays.of(start.value).value[path])  # not increasing on the way down
+        until = np.concatenate((np.full((len(path), 1), len(alphas)), since[:, :-1]), axis=1)
+        hit = arrays.value[path] == label[:, None]
+        change = np.zeros(len(alphas) + 1, np.int64)
+        np.add.at(change, since[hit], 1)
+        np.add.at(change, until[hit], -1)
+        return np.cumsum(change)[:-1]
 
     return _accuracy_curve(df, cols, at_alpha, "alpha", alphas, split)
 
 
-def _accuracy_curve(df: DataFrame, cols: list[str], predict, param: str, values: list, split: str) -> DataFrame:
-    """Accuracy per parameter value and split, for ``predict`` giving one column per value.
+def _accuracy_curve(df: DataFrame, cols: list[str], hits_of, param: str, values: list, split: str) -> DataFrame:
+    """Accuracy per parameter value and split, for ``hits_of(features, labels)`` giving the number of hits per value.
 
     Hits are counted within each batch, so only (split, value) sums leave a task.
     """
     def count(batches):
         for b in batches:
-            hit = predict(b[cols].to_numpy(float)) == b["label"].to_numpy()[:, None]
-            for name in b["split"].unique():
-                part = hit[(b["split"] == name).to_numpy()]
-                yield pd.DataFrame({"split": name, "i": np.arange(len(values)), "hits": part.sum(axis=0), "n": len(part)})
+            for name, part in b.groupby("split"):
+                hits = hits_of(part[cols].to_numpy(float), part["label"].to_numpy())
+                yield pd.DataFrame({"split": name, "i": np.arange(len(values)), "hits": hits, "n": len(part)})
 
     rows = df.select(F.col(split).alias("split"), F.col("label").cast("int").alias("label"),
                      *[F.col(c).cast("double").alias(c) for c in cols])
