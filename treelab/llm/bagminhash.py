@@ -10,8 +10,8 @@ count. Each point falls on a random component; a component keeps its first point
 documents is their weighted Jaccard similarity. Points of a document are drawn in order of time until the latest first arrival.
 
 Candidates. Documents that agree on a band meet in its bucket. A bucket of more than four is never expanded into pairs: its hub, the
-member with most bucket mates, is compared with all members (round one); then hubs of the parts that are still apart, twice as many in each
-round, until every part of every bucket has had its hub compared with all members of other parts. Links are verified on
+member with most bucket mates, is compared with all members (round one); then hubs of the parts that are still apart, eight times as many in
+each round, until every part of every bucket has had its hub compared with all members of other parts. Links are verified on
 whole multisets. Two members that are both no hubs and whose hubs stay apart would be missed only if that happens in every one
 of the 28 bands.
 
@@ -234,6 +234,7 @@ def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
                                                                                F.col("hub")["n"].alias("hub_n")), "hubs")
         if chosen.isEmpty():
             return labels
+        members = at.join(chosen.select("key").distinct(), "key", "left_semi").drop("root")  # the other buckets are done
         fits = F.least("n", "hub_n") * SIMILAR[1] >= F.greatest("n", "hub_n") * SIMILAR[0]
         pairs = at.join(chosen.withColumnRenamed("node", "hub"), "key").where((F.col("root") != F.col("hub_root")) & fits) \
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -247,7 +248,7 @@ def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
             ends = links.join(labels.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a") \
                 .join(labels.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b")
             labels = components(labels, ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        hubs *= 2
+        hubs *= 8
 
 
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
