@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,10 +19,23 @@ def folder(spark: SparkSession, name: str) -> str:
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: computed once, lineage cut, size known to the planner."""
     path = folder(df.sparkSession, name)
+    _remove_at_exit(df.sparkSession, path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Intermediate tables go when the driver ends; results that are still to be read need them until then."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            store.delete(place, True)
+
+    atexit.register(remove)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
