@@ -33,8 +33,8 @@ PASSAGE = 32
 #: Window sizes and strides.
 WINDOWS = ((12, 4), (32, 8))
 RANK, OVERSAMPLING = 48, 16
-MIN_COSINE = 0.5
-MIN_ENERGY = 0.3
+MIN_COSINE = 0.8
+MIN_ENERGY = 0.6
 MIN_COMMON, MIN_PARAPHRASE, MIN_ANSWER = 0.8, 0.5, 0.6
 #: Bytes of benchmark text that are sent to the tasks at a time.
 BLOCK_BYTES = 8 << 20
