@@ -274,6 +274,43 @@ def test_finds_copies_and_paraphrases_only(spark, data):
     assert decon.matches(docs.limit(0), bench).count() == 0 and decon.matches(docs, bench.limit(0)).count() == 0
 
 
+def test_finds_paraphrases_with_many_replaced_words(spark, data):
+    items = [r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").orderBy("item_id").collect()]
+    filler = [r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").orderBy("doc_id").collect()]
+    rng = random.Random(8)
+    other = [w for t in filler for w in t.split()]
+    rows, want = [], set()
+    for i, item in enumerate(items):
+        tail = len(decon.answer_words(item).split())
+        lead = " ".join(filler[i].split()[:60])
+        for k, share in enumerate((0.2, 0.3, 0.4)):
+            words = item.split()
+            for at in rng.sample(range(len(words) - tail), min(round(share * len(words)), len(words) - tail)):
+                words[at] = rng.choice(other)
+            rows.append((10 * i + k, f"{lead} {' '.join(words)} {lead}"))
+            want.add((10 * i + k, i))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decon.matches(frame(spark, rows), bench).collect()}
+    assert len(want & got) >= 0.97 * len(want)
+
+
+def test_common_counts_all_at_once():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdef") * rng.randint(1, 3) for _ in range(n)) + ". end of it" for n in (4, 30, 61, 90)]
+    items = decon.index_items([0, 1, 2, 3], texts, np.ones(decon.BUCKETS, np.float32), np.arange(decon.BUCKETS), np.ones((decon.BUCKETS, 1), np.float32))
+    hashes = decon.X.terms(pa.array([" ".join(rng.choice("abcdefg") * rng.randint(1, 3) for _ in range(200))]))[3].hash
+    item, low = np.repeat(np.arange(4), 20), np.array([rng.randint(0, 100) for _ in range(80)])
+    high = low + np.array([rng.randint(1, 100) for _ in range(80)])
+    got = items.common(item, hashes, items.numbers(hashes), low, high)
+    may = items.may_hold(item, items.numbers(hashes), low, high)
+    for c in range(80):
+        stretch = hashes[low[c] : high[c]].tolist()
+        want = [decon.common_length(x[item[c]], stretch) for x in (items.words, items.answers)]
+        assert [got[0][c], got[1][c]] == want
+        share, answer = want[0] / items.size[item[c]], want[1] / items.answer_size[item[c]]
+        assert may[c] or not (share >= decon.MIN_COMMON or (share >= decon.MIN_PARAPHRASE and answer >= decon.MIN_ANSWER))
+
+
 def test_latent_space_finds_leading_vectors(spark):
     rng = np.random.default_rng(0)
     topics = [[f"{c}{c}{x}" for x in "abcdefghij"] for c in "klm"]

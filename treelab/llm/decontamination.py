@@ -6,8 +6,8 @@ randomised singular value decomposition of all passages, over the terms that the
 and W a random matrix, one pass sums A'(A W), and the Nystroem form of A'A gives the leading right singular vectors.
 
 Windows of every document (two sizes, so that short items fill a window too) are projected and compared with the benchmark's
-own windows by cosine. Windows whose benchmark terms carry too little of their energy are skipped: their cosine with any item
-cannot reach the threshold. Candidates are then aligned: the longest common subsequence of the item and the stretch of the
+own windows by cosine. A candidate whose stretch of the document has fewer places with words of the item than a common subsequence
+needs is dropped, which loses nothing. The others are aligned: the longest common subsequence of the item and the stretch of the
 document where the item would lie, and that of the item's answer (its last sentence). A document holds an item if 80 % of the item's
 words are there in order, or 50 % with 60 % of the answer's (a paraphrase).
 
@@ -32,14 +32,15 @@ BUCKETS = 1 << 16
 PASSAGE = 32
 #: Window sizes and strides.
 WINDOWS = ((12, 4), (32, 8))
-RANK, OVERSAMPLING = 48, 16
-MIN_COSINE = 0.8
-MIN_ENERGY = 0.6
+RANK, OVERSAMPLING = 128, 16
+MIN_COSINE = 0.5
 MIN_COMMON, MIN_PARAPHRASE, MIN_ANSWER = 0.8, 0.5, 0.6
 #: Bytes of benchmark text that are sent to the tasks at a time.
 BLOCK_BYTES = 8 << 20
 #: Words whose rows are gathered at a time.
 CHUNK = 1 << 16
+#: Candidates whose words are counted at a time.
+CANDIDATES = 1 << 13
 
 
 def term_ids(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -147,6 +148,11 @@ def places_of(words: list[int]) -> dict[int, int]:
     return out
 
 
+def pair_place(item: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
+    """Where a pair of item and word stands in a hashed set of ``size`` (a power of two) places."""
+    return (item * 0x9E3779B1 + word * 0x85EBCA6B >> 7) & (size - 1)
+
+
 @dataclass
 class Items:
     """A block of the benchmark: ids, words, answers; and for each window size the normalised latent vectors of item windows."""
@@ -159,6 +165,58 @@ class Items:
     vectors: list[np.ndarray]
     owner: list[np.ndarray]
     offset: list[np.ndarray]
+    #: All words of the block in order, and by hash of (item, number of a word): 1 for words of the item, 2 for those of its answer.
+    #: Where hashes meet the larger value stands, so no word of an item is ever missed.
+    vocabulary: np.ndarray
+    pairs: np.ndarray
+    #: Of items of up to 64 words: item * len(vocabulary) + word in order, the word's places in the item and its answer as bits; by item, all places.
+    keys: np.ndarray
+    masks: np.ndarray
+    places: np.ndarray
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word in the block's vocabulary, or -1."""
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == hashes, at, -1) if len(self.vocabulary) else np.full(len(hashes), -1)
+
+    def may_hold(self, item: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether word[low:high] has as many places with words of the item, and of its answer, as the rule asks to be in order."""
+        out = np.zeros(len(item), bool)
+        for i in range(0, len(item), CANDIDATES):
+            d, a, z = item[i : i + CANDIDATES], low[i : i + CANDIDATES], high[i : i + CANDIDATES]
+            met, of_answer = np.zeros(len(d), np.int32), np.zeros(len(d), np.int32)
+            for j in range(int((z - a).max())):
+                w = word[np.minimum(a + j, len(word) - 1)]
+                kind = self.pairs[pair_place(d, w, len(self.pairs))]
+                kind[(a + j >= z) | (w < 0)] = 0
+                met += kind > 0
+                of_answer += kind > 1
+            out[i : i + CANDIDATES] = (met >= MIN_COMMON * self.size[d]) | ((met >= MIN_PARAPHRASE * self.size[d]) & (of_answer >= MIN_ANSWER * self.answer_size[d]))
+        return out
+
+    def common(self, item: np.ndarray, hashes: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths of the longest common subsequences of each item, and of its answer, with hashes[low:high]: items of up to 64 words
+        all at once, by ``common_length`` on machine words, longer ones one by one."""
+        out = np.zeros((2, len(item)), np.int64)
+        fits = self.size[item] <= 64
+        for c in np.flatnonzero(~fits):
+            stretch = hashes[low[c] : high[c]].tolist()
+            out[:, c] = common_length(self.words[item[c]], stretch), common_length(self.answers[item[c]], stretch)
+        for i in range(0, len(item), CHUNK):
+            c = np.flatnonzero(fits[i : i + CHUNK]) + i
+            if not len(c):
+                continue
+            d, a, z = item[c], low[c], high[c]
+            every = self.places[:, d]
+            row = every.copy()
+            for j in range(int((z - a).max())):
+                w = word[np.minimum(a + j, len(word) - 1)]
+                key = d * len(self.vocabulary) + w
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                met = row & np.where((a + j < z) & (w >= 0) & (self.keys[at] == key), self.masks[:, at], np.uint64(0))
+                row = (row + met) | (row - met)
+            out[:, c] = np.bitwise_count(every & ~row)
+        return out[0], out[1]
 
 
 def answer_words(body: str) -> str:
@@ -194,8 +252,19 @@ def index_items(ids: list, texts: list[str], idf: np.ndarray, columns: np.ndarra
         vectors.append(np.array(rows, np.float32).reshape(len(rows), basis.shape[1]))
         owner.append(np.array(own, np.int64))
         offset.append(np.array(off, np.int64))
-    return Items(ids, size, [places_of(listed(w, d)) for d in range(len(texts))], [places_of(listed(a, d)) for d in range(len(texts))],
-                 np.diff(a.first), vectors, owner, offset)
+    vocabulary, number = np.unique(w.hash, return_inverse=True)
+    pairs = np.zeros(1 << max(16, int(16 * len(number)).bit_length()), np.uint8)
+    pairs[pair_place(w.doc, number, len(pairs))] = 1
+    pairs[pair_place(a.doc, np.searchsorted(vocabulary, a.hash), len(pairs))] = 2
+    words, answers = ([places_of(listed(x, d)) for d in range(len(texts))] for x in (w, a))
+    short = np.flatnonzero(size <= 64)
+    entries = sorted((int(d) * len(vocabulary) + int(np.searchsorted(vocabulary, np.uint64(h))), bits, answers[d].get(h, 0))
+                     for d in short for h, bits in words[d].items())
+    places = np.zeros((2, len(texts)), np.uint64)
+    for d in short:
+        places[:, d] = [(1 << int(n)) - 1 for n in (size[d], len(listed(a, d)))]
+    return Items(ids, size, words, answers, np.diff(a.first), vectors, owner, offset, vocabulary, pairs, np.array([e[0] for e in entries], np.int64),
+                 np.array([[e[1] for e in entries], [e[2] for e in entries]], np.uint64), places)
 
 
 def search(texts: pa.Array, items: Items, idf: np.ndarray, columns: np.ndarray, basis: np.ndarray) -> list[tuple[int, int, float, float, float]]:
@@ -207,46 +276,41 @@ def search(texts: pa.Array, items: Items, idf: np.ndarray, columns: np.ndarray,
     column_of = np.full(BUCKETS, -1, np.int32)
     column_of[columns] = np.arange(len(columns))
     column = column_of[bucket]
-    energy = idf[bucket].astype(np.float64) ** 2
-    all_energy = np.concatenate(([0.0], np.cumsum(energy)))
-    known_energy = np.concatenate(([0.0], np.cumsum(np.where(column >= 0, energy, 0.0))))
-    weight = np.where(column >= 0, idf[bucket], 0).astype(np.float32)
-    column = np.maximum(column, 0)
-    last_of = w.first[1:][w.doc]
+    weighted = np.vstack((basis * idf[columns][:, None], np.zeros((1, basis.shape[1]), np.float32)))  # the last row is for foreign words
+    word = items.numbers(w.hash)
+    place = np.arange(len(w.hash)) - w.first[:-1][w.doc]
+    left = w.first[1:][w.doc] - np.arange(len(w.hash))
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    aligned: set[tuple[int, int]] = set()
     for k, (length, stride) in enumerate(WINDOWS):
         if not len(items.vectors[k]):
             continue
-        place = np.arange(len(w.hash)) - w.first[:-1][w.doc]
-        begin = np.flatnonzero((place % stride == 0) & ((place == 0) | (last_of - np.arange(len(w.hash)) > length - stride)))
-        end = np.minimum(begin + length, last_of[begin])
-        share = (known_energy[end] - known_energy[begin]) / np.maximum(all_energy[end] - all_energy[begin], 1e-12)
-        near = share >= MIN_ENERGY
-        begin, end = begin[near], end[near]
-        for i in range(0, len(begin), 4096):
-            b, e = begin[i : i + 4096], end[i : i + 4096]
-            at = np.minimum(b[:, None] + np.arange(length), len(w.hash) - 1)
-            scale = np.where(b[:, None] + np.arange(length) < e[:, None], weight[at], 0)
-            latent = np.einsum("wlr,wl->wr", basis[column[at]], scale, optimize=True)
+        cut = np.flatnonzero(place % stride == 0)  # windows are runs of whole strides
+        opens = (place[cut] == 0) | (left[cut] > length - stride)
+        for i in range(0, len(cut), 4096):
+            stop = min(i + 4096 + length // stride - 1, len(cut))
+            head = cut[i:stop]
+            sums = weighted[column[head]]
+            for j in range(1, stride):
+                sums += weighted[np.where(left[head] > j, column[np.minimum(head + j, len(column) - 1)], -1)]
+            at = np.flatnonzero(opens[i : i + 4096])
+            b, latent = cut[i + at], sums[at]
+            for j in range(1, length // stride):
+                more = np.flatnonzero(left[b] > j * stride)
+                latent[more] += sums[at[more] + j]
             latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
             cosine = latent @ items.vectors[k].T
-            for row, query in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True):
-                item = int(items.owner[k][query])
-                start = int(b[row] - items.offset[k][query])
-                if (item, start) in aligned:
-                    continue
-                aligned.add((item, start))
-                doc, n = int(w.doc[b[row]]), int(items.size[item])
-                slack = stride + n // 8
-                low, high = max(int(w.first[doc]), start - slack), min(int(w.first[doc + 1]), start + n + slack)
-                stretch = w.hash[low:high].tolist()
-                common = common_length(items.words[item], stretch) / n
-                if common < MIN_PARAPHRASE:
-                    continue
-                answer = common_length(items.answers[item], stretch) / max(int(items.answer_size[item]), 1)
-                if common >= MIN_COMMON or answer >= MIN_ANSWER:
-                    found[doc, item] = max(found.get((doc, item), (0.0, 0.0, 0.0)), (common, answer, float(cosine[row, query])))
+            row, query = np.divmod(np.flatnonzero(cosine.ravel() >= MIN_COSINE), cosine.shape[1])
+            item, start = items.owner[k][query], b[row] - items.offset[k][query]
+            slack = stride + items.size[item] // 8
+            low = np.maximum(w.first[w.doc[b[row]]], start - slack)
+            high = np.minimum(w.first[w.doc[b[row]] + 1], start + items.size[item] + slack)
+            may = np.flatnonzero(items.may_hold(item, word, low, high))
+            common, answer = (x / y for x, y in zip(items.common(item[may], w.hash, word, low[may], high[may]),
+                                                    (items.size[item[may]], np.maximum(items.answer_size[item[may]], 1)), strict=True))
+            holds = np.flatnonzero((common >= MIN_COMMON) | ((common >= MIN_PARAPHRASE) & (answer >= MIN_ANSWER)))
+            for c, of_item, of_answer in zip(may[holds].tolist(), common[holds].tolist(), answer[holds].tolist(), strict=True):
+                place_of = int(w.doc[b[row[c]]]), int(item[c])
+                found[place_of] = max(found.get(place_of, (0.0, 0.0, 0.0)), (of_item, of_answer, float(cosine[row[c], query[c]])))
     return [(doc, item, c, share, answer) for (doc, item), (share, answer, c) in sorted(found.items())]
 
 
