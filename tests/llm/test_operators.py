@@ -207,6 +207,26 @@ def test_classes_match_brute_force(spark):
     assert all(min(g) == c for c, g in got.items())
 
 
+@pytest.mark.parametrize("lot", [1024, 3])
+def test_families_joined_by_one_pair(spark, monkeypatch, lot):
+    monkeypatch.setattr(bag, "LOT", lot)
+    keys = list(range(1, 1001))
+    bags_ = {}
+    for f, base in enumerate((keys, [k + 300 for k in keys])):
+        bags_.update({f"{f}{m:02}".encode(): sorted([*base[:990 if m else 1000], *[9000 + 100 * (10 * f + m) + j for j in range(10 if m else 0)]]) for m in range(9)})
+    bags_[b"0zz"], bags_[b"1aa"] = [k + 90 for k in keys], [k + 200 for k in keys]  # 890 of 1,110 in common
+    packed = {n: np.array(sorted(v), np.uint64) for n, v in bags_.items()}
+    sketches = {n: (bag.signatures(1, np.zeros(len(v), int), bag.X.mix(v), np.ones(len(v), int)) & 0xFF).astype(np.uint8)[0].tobytes() for n, v in packed.items()}
+    similar = lambda p, q: bag.enough(bag.overlap(packed[p].tobytes(), packed[q].tobytes()), len(packed[p]), len(packed[q]))
+    cross = [(p, q) for p in packed for q in packed if p[:1] == b"0" and q[:1] == b"1" and similar(p, q)]
+    assert cross == [(b"0zz", b"1aa")]
+    table = spark.createDataFrame([(n, v.tobytes(), sketches[n]) for n, v in packed.items()], "node binary, bag binary, sketch binary")
+    members = spark.createDataFrame([(7, n, len(v), 100 if n.endswith(b"00") else 20, len(packed)) for n, v in packed.items()],
+                                    "key long, node binary, n long, degree long, mates long")
+    labels = table.select("node", F.col("node").alias("root"))
+    assert {r["root"] for r in bag.linked(members, table, labels).collect()} == {b"000"}
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     key = rng.integers(1, 2**63, 60, dtype=np.uint64)

@@ -9,11 +9,10 @@ process costs the logarithm of its weight, and two documents that share a shingl
 count. Each point falls on a random component; a component keeps its first point, whose probability of being common to two
 documents is their weighted Jaccard similarity. Points of a document are drawn in order of time until the latest first arrival.
 
-Candidates. Documents that agree on a band meet in its bucket. A bucket of more than four is never expanded into pairs: its hub, the
-member with most bucket mates, is compared with all members (round one); then hubs of the parts that are still apart, eight times as many in
-each round, until every part of every bucket has had its hub compared with all members of other parts. Links are verified on
-whole multisets. Two members that are both no hubs and whose hubs stay apart would be missed only if that happens in every one
-of the 28 bands.
+Candidates. Documents that agree on a band meet in its bucket. Buckets of up to four have all their pairs verified. In a larger one
+the hub, the member with most bucket mates, is compared with all members; the parts that are still apart are compared pair by pair, by
+size and sketch inside tasks that hold two lots of the bucket each. First only forests of the closest pairs are verified, which merge
+most parts; at the end every pair of different parts that its sketch allows is verified. Links are verified on whole multisets.
 
 Texts without words form one class. Null texts count as empty. Equal texts are one node, so copies cost one signature group.
 Rows without doc_id take part; a class's id is its smallest doc_id (null if it has none). Repeated rows stay, in one class.
@@ -38,6 +37,8 @@ BANDS, ROWS = 28, 5
 SIZE = BANDS * ROWS
 #: Members up to which a bucket has all its pairs compared at once.
 SMALL = 4
+#: Members in a lot of a larger bucket, of which a task compares two.
+LOT = 1024
 #: Share of equal sketch bytes below which a pair is not similar.
 MIN_SKETCH = 0.55
 
@@ -232,42 +233,91 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rounds of hubs against buckets; returns the labels (node, root) of the candidate nodes. ``members``: key, node, n, degree, mates.
+    """Labels (node, root) of the candidate nodes after all pairs that meet in a bucket. ``members``: key, node, n, degree, mates.
 
-    In the first round every member of a bucket of up to ``SMALL`` is a hub. A bucket is done when at most one member has been no
-    hub, or all its parts had one.
+    Buckets of up to ``SMALL`` have all their pairs verified, larger ones their hub against all members. What is still apart in a larger
+    bucket is compared in its task by sketch: rounds of forests, while they merge parts, then all pairs that are left.
     """
-    used, tested, hubs = None, None, 1
+    lot = F.when(F.col("mates") <= SMALL, F.xxhash64("node"))
+    best = F.max_by(F.struct("node", "n"), F.struct("degree", "node")).alias("hub")
+    hubs = members.groupBy("key", lot.alias("lot")).agg(best).select("key", F.col("hub")["node"].alias("hub"), F.col("hub")["n"].alias("hub_n"))
+    fits = F.least("n", "hub_n") * SIMILAR[1] >= F.greatest("n", "hub_n") * SIMILAR[0]
+    tested = settle(members.join(hubs, "key").where((F.col("node") != F.col("hub")) & fits)
+                    .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
+    labels, _ = merged(labels, tested, bags)
+    members = members.where(F.col("mates") > SMALL).select("key", "node", "n")
+    forest = True
     while True:
-        at = settle(members.join(labels, "node"), "buckets")
-        parts = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-        at = at.join(parts, "key")
-        open_ = at
-        if used is not None:
-            done = used.groupBy("key").agg(F.count("*").alias("n_hubs"))
-            covered = used.join(labels, "node").select("key", "root").distinct()
-            open_ = at.join(done, "key", "left").where(F.col("mates") > F.coalesce("n_hubs", F.lit(0)) + 1).join(covered, ["key", "root"], "left_anti")
-        lot = F.when(F.col("mates") <= SMALL, F.xxhash64("root")).otherwise(F.pmod(F.hash("root"), F.lit(hubs)))
-        best = F.max_by(F.struct("node", "root", "n"), F.struct("degree", "node")).alias("hub")
-        chosen = settle(open_.groupBy("key", lot.alias("lot")).agg(best).select("key", F.col("hub")["node"].alias("node"), F.col("hub")["root"].alias("hub_root"),
-                                                                               F.col("hub")["n"].alias("hub_n")), "hubs")
-        if chosen.isEmpty():
+        parts = members.join(labels, "node").groupBy("key", "root").agg(F.count("*").alias("size"))
+        largest = parts.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"),
+                                           (F.sum("size") - F.max("size")).alias("rest")).where("rest > 0")
+        open_ = settle(members.join(largest, "key").join(labels, "node"), "open")
+        if open_.isEmpty():
             return labels
-        members = at.join(chosen.select("key").distinct(), "key", "left_semi").drop("root")  # the other buckets are done
-        fits = F.least("n", "hub_n") * SIMILAR[1] >= F.greatest("n", "hub_n") * SIMILAR[0]
-        pairs = at.join(chosen.withColumnRenamed("node", "hub"), "key").where((F.col("root") != F.col("hub_root")) & fits) \
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        used = chosen.select("key", "node") if used is None else used.unionByName(chosen.select("key", "node"))
-        links = settle(verified(pairs, bags), "links")
-        if not links.isEmpty():
-            ends = links.join(labels.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a") \
-                .join(labels.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b")
-            labels = components(labels, ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        hubs *= 8
+        members = open_.select("key", "node", "n")  # buckets of one part are done
+        pairs = settle(across(open_, bags, forest).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        labels, more = merged(labels, pairs, bags)
+        if not forest:
+            return labels
+        forest = more
+
+
+def merged(labels: DataFrame, pairs: DataFrame, bags: DataFrame) -> tuple[DataFrame, bool]:
+    """``labels`` after the pairs that are similar, and whether there is one."""
+    links = settle(verified(pairs, bags), "links")
+    if links.isEmpty():
+        return labels, False
+    ends = links.join(labels.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a") \
+        .join(labels.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b")
+    return components(labels, ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))), True
+
+
+def across(open_: DataFrame, bags: DataFrame, forest: bool) -> DataFrame:
+    """Pairs (a, b) of nodes of different parts of a bucket that their sizes and sketches allow to be similar; with ``forest`` only those of
+    a forest that would join the most of them. ``open_``: key, node, n, root, main (largest part of the bucket), all, rest (members outside it).
+
+    Members outside the largest part are dealt to lots, and so are all members; a task compares one lot with one lot.
+    """
+    lots = lambda c: F.ceil(F.col(c) / LOT).cast("int")
+    mine = lambda c, salt: F.pmod(F.xxhash64("node", F.lit(salt)), lots(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), lots(c) - 1))
+    common = ["key", "node", "n", "root"]
+    left = open_.where(F.col("root") != F.col("main")).select(*common, mine("rest", 1).alias("row"), every("all").alias("col"), F.lit(True).alias("outer"))
+    right = open_.select(*common, every("rest").alias("row"), mine("all", 2).alias("col"), F.lit(False).alias("outer"))
+    rows = left.unionByName(right).join(bags.select("node", "sketch"), "node")
+
+    def run(t: pa.Table) -> pa.Table:
+        outer = t["outer"].to_numpy(zero_copy_only=False)
+        node, root, n = np.array(t["node"].to_pylist(), object), np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)[1], t["n"].to_numpy()
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
+        x, y = np.flatnonzero(outer), np.flatnonzero(~outer)
+        found = []
+        for i in x if len(y) else ():
+            near = y[(root[y] != root[i]) & (np.minimum(n[y], n[i]) * SIMILAR[1] >= np.maximum(n[y], n[i]) * SIMILAR[0])]
+            same = (sketch[near] == sketch[i]).sum(axis=1)
+            good = same >= MIN_SKETCH * SIZE
+            found += zip((-same[good]).tolist(), [int(i)] * int(good.sum()), near[good].tolist(), strict=True)
+        if forest:
+            up = list(range(int(root.max()) + 1 if len(root) else 0))
+
+            def top(r: int) -> int:
+                while up[r] != r:
+                    up[r] = up[up[r]]
+                    r = up[r]
+                return r
+
+            kept = []
+            for pair in sorted(found):
+                r, q = top(int(root[pair[1]])), top(int(root[pair[2]]))
+                if r != q:
+                    up[r] = q
+                    kept.append(pair)
+            found = kept
+        ends = sorted({(min(node[i], node[j]), max(node[i], node[j])) for _, i, j in found})
+        return pa.table({"a": pa.array([e[0] for e in ends], pa.binary()), "b": pa.array([e[1] for e in ends], pa.binary())})
+
+    return rows.groupBy("key", "row", "col").applyInArrow(run, "a binary, b binary")
 
 
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
