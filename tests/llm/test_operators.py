@@ -147,6 +147,20 @@ def test_pii_kinds_and_links(spark):
     assert iso.split("-") == dotted.split(".")[::-1]
 
 
+def test_pii_next_to_digits_and_words(spark):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    texts = [f"Visa {card}.", f"Visa {card} 12/27", "4111111111111111 3 items", f"no 12 {card} or {card} 555-123-4567", f"to {iban}.", f"to {iban} EUR", f"{iban} PAID NOW",
+             "4111111111111111@example.com", "5105-1051-0510-5100 7 x"]
+    out = pii.pseudonymised(frame(spark, list(enumerate(texts))), "k").collect()
+    new = {r["doc_id"]: r["text"] for r in out}
+    kinds = {r["doc_id"]: r["pii_kinds"] for r in out}
+    one, other = new[0][5:-1], new[4][3:-1]
+    assert one != card and other != iban and new[1] == f"Visa {one} 12/27" and new[2] == one.replace(" ", "") + " 3 items"
+    assert new[3].startswith(f"no 12 {one} or {one} ") and kinds[3] == ["card", "card", "phone"] and "4567" not in new[3]
+    assert new[5] == f"to {other} EUR" and new[6] == f"{other} PAID NOW"
+    assert kinds[7] == ["email"] and kinds[8] == ["card"] and new[8].endswith(" 7 x") and "5105" not in new[8][:4]
+
+
 def test_feistel_is_a_permutation(spark):
     radices = [7, 3, 10, 2]
     rows = spark.range(math.prod(radices)).select(F.array(F.col("id") % 7, F.floor(F.col("id") / 7) % 3, F.floor(F.col("id") / 21) % 10, F.floor(F.col("id") / 210) % 2)

@@ -7,7 +7,7 @@ all documents. Nothing is shuffled: every row is rewritten by itself.
 
 Kinds: card (13 to 19 digits, Luhn; the pseudonym passes Luhn too), iban (mod 97; likewise), ssn, phone, ip, date (a day between
 1900 and 2099 stays one), email (letters and digits of the local part), secret (hex strings of 32 and more). Candidates that
-fail their check stay.
+fail their check stay. Cards and IBANs of the usual groups are found first, also where digits or words that follow would fit a longer candidate.
 
 A null text stays null with 0 found, an empty one empty; texts of any length are scanned whole; repeated rows give equal results;
 an empty table gives an empty one; other columns, whatever their names, stay.
@@ -34,6 +34,15 @@ PATTERNS = {
              r"|(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Countries by the length of their IBANs, and the usual groups of card numbers.
+IBAN_COUNTRIES = {15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+                  23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+                  28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+BOUNDED = "|".join([r"[0-9]{13,19}", r"[0-9]{4}([ -])[0-9]{4}(?:\2[0-9]{4}){2}", r"[0-9]{4}([ -])[0-9]{6}\3[0-9]{5}",
+                    *[rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{{n // 4 - 1}}}" + (rf" ?[0-9A-Z]{{{n % 4}}}" if n % 4 else "")
+                      for n, c in IBAN_COUNTRIES.items()]])
+#: What may not stand before and after them: parts of other words, addresses and numbers.
+BEFORE, AFTER = r"(?<![0-9A-Za-z._%+@])(?<!\+[0-9]{1,3}[ .-])", r"(?![0-9A-Za-z@]|[._%+-][A-Za-z0-9._%+-]*@)"
 #: A text without these has no candidate.
 HINT = "[0-9@]"
 #: Days of the months, February of a leap year; days from 1900-01-01 to 2099-12-31 are LEFT_DAYS * RIGHT_DAYS.
@@ -185,6 +194,21 @@ def pseudonym(m: Column, key: str) -> Column:
     return let(kind_of(m), lambda k: F.when(k.isNull(), m).when(k.isin("ip", "ssn", "date"), _by_number(m, k, key)).otherwise(_by_character(m, k, key)))
 
 
+def segments(body: Column) -> Column:
+    """The text in pieces: cards and IBANs of the usual forms that pass their check stand alone, whatever digits or words surround them."""
+    alnum = lambda m: F.regexp_replace(m, "[ -]", "")
+    valid = lambda m: F.when(m.rlike("^[0-9]"), luhn_sum(alnum(m), 1) % 10 == 0).otherwise(
+        mod97(F.concat(F.substring(alnum(m), 5, 64), F.substring(alnum(m), 1, 4))) == 1)
+    listed = F.filter(F.array_distinct(F.regexp_extract_all(body, F.lit(f"{BEFORE}(?=({BOUNDED}){AFTER})"), F.lit(1))), valid)
+
+    def cut(found: Column) -> Column:
+        one = F.concat(F.lit("(?:"), F.array_join(found, "|"), F.lit(")"))
+        pattern = F.concat(F.lit(BEFORE + "(?="), one, F.lit(AFTER + ")|(?<=" + BEFORE), one, F.lit(")" + AFTER))
+        return F.when(F.size(found) > 0, F.split(body, pattern, -1)).otherwise(F.array(body))
+
+    return let(listed, cut)
+
+
 def pseudonymised(docs: DataFrame, key: str, text: str = "text", kinds: str = "pii_kinds") -> DataFrame:
     """``docs`` with ``text`` rewritten; the kinds that were replaced, in order, are in a last column ``kinds`` (an array).
 
@@ -193,10 +217,14 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", kinds: str = "p
     while kinds in docs.columns:
         kinds += "_"
     body = F.col("row")[text]
-    marked = docs.select(F.struct("*").alias("row")).withColumn("found", F.when(body.rlike(HINT), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0))))
-    pieces = F.split(body, PATTERN, -1)
-    gaps = F.slice(pieces, F.lit(1), F.size("found"))
-    woven = F.flatten(F.zip_with(gaps, F.col("found"), lambda gap, m: F.array(gap, pseudonym(m, key))))
-    new = F.when(F.size("found") > 0, F.array_join(F.concat(woven, F.slice(pieces, -1, 1)), "")).otherwise(body)
-    replaced = F.coalesce(F.filter(F.transform("found", kind_of), lambda k: k.isNotNull()), F.array().cast("array<string>"))
+    marked = docs.select(F.struct("*").alias("row")).withColumn("parts", F.when(body.rlike(HINT), segments(body)))
+    marked = marked.withColumn("found", F.transform("parts", lambda p: F.regexp_extract_all(p, F.lit(PATTERN), F.lit(0))))
+
+    def weave(part: Column, found: Column) -> Column:
+        pieces = F.split(part, PATTERN, -1)
+        woven = F.flatten(F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda gap, m: F.array(gap, pseudonym(m, key))))
+        return F.when(F.size(found) > 0, F.array_join(F.concat(woven, F.slice(pieces, -1, 1)), "")).otherwise(part)
+
+    new = F.when(F.size(F.flatten("found")) > 0, F.array_join(F.zip_with("parts", "found", weave), "")).otherwise(body)
+    replaced = F.coalesce(F.filter(F.transform(F.flatten("found"), kind_of), lambda k: k.isNotNull()), F.array().cast("array<string>"))
     return marked.select(*[new.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns], replaced.alias(kinds))
