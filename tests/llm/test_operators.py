@@ -31,7 +31,7 @@ def same_rows(got, want):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_against_sql(spark, data, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels"):
+    for t in ("documents", "conversations", "labels", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{data}/{t}.parquet')")
     assert same_rows(QUERIES[name](spark, data).toPandas(), con.execute(ORACLE[name]).df())
 

@@ -57,6 +57,30 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from failed join verdicts using (host)
 """
 
+LEXICAL_SEARCH = r"""
+with docs as (
+  select row_number() over () as did, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+), items as (
+  select row_number() over () as iid, item_id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from benchmark
+), total as (
+  select count(*) filter (where len(terms) > 0) as n_docs, sum(len(terms))::bigint as n_terms from docs
+), wanted as (
+  select distinct iid, item_id, translate(unnest(terms), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from items
+), counts as (
+  select did, doc_id, n, term, count(*)::bigint as tf from (
+    select did, doc_id, len(terms)::bigint as n, translate(unnest(terms), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from docs)
+  where term in (select term from wanted) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)))::bigint as w from counts, total group by term
+), scored as (
+  select iid, item_id, did, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::bigint as score
+  from counts join weights using (term) join wanted using (term), total group by all
+), ranked as (
+  select *, row_number() over (partition by iid order by score desc, doc_id nulls first)::int as rank from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
 
 def _weight(column: str, weights: dict[str, int]) -> str:
     return "case " + " ".join(f"when {column} = '{k}' then {v}" for k, v in weights.items()) + " else 1 end" if weights else "1"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treelab.llm import bagminhash, byte_bpe, chat, decontamination, extraction, mixing, oracle, pii, quality_crf, quality_rules, tokens, toxicity
+from treelab.llm import bagminhash, byte_bpe, chat, decontamination, extraction, lexical, mixing, oracle, pii, quality_crf, quality_rules, tokens, toxicity
 from treelab.llm.shared import table
 
 #: Production parameters of the mixture: share of all tokens to draw, most passes over a leaf, weights by branch.
@@ -77,6 +77,11 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), tokens.public_path("byte_bpe_50k.tiktoken"), byte_bpe.public_pattern())
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after another."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -84,5 +89,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_chat_formatting, op3_decontamination, op4_quality_classifier, op5_mixing, op6_toxicity, op7_near_dedup,
-    op8_pii, op9_token_shards, op10_quality_rules, op11_byte_bpe, pipeline)}
-ORACLE = {"op2_chat_formatting": oracle.CHAT, "op5_mixing": oracle.mixing(**MIX), "op10_quality_rules": oracle.QUALITY_RULES}
+    op8_pii, op9_token_shards, op10_quality_rules, op11_byte_bpe, op12_lexical_search, pipeline)}
+ORACLE = {"op2_chat_formatting": oracle.CHAT, "op5_mixing": oracle.mixing(**MIX), "op10_quality_rules": oracle.QUALITY_RULES,
+          "op12_lexical_search": oracle.LEXICAL_SEARCH}
