@@ -82,6 +82,65 @@ select item_id, rank, doc_id, score from ranked where rank <= 10
 """
 
 
+def _cheapest(*ways: str) -> str:
+    """The cheapest of some structs {c: cost, a: audit, o: repaired lines}, then the least audit; null ways do not count."""
+    return f"list_min(list_filter([{', '.join(ways)}], lambda w: w is not null))"
+
+
+def _edit(rest: str, cost: str, letter: str, line: str = "''", when: str = "true") -> str:
+    return f"case when {when} then {{'c': {cost} + {rest}.c, 'a': '{letter}' || {rest}.a, 'o': {line} || {rest}.o}} end"
+
+
+def _before_inserts(state: str, keeps: dict[str, str], turn: str) -> str:
+    """Ways on from ``state`` over row r: delete, keep (initial to next state), make it the row that is due."""
+    name = "user" if turn == "u" else "assistant"
+    stays = "r.fault not in ('blank', 'duplicate')"
+    extra = "case when r.fault = 'truncated' then 5 else 0 end"
+    kept = [_edit(f"p.{to}", extra, "K", "chr(10) || r.role || ':' || r.text", f"{stays} and r.initial = '{initial}'") for initial, to in keeps.items()]
+    return _cheapest(_edit(f"p.{state}", "2", "D"), *kept, _edit(f"p.{turn}", f"1 + {extra}", "R", f"chr(10) || '{name}:' || r.text", stays))
+
+
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, [ascii(c)::bigint for c in string_split({key}, '')]),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+STRUCTURE_REPAIR = rf"""
+with recursive marked as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_CRC.format(key="coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind from conversations
+), hurt as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(case when kind = 3 then [1, 2] else [1] end) as copy
+  from marked where kind != 0
+), ordered as (
+  select *, substr(role, 1, 1) as initial, row_number() over (partition by conv_id order by turn nulls first, md5(length(role)::varchar || ':' || role || text), copy) as pos,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen from hurt
+), faults as (
+  select *, lag(initial) over (partition by conv_id order by pos) || initial as pair,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when seen > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault from ordered
+), counted as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (where fault = 'blank')::bigint as blank,
+    count(*) filter (where fault = 'duplicate')::bigint as duplicate, count(*) filter (where fault = 'truncated')::bigint as truncated,
+    count(*) filter (where pair not in ('su', 'ua', 'au'))::bigint as illegal
+  from faults group by conv_id
+), steps as (
+  select conv_id, n + 1 as pos, {{'c': 0::bigint, 'a': '', 'o': ''}} as z, {{'c': 10::bigint, 'a': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'}} as s,
+    {{'c': 5::bigint, 'a': 'I', 'o': chr(10) || 'assistant:'}} as u, {{'c': 0::bigint, 'a': '', 'o': ''}} as a from counted
+  union all
+  select conv_id, pos, {_cheapest('z0', _edit('u1', '5', 'I', "chr(10) || 'user:'"))} as z, {_cheapest('s0', _edit('u1', '5', 'I', "chr(10) || 'user:'"))} as s,
+    u1 as u, a1 as a from (
+      select *, {_cheapest('u0', _edit('a0', '5', 'I', "chr(10) || 'assistant:'"))} as u1, {_cheapest('a0', _edit('u0', '5', 'I', "chr(10) || 'user:'"))} as a1 from (
+        select r.conv_id, r.pos, {_before_inserts('z', {'s': 's', 'u': 'u'}, 'u')} as z0, {_before_inserts('s', {'u': 'u'}, 'u')} as s0,
+          {_before_inserts('u', {'a': 'a'}, 'a')} as u0, {_before_inserts('a', {'u': 'u'}, 'u')} as a0
+        from steps p join faults r on r.conv_id is not distinct from p.conv_id and r.pos = p.pos - 1))
+)
+select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(z.c, 0) as cost, coalesce(z.a, '') as audit, sha256(coalesce(substr(z.o, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) i left join counted c on i.conv_id is not distinct from c.conv_id
+  left join (select * from steps where pos = 1) t on i.conv_id is not distinct from t.conv_id
+"""
+
+
 def _weight(column: str, weights: dict[str, int]) -> str:
     return "case " + " ".join(f"when {column} = '{k}' then {v}" for k, v in weights.items()) + " else 1 end" if weights else "1"
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treelab.llm import bagminhash, byte_bpe, chat, decontamination, extraction, lexical, mixing, oracle, pii, quality_crf, quality_rules, tokens, toxicity
-from treelab.llm.shared import table
+from treelab.llm import bagminhash, byte_bpe, chat, decontamination, extraction, lexical, mixing, oracle, pii, quality_crf, quality_rules, repair, tokens, toxicity
+from treelab.llm.shared import settle, table
 
 #: Production parameters of the mixture: share of all tokens to draw, most passes over a leaf, weights by branch.
 MIX = {"budget_share": 0.6, "max_epochs": 4, "seed": 17,
@@ -82,6 +82,20 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of every conversation after planted damage."""
+    given = table(spark, sf_dir, "conversations")
+    rows = repair.rows_of(repair.damaged(given))
+    reports = settle(repair.report(rows), "repair-reports")
+    digests = repair.text_digests(repair.repaired(rows, reports))
+    ids = given.select(F.col("conv_id").alias("id")).distinct()
+    found = ids.join(reports, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = found.join(digests, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after another."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -89,6 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_chat_formatting, op3_decontamination, op4_quality_classifier, op5_mixing, op6_toxicity, op7_near_dedup,
-    op8_pii, op9_token_shards, op10_quality_rules, op11_byte_bpe, op12_lexical_search, pipeline)}
+    op8_pii, op9_token_shards, op10_quality_rules, op11_byte_bpe, op12_lexical_search,
+    op13_structure_repair, pipeline)}
 ORACLE = {"op2_chat_formatting": oracle.CHAT, "op5_mixing": oracle.mixing(**MIX), "op10_quality_rules": oracle.QUALITY_RULES,
-          "op12_lexical_search": oracle.LEXICAL_SEARCH}
+          "op12_lexical_search": oracle.LEXICAL_SEARCH, "op13_structure_repair": oracle.STRUCTURE_REPAIR}
