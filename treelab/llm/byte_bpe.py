@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from treelab.llm import text as X
 
 #: Bytes of text whose new pieces are merged together.
-STEP = 8 << 20
+STEP = 3 << 20
 #: Distinct pieces that a worker remembers; beyond it starts anew.
 MAX_PIECES = 1_000_000
 
@@ -185,8 +185,11 @@ class Codec:
 
 def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs of ``values`` from ``start``, ``size`` long, one after another."""
-    shift = start - (np.cumsum(size) - size)
-    return values[np.repeat(shift, size) + np.arange(int(size.sum()))]
+    total = int(size.sum())
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    at = np.repeat((start - (np.cumsum(size) - size)).astype(kind), size)
+    at += np.arange(total, dtype=kind)
+    return values[at]
 
 
 @lru_cache(maxsize=2)
