@@ -1,13 +1,18 @@
-"""Boosting: second-order regularised boosting on DataFrames, staged losses, Spark's own boosted trees,
-and residual boosting round by round."""
+"""Boosting on DataFrames: second-order regularised, log-odds, and residual boosting of a number; staged losses, early stops.
+
+All models of a call grow side by side on one row per record, which holds a margin per model. A round is one job per level and one for
+the margins; the margins are persisted, the frame before them is released, and every ten rounds they are checkpointed.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -15,18 +20,19 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from treelab.functions.hashing import ranked_subset, unit_hash
 from treelab.functions.storage import cut_lineage, local_table
 from treelab.operators.bins import Bins, fit_bins, with_bins
-from treelab.operators.forest import regression_tree
-from treelab.operators.grower import Growth, NewtonRule, node_rows, routed
-from treelab.operators.metrics import log_loss_term, window_stop
+from treelab.operators.grower import Growth, NewtonRule, VarianceRule, chunks, feature_choice, matrix_of, node_rows
+from treelab.operators.metrics import window_stop
 from treelab.operators.nodes import rows_of, tree_sum, tree_values
-from treelab.sources.tables import assemble
 
 
 @dataclass(frozen=True)
 class BoostConfig:
-    """Settings of one second-order boosted model.
+    """Settings of one boosted model.
 
-    ``base_score`` is the starting probability, or ``"prior"`` for the training class rate.
+    ``kind`` "newton" splits by first and second derivatives with penalties. "log_odds" fits a residual tree by squared error and gives each
+    leaf one Newton step, without penalties; "squared" fits ``label`` itself, a number, and its leaves are mean residuals.
+    ``base_score`` is the starting probability, or ``"prior"`` for the training class rate (the mean, where the label is a number).
+    ``max_features`` ('sqrt' or a number) restricts every split to a hashed subset of features, ``colsample_bytree`` every tree.
     ``holdout_fold`` leaves the rows of that fold out of the fit (they become its eval set).
     ``gain_scale`` 0.5 is the published gain formula; 1.0 compares gamma with the unhalved sum.
     """
@@ -45,6 +51,13 @@ class BoostConfig:
     holdout_fold: int | None = None
     gain_scale: float = 0.5
     seed: int = 42
+    kind: str = "newton"
+    max_features: int | str | None = None
+
+
+def log_odds_config(n_rounds: int = 100, learning_rate: float = 0.1, max_depth: int = 3, **settings) -> BoostConfig:
+    """Gradient boosting of the log-odds, starting at the training class rate."""
+    return BoostConfig(n_rounds=n_rounds, learning_rate=learning_rate, max_depth=max_depth, base_score="prior", kind="log_odds", **settings)
 
 
 @dataclass
@@ -69,128 +82,201 @@ class BoostModel:
 PRIOR_EDGE = 1e-6
 #: Rounds between two reliable checkpoints of the margins.
 CHECKPOINT_EVERY = 10
+#: Probabilities are kept this far from 0 and 1 in a loss.
+LOSS_EDGE = 1e-15
+
+
+@dataclass
+class BoostSource:
+    """Derivatives of records (role, fold, label, u, margins, bins) for the models of a call in one round."""
+
+    kind: str
+    shares: list[float]
+    seeds: list[int]            # place of each model's seed among the uniforms ``u``
+    holdouts: list[int | None]
+    columns: tuple[str, ...] = ("role", "fold", "label", "u", "margins", "bins")
+
+    def prepare(self, rows: pa.Table):
+        train = np.asarray(rows["role"].to_numpy() == "train")
+        fold = rows["fold"].combine_chunks().fill_null(-1).to_numpy()
+        u = matrix_of(rows["u"]) if any(s < 1.0 for s in self.shares) else None
+        return matrix_of(rows["bins"]), train, fold, rows["label"].to_numpy().astype(float), u, matrix_of(rows["margins"])
+
+    def stats(self, prepared, model: int):
+        _, train, fold, label, u, margins = prepared
+        inside = train if self.holdouts[model] is None else train & (fold != self.holdouts[model])
+        if self.shares[model] < 1.0:
+            inside = inside & (u[:, self.seeds[model]] < self.shares[model])
+        rows = np.flatnonzero(inside)
+        margin, y = margins[rows, model], label[rows]
+        if self.kind == "squared":
+            return rows, [y - margin, np.ones(len(rows))]
+        p = 1.0 / (1.0 + np.exp(-margin))
+        return rows, [p - y, p * (1.0 - p)] if self.kind == "newton" else [y - p, p * (1.0 - p)]
 
 
 def boost(df: DataFrame, cols: list[str], configs: list[BoostConfig], role: str | None = None, fold: str | None = None,
           patience: int | None = None, max_bins: int = 32, method: str = "quantile", row_id: str = "row_id",
-          bins: Bins | None = None, track: bool | set[int] = True, eval_sets: list[str] | None = None) -> list[BoostModel]:
+          bins: Bins | None = None, track: bool | set[int] = True, eval_sets: list[str] | None = None,
+          no_change: tuple[int, float] | None = None) -> list[BoostModel]:
     """Fit all ``configs`` side by side: the number of jobs depends on rounds and depth, not on models.
 
     ``role`` names a column with ``train`` for rows to fit on; other values are eval sets. ``fold`` names the
     fold column for configs with a ``holdout_fold``. ``eval_sets`` names the sets in order; with ``patience`` a model stops once the
     loss of the last one has not improved for that many rounds. Without names that is the held-out fold, else the only other role,
-    else the training rows; several other roles must be named. ``track`` records
-    log loss and accuracy of every set after every round, or after the given rounds only.
+    else the training rows; several other roles must be named. ``no_change`` (rounds, tolerance) stops a model at the first round whose
+    watched loss is not at least the tolerance below any of that many losses before. ``track`` records
+    loss and accuracy of every set after every round, or after the given rounds only.
     """
+    if not configs:
+        return []
     spark = df.sparkSession
     role_col = F.col(role) if role else F.lit("train")
     fit_rows = df.where(role_col == "train")
     bins = bins or fit_bins(fit_rows, cols, max_bins, method)
-    base = {m: _base_margin(fit_rows, c, fold) for m, c in enumerate(configs)}
-    scales = {c.gain_scale for c in configs}
-    if len(scales) > 1:
-        raise ValueError("models fitted together share one gain_scale")
-    rule = NewtonRule([c.reg_lambda for c in configs], [c.reg_alpha for c in configs], [c.gamma for c in configs],
-                      [c.min_child_weight for c in configs], scales.pop())
-    held = " ".join(f"WHEN tree = {m} AND fold = {c.holdout_fold} THEN 'holdout'" for m, c in enumerate(configs)
-                    if c.holdout_fold is not None)
-    start = f"element_at(array({', '.join(f'{base[m]!r}D' for m in range(len(configs)))}), tree + 1)"
-    binned = with_bins(df, bins).select(
-        F.col(row_id).cast("string").alias("rid"), role_col.alias("role"),
-        (F.col(fold) if fold else F.lit(None).cast("int")).alias("fold"), F.col("label").cast("int").alias("label"), "bins")
-    state = binned.selectExpr("*", f"explode(sequence(0, {len(configs) - 1})) AS tree").selectExpr(
-        "rid", f"CASE {held} ELSE role END AS role" if held else "role", "label", "bins", "tree", f"{start} AS margin",
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    watch = _watched_sets(df, role, configs, eval_sets, bool(patience))
+    base = _base_margins(fit_rows, configs, fold)
+    for name in ("gain_scale", "kind"):
+        if len({getattr(c, name) for c in configs}) > 1:
+            raise ValueError(f"models fitted together share one {name}")
+    kind = configs[0].kind
+    rule = VarianceRule() if kind != "newton" else NewtonRule(
+        [c.reg_lambda for c in configs], [c.reg_alpha for c in configs], [c.gamma for c in configs], [c.min_child_weight for c in configs],
+        configs[0].gain_scale)
+    label = F.col("label").cast("double" if kind == "squared" else "int")
+    state = with_bins(df, bins).select(
+        F.col(row_id).cast("string").alias("rid"), role_col.alias("role"), (F.col(fold) if fold else F.lit(None)).cast("int").alias("fold"),
+        label.alias("label"), "bins", F.array(*[F.lit(b) for b in base]).alias("margins")).persist(StorageLevel.MEMORY_AND_DISK)
+    seeds = list(dict.fromkeys(c.seed for c in configs if c.subsample < 1.0)) or [configs[0].seed]
+    sampled = any(c.subsample < 1.0 for c in configs)
+    source = BoostSource(kind, [c.subsample for c in configs], [seeds.index(c.seed) if c.subsample < 1.0 else 0 for c in configs],
+                         [c.holdout_fold for c in configs])
+    watch = _watched_sets(df, role, configs, eval_sets, bool(patience or no_change))
     models = [BoostModel(c, list(cols), base[m], [], [], watch[m]) for m, c in enumerate(configs)]
     active = {m for m, c in enumerate(configs) if c.n_rounds > 0}
-    steps = max((c.max_depth for c in configs), default=0)
-    held_frames = [state]
-    for t in range(max((c.n_rounds for c in configs), default=0)):
+    before = None
+    for t in range(max(c.n_rounds for c in configs)):
         if not active:
             break
-        growth = Growth(spark, rule, {m: configs[m].max_depth for m in sorted(active)}, _feature_choice(configs, bins, t), steps,
-                        bins.missing)
-        growth.grow(_derivatives(state, configs, t, active))
-        for m in active:
-            items = [kv for kv in growth.nodes.items() if kv[0][0] == m]
+        growth = Growth(spark, rule, {m: configs[m].max_depth for m in sorted(active)}, _features_of(configs, bins, t), bins)
+        u = F.array(*[unit_hash(F.col("rid"), s, "row", t) for s in seeds]) if sampled else F.lit(None).cast("array<double>")
+        growth.grow(state.withColumn("u", u), source)
+        if before is not None:
+            before.unpersist()  # the growth has read the frame after it
+        by_model: dict[int, list] = {m: [] for m in active}
+        for kv in growth.nodes.items():
+            by_model[kv[0][0]].append(kv)
+        for m, items in by_model.items():
             models[m].nodes.extend(node_rows(items, bins, lambda rec, c=configs[m]: _describe(rec, c), lambda _, t=t: t))
-        # models that have stopped leave the state for good
-        after = spark.sql("SELECT rid, role, label, bins, tree, margin + nv[node] AS margin FROM ("
-                          + routed("{state}", "{trees}", steps, "rid, role, label, margin", "nv") + ")",
-                          state=state, trees=growth.table(lambda m, rec: _leaf_value(rec, configs[m])))
-        after = after.persist(StorageLevel.MEMORY_AND_DISK)
-        held_frames.append(after)
-        state = after
+        before, state = state, _moved(state, growth.states(value=lambda m, rec: _leaf_value(rec, configs[m]))).persist(StorageLevel.MEMORY_AND_DISK)
         if (t + 1) % CHECKPOINT_EVERY == 0:
-            state = cut_lineage(after)
-            for frame in held_frames:
-                frame.unpersist()
-            held_frames = []
-        if patience or (t in track if isinstance(track, set) else track):
+            kept, state = state, cut_lineage(state)
+            before.unpersist()
+            kept.unpersist()
+            before = None
+        if patience or no_change or (t in track if isinstance(track, set) else track):
             _record(models, state, t, active)
-        active = {m for m in active if t + 1 < configs[m].n_rounds and not (patience and _exhausted(models[m], patience))}
-    for frame in held_frames:
-        frame.unpersist()
+        active = {m for m in active if t + 1 < configs[m].n_rounds and not (patience and _exhausted(models[m], patience))
+                  and not (no_change and _stalled(models[m], *no_change))}
+    for frame in (before, state):
+        if frame is not None:
+            frame.unpersist()
     return models
 
 
-def _base_margin(fit_rows: DataFrame, c: BoostConfig, fold: str | None) -> float:
-    if c.base_score == "prior":
-        if c.holdout_fold is not None:
-            fit_rows = fit_rows.where(F.col(fold) != c.holdout_fold)
-        p = fit_rows.agg(F.avg("label")).first()[0]
-    else:
-        p = float(c.base_score)
-    p = min(max(0.5 if p is None else p, PRIOR_EDGE), 1.0 - PRIOR_EDGE)  # a fit on one class only still has a finite start
-    return math.log(p / (1.0 - p)) if p != 0.5 else 0.0
-
-
-def _derivatives(state: DataFrame, configs: list[BoostConfig], t: int, active: set[int]) -> DataFrame:
-    """Training rows with gradient ``g`` and hessian ``h`` for the models still running."""
-    rows = state.where("role = 'train'")
-    if len(active) < len(configs):
-        rows = rows.where(F.col("tree").isin(sorted(active)))
-    shares = [c.subsample for c in configs]
-    if min(shares) < 1.0:
-        share = F.element_at(F.array(*[F.lit(float(s)) for s in shares]), F.col("tree") + 1)
-        seeds = F.element_at(F.array(*[F.lit(str(c.seed)) for c in configs]), F.col("tree") + 1)
-        rows = rows.where((share >= 1.0) | (unit_hash(F.col("rid"), seeds, "row", t) < share))
-    return rows.selectExpr("tree", "bins", "label", "1D / (1D + exp(-margin)) AS p").selectExpr(
-        "tree", "bins", "p - label AS g", "p * (1D - p) AS h")
-
-
-def _feature_choice(configs: list[BoostConfig], bins: Bins, t: int):
+def _base_margins(fit_rows: DataFrame, configs: list[BoostConfig], fold: str | None) -> list[float]:
+    """Where each model starts; the rates of all folds come from one scan."""
+    if any(c.base_score == "prior" for c in configs):
+        by = F.col(fold) if fold else F.lit(None).cast("int")
+        sums = fit_rows.groupBy(by.alias("f")).agg(F.sum(F.col("label").cast("double")).alias("s"), F.count("label").alias("n")).collect()
+    out = []
+    for c in configs:
+        p = c.base_score
+        if p == "prior":
+            mine = [r for r in sums if c.holdout_fold is None or r["f"] != c.holdout_fold]
+            n = sum(r["n"] for r in mine)
+            p = sum(r["s"] or 0.0 for r in mine) / n if n else (0.0 if c.kind == "squared" else 0.5)
+        if c.kind == "squared":
+            out.append(float(p))
+            continue
+        p = min(max(float(p), PRIOR_EDGE), 1.0 - PRIOR_EDGE)  # a fit on one class only still has a finite start
+        out.append(math.log(p / (1.0 - p)) if p != 0.5 else 0.0)
+    return out
+
+
+def _features_of(configs: list[BoostConfig], bins: Bins, t: int):
+    """(model, node) -> features of a round's tree, of which ``max_features`` leaves each split a subset."""
     p = len(bins.cols)
-    chosen = {}
+    chosen, split = {}, {}
     for m, c in enumerate(configs):
         keep = max(1, math.floor(c.colsample_bytree * p))
         chosen[m] = list(range(p)) if keep >= p else ranked_subset(bins.cols, keep, c.seed, t)
-    return lambda tree, node: chosen[tree]
+        split[m] = None if c.max_features is None else feature_choice([bins.cols[i] for i in chosen[m]], c.max_features, c.seed)
+    return lambda m, node: chosen[m] if split[m] is None else [chosen[m][i] for i in split[m](t, node)]
 
 
-def _weight(rec: dict, c: BoostConfig) -> float:
-    g = math.copysign(max(abs(rec["g"]) - c.reg_alpha, 0.0), rec["g"])
-    return -g / (rec["h"] + c.reg_lambda)
+def _moved(state: DataFrame, trees: dict) -> DataFrame:
+    """``state`` with the leaf values of a round added to the margins of its models."""
+    sent = state.sparkSession.sparkContext.broadcast(trees)
+    at = state.columns.index("margins")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, margins = matrix_of(b["bins"]), matrix_of(b["margins"]).copy()
+            for m, a in sent.value.items():
+                if b.num_rows and len(a.value):
+                    margins[:, m] += a.value[a.walk(x)]
+            width = margins.shape[1] if b.num_rows else 0
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * width), pa.array(margins.ravel()))
+            yield b.set_column(at, pa.field("margins", lists.type), lists)
+
+    return state.mapInArrow(run, state.schema)
 
 
 def _leaf_value(rec: dict, c: BoostConfig) -> float:
-    return c.learning_rate * _weight(rec, c)
+    if c.kind != "newton":
+        return c.learning_rate * rec["s"] / rec["q"] if rec["q"] > 1e-150 else 0.0
+    g = math.copysign(max(abs(rec["g"]) - c.reg_alpha, 0.0), rec["g"])
+    return c.learning_rate * -g / (rec["h"] + c.reg_lambda)
 
 
 def _describe(rec: dict, c: BoostConfig) -> dict:
     value = _leaf_value(rec, c)
-    return {"impurity": None, "class_counts": None, "prediction": value, "value": value, "cover": rec["h"]}
+    return {"impurity": None, "class_counts": None, "prediction": value, "value": value, "cover": rec["h"] if c.kind == "newton" else rec["n"]}
 
 
 def _record(models: list[BoostModel], state: DataFrame, t: int, active: set[int]) -> None:
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
-    hit = ((F.col("margin") > 0) == (F.col("label") == 1)).cast("int")
-    losses = state.groupBy("tree", "role").agg(F.avg(log_loss_term(F.col("label"), p)).alias("loss"), F.avg(hit).alias("acc"))
-    for r in losses.collect():  # models x eval sets
-        if r["tree"] in active:
-            models[r["tree"]].history.append({"eval_set": r["role"], "iteration": t, "logloss": r["loss"],
-                                              "accuracy": r["acc"]})
+    """Loss and accuracy of every active model on every set; tasks add up their own rows."""
+    holdouts = {m: models[m].config.holdout_fold for m in sorted(active)}
+    squared = models[0].config.kind == "squared"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, str], np.ndarray] = {}
+        for b in chunks(batches):
+            roles, code = np.unique(b["role"].to_numpy().astype(str), return_inverse=True)
+            fold, label, margins = b["fold"].combine_chunks().fill_null(-1).to_numpy(), b["label"].to_numpy(), matrix_of(b["margins"])
+            for m, held in holdouts.items():
+                margin = margins[:, m]
+                if squared:
+                    loss, hit = (label - margin) ** 2, np.zeros(len(label))
+                else:
+                    p = np.clip(1.0 / (1.0 + np.exp(-margin)), LOSS_EDGE, 1.0 - LOSS_EDGE)
+                    loss, hit = -np.log(np.where(label == 1, p, 1.0 - p)), (margin > 0) == (label == 1)
+                where = code if held is None else np.where(fold == held, len(roles), code)
+                sums = np.stack([np.bincount(where, v, len(roles) + 1) for v in (loss, hit, np.ones(len(label)))], axis=1)
+                for name, row in zip([*roles.tolist(), "holdout"], sums, strict=True):
+                    if row[2]:
+                        total[m, name] = total.get((m, name), 0.0) + row
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.int32()), pa.array([k[1] for k in total], pa.string()),
+                                          *[pa.array([v[i] for v in total.values()], pa.float64()) for i in range(3)]], names=["m", "role", "loss", "hits", "n"])
+
+    parts = state.select("role", "fold", "label", "margins").mapInArrow(run, "m int, role string, loss double, hits double, n double")
+    for r in parts.groupBy("m", "role").agg(*[F.sum(c).alias(c) for c in ("loss", "hits", "n")]).collect():  # models x eval sets
+        models[r["m"]].history.append({"eval_set": r["role"], "iteration": t, "logloss": r["loss"] / r["n"], "accuracy": r["hits"] / r["n"]})
+
+
+def _stalled(model: BoostModel, rounds: int, tol: float) -> bool:
+    curve = _watched(model)
+    return len(curve) > rounds and curve[-1] + tol >= max(curve[-1 - rounds:-1])
 
 
 def _exhausted(model: BoostModel, patience: int) -> bool:
@@ -295,24 +381,17 @@ def gbt_early_stop(df: DataFrame, nodes: list[dict], cols: list[str], n_no_chang
 
 
 def residual_boosting(df: DataFrame, x_cols: list[str], y: str = "y", rounds: int = 5, learning_rate: float = 0.5,
-                      max_depth: int = 2) -> DataFrame:
+                      max_depth: int = 2, max_bins: int = 32, method: str = "quantile") -> DataFrame:
     """Boosting by hand on residuals: start at the mean, fit a small tree to the residual, add a share of it.
 
-    Returns ``(round, mse)``; round 0 is the mean alone. Rows stay on Spark, five plans deep.
+    Returns ``(round, mse)``; round 0 is the mean alone.
     """
-    mean = df.agg(F.avg(y)).first()[0]
-    current = assemble(df.withColumn("label", F.col(y)), x_cols).withColumn("f", F.lit(mean))
-    current = current.select("features", y, "f").persist()
-    kept, curve = [current], []
-    for r in range(rounds + 1):
-        if r:
-            residual = current.withColumn("residual", F.col(y) - F.col("f"))
-            tree = regression_tree(max_depth, "residual").fit(residual)
-            current = tree.transform(current).select(
-                "features", y, (F.col("f") + F.lit(learning_rate) * F.col("prediction")).alias("f")).persist()
-            kept.append(current)
-        curve.append({"round": r, "mse": current.agg(F.avg(F.pow(F.col(y) - F.col("f"), 2))).first()[0]})
-    for frame in kept:
-        frame.unpersist()
+    n, spread = df.agg(F.count(y), F.var_pop(y)).first()
+    config = BoostConfig(n_rounds=rounds, learning_rate=learning_rate, max_depth=max_depth, base_score="prior", kind="squared")
+    rows = df.select(F.col(y).cast("double").alias("label"), F.lit("").alias("row_id"), *[F.col(c) for c in x_cols])
+    curve = [{"round": 0, "mse": spread}]
+    if n and rounds:
+        model, = boost(rows, x_cols, [config], max_bins=max_bins, method=method)
+        curve += [{"round": h["iteration"] + 1, "mse": h["logloss"]} for h in model.history]
     schema = T.StructType([T.StructField("round", T.IntegerType()), T.StructField("mse", T.DoubleType())])
     return local_table(df.sparkSession, curve, schema)

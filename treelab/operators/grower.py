@@ -1,31 +1,34 @@
-"""Level-wise tree growth for many trees at once.
-
-One Spark job per level, however many trees grow: every row is routed through the splits found so far
-by array look-ups in a small table with one row per tree, its bins are expanded to (tree, node,
-feature, bin), the statistics are summed with map-side combining, and a running sum over the bins gives
-the gain of every split. The query text of a level depends on the depth limit only, so its generated
-code is reused by all levels and rounds. No state is kept between levels: nothing has to be
-checkpointed, and a lost executor only repeats its tasks.
+"""Level-wise tree growth for many trees at once, by partial histograms in arrays.
+
+One Spark job per level, however many trees grow. A task walks its rows down the splits found so far, adds their statistics to one dense
+array per tree (node, feature, bin, statistic) and emits an array per open node; the arrays are shuffled once, added up, and the best split of
+a node is found where its sum is. Rows themselves never move and nothing is kept between levels: a walk costs a few array look-ups a level,
+which is less than writing a position per row and tree, and a lost executor only repeats its tasks. The arrays of one job stay within
+``HIST_BYTES``; a wider level takes several jobs.
+
+What a row adds to a tree comes from a source: an object with ``columns``, ``prepare(batch)`` and ``stats(prepared, tree)``.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 from treelab.functions.hashing import ranked_subset
-from treelab.functions.storage import LOCAL_ROWS, local_table
+from treelab.functions.storage import LOCAL_ROWS
 from treelab.operators.bins import Bins
 
 #: Deepest level whose node numbers (children of n are 2n+1 and 2n+2) fit an int.
 MAX_DEPTH = 29
-
-INTS = T.ArrayType(T.IntegerType())
-TREE_SCHEMA = T.StructType([
-    T.StructField("tree", T.IntegerType()), T.StructField("nf", INTS), T.StructField("nb", INTS),
-    T.StructField("nm", T.ArrayType(T.BooleanType())), T.StructField("nl", INTS), T.StructField("nr", INTS),
-    T.StructField("nv", T.ArrayType(T.DoubleType())), T.StructField("slot", INTS), T.StructField("feats", T.ArrayType(INTS))])
+#: Bytes of histograms that one task holds.
+HIST_BYTES = 64 << 20
+#: Rows that a task adds up in one go.
+CHUNK = 1 << 16
 
 
 class GiniRule:
@@ -44,6 +47,17 @@ class GiniRule:
         return (f"CASE WHEN {l}s0 + {l}s1 >= {self.min_leaf}D AND {r}s0 + {r}s1 >= {self.min_leaf}D THEN "
                 f"({purity(l)} + {purity(r)} - {purity(t)}) / ({t}s0 + {t}s1) END")
 
+    def gains(self, left: np.ndarray, right: np.ndarray, total: np.ndarray, tree) -> np.ndarray:
+        """The same over arrays whose last axis holds the statistics; NaN where no split is allowed."""
+        def weight(x: np.ndarray) -> np.ndarray:
+            return x[..., 0] + x[..., 1]
+
+        def purity(x: np.ndarray) -> np.ndarray:
+            return (x[..., 0] * x[..., 0] + x[..., 1] * x[..., 1]) / weight(x)
+
+        fine = (weight(left) >= self.min_leaf) & (weight(right) >= self.min_leaf)
+        return np.where(fine, (purity(left) + purity(right) - purity(total)) / weight(total), np.nan)
+
     def open(self, node: dict) -> bool:
         """Whether a node may be split at all."""
         return node["s0"] > 0 and node["s1"] > 0 and node["s0"] + node["s1"] >= 2 * self.min_leaf
@@ -67,6 +81,7 @@ class NewtonRule:
             return f"element_at(array({', '.join(f'{float(v)!r}D' for v in values)}), {tree} + 1)"
 
         self.scale = scale
+        self.values = tuple(np.array(v, float) for v in (lam, alpha, gamma, min_child))
         self.lam, self.alpha, self.gamma, self.min_child = (pick(v) for v in (lam, alpha, gamma, min_child))
 
     def gain(self, l: str = "l_", r: str = "r_", t: str = "t_") -> str:
@@ -76,106 +91,237 @@ class NewtonRule:
         return (f"CASE WHEN {l}h >= {self.min_child} AND {r}h >= {self.min_child} THEN "
                 f"{self.scale}D * ({score(l)} + {score(r)} - {score(t)}) - {self.gamma} END")
 
+    def gains(self, left: np.ndarray, right: np.ndarray, total: np.ndarray, tree) -> np.ndarray:
+        shape = (-1,) + (1,) * (left.ndim - 2)
+        lam, alpha, gamma, min_child = (v[np.atleast_1d(tree)].reshape(shape) for v in self.values)
+
+        def score(x: np.ndarray) -> np.ndarray:
+            return np.maximum(np.abs(x[..., 0]) - alpha, 0.0) ** 2 / (x[..., 1] + lam)
+
+        fine = (left[..., 1] >= min_child) & (right[..., 1] >= min_child)
+        return np.where(fine, self.scale * (score(left) + score(right) - score(total)) - gamma, np.nan)
+
     def open(self, node: dict) -> bool:
         return node["n"] >= 2
 
 
-def routed(rows: str, trees: str, steps: int, keep: str, extra: str) -> str:
-    """Query text that walks each row down at most ``steps`` levels: ``node`` is the position it reaches.
+class VarianceRule:
+    """Sums ``s`` of a target and ``q``, a second sum that is carried along: gain is the fall of the squared error a row.
 
-    ``extra`` are array columns of the tree table to pass on.
+    For a regression ``q`` is the sum of squares; for a residual tree it is the hessian sum of the Newton step in its leaves.
     """
-    move = ("CASE WHEN nf[node] < 0 THEN node "
-            "WHEN IF(bins[nf[node]] < 0, nm[node], bins[nf[node]] <= nb[node]) THEN nl[node] ELSE nr[node] END")
-    return (f"SELECT r.tree, bins, {keep}, {extra}, aggregate(sequence(1, {steps}), 0, (node, i) -> {move}) AS node "
-            f"FROM {rows} r JOIN {trees} t ON r.tree = t.tree")
 
+    stats = ("s", "q")
+
+    def __init__(self, min_leaf: int = 1):
+        self.min_leaf = min_leaf
+
+    def gain(self, l: str = "l_", r: str = "r_", t: str = "t_") -> str:
+        return (f"CASE WHEN {l}n >= {self.min_leaf} AND {r}n >= {self.min_leaf} THEN "
+                f"({l}s * {l}s / {l}n + {r}s * {r}s / {r}n - {t}s * {t}s / {t}n) / {t}n END")
 
-def level_query(rule, steps: int, missing: bool = False) -> str:
-    """Query text for one level: histograms of the frontier nodes and the best split of each.
+    def gains(self, left: np.ndarray, right: np.ndarray, total: np.ndarray, tree) -> np.ndarray:
+        def score(x: np.ndarray) -> np.ndarray:
+            return x[..., 0] * x[..., 0] / x[..., -1]
 
-    Equal gains go to the lower feature, then the lower bin. With ``missing``, rows with a missing value
-    (bin -1) are tried on both sides. ``gain`` is null where no split is allowed.
+        fine = (left[..., -1] >= self.min_leaf) & (right[..., -1] >= self.min_leaf)
+        return np.where(fine, (score(left) + score(right) - score(total)) / total[..., -1], np.nan)
+
+    def open(self, node: dict) -> bool:
+        return node["n"] >= 2 * self.min_leaf
+
+
+# --- arrays --------------------------------------------------------------------------------------------------------------
+
+
+@dataclass
+class TreeState:
+    """Splits of a growing tree as arrays by node position, and its open nodes by slot."""
+
+    feature: np.ndarray       # -1: no split yet
+    bin: np.ndarray
+    missing_left: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    slot: np.ndarray          # -1: not open
+    feats: np.ndarray         # (slots, features) that may split an open node
+    value: np.ndarray
+
+    def walk(self, x: np.ndarray) -> np.ndarray:
+        """Position that each row of bins ends at."""
+        at = np.zeros(len(x), np.int64)
+        rows = np.arange(len(x))
+        while len(rows):
+            f = self.feature[at[rows]]
+            rows, f = rows[f >= 0], f[f >= 0]
+            here = at[rows]
+            b = x[rows, f]
+            at[rows] = np.where(np.where(b < 0, self.missing_left[here], b <= self.bin[here]), self.left[here], self.right[here])
+        return at
+
+
+def slot_sums(x: np.ndarray, slot: np.ndarray, stats: list[np.ndarray], feats: np.ndarray, width: int) -> np.ndarray:
+    """Sums by (slot, feature, bin + 1, statistic and row count); bin -1 is a missing value."""
+    slots, k = feats.shape
+    out = np.empty((slots, k, width, len(stats) + 1))
+    same = bool((feats == feats[:1]).all())
+    rows = None if same else np.arange(len(x))
+    base = slot * width + 1
+    for j in range(k):
+        cell = base + (x[:, feats[0, j]] if same else x[rows, feats[slot, j]])
+        for s, values in enumerate(stats):
+            out[:, j, :, s] = np.bincount(cell, values, slots * width).reshape(slots, width)
+        out[:, j, :, -1] = np.bincount(cell, minlength=slots * width).reshape(slots, width)
+    return out
+
+
+def best_splits(sums: np.ndarray, feats: np.ndarray, rule, tree, missing: bool) -> dict[str, np.ndarray]:
+    """The best split of every slot: gain (NaN: none), feature, bin, missing_left, and the sums on the left and in total.
+
+    Equal gains go to the lower feature, then the lower bin, then to missing values on the right. A candidate ends at a bin with rows.
     """
-    stats = [*rule.stats, "n"]
-    part = "PARTITION BY tree, node, feature"
-
-    def each(text: str) -> str:
-        return ", ".join(text.replace("#", s) for s in stats)
-
-    window = each(f"sum(#) OVER ({part} ORDER BY bin ROWS UNBOUNDED PRECEDING) AS c_#, sum(#) OVER ({part}) AS t_#")
-    side = "false AS missing_left"
-    left = each("c_# AS l_#")
-    if missing:
-        window += ", " + each(f"sum(IF(bin < 0, #, 0)) OVER ({part}) AS m_#")
-        side = "explode(IF(m_n > 0, array(false, true), array(false))) AS missing_left"
-        left = each("IF(missing_left, c_#, c_# - m_#) AS l_#")
-    return f"""
-      WITH cells AS (
-        SELECT tree, node, {', '.join(rule.stats)}, bins, explode_outer(get(feats, slot[node])) AS feature
-        FROM ({routed('{rows}', '{trees}', steps, ', '.join(rule.stats), 'slot, feats')})),
-      hist AS (
-        SELECT tree, node, feature, bins[feature] AS bin, {', '.join(f'sum({s}) AS {s}' for s in rule.stats)}, count(*) AS n
-        FROM cells WHERE feature IS NOT NULL GROUP BY tree, node, feature, bins[feature]),
-      sums AS (SELECT tree, node, feature, bin, {window} FROM (SELECT * FROM hist DISTRIBUTE BY tree, node)),
-      lefts AS (SELECT *, {left} FROM (SELECT *, {side} FROM sums)),
-      sides AS (SELECT *, {each('t_# - l_# AS r_#')} FROM lefts WHERE bin >= 0 AND l_n > 0 AND l_n < t_n)
-      SELECT tree, node, max(struct(round({rule.gain()}, 10) AS gain, -feature AS neg_feature, -bin AS neg_bin,
-          NOT missing_left AS missing_right, {each('CAST(l_# AS DOUBLE) AS l_#')})) AS o,
-          {each('CAST(max(t_#) AS DOUBLE) AS t_#')}
-        FROM sides GROUP BY tree, node"""
+    total = sums[:, 0].sum(axis=1)
+    present = sums[:, :, 1:]
+    left = np.cumsum(present, axis=2)
+    sides = [left]
+    if missing and sums[:, :, 0, -1].any():
+        sides.append(left + sums[:, :, :1])
+    best: dict[str, np.ndarray] = {}
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for side, l in enumerate(sides):
+            whole = total[:, None, None, :]
+            r = whole - l
+            gain = np.round(rule.gains(l, r, whole, tree), 10)
+            fine = (present[..., -1] > 0) & (l[..., -1] > 0) & (r[..., -1] > 0)
+            if side:
+                fine &= sums[:, :, :1, -1] > 0
+            gain = np.where(fine & ~np.isnan(gain), gain, -np.inf).reshape(len(sums), -1)
+            at = gain.argmax(axis=1)
+            top = gain[np.arange(len(sums)), at]
+            j, b = np.divmod(at, present.shape[2])
+            found = {"gain": top, "feature": feats[np.arange(len(sums)), j], "bin": b, "missing_left": np.full(len(sums), bool(side)),
+                     "left": l[np.arange(len(sums)), j, b]}
+            if not best:
+                best = found
+            else:
+                better = (found["gain"] > best["gain"]) | ((found["gain"] == best["gain"]) & (
+                    (found["feature"] < best["feature"]) | ((found["feature"] == best["feature"]) & (found["bin"] < best["bin"]))))
+                best = {c: np.where(better.reshape((-1,) + (1,) * (v.ndim - 1)), found[c], v) for c, v in best.items()}
+    best["gain"] = np.where(np.isneginf(best["gain"]), np.nan, best["gain"])
+    return {**best, "total": total}
+
+
+def matrix_of(column: pa.Array) -> np.ndarray:
+    """A column of equally long lists as a matrix."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[pa.Table]:
+    """Batches put together to about ``size`` rows."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+        if sum(x.num_rows for x in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+@dataclass
+class GiniSource:
+    """Class counts of rows (label, bins[, bag]); ``bag`` holds a weight per tree, 0 for a row outside it."""
+
+    bag: str | None = None
+
+    @property
+    def columns(self) -> list[str]:
+        return ["label", "bins", *([self.bag] if self.bag else [])]
+
+    def prepare(self, rows: pa.Table):
+        return matrix_of(rows["bins"]), np.asarray(rows["label"]).astype(float), matrix_of(rows[self.bag]) if self.bag else None
+
+    def stats(self, prepared, tree: int):
+        """Rows in the tree (None: all), and their statistics."""
+        _, label, bag = prepared
+        if bag is None:
+            return None, [1.0 - label, label]
+        rows = np.flatnonzero(bag[:, tree])
+        w, y = bag[rows, tree].astype(float), label[rows]
+        return rows, [w * (1.0 - y), w * y]
+
+
+# --- growth --------------------------------------------------------------------------------------------------------------
 
 
 class Growth:
     """The growing node lists of a set of trees; holds one record per node, never data rows."""
 
-    def __init__(self, spark: SparkSession, rule, depth_of: dict[int, int], feats_of, steps: int | None = None,
-                 missing: bool = False):
-        self.spark, self.rule, self.missing = spark, rule, missing
+    def __init__(self, spark: SparkSession, rule, depth_of: dict[int, int], feats_of, bins: Bins):
+        self.spark, self.rule = spark, rule
         self.depth_of = depth_of                     # tree -> maximum depth
         self.feats_of = feats_of                     # (tree, node) -> allowed feature indices
-        self.steps = max(depth_of.values()) if steps is None else steps
+        self.missing = bins.missing
+        self.width = max([len(e) for e in bins.edges], default=0) + 2  # bins and the missing one
         self.nodes: dict[tuple[int, int], dict] = {}
         self.order = {t: [0] for t in sorted(depth_of)}  # position -> node number
         self.frontier = [(t, 0) for t in sorted(depth_of)]
 
-    def table(self, values=None) -> DataFrame:
-        """One row per tree: its nodes as arrays, and which of them are open for splitting."""
-        open_ = {}
-        for t, n in self.frontier:
-            open_.setdefault(t, []).append(n)
-        rows = []
-        for t, numbers in self.order.items():
+    def states(self, open_nodes: list[tuple[int, int]] = (), value=None) -> dict[int, TreeState]:
+        """Arrays of the trees of ``open_nodes``, or of all trees with ``value(tree, record)`` in them."""
+        slots: dict[int, list[int]] = {}
+        for t, n in open_nodes:
+            slots.setdefault(t, []).append(n)
+        out = {}
+        for t in slots or self.order:
+            numbers = self.order[t]
             at = {n: i for i, n in enumerate(numbers)}
             recs = [self.nodes.get((t, n), {}) for n in numbers]
-            slots = {n: i for i, n in enumerate(open_.get(t, []))}
-            rows.append({
-                "tree": t, "nf": [r.get("feature", -1) for r in recs], "nb": [r.get("bin", -1) for r in recs],
-                "nm": [r.get("missing_left", False) for r in recs],
-                "nl": [at[2 * n + 1] if "feature" in r else i for i, (n, r) in enumerate(zip(numbers, recs))],
-                "nr": [at[2 * n + 2] if "feature" in r else i for i, (n, r) in enumerate(zip(numbers, recs))],
-                "nv": [values(t, r) if values and r else 0.0 for r in recs],
-                "slot": [slots.get(n, -1) for n in numbers], "feats": [self.feats_of(t, n) for n in open_.get(t, [])]})
-        return local_table(self.spark, rows, TREE_SCHEMA)  # of known size: broadcast while it is below the session's limit
-
-    def step(self, rows: DataFrame, min_gain: float = 0.0) -> None:
+            slot = np.full(len(numbers), -1, np.int64)
+            for i, n in enumerate(slots.get(t, [])):
+                slot[at[n]] = i
+            inner = ["feature" in r for r in recs]
+            out[t] = TreeState(
+                np.array([r.get("feature", -1) for r in recs]), np.array([r.get("bin", -1) for r in recs]),
+                np.array([r.get("missing_left", False) for r in recs]),
+                np.array([at[2 * n + 1] if i else 0 for i, n in zip(inner, numbers)]), np.array([at[2 * n + 2] if i else 0 for i, n in zip(inner, numbers)]),
+                slot, np.array([self.feats_of(t, n) for n in slots.get(t, [])], np.int64),
+                np.array([value(t, r) if value and r else 0.0 for r in recs]))
+        return out
+
+    def _parts(self) -> Iterator[list[tuple[int, int]]]:
+        """The open nodes in parts whose histograms fit a task."""
+        part, size = [], 0
+        for t, n in self.frontier:
+            cells = len(self.feats_of(t, n)) * self.width * (len(self.rule.stats) + 1) * 8
+            if part and size + cells > HIST_BYTES:
+                yield part
+                part, size = [], 0
+            part.append((t, n))
+            size += cells
+        if part:
+            yield part
+
+    def step(self, rows: DataFrame, source, min_gain: float = 0.0) -> None:
         """Grow one level of all trees."""
-        best = self.spark.sql(level_query(self.rule, self.steps, self.missing), rows=rows, trees=self.table())
-        found = {(r["tree"], self.order[r["tree"]][r["node"]]): r for r in best.collect()}  # one row per open node
-        nxt = []
+        found: dict[tuple[int, int], dict] = {}
+        for part in self._parts():
+            found.update(self._level(rows, source, part))
         stats = [*self.rule.stats, "n"]
+        nxt = []
         for key in self.frontier:
             r = found.get(key)
             if r is None:
                 continue
             tree, number = key
-            node = self.nodes.setdefault(key, {"depth": 0, **{s: r[f"t_{s}"] for s in stats}})
-            depth_left, gain = self.depth_of[tree] - node["depth"], r["o"]["gain"]
-            if depth_left <= 0 or gain is None or gain <= min_gain or not self.rule.open(node):
+            node = self.nodes.setdefault(key, {"depth": 0, **dict(zip(stats, r["total"]))})
+            depth_left = self.depth_of[tree] - node["depth"]
+            if depth_left <= 0 or r["gain"] is None or r["gain"] <= min_gain or not self.rule.open(node):
                 continue
-            node.update(gain=gain, feature=-r["o"]["neg_feature"], bin=-r["o"]["neg_bin"],
-                        missing_left=not r["o"]["missing_right"])
-            left = {s: r["o"][f"l_{s}"] for s in stats}
+            node.update(gain=r["gain"], feature=r["feature"], bin=r["bin"], missing_left=r["missing_left"])
+            left = dict(zip(stats, r["left"]))
             right = {s: node[s] - left[s] for s in stats}
             for child, side in ((2 * number + 1, left), (2 * number + 2, right)):
                 self.nodes[(tree, child)] = {"depth": node["depth"] + 1, **side}
@@ -184,14 +330,62 @@ class Growth:
                     nxt.append((tree, child))
         self.frontier = nxt
 
-    def grow(self, rows: DataFrame, min_gain: float = 0.0) -> None:
+    def _level(self, rows: DataFrame, source, part: list[tuple[int, int]]) -> dict[tuple[int, int], dict]:
+        """The best splits of some open nodes, from one scan."""
+        sent = self.spark.sparkContext.broadcast(self.states(part))
+        rule, width, missing, n_stats = self.rule, self.width, self.missing, len(self.rule.stats) + 1
+
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees = sent.value
+            sums = {t: np.zeros((*a.feats.shape, width, n_stats)) for t, a in trees.items()}
+            for chunk in chunks(batches):
+                prepared = source.prepare(chunk)
+                for t, a in trees.items():
+                    inside, stats = source.stats(prepared, t)
+                    x = prepared[0] if inside is None else prepared[0][inside]
+                    slot = a.slot[a.walk(x)]
+                    here = slot >= 0
+                    if not here.all():
+                        x, slot, stats = x[here], slot[here], [s[here] for s in stats]
+                    if len(x):
+                        sums[t] += slot_sums(x, slot, stats, a.feats, width)
+            for t, total in sums.items():
+                seen = np.flatnonzero(total[:, 0, :, -1].any(axis=1))
+                if len(seen):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), t, np.int32)), pa.array(seen.astype(np.int32)),
+                                                      pa.array([total[i].tobytes() for i in seen], pa.binary())], names=["tree", "slot", "sums"])
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees, total = sent.value, {}
+            for b in batches:
+                for t, i, data in zip(*(b[c].to_pylist() for c in ("tree", "slot", "sums")), strict=True):
+                    data = np.frombuffer(data)
+                    total[t, i] = total[t, i] + data if (t, i) in total else data
+            by_shape: dict[int, list] = {}
+            for key in sorted(total):
+                by_shape.setdefault(trees[key[0]].feats.shape[1], []).append(key)
+            for k, keys in by_shape.items():
+                sums = np.stack([total[key] for key in keys]).reshape(len(keys), k, width, n_stats)
+                feats = np.stack([trees[t].feats[i] for t, i in keys])
+                best = best_splits(sums, feats, rule, np.array([t for t, _ in keys]), missing)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([t for t, _ in keys], pa.int32()), pa.array([i for _, i in keys], pa.int32()), pa.array(best["gain"], from_pandas=True),
+                     pa.array(best["feature"], pa.int32()), pa.array(best["bin"], pa.int32()), pa.array(best["missing_left"]),
+                     pa.array(list(best["left"]), pa.list_(pa.float64())), pa.array(list(best["total"]), pa.list_(pa.float64()))],
+                    names=["tree", "slot", "gain", "feature", "bin", "missing_left", "left", "total"])
+
+        partial = rows.select(*source.columns).mapInArrow(add_up, "tree int, slot int, sums binary").repartition("tree", "slot")
+        best = partial.mapInArrow(choose, "tree int, slot int, gain double, feature int, bin int, missing_left boolean, left array<double>, total array<double>")
+        of_slot: dict[int, list[int]] = {}
+        for t, n in part:
+            of_slot.setdefault(t, []).append(n)
+        out = {(r["tree"], of_slot[r["tree"]][r["slot"]]): r.asDict() for r in best.collect()}  # one row per open node
+        sent.unpersist()
+        return out
+
+    def grow(self, rows: DataFrame, source, min_gain: float = 0.0) -> None:
         while self.frontier:
-            self.step(rows, min_gain)
-        bare = [t for t in self.depth_of if (t, 0) not in self.nodes]
-        if bare:  # no split was possible at the root: it is a leaf, its sums are still needed
-            for r in rows.where(F.col("tree").isin(bare)).groupBy("tree").agg(F.count("*").alias("n"), *[
-                    F.sum(s).alias(s) for s in self.rule.stats]).collect():
-                self.nodes[(r["tree"], 0)] = {"depth": 0, **{s: float(r[s]) for s in (*self.rule.stats, "n")}}
+            self.step(rows, source, min_gain)
 
 
 def trees_per_pass(max_depth: int, n_trees: int) -> int:
@@ -200,36 +394,34 @@ def trees_per_pass(max_depth: int, n_trees: int) -> int:
 
 
 def grow_gini(binned: DataFrame, bins: Bins, n_trees: int = 1, weights: str | None = None, max_depth: int = 5,
-              min_leaf: float = 1.0, max_features: int | str | None = None, seed: int = 42) -> list[dict]:
-    """Grow ``n_trees`` gini trees over ``(label, bins[, weights])`` and return their node rows.
+              min_leaf: float = 1.0, max_features: int | str | None = None, seed: int = 42, first: int = 0) -> list[dict]:
+    """Grow gini trees over ``(label, bins[, weights])`` and return their node rows.
 
     ``weights`` names an array column with one weight per tree (0 = the row is not in that tree's sample).
-    ``max_features`` ('sqrt' or a number) restricts every node to a hashed subset of features.
+    ``max_features`` ('sqrt' or a number) restricts every node to a hashed subset of features. Trees are numbered from ``first`` on, up to
+    ``n_trees``; what a tree becomes does not depend on which others grow with it.
     """
-    p = len(bins.cols)
     if max_depth > MAX_DEPTH:
         raise ValueError(f"max_depth is at most {MAX_DEPTH}")
-    k = p if max_features is None else (max(1, math.isqrt(p)) if max_features == "sqrt" else int(max_features))
-
-    def feats(tree: int, node: int) -> list[int]:
-        return list(range(p)) if k >= p else ranked_subset(bins.cols, k, seed, "split", tree, node)
-
+    feats = feature_choice(bins.cols, max_features, seed)
     items: list = []
     batch = trees_per_pass(max_depth, n_trees)
-    for start in range(0, n_trees, batch):
+    for start in range(first, n_trees, batch):
         ids = range(start, min(start + batch, n_trees))
-        if weights:
-            rows = binned.selectExpr("label", "bins", f"posexplode(slice({weights}, {start + 1}, {len(ids)})) AS (pos, w)")
-            rows = rows.where("w > 0").selectExpr(f"pos + {start} AS tree", "label", "CAST(w AS DOUBLE) AS w", "bins")
-        else:
-            rows = binned.selectExpr(f"explode(array({', '.join(map(str, ids))})) AS tree", "label", "1D AS w", "bins")
-        rows = rows.selectExpr("tree", "bins", "IF(label = 1, 0D, w) AS s0", "IF(label = 1, w, 0D) AS s1")
-        growth = Growth(binned.sparkSession, GiniRule(min_leaf), {t: max_depth for t in ids}, feats)
-        growth.grow(rows)
+        growth = Growth(binned.sparkSession, GiniRule(min_leaf), {t: max_depth for t in ids}, feats, bins)
+        growth.grow(binned, GiniSource(weights))
         items.extend(growth.nodes.items())
     return node_rows(items, bins, gini_leaf)
 
 
+def feature_choice(cols: list[str], max_features: int | str | None, seed: int):
+    """(tree, node) -> features that may split it: all, or a hashed subset."""
+    p = len(cols)
+    k = p if max_features is None else (max(1, math.isqrt(p)) if max_features == "sqrt" else int(max_features))
+    every = list(range(p))
+    return lambda tree, node: every if k >= p else ranked_subset(cols, k, seed, "split", tree, node)
+
+
 def gini_leaf(node: dict) -> dict:
     n = node["s0"] + node["s1"]
     p0, p1 = node["s0"] / n, node["s1"] / n
