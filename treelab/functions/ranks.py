@@ -21,9 +21,10 @@ from treelab.functions.storage import cut_lineage, settle_small
 def splitters(df: DataFrame, cols: list[str], n: int, accuracy: int = 2000) -> list[list[float]]:
     """About ``n`` equal-frequency cut points per column, by a bounded sketch in one pass."""
     probs = [k / n for k in range(1, n)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"s{i}")
-                   for i, c in enumerate(cols)]).first()
-    return [sorted({float(v) for v in (row[f"s{i}"] or []) if v == v}) for i in range(len(cols))]
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("s")).select("s.*")
+    known = cells.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    found = {r["i"]: r["cuts"] for r in known.groupBy("i").agg(F.percentile_approx("v", probs, accuracy).alias("cuts")).collect()}
+    return [sorted({float(v) for v in found.get(i) or []}) for i in range(len(cols))]
 
 
 def bucketize(df: DataFrame, cols: list[str], edges: list[list[float]], outs: list[str]) -> DataFrame:

@@ -26,14 +26,16 @@ def fit_bins(df: DataFrame, cols: list[str], max_bins: int = 32, method: str = "
     width (``width``). Null and NaN are missing: they count for no feature's values.
     """
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(cols)])
-    row = clean.agg(F.count("*").alias("n"), *[e for i in range(len(cols)) for e in (
-        F.approx_count_distinct(f"x{i}").alias(f"d{i}"), F.count(f"x{i}").alias(f"c{i}"), F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}"))]).first()
+    cells = clean.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("v")) for i in range(len(cols))])).alias("s")).select("s.*")
+    rows = cells.groupBy("i").agg(F.count("*").alias("n"), F.approx_count_distinct("v").alias("d"), F.count("v").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    row: dict = {"n": 0, **{f"{k}{i}": None if k in ("lo", "hi") else 0 for k in ("d", "c", "lo", "hi") for i in range(len(cols))}}
+    for r in rows.collect():
+        row.update({"n": r["n"], **{f"{k}{r['i']}": r[k] for k in ("d", "c", "lo", "hi")}})
     edges: list = [None] * len(cols)
     # more than twice as many by estimate is surely more than max_bins; the others are counted exactly, each by itself
     few = [i for i in range(len(cols)) if row[f"d{i}"] <= 2 * max_bins]
     if few:
-        pairs = clean.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("v")) for i in few])).alias("s"))
-        seen = pairs.select("s.*").where("v is not null").distinct().groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v"))
+        seen = cells.where(F.col("i").isin(few) & F.col("v").isNotNull()).distinct().groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v"))
         for r in seen.where(F.size("v") <= max_bins).collect():
             edges[r["i"]] = [(a + b) / 2.0 for a, b in zip(r["v"], r["v"][1:])]
     for i in range(len(cols)):

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from treelab.functions.hashing import ranked_subset, unit_hash
 from treelab.functions.storage import cut_lineage, local_table
-from treelab.operators.bins import Bins, fit_bins, with_bins
-from treelab.operators.grower import Growth, NewtonRule, VarianceRule, chunks, feature_choice, matrix_of, node_rows
+from treelab.operators.bins import Bins, fit_bins
+from treelab.operators.grower import BINS, MARGINS, Growth, NewtonRule, VarianceRule, chunks, feature_choice, matrix_of, node_rows, pack, packed
 from treelab.operators.metrics import window_stop
 from treelab.operators.nodes import rows_of, tree_sum, tree_values
 
@@ -82,25 +82,27 @@ class BoostModel:
 PRIOR_EDGE = 1e-6
 #: Rounds between two reliable checkpoints of the margins.
 CHECKPOINT_EVERY = 10
+#: Bins and margins up to which all rows are one partition and a round's trees grow in one task.
+TASK_CELLS = 4_000_000
 #: Probabilities are kept this far from 0 and 1 in a loss.
 LOSS_EDGE = 1e-15
 
 
 @dataclass
 class BoostSource:
-    """Derivatives of records (role, fold, label, u, margins, bins) for the models of a call in one round."""
+    """Derivatives of packed records (role, fold, label, margins, bins, u0, u1, ...) for the models of a call in one round."""
 
     kind: str
     shares: list[float]
-    seeds: list[int]            # place of each model's seed among the uniforms ``u``
+    seeds: list[int]            # place of each model's seed among the uniforms
     holdouts: list[int | None]
-    columns: tuple[str, ...] = ("role", "fold", "label", "u", "margins", "bins")
+    columns: tuple[str, ...] = ("role", "fold", "label", "margins", "bins")
 
     def prepare(self, rows: pa.Table):
         train = np.asarray(rows["role"].to_numpy() == "train")
         fold = rows["fold"].combine_chunks().fill_null(-1).to_numpy()
-        u = matrix_of(rows["u"]) if any(s < 1.0 for s in self.shares) else None
-        return matrix_of(rows["bins"]), train, fold, rows["label"].to_numpy().astype(float), u, matrix_of(rows["margins"])
+        u = np.stack([rows[c].to_numpy() for c in self.columns if c[0] == "u"], axis=1) if "u0" in self.columns else None
+        return matrix_of(rows["bins"], BINS), train, fold, rows["label"].to_numpy().astype(float), u, matrix_of(rows["margins"], MARGINS)
 
     def stats(self, prepared, model: int):
         _, train, fold, label, u, margins = prepared
@@ -143,13 +145,18 @@ def boost(df: DataFrame, cols: list[str], configs: list[BoostConfig], role: str
         [c.reg_lambda for c in configs], [c.reg_alpha for c in configs], [c.gamma for c in configs], [c.min_child_weight for c in configs],
         configs[0].gain_scale)
     label = F.col("label").cast("double" if kind == "squared" else "int")
-    state = with_bins(df, bins).select(
-        F.col(row_id).cast("string").alias("rid"), role_col.alias("role"), (F.col(fold) if fold else F.lit(None)).cast("int").alias("fold"),
-        label.alias("label"), "bins", F.array(*[F.lit(b) for b in base]).alias("margins")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.select(F.col(row_id).cast("string").alias("rid"), role_col.alias("role"), (F.col(fold) if fold else F.lit(None)).cast("int").alias("fold"),
+                     label.alias("label"), F.array(*[F.lit(b) for b in base]).alias("margins"), *[F.col(c).cast("double").alias(f"{c}") for c in cols])
+    state = packed(rows, bins, ["rid", "role", "fold", "label"], {"margins": MARGINS}).select("rid", "role", "fold", "label", "margins", "bins")
+    state = cut_lineage(state)
+    small = state.count() * (len(cols) + len(configs)) <= TASK_CELLS
+    state = (state.coalesce(1) if small else state).persist(StorageLevel.MEMORY_AND_DISK)
     seeds = list(dict.fromkeys(c.seed for c in configs if c.subsample < 1.0)) or [configs[0].seed]
     sampled = any(c.subsample < 1.0 for c in configs)
     source = BoostSource(kind, [c.subsample for c in configs], [seeds.index(c.seed) if c.subsample < 1.0 else 0 for c in configs],
                          [c.holdout_fold for c in configs])
+    if sampled:
+        source.columns += tuple(f"u{i}" for i in range(len(seeds)))
     watch = _watched_sets(df, role, configs, eval_sets, bool(patience or no_change))
     models = [BoostModel(c, list(cols), base[m], [], [], watch[m]) for m, c in enumerate(configs)]
     active = {m for m, c in enumerate(configs) if c.n_rounds > 0}
@@ -158,8 +165,8 @@ def boost(df: DataFrame, cols: list[str], configs: list[BoostConfig], role: str
         if not active:
             break
         growth = Growth(spark, rule, {m: configs[m].max_depth for m in sorted(active)}, _features_of(configs, bins, t), bins)
-        u = F.array(*[unit_hash(F.col("rid"), s, "row", t) for s in seeds]) if sampled else F.lit(None).cast("array<double>")
-        growth.grow(state.withColumn("u", u), source)
+        rows = state.withColumns({f"u{i}": unit_hash(F.col("rid"), s, "row", t) for i, s in enumerate(seeds)}) if sampled else state
+        growth.grow(rows, source, one_task=small)
         if before is not None:
             before.unpersist()  # the growth has read the frame after it
         by_model: dict[int, list] = {m: [] for m in active}
@@ -221,13 +228,11 @@ def _moved(state: DataFrame, trees: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, margins = matrix_of(b["bins"]), matrix_of(b["margins"]).copy()
+            x, margins = matrix_of(b["bins"], BINS), matrix_of(b["margins"], MARGINS).copy()
             for m, a in sent.value.items():
                 if b.num_rows and len(a.value):
                     margins[:, m] += a.value[a.walk(x)]
-            width = margins.shape[1] if b.num_rows else 0
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * width), pa.array(margins.ravel()))
-            yield b.set_column(at, pa.field("margins", lists.type), lists)
+            yield b.set_column(at, "margins", pack(margins))
 
     return state.mapInArrow(run, state.schema)
 
@@ -253,7 +258,7 @@ def _record(models: list[BoostModel], state: DataFrame, t: int, active: set[int]
         total: dict[tuple[int, str], np.ndarray] = {}
         for b in chunks(batches):
             roles, code = np.unique(b["role"].to_numpy().astype(str), return_inverse=True)
-            fold, label, margins = b["fold"].combine_chunks().fill_null(-1).to_numpy(), b["label"].to_numpy(), matrix_of(b["margins"])
+            fold, label, margins = b["fold"].combine_chunks().fill_null(-1).to_numpy(), b["label"].to_numpy(), matrix_of(b["margins"], MARGINS)
             for m, held in holdouts.items():
                 margin = margins[:, m]
                 if squared:

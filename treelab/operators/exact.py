@@ -14,13 +14,13 @@ def exact_splits(df: DataFrame, cols: list[str], rule: GiniRule | NewtonRule, no
     ``df`` carries the node, the raw features and the statistic columns of ``rule``. Every (node, feature, value) is reduced to one row first; the running sums
     over the values are built bucket by bucket, so a node holding all rows is no single task. The
     threshold is the midpoint to the next value; equal gains go to the first feature, then the
-    smallest threshold.
+    smallest threshold. Null and NaN are missing: such rows count for no threshold of that feature.
     """
     stats = list(rule.stats)
     edges = splitters(df, cols, buckets)
     wide = bucketize(df, cols, edges, [f"__k{i}" for i in range(len(cols))])
     cells = wide.select(node, *stats, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("fi"), F.col(f"__k{i}").alias("bucket"), F.col(c).cast("double").alias("value"))
+        F.struct(F.lit(i).alias("fi"), F.col(f"__k{i}").alias("bucket"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value"))
         for i, c in enumerate(cols)])).alias("s")).select(node, *stats, "s.*").where(F.col("value").isNotNull())
     counts = cells.groupBy(node, "fi", "bucket", "value").agg(
         *[F.sum(s).alias(s) for s in stats], F.count("*").alias("n"))

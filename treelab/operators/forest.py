@@ -8,8 +8,8 @@ from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassi
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from treelab.operators.bins import Bins, fit_bins, with_bins
-from treelab.operators.grower import grow_gini
+from treelab.operators.bins import Bins, fit_bins
+from treelab.operators.grower import WEIGHTS, grow_gini, packed
 from treelab.operators.nodes import rows_of, tree_values
 from treelab.operators.resample import bootstrap_weights
 
@@ -38,7 +38,7 @@ def grow_tree(train: DataFrame, cols: list[str], max_depth: int = 5, max_bins: i
               min_leaf: float = 1.0) -> tuple[list[dict], Bins]:
     """One gini tree by the shared grower; its node rows carry exact counts and impurities."""
     bins = fit_bins(train, cols, max_bins, method)
-    binned = with_bins(train, bins).select("label", "bins").persist()
+    binned = packed(train, bins, ["label"]).persist()
     nodes = grow_gini(binned, bins, 1, None, max_depth, min_leaf)
     binned.unpersist()
     return nodes, bins
@@ -48,7 +48,7 @@ def grow_forest(train: DataFrame, cols: list[str], n_trees: int = 100, max_depth
                 method: str = "quantile", row_id: str = "row_id", seed: int = 42) -> list[dict]:
     """Bagged gini trees with square-root feature subsets, all bags growing at once."""
     bins = fit_bins(train, cols, max_bins, method)
-    binned = with_bins(bootstrap_weights(train, n_trees, row_id, seed), bins).select("label", "bins", "bag").persist()
+    binned = packed(bootstrap_weights(train, n_trees, row_id, seed), bins, ["label"], {"bag": WEIGHTS}).persist()
     nodes = grow_gini(binned, bins, n_trees, "bag", max_depth, 1.0, "sqrt", seed)
     binned.unpersist()
     return nodes
@@ -59,7 +59,7 @@ def cross_validated_trees(folded: DataFrame, cols: list[str], k: int, max_depth:
     """The trees of all k folds in one growth: tree f is grown on the rows outside fold f."""
     bins = fit_bins(folded, cols, max_bins, method)
     outside = F.array(*[(F.col(fold) != f).cast("tinyint") for f in range(k)])
-    binned = with_bins(folded.withColumn("bag", outside), bins).select("label", "bins", "bag").persist()
+    binned = packed(folded.withColumn("bag", outside), bins, ["label"], {"bag": WEIGHTS}).persist()
     nodes = grow_gini(binned, bins, k, "bag", max_depth)
     binned.unpersist()
     return nodes

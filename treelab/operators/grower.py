@@ -2,22 +2,24 @@
 
 One Spark job per level, however many trees grow. A task walks its rows down the splits found so far, adds their statistics to one dense
 array per tree (node, feature, bin, statistic) and emits an array per open node; the arrays are shuffled once, added up, and the best split of
-a node is found where its sum is. Rows themselves never move and nothing is kept between levels: a walk costs a few array look-ups a level,
+a node is found where its sum is. Rows themselves do not move and nothing is kept between levels: a walk costs a few array look-ups a level,
 which is less than writing a position per row and tree, and a lost executor only repeats its tasks. The arrays of one job stay within
-``HIST_BYTES``; a wider level takes several jobs.
+``HIST_BYTES``; a wider level takes several jobs. Rows that fit one task grow all levels there.
 
 What a row adds to a tree comes from a source: an object with ``columns``, ``prepare(batch)`` and ``stats(prepared, tree)``.
 """
 
 from __future__ import annotations
 
+import copy
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from treelab.functions.hashing import ranked_subset
 from treelab.functions.storage import LOCAL_ROWS
@@ -211,12 +213,50 @@ def best_splits(sums: np.ndarray, feats: np.ndarray, rule, tree, missing: bool)
     return {**best, "total": total}
 
 
-def matrix_of(column: pa.Array) -> np.ndarray:
-    """A column of equally long lists as a matrix."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+#: How the lists of a packed table are stored.
+BINS, WEIGHTS, MARGINS = "<i2", "<i1", "<f8"
+
+
+def packed(df: DataFrame, bins: Bins, keep: list[str], lists: dict[str, str] | None = None) -> DataFrame:
+    """``keep`` and the ``bins`` of every row, and its columns ``lists`` of equally long lists, as bytes, which pass between Spark and its
+    tasks as they are. A bin is the number of cut points below the value, -1 if it is missing."""
+    lists = lists or {}
+    given = df.select(*keep, *lists, *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(bins.cols)])
+    schema = T.StructType([*[given.schema[c] for c in keep], *[T.StructField(c, T.BinaryType()) for c in [*lists, "bins"]]])
+    edges = [np.array(e) for e in bins.edges]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = np.empty((b.num_rows, len(edges)), BINS)
+            for i, cuts in enumerate(edges):
+                x = b[f"x{i}"].to_numpy(zero_copy_only=False)
+                out[:, i] = np.where(np.isnan(x), -1, np.searchsorted(cuts, x, "left"))
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in keep], *[pack(_lists(b[c]).astype(kind)) for c, kind in lists.items()], pack(out)],
+                                             names=[*keep, *lists, "bins"])
+
+    return given.mapInArrow(run, schema)
+
+
+def pack(matrix: np.ndarray) -> pa.Array:
+    """A binary value per row of a matrix."""
+    size = matrix.itemsize * matrix.shape[1] if len(matrix) else 0
+    ends = np.arange(len(matrix) + 1, dtype=np.int32) * size
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(matrix))])
+
+
+def _lists(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def matrix_of(column: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
+    """A packed column as a matrix."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.zeros((0, 0), kind)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind).reshape(len(column), -1)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[pa.Table]:
     """Batches put together to about ``size`` rows."""
     held: list[pa.RecordBatch] = []
@@ -232,7 +272,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[pa.
 
 @dataclass
 class GiniSource:
-    """Class counts of rows (label, bins[, bag]); ``bag`` holds a weight per tree, 0 for a row outside it."""
+    """Class counts of packed rows (label, bins[, bag]); ``bag`` holds a weight per tree, 0 for a row outside it."""
 
     bag: str | None = None
 
@@ -241,7 +281,7 @@ class GiniSource:
         return ["label", "bins", *([self.bag] if self.bag else [])]
 
     def prepare(self, rows: pa.Table):
-        return matrix_of(rows["bins"]), np.asarray(rows["label"]).astype(float), matrix_of(rows[self.bag]) if self.bag else None
+        return matrix_of(rows["bins"], BINS), np.asarray(rows["label"]).astype(float), matrix_of(rows[self.bag], WEIGHTS) if self.bag else None
 
     def stats(self, prepared, tree: int):
         """Rows in the tree (None: all), and their statistics."""
@@ -259,12 +299,12 @@ class GiniSource:
 class Growth:
     """The growing node lists of a set of trees; holds one record per node, never data rows."""
 
-    def __init__(self, spark: SparkSession, rule, depth_of: dict[int, int], feats_of, bins: Bins):
+    def __init__(self, spark: SparkSession | None, rule, depth_of: dict[int, int], feats_of, bins: Bins | None):
         self.spark, self.rule = spark, rule
         self.depth_of = depth_of                     # tree -> maximum depth
         self.feats_of = feats_of                     # (tree, node) -> allowed feature indices
-        self.missing = bins.missing
-        self.width = max([len(e) for e in bins.edges], default=0) + 2  # bins and the missing one
+        self.missing = bins is not None and bins.missing
+        self.width = max([len(e) for e in bins.edges], default=0) + 2 if bins else 0  # bins and the missing one
         self.nodes: dict[tuple[int, int], dict] = {}
         self.order = {t: [0] for t in sorted(depth_of)}  # position -> node number
         self.frontier = [(t, 0) for t in sorted(depth_of)]
@@ -383,10 +423,57 @@ class Growth:
         sent.unpersist()
         return out
 
-    def grow(self, rows: DataFrame, source, min_gain: float = 0.0) -> None:
+    def grow(self, rows: DataFrame, source, min_gain: float = 0.0, one_task: bool = False) -> None:
+        """Grow all levels; with ``one_task`` (rows of one partition that fits a task) all of them in that task, else a job per level."""
+        if one_task:
+            self._grow_in_task(rows, source, min_gain)
         while self.frontier:
             self.step(rows, source, min_gain)
 
+    def _grow_in_task(self, rows: DataFrame, source, min_gain: float) -> None:
+        local = TaskGrowth(None, self.rule, self.depth_of, self.feats_of, None)
+        local.missing, local.width = self.missing, self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            growth = copy.deepcopy(local)  # the settings alone: nothing has grown yet
+            held = [b for b in batches if b.num_rows]
+            if held:
+                growth.prepared = source.prepare(pa.Table.from_batches(held).combine_chunks())
+                while growth.frontier:
+                    growth.step(None, source, min_gain)
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((growth.nodes, growth.order))], pa.binary())], names=["grown"])
+
+        for r in rows.select(*source.columns).mapInArrow(run, "grown binary").collect():  # one row: the model
+            self.nodes, self.order = pickle.loads(r["grown"])
+        self.frontier = []
+
+
+class TaskGrowth(Growth):
+    """The same growth over rows that a task holds."""
+
+    prepared = None
+
+    def _level(self, rows, source, part: list[tuple[int, int]]) -> dict[tuple[int, int], dict]:
+        out = {}
+        states = self.states(part)
+        for t, a in states.items():
+            inside, stats = source.stats(self.prepared, t)
+            x = self.prepared[0] if inside is None else self.prepared[0][inside]
+            slot = a.slot[a.walk(x)]
+            here = slot >= 0
+            x, slot, stats = x[here], slot[here], [s[here] for s in stats]
+            if not len(x):
+                continue
+            sums = slot_sums(x, slot, stats, a.feats, self.width)
+            seen = np.flatnonzero(sums[:, 0, :, -1].any(axis=1))
+            best = best_splits(sums[seen], a.feats[seen], self.rule, np.full(len(seen), t), self.missing)
+            numbers = [n for tree, n in part if tree == t]
+            gains = [None if math.isnan(g) else g for g in best["gain"].tolist()]
+            for i, k in enumerate(seen):
+                out[t, numbers[k]] = {"gain": gains[i], "feature": int(best["feature"][i]), "bin": int(best["bin"][i]),
+                                      "missing_left": bool(best["missing_left"][i]), "left": best["left"][i].tolist(), "total": best["total"][i].tolist()}
+        return out
+
 
 def trees_per_pass(max_depth: int, n_trees: int) -> int:
     """How many trees grow side by side so that their nodes stay a small table."""
@@ -395,7 +482,7 @@ def trees_per_pass(max_depth: int, n_trees: int) -> int:
 
 def grow_gini(binned: DataFrame, bins: Bins, n_trees: int = 1, weights: str | None = None, max_depth: int = 5,
               min_leaf: float = 1.0, max_features: int | str | None = None, seed: int = 42, first: int = 0) -> list[dict]:
-    """Grow gini trees over ``(label, bins[, weights])`` and return their node rows.
+    """Grow gini trees over packed ``(label, bins[, weights])`` and return their node rows.
 
     ``weights`` names an array column with one weight per tree (0 = the row is not in that tree's sample).
     ``max_features`` ('sqrt' or a number) restricts every node to a hashed subset of features. Trees are numbered from ``first`` on, up to
