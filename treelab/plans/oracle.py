@@ -151,6 +151,45 @@ def scale_tree(depth: int) -> list[tuple[str, str]]:
 
 
 
+def full_tree(src: str, cols: list[str], fit: str = "true") -> list[tuple[str, str]]:
+    """A fully grown tree by recursion: ``grown`` holds every row at every node it passes, ``full_splits`` the split of each inner node."""
+    def best(rows: str) -> str:
+        return f"""(SELECT path, f, v, nv, gain, t_n, t_s1 FROM (
+            SELECT *, round(((l_s0 * l_s0 + l_s1 * l_s1) / l_n + (r_s0 * r_s0 + r_s1 * r_s1) / r_n - (t_s0 * t_s0 + t_s1 * t_s1) / t_n) / t_n, 10) AS gain FROM (
+              SELECT *, t_n - l_n AS r_n, t_s1 - l_s1 AS r_s1, l_n - l_s1 AS l_s0, t_n - l_n - t_s1 + l_s1 AS r_s0, t_n - t_s1 AS t_s0 FROM (
+                SELECT path, f, v, lead(v) OVER w AS nv, sum(n) OVER w AS l_n, sum(s1) OVER w AS l_s1,
+                  sum(n) OVER (PARTITION BY path, f) AS t_n, sum(s1) OVER (PARTITION BY path, f) AS t_s1
+                FROM (SELECT path, f, v, count(*)::DOUBLE AS n, sum(label)::DOUBLE AS s1 FROM (
+                  SELECT path, label, unnest([{', '.join(str(i) for i in range(len(cols)))}]) AS f, unnest([{', '.join(f'{c}::DOUBLE' for c in cols)}]) AS v FROM {rows} WHERE fit)
+                  GROUP BY path, f, v) WINDOW w AS (PARTITION BY path, f ORDER BY v)))
+              WHERE nv IS NOT NULL AND t_s0 > 0 AND t_s1 > 0)
+            WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, f, v) = 1)"""
+    features = ", ".join(f"g.{c}" for c in cols)
+    value = "CASE b.f " + " ".join(f"WHEN {i} THEN g.{c}::DOUBLE" for i, c in enumerate(cols)) + " END"
+    return [("grown", f"""SELECT '' AS path, {fit} AS fit, label, {', '.join(cols)} FROM {src} UNION ALL
+          SELECT g.path || CASE WHEN {value} <= (b.v + b.nv) / 2.0::DOUBLE THEN '0' ELSE '1' END, g.fit, g.label, {features}
+          FROM grown g JOIN {best('grown')} b USING (path)"""),
+            ("full_splits", f"SELECT *, (v + nv) / 2.0::DOUBLE AS threshold FROM {best('grown')}")]
+
+
+def recursive(ctes: list[tuple[str, str]], final: str, name: str) -> str:
+    """As ``with_`` with one recursive table."""
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS {'' if n == name else 'MATERIALIZED '}({s})" for n, s in ctes) + "\n" + final
+
+
+FULL_TREE = [*MIXED_SPLIT, *full_tree("data", MIXED_COLS, "split = 'train'")]
+FULL_TREE_SQL = recursive(FULL_TREE, f"""SELECT path, length(path)::INT AS depth, c.feature, round(threshold, 8) AS threshold, s.f IS NULL AS is_leaf, n AS n_samples,
+    (n - s1)::BIGINT AS count_0, s1::BIGINT AS count_1, round(1 - pow((n - s1) / n::DOUBLE, 2) - pow(s1 / n::DOUBLE, 2), 6) AS impurity,
+    round(gain, 6) AS gain, (s1 > n - s1)::INT AS prediction
+    FROM (SELECT path, count(*) AS n, sum(label) AS s1 FROM grown WHERE fit GROUP BY path) LEFT JOIN full_splits s USING (path)
+    LEFT JOIN (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(MIXED_COLS))}) c(f, feature) ON c.f = s.f""", "grown")
+FULL_TREE_SUMMARY_SQL = recursive([*FULL_TREE, ("leaves", """SELECT path, (2 * sum(label) > count(*))::INT AS prediction FROM grown
+    WHERE fit AND path NOT IN (SELECT path FROM full_splits) GROUP BY path""")],
+    """SELECT round(avg(hit) FILTER (fit), 6) AS train_acc, round(avg(hit) FILTER (NOT fit), 6) AS test_acc,
+    (SELECT max(length(path))::INT FROM grown WHERE fit) AS depth, (SELECT count(*) FROM leaves) AS leaves
+    FROM (SELECT g.fit, (g.label = l.prediction)::INT AS hit FROM grown g JOIN leaves l USING (path))""", "grown")
+
+
 def weight_case(t: str, row: str = "row_id") -> str:
     uni = f"(('0x' || substr(md5({row} || ':42:' || ({t} // 4)), 1 + 8 * ({t} % 4), 8))::BIGINT / 4294967296.0)"
     return "(" + " + ".join(f"({uni} >= {c!r}::DOUBLE)::INT" for c in POISSON_CDF) + ")"
@@ -459,6 +498,8 @@ ORACLE: dict[str, str] = {
         for k in SWEEP_DEPTHS))],
         """SELECT depth, round(avg(hit) FILTER (split = 'train'), 6) AS train_acc, round(avg(hit) FILTER (split = 'test'), 6) AS test_acc
            FROM hits GROUP BY depth"""),
+    "full_tree": FULL_TREE_SQL,
+    "full_tree_summary": FULL_TREE_SUMMARY_SQL,
     "cv_fold_scores": with_(CV, f"""SELECT fold, round(avg(((n.s1 > n.s0)::INT = d.label)::INT), 6) AS accuracy FROM data d
         JOIN cur{CV_DEPTH} c ON c.row_id = d.row_id AND c.tree = d.fold JOIN nodes n ON n.tree = c.tree AND n.node = c.node GROUP BY fold"""),
     "forest_nodes": with_(FOREST, """SELECT tree::INT AS tree_id, node AS node_id, feature, round(threshold, 8) AS threshold, n::BIGINT AS n_samples,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treelab.operators import (boosting, clean, exact, explain, forest, grower, metrics, nodes, profile, pruning,
+from treelab.operators import (boosting, clean, exact, explain, forest, full_tree as full, grower, metrics, nodes, profile, pruning,
                                resample)
 from treelab.plans import compare
 from treelab.plans.fixtures import (MIXED_COLS, SCALE_COLS, WIDE_COLS, mixed_raw, mixed_types, scale_rows, scored_rows,
@@ -396,6 +396,17 @@ def ml_tree_nodes(spark, d):
     return nodes.node_report(nodes.node_table(spark, nodes.model_nodes(model, WIDE_COLS)))
 
 
+def full_tree(spark, d):
+    """The tree without any limit: every leaf is pure, or its rows are equal in all features."""
+    found, _ = full.full_tree(split_rows(mixed_types(spark, d)), MIXED_COLS, split="split")
+    return r6(found, "threshold", "impurity", "gain")
+
+
+def full_tree_summary(spark, d):
+    found, hits = full.full_tree(split_rows(mixed_types(spark, d)), MIXED_COLS, split="split")
+    return r6(full.summary(found, hits), "train_acc", "test_acc")
+
+
 def cv_fold_scores(spark, d):
     folded = resample.stratified_folds(scale_rows(spark, d), 5).persist()
     found = forest.cross_validated_trees(folded, SCALE_COLS, 5, 3, TREE_BINS, "width")
@@ -619,7 +630,7 @@ QUERIES: dict[str, Callable] = {f.__name__: f for f in (
     overfit_gap, metric_pivot, running_vote_accuracy, patience_stop, window_stop,
     gini_root_split, gini_node_splits, second_order_root_split, missing_routing, tree_nodes, tree_size, tree_report, tree_rules,
     tree_rules_text, depth_sweep, pruning_path, tree_size_by_alpha, alpha_sweep, pruned_tree_report, ml_tree_nodes,
-    cv_fold_scores, forest_nodes, forest_first_tree, oob_score, oob_convergence, forest_size_sweep, mdi_importance,
+    full_tree, full_tree_summary, cv_fold_scores, forest_nodes, forest_first_tree, oob_score, oob_convergence, forest_size_sweep, mdi_importance,
     topk_features, permutation_scores, permutation_importance, boost_nodes, boost_history, boost_scores, split_gain_cover,
     regularisation_table, boost_early_stop, gbt_staged_loss, gbt_early_stop, gbt_rate_table, residual_boosting,
     shap_values, shap_global, shap_local, importance_by_model, interpretability_summary, model_comparison, metric_matrix,
