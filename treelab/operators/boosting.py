@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from treelab.functions.hashing import ranked_subset, unit_hash
 from treelab.functions.storage import cut_lineage, local_table
@@ -330,12 +330,12 @@ def score_boost(df: DataFrame, model: BoostModel) -> DataFrame:
         "prediction", (F.col("p1") > 0.5).cast("int"))
 
 
-def history_table(df: DataFrame, models: list[BoostModel]) -> DataFrame:
+def history_table(spark: SparkSession, models: list[BoostModel]) -> DataFrame:
     """Learning curves as ``(model, eval_set, iteration, logloss, accuracy)``."""
     schema = T.StructType([T.StructField("model", T.StringType()), T.StructField("eval_set", T.StringType()),
                            T.StructField("iteration", T.IntegerType()), T.StructField("logloss", T.DoubleType()),
                            T.StructField("accuracy", T.DoubleType())])
-    return local_table(df.sparkSession, [{"model": m.config.name, **h} for m in models for h in m.history], schema)
+    return local_table(spark, [{"model": m.config.name, **h} for m in models for h in m.history], schema)
 
 
 def gbt(n_rounds: int = 100, learning_rate: float = 0.1, max_depth: int = 3, subsample: float = 1.0,

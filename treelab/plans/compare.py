@@ -10,7 +10,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from treelab.functions.storage import local_table
 from treelab.operators.boosting import BoostConfig, BoostModel, boost, gbt, score_boost
@@ -86,23 +86,15 @@ def cv_distribution(scores: DataFrame) -> DataFrame:
     return box_summary(scores, "model", "accuracy")
 
 
-def rate_table(data: DataFrame, cols: list[str], settings: list[tuple[float, int]], max_depth: int = 3,
-               split: str = "split", seed: int = 42) -> DataFrame:
-    """Train and test accuracy for pairs of learning rate and number of rounds (Spark boosted trees)."""
-    train = assemble(data.where(F.col(split) == "train"), cols).persist()
-    both = assemble(data, cols).persist()
-    parts = []
-    for rate, n in settings:
-        model = gbt(n, rate, max_depth, seed=seed).fit(train)
-        hit = (F.col("prediction") == F.col("label")).cast("int")
-        row = model.transform(both).agg(F.avg(F.when(F.col(split) == "train", hit)).alias("train_acc"),
-                                        F.avg(F.when(F.col(split) == "test", hit)).alias("test_acc"))
-        parts.append(row.select(F.lit(f"lr={rate}, n={n}").alias("label"), F.lit(rate).alias("lr"), F.lit(n).alias("n"),
-                                "train_acc", "test_acc"))
-    out = local_table(data.sparkSession, [r.asDict() for p in parts for r in p.collect()], parts[0].schema)
-    train.unpersist()
-    both.unpersist()
-    return out
+def last_scores(spark: SparkSession, models: list[BoostModel], settings: dict[str, dict]) -> DataFrame:
+    """Train and test accuracy after the last round of each model, next to its ``settings`` (by name)."""
+    rows = []
+    for m in models:
+        last = {h["eval_set"]: h["accuracy"] for h in m.history if h["iteration"] == m.config.n_rounds - 1}
+        rows.append({"label": m.config.name, "lr": settings[m.config.name]["lr"], "n": settings[m.config.name]["n"],
+                     "train_acc": last.get("train"), "test_acc": last.get("test")})
+    return local_table(spark, rows, T.StructType([T.StructField("label", T.StringType()), T.StructField("lr", T.DoubleType()), T.StructField("n", T.IntegerType()),
+                                                  T.StructField("train_acc", T.DoubleType()), T.StructField("test_acc", T.DoubleType())]))
 
 
 def regularisation_table(data: DataFrame, cols: list[str], settings: list[dict], base: BoostConfig, split: str = "split",
@@ -112,7 +104,7 @@ def regularisation_table(data: DataFrame, cols: list[str], settings: list[dict],
     models = boost(data, cols, configs, role=split, row_id=row_id, track={base.n_rounds - 1}, **kw)
     rows = []
     for s, m in zip(settings, models):
-        acc = {h["eval_set"]: h["accuracy"] for h in m.history}
+        acc = {h["eval_set"]: h["accuracy"] for h in m.history if h["iteration"] == m.config.n_rounds - 1}
         rows.append({**s, "train_acc": acc["train"], "test_acc": acc["test"], "gap": acc["train"] - acc["test"],
                      "leaves": sum(r["is_leaf"] for r in m.nodes)})
     schema = T.StructType([T.StructField("label", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in (

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from treelab.functions.hashing import POISSON_CDF
 from treelab.plans.fixtures import MIXED_COLS, SCALE_COLS, SCORE_WEIGHTS, VECTOR_SIZE, WIDE_COLS
-from treelab.plans.queries import (BOOST, FOREST_BINS, FOREST_DEPTH, FOREST_TREES, PERM_REPEATS, REG_BASE, REG_SETTINGS,
+from treelab.plans.queries import (BOOST, FOREST_BINS, FOREST_DEPTH, FOREST_TREES, GBT_ROUNDS, PERM_REPEATS, REG_BASE, REG_SETTINGS,
                                    SWEEP_DEPTHS, TREE_BINS, TREE_DEPTH)
 
 
@@ -151,7 +151,7 @@ def scale_tree(depth: int) -> list[tuple[str, str]]:
 
 
 
-def full_tree(src: str, cols: list[str], fit: str = "true") -> list[tuple[str, str]]:
+def full_tree(src: str, cols: list[str], fit: str = "true", depth: int | None = None, cut: str = "(b.v + b.nv) / 2.0::DOUBLE") -> list[tuple[str, str]]:
     """A fully grown tree by recursion: ``grown`` holds every row at every node it passes, ``full_splits`` the split of each inner node."""
     def best(rows: str) -> str:
         return f"""(SELECT path, f, v, nv, gain, t_n, t_s1 FROM (
@@ -167,8 +167,8 @@ def full_tree(src: str, cols: list[str], fit: str = "true") -> list[tuple[str, s
     features = ", ".join(f"g.{c}" for c in cols)
     value = "CASE b.f " + " ".join(f"WHEN {i} THEN g.{c}::DOUBLE" for i, c in enumerate(cols)) + " END"
     return [("grown", f"""SELECT '' AS path, {fit} AS fit, label, {', '.join(cols)} FROM {src} UNION ALL
-          SELECT g.path || CASE WHEN {value} <= (b.v + b.nv) / 2.0::DOUBLE THEN '0' ELSE '1' END, g.fit, g.label, {features}
-          FROM grown g JOIN {best('grown')} b USING (path)"""),
+          SELECT g.path || CASE WHEN {value} <= {cut} THEN '0' ELSE '1' END, g.fit, g.label, {features}
+          FROM grown g JOIN {best('grown')} b USING (path){'' if depth is None else f' WHERE length(path) < {depth}'}"""),
             ("full_splits", f"SELECT *, (v + nv) / 2.0::DOUBLE AS threshold FROM {best('grown')}")]
 
 
@@ -183,6 +183,16 @@ FULL_TREE_SQL = recursive(FULL_TREE, f"""SELECT path, length(path)::INT AS depth
     round(gain, 6) AS gain, (s1 > n - s1)::INT AS prediction
     FROM (SELECT path, count(*) AS n, sum(label) AS s1 FROM grown WHERE fit GROUP BY path) LEFT JOIN full_splits s USING (path)
     LEFT JOIN (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(MIXED_COLS))}) c(f, feature) ON c.f = s.f""", "grown")
+SWEEP_SQL = recursive([*SCALE_SPLIT, *binning("data", SCALE_COLS, TREE_BINS, "split = 'train'"),
+    ("positions", f"""SELECT d.split, d.label, {', '.join(f'max(CASE WHEN f = {i} THEN bin END) AS b{i}' for i in range(len(SCALE_COLS)))}
+        FROM data d JOIN binned USING (row_id) GROUP BY row_id, d.split, d.label"""),
+    *full_tree("positions", [f"b{i}" for i in range(len(SCALE_COLS))], "split = 'train'", SWEEP_DEPTHS[-1], "b.v"),
+    ("verdicts", """SELECT path, length(path) AS depth, (2 * sum(label) FILTER (fit) > count(*) FILTER (fit))::INT AS prediction,
+        path NOT IN (SELECT path FROM full_splits) AS is_leaf FROM grown GROUP BY path"""),
+    ("counted", """SELECT v.depth, v.is_leaf, g.fit, count(*) AS n, sum((g.label = v.prediction)::INT) AS hits
+        FROM grown g JOIN verdicts v USING (path) GROUP BY ALL""")],
+    f"""SELECT d::INT AS depth, round(sum(hits) FILTER (fit) / sum(n) FILTER (fit), 6) AS train_acc, round(sum(hits) FILTER (NOT fit) / sum(n) FILTER (NOT fit), 6) AS test_acc
+    FROM range(1, {SWEEP_DEPTHS[-1] + 1}) r(d) JOIN counted c ON c.depth = d OR (c.is_leaf AND c.depth < d) GROUP BY d""", "grown")
 FULL_TREE_SUMMARY_SQL = recursive([*FULL_TREE, ("leaves", """SELECT path, (2 * sum(label) > count(*))::INT AS prediction FROM grown
     WHERE fit AND path NOT IN (SELECT path FROM full_splits) GROUP BY path""")],
     """SELECT round(avg(hit) FILTER (fit), 6) AS train_acc, round(avg(hit) FILTER (NOT fit), 6) AS test_acc,
@@ -241,6 +251,45 @@ def boost_ctes(b=BOOST, p: str = "") -> list[tuple[str, str]]:
     return out
 
 
+VARIANCE_GAIN = "CASE WHEN l_n >= 1 AND r_n >= 1 THEN (l_s * l_s / l_n + r_s * r_s / r_n - t_s * t_s / t_n) / t_n END"
+
+
+def gradient_ctes(src: str, rounds: int, rate: float, depth: int, sample: str, target: str, weight: str, start: str, feats: str | None = None) -> list[tuple[str, str]]:
+    """Rounds of residual trees: ``target`` and ``weight`` are the residual and the divisor of a leaf's sum, from ``margin`` and ``p``."""
+    out = [("m0", f"SELECT *, ({start})::DOUBLE AS margin FROM {src}")]
+    for t in range(rounds):
+        q = f"g{t}_"
+        rows = (f"SELECT {t} AS tree, row_id, w * ({target}) AS s, w * ({weight}) AS q, w AS n FROM (SELECT *, {sample.replace('{t}', str(t))} AS w, "
+                f"1 / (1 + exp(-margin)) AS p FROM m{t})")
+        out += levels(q, rows, ["s", "q"], VARIANCE_GAIN, "t_n >= 2", depth, feats and feats.replace("{t}", str(t)))
+        out += [(f"{q}leaf", f"SELECT *, {rate}::DOUBLE * s / q AS value FROM {q}nodes"),
+                (f"m{t + 1}", f"SELECT m.* REPLACE (m.margin + l.value AS margin) FROM m{t} m JOIN {q}cur{depth} c USING (row_id) JOIN {q}leaf l ON l.node = c.node")]
+    return out
+
+
+GBT = [*SCALE_SPLIT, *binning("data", SCALE_COLS, TREE_BINS, "split = 'train'"),
+       *gradient_ctes("data", GBT_ROUNDS, 0.1, 3, f"""(split = 'train' AND {u("row_id || ':42:row:{t}'")} < 0.8::DOUBLE)::INT""", "label - p", "p * (1 - p)",
+                      "SELECT ln(a / (1 - a)) FROM (SELECT avg(label) AS a FROM data WHERE split = 'train')",
+                      "SELECT tree, node, f FROM {nodes}, names QUALIFY row_number() OVER (PARTITION BY tree, node "
+                      "ORDER BY md5('42:split:{t}:' || node || ':' || feature), f) <= 2")]
+GBT_SQL = with_(GBT, " UNION ALL ".join(
+    f"""SELECT {t}::INT AS tree_id, node::INT AS node_id, feature, round(threshold, 8) AS threshold, n::BIGINT AS n_samples, round(n::DOUBLE, 6) AS cover,
+        round(value, 6) AS value, round(gain, 6) AS gain FROM g{t}_leaf""" for t in range(GBT_ROUNDS)))
+def _bin_split(rows: str) -> str:
+    """One level of a residual tree over sums by bin (node, bin, n, s)."""
+    return f"""(SELECT * EXCLUDE (l_n, l_s, t_n, t_s, gain, cut, top) REPLACE (CASE WHEN top > 0 THEN 2 * node + CASE WHEN bin <= cut THEN 1 ELSE 2 END ELSE node END AS node)
+        FROM (SELECT *, first_value(bin) OVER (PARTITION BY node ORDER BY gain DESC NULLS LAST, bin) AS cut, max(gain) OVER (PARTITION BY node) AS top
+          FROM (SELECT *, CASE WHEN l_n < t_n THEN round((l_s * l_s / l_n + (t_s - l_s) * (t_s - l_s) / (t_n - l_n) - t_s * t_s / t_n) / t_n, 10) END AS gain
+            FROM (SELECT *, sum(n) OVER w AS l_n, sum(s) OVER w AS l_s, sum(n) OVER (PARTITION BY node) AS t_n, sum(s) OVER (PARTITION BY node) AS t_s
+              FROM {rows} WINDOW w AS (PARTITION BY node ORDER BY bin)))))"""
+
+
+_round = _bin_split(_bin_split("(SELECT *, 0 AS node, sy - n * margin AS s FROM fit WHERE round < 5)"))
+RESIDUAL_SQL = recursive([*SINE, *binning("sine", ["x"], 32),
+                          ("sums", "SELECT bin, count(*)::DOUBLE AS n, sum(y) AS sy, sum(y * y) AS sq FROM sine JOIN binned USING (row_id) GROUP BY bin"),
+                          ("fit", f"""SELECT 0 AS round, bin, n, sy, sq, (SELECT avg(y) FROM sine) AS margin FROM sums UNION ALL
+                            SELECT round + 1, bin, n, sy, sq, margin + 0.5::DOUBLE * sum(s) OVER (PARTITION BY node) / sum(n) OVER (PARTITION BY node) FROM {_round}""")],
+                         "SELECT round::INT AS round, round(sum(sq - 2 * margin * sy + n * margin * margin) / sum(n), 6) AS mse FROM fit GROUP BY round", "fit")
 BOOST_INPUT = [*SCALE_SPLIT, *binning("data", SCALE_COLS, TREE_BINS, "split = 'train'")]
 BOOSTED = [*BOOST_INPUT, *boost_ctes()]
 REGULARISED = [*BOOST_INPUT, *[c for i, x in enumerate(REG_SETTINGS) for c in boost_ctes(
@@ -493,12 +542,10 @@ ORACLE: dict[str, str] = {
     "tree_rules_text": with_([*scale_tree(3), *paths(3)], RULES_TEXT),
     "forest_first_tree": with_(FOREST, node_report(3, "tree = 0")),
     "regularisation_table": with_(REGULARISED, REGULARISED_SQL),
-    "depth_sweep": with_([*scale_tree(SWEEP_DEPTHS[-1]), ("hits", " UNION ALL ".join(
-        f"SELECT {k} AS depth, d.split, ((n.s1 > n.s0)::INT = d.label)::INT AS hit FROM cur{k} c JOIN nodes n USING (tree, node) JOIN data d ON d.row_id = c.row_id"
-        for k in SWEEP_DEPTHS))],
-        """SELECT depth, round(avg(hit) FILTER (split = 'train'), 6) AS train_acc, round(avg(hit) FILTER (split = 'test'), 6) AS test_acc
-           FROM hits GROUP BY depth"""),
+    "depth_sweep": SWEEP_SQL,
     "full_tree": FULL_TREE_SQL,
+    "gbt_nodes": GBT_SQL,
+    "residual_boosting": RESIDUAL_SQL,
     "full_tree_summary": FULL_TREE_SUMMARY_SQL,
     "cv_fold_scores": with_(CV, f"""SELECT fold, round(avg(((n.s1 > n.s0)::INT = d.label)::INT), 6) AS accuracy FROM data d
         JOIN cur{CV_DEPTH} c ON c.row_id = d.row_id AND c.tree = d.fold JOIN nodes n ON n.tree = c.tree AND n.node = c.node GROUP BY fold"""),

@@ -16,7 +16,7 @@ from treelab.sources import sinks, tables
 CLASS_NAMES = {0: "negative", 1: "positive"}
 #: Settings shared with the SQL side.
 TREE_DEPTH, TREE_BINS = 4, 64
-SWEEP_DEPTHS = list(range(1, 7))
+SWEEP_DEPTHS = list(range(1, 20))
 FOREST_TREES, FOREST_DEPTH, FOREST_BINS = 12, 4, 32
 PERM_REPEATS = 3
 BOOST = boosting.BoostConfig(name="boost", n_rounds=3, learning_rate=0.3, max_depth=2, subsample=0.8,
@@ -29,7 +29,8 @@ REG_SETTINGS = [
     {"label": "alpha=1", "gamma": 0.0, "lambda": 1.0, "alpha": 1.0},
     {"label": "combined", "gamma": 1.0, "lambda": 5.0, "alpha": 0.5},
 ]
-RATES = [(1.0, 1), (0.5, 5), (0.1, 10), (0.05, 20)]
+RATES = [(1.0, 10), (0.5, 50), (0.1, 100), (0.05, 200), (0.01, 500)]
+GBT_ROUNDS = 3
 
 
 def r6(df: DataFrame, *cols: str) -> DataFrame:
@@ -487,7 +488,7 @@ def boost_nodes(spark, d):
 
 def boost_history(spark, d):
     data, model = _scale_boost(spark, d)
-    return r6(boosting.history_table(data, [model]), "logloss", "accuracy")
+    return r6(boosting.history_table(spark, [model]), "logloss", "accuracy")
 
 
 def boost_scores(spark, d):
@@ -508,37 +509,55 @@ def regularisation_table(spark, d):
 
 
 def boost_early_stop(spark, d):
+    """Up to 1,000 rounds, until the test loss has not improved for 30."""
     data = split_rows(wide_numeric(spark, d)).persist()
-    config = boosting.BoostConfig(n_rounds=12, learning_rate=0.5, max_depth=3, subsample=0.8, colsample_bytree=0.8)
-    model = boosting.boost_early_stop(data, WIDE_COLS, config, "split", patience=3, max_bins=16, eval_sets=["train", "test"])
-    return boosting.history_table(data, [model]).withColumn("kept", F.col("iteration") < model.config.n_rounds)
+    config = boosting.BoostConfig(n_rounds=1000, learning_rate=0.05, max_depth=4, subsample=0.8, colsample_bytree=0.8, gamma=1.0, reg_lambda=2.0)
+    model = boosting.boost_early_stop(data, WIDE_COLS, config, "split", patience=30, eval_sets=["train", "test"])
+    data.unpersist()
+    return boosting.history_table(spark, [model]).withColumn("kept", F.col("iteration") < model.config.n_rounds)
 
 
-def _gbt_nodes(spark, data, cols, rounds=10):
-    train = tables.assemble(data.where("split != 'test'"), cols)
-    return nodes.model_nodes(boosting.gbt(rounds, 0.1, 3, subsample=0.8).fit(train), cols)
+def _gbt(spark, data, cols, configs, **kw):
+    """Log-odds models side by side; the data is released."""
+    data = data.persist()
+    models = boosting.boost(data, cols, configs, role="split", **kw)
+    data.unpersist()
+    return models
+
+
+def gbt_nodes(spark, d):
+    """The first rounds of log-odds boosting with a square-root subset of features at every split."""
+    config = boosting.log_odds_config(GBT_ROUNDS, max_features="sqrt", subsample=0.8)
+    model, = _gbt(spark, split_rows(scale_rows(spark, d)), SCALE_COLS, [config], max_bins=TREE_BINS, method="width", track=False)
+    return r6(nodes.node_table(spark, model.nodes).select("tree_id", "node_id", "feature", "threshold", "n_samples", "cover", "value", "gain"),
+              "threshold", "cover", "value", "gain")
 
 
 def gbt_staged_loss(spark, d):
-    data = split_rows(wide_numeric(spark, d)).persist()
-    return boosting.staged_loss(data, _gbt_nodes(spark, data, WIDE_COLS), WIDE_COLS, scale=2.0)
+    """Loss and accuracy after each of 100 rounds."""
+    config = boosting.log_odds_config(100, 0.1, 3, subsample=0.8, max_features="sqrt")
+    model, = _gbt(spark, split_rows(wide_numeric(spark, d)), WIDE_COLS, [config])
+    return boosting.history_table(spark, [model]).select(F.col("eval_set").alias("split"), "iteration", F.col("logloss").alias("log_loss"), "accuracy")
 
 
 def gbt_early_stop(spark, d):
+    """Up to 300 rounds, until the loss of an inner hold-out has not fallen by 1e-4 in 20."""
     data = split_rows(wide_numeric(spark, d))
-    inner = resample.stratified_split(data, test_fraction=0.2, seed=43, out="part", names=("train", "valid"))
-    inner = inner.withColumn("split", F.when(F.col("split") == "test", "test").otherwise(F.col("part"))).drop("part").persist()
-    train = tables.assemble(inner.where("split = 'train'"), WIDE_COLS)
-    found = nodes.model_nodes(boosting.gbt(20, 0.3, 3).fit(train), WIDE_COLS)
-    return boosting.gbt_early_stop(inner, found, WIDE_COLS, 5)[1]
+    inner = resample.stratified_split(data.where("split = 'train'").drop("split"), test_fraction=0.2, seed=43, names=("train", "valid"))
+    model, = _gbt(spark, inner, WIDE_COLS, [boosting.log_odds_config(300, 0.05, 3, subsample=0.8)], no_change=(20, 1e-4))
+    losses = boosting.history_table(spark, [model]).where("eval_set = 'valid'")
+    return metrics.window_stop(losses, 20, 1e-4, loss="logloss")
 
 
 def gbt_rate_table(spark, d):
-    return compare.rate_table(split_rows(mixed_types(spark, d)), MIXED_COLS, RATES)
+    """Five pairs of learning rate and rounds, grown side by side."""
+    configs = [boosting.log_odds_config(n, rate, name=f"lr={rate}, n={n}") for rate, n in RATES]
+    models = _gbt(spark, split_rows(mixed_types(spark, d)), MIXED_COLS, configs, track={n - 1 for _, n in RATES})
+    return compare.last_scores(spark, models, {c.name: {"lr": c.learning_rate, "n": c.n_rounds} for c in configs})
 
 
 def residual_boosting(spark, d):
-    return boosting.residual_boosting(sine_rows(spark, d), ["x"])
+    return r6(boosting.residual_boosting(sine_rows(spark, d), ["x"], method="width"), "mse")
 
 
 # --- explanations -------------------------------------------------------------------------------------------------
@@ -632,6 +651,6 @@ QUERIES: dict[str, Callable] = {f.__name__: f for f in (
     tree_rules_text, depth_sweep, pruning_path, tree_size_by_alpha, alpha_sweep, pruned_tree_report, ml_tree_nodes,
     full_tree, full_tree_summary, cv_fold_scores, forest_nodes, forest_first_tree, oob_score, oob_convergence, forest_size_sweep, mdi_importance,
     topk_features, permutation_scores, permutation_importance, boost_nodes, boost_history, boost_scores, split_gain_cover,
-    regularisation_table, boost_early_stop, gbt_staged_loss, gbt_early_stop, gbt_rate_table, residual_boosting,
+    regularisation_table, boost_early_stop, gbt_nodes, gbt_staged_loss, gbt_early_stop, gbt_rate_table, residual_boosting,
     shap_values, shap_global, shap_local, importance_by_model, interpretability_summary, model_comparison, metric_matrix,
     cv_distribution, grid_search)}
