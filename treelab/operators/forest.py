@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from treelab.operators.bins import Bins, fit_bins
-from treelab.operators.grower import WEIGHTS, grow_gini, packed
+from treelab.functions.storage import cut_lineage, local_table
+from treelab.operators.grower import (BINS, WEIGHTS, GiniRule, GiniSource, Growth, feature_choice, gini_leaf, grow_gini, matrix_of, node_rows,
+                                      packed, trees_per_pass)
 from treelab.operators.nodes import rows_of, tree_values
 from treelab.operators.resample import bootstrap_weights
 
@@ -131,3 +137,115 @@ def _prefix_accuracy(batches):
             yield pd.DataFrame({"split": name, "n_trees": n, "n": len(part),
                                 "hits": (ones == (part["label"].to_numpy()[:, None] == 1)).sum(axis=0)})
 
+
+# --- forests that grow on ------------------------------------------------------------------------------------------------
+
+
+@dataclass
+class WarmForest:
+    """A forest to which trees are added without growing the others again.
+
+    ``state`` holds a packed record per training row with what its out-of-bag trees have voted so far; ``curve`` has a line per tree.
+    Trees and votes depend on the number of a tree alone, so stopping and going on changes nothing.
+    """
+
+    bins: Bins
+    state: DataFrame            # row_id, label, votes, ones, bins
+    max_depth: int
+    seed: int
+    n_trees: int = 0
+    nodes: list[dict] = field(default_factory=list)
+    curve: list[dict] = field(default_factory=list)
+
+
+def warm_forest(train: DataFrame, cols: list[str], max_depth: int = 8, max_bins: int = 32, method: str = "quantile", row_id: str = "row_id",
+                seed: int = 42) -> WarmForest:
+    """A forest without trees."""
+    bins = fit_bins(train, cols, max_bins, method)
+    rows = train.select(F.col(row_id).alias("row_id"), F.col("label").cast("int").alias("label"), F.lit(0).alias("votes"), F.lit(0.0).alias("ones"),
+                        *[F.col(c).cast("double").alias(c) for c in cols])
+    return WarmForest(bins, cut_lineage(packed(rows, bins, ["row_id", "label", "votes", "ones"])), max_depth, seed)
+
+
+def add_trees(forest: WarmForest, n: int) -> WarmForest:
+    """The forest with ``n`` more trees, its votes and its out-of-bag curve carried on."""
+    spark = forest.state.sparkSession
+    feats = feature_choice(forest.bins.cols, "sqrt", forest.seed)
+    state, nodes, curve, first = forest.state, list(forest.nodes), list(forest.curve), forest.n_trees
+    last = first + n
+    while first < last:
+        ids = range(first, min(first + trees_per_pass(forest.max_depth, n), last))
+        rows = _with_bag(state, ids, forest.seed).persist()
+        growth = Growth(spark, GiniRule(), dict.fromkeys(ids, forest.max_depth), feats, forest.bins)
+        growth.grow(rows, GiniSource("bag", first))
+        nodes += node_rows(list(growth.nodes.items()), forest.bins, gini_leaf)
+        trees = spark.sparkContext.broadcast(growth.states(value=lambda _, rec: gini_leaf(rec)["value"]))
+        curve += _oob_steps(rows, trees, first)
+        state = cut_lineage(_voted(rows, trees, first))
+        rows.unpersist()
+        trees.unpersist()
+        first = ids[-1] + 1
+    return WarmForest(forest.bins, state, forest.max_depth, forest.seed, last, nodes, curve)
+
+
+def warm_curve(forest: WarmForest) -> DataFrame:
+    """``(n_trees, n_rows, oob_score, oob_error)`` after every tree."""
+    schema = T.StructType([T.StructField("n_trees", T.IntegerType()), T.StructField("n_rows", T.LongType()), T.StructField("oob_score", T.DoubleType()),
+                           T.StructField("oob_error", T.DoubleType())])
+    return local_table(forest.state.sparkSession, forest.curve, schema)
+
+
+def _with_bag(state: DataFrame, ids: range, seed: int) -> DataFrame:
+    weighted = bootstrap_weights(state, len(ids), "row_id", seed, "weights", ids[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from treelab.operators.grower import _lists, pack
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in names], pack(_lists(b["weights"]).astype(WEIGHTS))], names=[*names, "bag"])
+
+    names = state.columns
+    return weighted.mapInArrow(run, T.StructType([*state.schema.fields, T.StructField("bag", T.BinaryType())]))
+
+
+def _running_votes(b: pa.RecordBatch, trees: dict, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Votes and their sum of a batch's rows after each tree, by the trees whose bags left the row out."""
+    x, bag = matrix_of(b["bins"], BINS), matrix_of(b["bag"], WEIGHTS)
+    votes, ones = b["votes"].to_numpy().copy(), b["ones"].to_numpy().copy()
+    for t in sorted(trees):
+        out = np.flatnonzero(bag[:, t - first] == 0)
+        votes[out] += 1
+        if len(out) and len(trees[t].value):
+            ones[out] += trees[t].value[trees[t].walk(x[out])]
+        yield votes, ones
+
+
+def _voted(rows: DataFrame, trees, first: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                for votes, ones in _running_votes(b, trees.value, first):
+                    pass
+                b = b.set_column(names.index("votes"), "votes", pa.array(votes)).set_column(names.index("ones"), "ones", pa.array(ones))
+            yield b.select(names[:-1])
+
+    names = rows.columns
+    return rows.mapInArrow(run, T.StructType(rows.schema.fields[:-1]))
+
+
+def _oob_steps(rows: DataFrame, trees, first: int) -> list[dict]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(trees.value), 2), np.int64)
+        for b in (x for x in batches if x.num_rows):
+            label = b["label"].to_numpy() == 1
+            for i, (votes, ones) in enumerate(_running_votes(b, trees.value, first)):
+                covered = votes > 0
+                total[i] += covered.sum(), ((np.round(ones - votes / 2.0, 9) > 0) == label)[covered].sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total[:, 0]), pa.array(total[:, 1])], names=["i", "votes", "hits"])
+
+    sums = rows.mapInArrow(run, "i int, votes long, hits long").groupBy("i").agg(F.sum("votes").alias("votes"), F.sum("hits").alias("hits")).collect()
+    out = []
+    for r in sorted(sums, key=lambda r: r["i"]):  # a line per tree
+        score = r["hits"] / r["votes"] if r["votes"] else None
+        out.append({"n_trees": first + r["i"] + 1, "n_rows": r["votes"], "oob_score": score, "oob_error": None if score is None else 1.0 - score})
+    return out

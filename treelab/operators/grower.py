@@ -272,9 +272,10 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[pa.
 
 @dataclass
 class GiniSource:
-    """Class counts of packed rows (label, bins[, bag]); ``bag`` holds a weight per tree, 0 for a row outside it."""
+    """Class counts of packed rows (label, bins[, bag]); ``bag`` holds a weight per tree from ``first`` on, 0 for a row outside it."""
 
     bag: str | None = None
+    first: int = 0
 
     @property
     def columns(self) -> list[str]:
@@ -288,8 +289,9 @@ class GiniSource:
         _, label, bag = prepared
         if bag is None:
             return None, [1.0 - label, label]
-        rows = np.flatnonzero(bag[:, tree])
-        w, y = bag[rows, tree].astype(float), label[rows]
+        mine = bag[:, tree - self.first]
+        rows = np.flatnonzero(mine)
+        w, y = mine[rows].astype(float), label[rows]
         return rows, [w * (1.0 - y), w * y]
 
 
@@ -481,19 +483,19 @@ def trees_per_pass(max_depth: int, n_trees: int) -> int:
 
 
 def grow_gini(binned: DataFrame, bins: Bins, n_trees: int = 1, weights: str | None = None, max_depth: int = 5,
-              min_leaf: float = 1.0, max_features: int | str | None = None, seed: int = 42, first: int = 0) -> list[dict]:
+              min_leaf: float = 1.0, max_features: int | str | None = None, seed: int = 42) -> list[dict]:
     """Grow gini trees over packed ``(label, bins[, weights])`` and return their node rows.
 
     ``weights`` names an array column with one weight per tree (0 = the row is not in that tree's sample).
-    ``max_features`` ('sqrt' or a number) restricts every node to a hashed subset of features. Trees are numbered from ``first`` on, up to
-    ``n_trees``; what a tree becomes does not depend on which others grow with it.
+    ``max_features`` ('sqrt' or a number) restricts every node to a hashed subset of features. What a tree becomes
+    does not depend on which others grow with it.
     """
     if max_depth > MAX_DEPTH:
         raise ValueError(f"max_depth is at most {MAX_DEPTH}")
     feats = feature_choice(bins.cols, max_features, seed)
     items: list = []
     batch = trees_per_pass(max_depth, n_trees)
-    for start in range(first, n_trees, batch):
+    for start in range(0, n_trees, batch):
         ids = range(start, min(start + batch, n_trees))
         growth = Growth(binned.sparkSession, GiniRule(min_leaf), {t: max_depth for t in ids}, feats, bins)
         growth.grow(binned, GiniSource(weights))

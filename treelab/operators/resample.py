@@ -92,18 +92,18 @@ def stratified_folds(df: DataFrame, k: int, label: str = "label", row_id: str =
 
 
 def bootstrap_weights(df: DataFrame, n_trees: int, row_id: str = "row_id", seed: int = 42,
-                      out: str = "bag") -> DataFrame:
-    """``array<tinyint>`` of Poisson(1) weights, one per tree; weight 0 means out of bag.
+                      out: str = "bag", first: int = 0) -> DataFrame:
+    """``array<tinyint>`` of Poisson(1) weights, one per tree from ``first`` on; weight 0 means out of bag.
 
     One md5 serves four trees: tree t reads hex digits 8*(t%4).. of md5(row_id:seed:t div 4).
     """
     base = text_key(F.col(row_id), seed)
-    digests = F.transform(F.sequence(F.lit(0), F.lit((n_trees - 1) // 4)),
+    digests = F.transform(F.sequence(F.lit(first // 4), F.lit((first + n_trees - 1) // 4)),
                           lambda g: F.md5(F.concat_ws(":", base, g.cast("string"))))
     units = F.flatten(F.transform(digests, lambda h: F.array(*[hex_to_unit(F.substring(h, 1 + 8 * c, 8))
                                                                for c in range(4)])))
     weights = F.transform(units, lambda u: poisson_count(u).cast("tinyint"))
-    return df.withColumn(out, F.slice(weights, 1, n_trees))
+    return df.withColumn(out, F.slice(weights, 1 + first % 4, n_trees))
 
 
 def row_subsample(row_id: Column, fraction: float, iteration, seed: int = 42) -> Column:

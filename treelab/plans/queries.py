@@ -18,6 +18,7 @@ CLASS_NAMES = {0: "negative", 1: "positive"}
 TREE_DEPTH, TREE_BINS = 4, 64
 SWEEP_DEPTHS = list(range(1, 20))
 FOREST_TREES, FOREST_DEPTH, FOREST_BINS = 12, 4, 32
+FOREST_SIZES, REFERENCE_DEPTH = [1, 5, 10, 20, 50, 100, 200, 300, 500], 8
 PERM_REPEATS = 3
 BOOST = boosting.BoostConfig(name="boost", n_rounds=3, learning_rate=0.3, max_depth=2, subsample=0.8,
                              colsample_bytree=0.8, gamma=1.0, reg_lambda=2.0, reg_alpha=0.5)
@@ -444,6 +445,22 @@ def oob_convergence(spark, d):
     return r6(forest.oob_curve(data.where("split = 'train'"), found, MIXED_COLS), "oob_score", "oob_error")
 
 
+def oob_warm_start(spark, d):
+    """200 trees added in two goes; the curve is the one of a forest grown at once."""
+    train = split_rows(mixed_types(spark, d)).where("split = 'train'").persist()
+    half = forest.add_trees(forest.warm_forest(train, MIXED_COLS, REFERENCE_DEPTH, FOREST_BINS, "width"), 100)
+    whole = forest.add_trees(half, 100)
+    train.unpersist()
+    return r6(forest.warm_curve(whole), "oob_score", "oob_error")
+
+
+def forest_sizes(spark, d):
+    """Train and test accuracy of forests of 1 to 500 trees, from one growth."""
+    data = split_rows(mixed_types(spark, d)).persist()
+    found = forest.grow_forest(data.where("split = 'train'"), MIXED_COLS, FOREST_SIZES[-1], REFERENCE_DEPTH, FOREST_BINS, "width")
+    return r6(forest.forest_size_curve(data, found, MIXED_COLS).where(F.col("n_trees").isin(FOREST_SIZES)), "train_acc", "test_acc")
+
+
 def forest_size_sweep(spark, d):
     data, found = _mixed_forest(spark, d)
     return r6(forest.forest_size_curve(data, found, MIXED_COLS), "train_acc", "test_acc")
@@ -649,7 +666,7 @@ QUERIES: dict[str, Callable] = {f.__name__: f for f in (
     overfit_gap, metric_pivot, running_vote_accuracy, patience_stop, window_stop,
     gini_root_split, gini_node_splits, second_order_root_split, missing_routing, tree_nodes, tree_size, tree_report, tree_rules,
     tree_rules_text, depth_sweep, pruning_path, tree_size_by_alpha, alpha_sweep, pruned_tree_report, ml_tree_nodes,
-    full_tree, full_tree_summary, cv_fold_scores, forest_nodes, forest_first_tree, oob_score, oob_convergence, forest_size_sweep, mdi_importance,
+    full_tree, full_tree_summary, cv_fold_scores, forest_nodes, forest_first_tree, oob_score, oob_convergence, oob_warm_start, forest_sizes, forest_size_sweep, mdi_importance,
     topk_features, permutation_scores, permutation_importance, boost_nodes, boost_history, boost_scores, split_gain_cover,
     regularisation_table, boost_early_stop, gbt_nodes, gbt_staged_loss, gbt_early_stop, gbt_rate_table, residual_boosting,
     shap_values, shap_global, shap_local, importance_by_model, interpretability_summary, model_comparison, metric_matrix,
