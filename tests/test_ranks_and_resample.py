@@ -129,3 +129,16 @@ def test_describe_and_box_against_pandas(spark):
 def test_first_of_equal_scores_wins(spark):
     df = spark.createDataFrame([(3, 0.9), (1, 0.8), (2, 0.9)], "depth int, acc double")
     assert profile.best_param(df, "depth", "acc").first().best_param == 2
+
+
+def test_shuffles_are_bijections(spark, monkeypatch):
+    """Every position sends and receives once, in 64 bits and in decimals, also in tiny tables."""
+    for limit in (resample.MAX_PRODUCT_ROWS, 0):
+        monkeypatch.setattr(resample, "MAX_PRODUCT_ROWS", limit)
+        for n in (1, 2, 7, 60):
+            base = spark.range(n).selectExpr("id AS pos", "id AS v", "CAST(id + 100 AS DOUBLE) AS w")
+            rows = resample.permuted_values(base, ["v", "w"], 3, n).collect()
+            for slot in range(6):
+                a, b = resample.shuffle_key(n, "vw"[slot // 3], slot % 3)
+                assert sorted((r.pos, r.permuted - 100 * (slot // 3)) for r in rows if r.slot == slot) == [(p, (a * p + b) % n) for p in range(n)]
+    assert resample.permuted_values(base.limit(0), ["v"], 2, 0).collect() == []

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from treelab.functions.storage import local_table
+from treelab.functions.storage import cut_lineage, local_table
 from treelab.operators.metrics import accuracy
 from treelab.operators.nodes import TreeArrays, broadcast_trees, rows_of, vector_column
 from treelab.operators.resample import permuted_values, row_positions
@@ -35,29 +36,47 @@ def top_features(importance: DataFrame, k: int, value: str = "importance") -> Da
     return importance.orderBy(F.desc(value), F.asc("feature")).limit(k)
 
 
-def permuted_rows(df: DataFrame, cols: list[str], repeats: int = 30, row_id: str = "row_id", seed: int = 42) -> DataFrame:
-    """One row per (row, feature, repeat) in which that feature holds the shuffled value."""
-    base = row_positions(df.select(row_id, "label", *[F.col(c).cast("double").alias(c) for c in cols]), row_id, seed)
-    shuffled = permuted_values(df, cols, repeats, row_id, seed)
-    return shuffled.join(base, "pos").select(
-        row_id, "label", "feature", "rep",
-        *[F.when(F.col("feature") == c, F.col("permuted")).otherwise(F.col(c)).alias(c) for c in cols])
+def permuted_rows(df: DataFrame, cols: list[str], repeats: int = 30, row_id: str = "row_id", seed: int = 42, shuffle: list[str] | None = None) -> DataFrame:
+    """One row per (row, feature, repeat) in which that feature holds the shuffled value; ``shuffle`` names the features (default: all).
+
+    The shuffled values of a row meet it once, as an array; the rows are written out after that, within the task.
+    """
+    shuffle = cols if shuffle is None else shuffle
+    base = cut_lineage(row_positions(df.select(row_id, "label", *[F.col(c).cast("double").alias(c) for c in cols]), row_id, seed))
+    sent = permuted_values(base, shuffle, repeats, base.count(), seed)
+    received = sent.groupBy("pos").agg(F.collect_list(F.struct("slot", "permuted")).alias("got"))  # features x repeats of one row
+    both = base.join(received, "pos").select(row_id, "label", *cols, F.explode("got").alias("g"))
+    both = both.select("*", F.floor(F.col("g.slot") / repeats).cast("int").alias("i"), (F.col("g.slot") % repeats).cast("int").alias("rep"))
+    name = F.element_at(F.array(*[F.lit(c) for c in shuffle]), F.col("i") + 1)
+    both = both.withColumn("feature", name)
+    return both.select(row_id, "label", "feature", "rep", *[F.when(F.col("feature") == c, F.col("g.permuted")).otherwise(F.col(c)).alias(c) for c in cols])
 
 
 def permutation_scores(df: DataFrame, predict, cols: list[str], repeats: int = 30, row_id: str = "row_id",
-                       seed: int = 42) -> DataFrame:
-    """Accuracy per (feature, rep) with that feature shuffled; ``predict`` adds ``prediction`` to a table."""
-    return accuracy(predict(permuted_rows(df, cols, repeats, row_id, seed)), ["feature", "rep"])
+                       seed: int = 42, used: list[str] | None = None) -> DataFrame:
+    """Accuracy per (feature, rep) with that feature shuffled; ``predict`` adds ``prediction`` to a table.
+
+    ``used`` names the features that the model asks for; shuffling any other changes nothing, so it gets the accuracy as it is.
+    """
+    shuffle = [c for c in cols if used is None or c in used]
+    parts = []
+    if shuffle:
+        parts.append(accuracy(predict(permuted_rows(df, cols, repeats, row_id, seed, shuffle)), ["feature", "rep"]))
+    if len(shuffle) < len(cols):
+        idle = F.array(*[F.lit(c) for c in cols if c not in shuffle])
+        same = accuracy(predict(df)).withColumn("feature", F.explode(idle)).withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+        parts.append(same.select("feature", "rep", "accuracy"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def permutation_importance(df: DataFrame, predict, cols: list[str], repeats: int = 30, row_id: str = "row_id",
-                           seed: int = 42) -> DataFrame:
+                           seed: int = 42, used: list[str] | None = None) -> DataFrame:
     """Mean and population deviation of the accuracy lost when a feature is shuffled.
 
     All features and repeats are shuffled and scored in one job.
     """
     baseline = accuracy(predict(df)).first()[0]
-    scores = permutation_scores(df, predict, cols, repeats, row_id, seed)
+    scores = permutation_scores(df, predict, cols, repeats, row_id, seed, used)
     drop = F.lit(baseline) - F.col("accuracy")
     return scores.groupBy("feature").agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
 

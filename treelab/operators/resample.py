@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from treelab.functions.hashing import hash_key, hex_to_unit, poisson_count, text_key, unit_hash
 from treelab.functions.ranks import hash_cuts, hash_positions
+from treelab.functions.storage import cut_lineage
+
+#: Rows up to which the product of a position and a factor below it fits 64 bits.
+MAX_PRODUCT_ROWS = 3_000_000_000
 
 
 def split_quota(sizes: dict, fraction: float) -> dict:
@@ -121,25 +126,44 @@ def colsample_table(rounds: DataFrame, features: list[str], fraction: float, see
     return pairs.withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= keep).drop("rk")
 
 
-def permuted_values(df: DataFrame, cols: list[str], repeats: int, row_id: str = "row_id", seed: int = 42) -> DataFrame:
-    """Every column shuffled ``repeats`` times: ``(feature, rep, pos, permuted)``.
+def row_positions(df: DataFrame, row_id: str = "row_id", seed: int = 42) -> DataFrame:
+    """Adds ``pos``, the place of a row (from 0) in hash order; made once for all features and repeats."""
+    return hash_positions(df, [], hash_key(F.col(row_id), seed, "pos"), "pos").withColumn("pos", F.col("pos") - 1)
 
-    The row at position ``pos`` of the row-hash order receives the value that stands at ``pos`` in
-    the order of md5(row_id:seed:feature:rep).
-    """
-    long = df.select(F.col(row_id), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("permuted")) for c in cols])).alias("s"))
-    long = long.select(row_id, "s.*").withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    ranked = hash_positions(long, ["feature", "rep"], hash_key(F.col(row_id), seed, F.col("feature"), F.col("rep")), "pos")
-    return ranked.select("feature", "rep", "pos", "permuted")
 
+def shuffle_key(n: int, feature: str, rep: int, seed: int = 42) -> tuple[int, int]:
+    """(a, b) of the bijection pos -> (a * pos + b) mod n: a is coprime to n, both come from the md5 of seed, feature and repeat."""
+    digest = hashlib.md5(f"{seed}:{feature}:{rep}".encode()).hexdigest()
+    a, b = 1 + int(digest[:8], 16) % n, int(digest[8:16], 16) % n
+    while math.gcd(a, n) > 1:
+        a += 1
+    return a, b
 
-def row_positions(df: DataFrame, row_id: str = "row_id", seed: int = 42) -> DataFrame:
-    return hash_positions(df, [], hash_key(F.col(row_id), seed, "pos"), "pos")
+
+def permuted_values(base: DataFrame, cols: list[str], repeats: int, n: int, seed: int = 42) -> DataFrame:
+    """Every column shuffled ``repeats`` times: ``(pos, slot, permuted)``; ``slot`` is column number times ``repeats`` plus repeat.
+
+    ``base`` has the columns and ``pos``. In each shuffle the row at ``pos`` receives the value of the row at (a * pos + b) mod n: each
+    value is sent by the inverse of that bijection, so nothing is sorted and only (pos, slot, value) moves.
+    """
+    wide = "decimal(38,0)" if n > MAX_PRODUCT_ROWS else "long"
+    sends = []
+    for i, c in enumerate(cols):
+        for rep in range(repeats):
+            a, b = shuffle_key(max(n, 1), c, rep, seed)
+            back = pow(a, -1, n) if n > 1 else 0
+            shift = -back * b % n if n else 0
+            sends.append((i * repeats + rep, i, back, shift))
+    table = F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(i).alias("i"), F.lit(back).cast(wide).alias("back"), F.lit(shift).cast(wide).alias("shift"))
+                      for s, i, back, shift in sends])
+    values = F.array(*[F.col(c).cast("double") for c in cols])
+    sent = base.select("pos", values.alias("v"), F.explode(table).alias("k"))
+    return sent.select(((F.col("k.back") * F.col("pos") + F.col("k.shift")) % F.lit(max(n, 1)).cast(wide)).cast("long").alias("pos"), "k.slot",
+                       F.get("v", F.col("k.i")).alias("permuted"))
 
 
 def permute_column(df: DataFrame, col: str, repeats: int, row_id: str = "row_id", seed: int = 42) -> DataFrame:
     """``(row_id, rep, value, permuted)`` for one column."""
-    base = row_positions(df.select(row_id, F.col(col).cast("double").alias("value")), row_id, seed)
-    shuffled = permuted_values(df, [col], repeats, row_id, seed)
-    return base.join(shuffled, "pos").select(row_id, "rep", "value", "permuted")
+    base = cut_lineage(row_positions(df.select(row_id, F.col(col).cast("double").alias(col)), row_id, seed))
+    shuffled = permuted_values(base, [col], repeats, base.count(), seed)
+    return base.withColumnRenamed(col, "value").join(shuffled, "pos").select(row_id, F.col("slot").alias("rep"), "value", "permuted")

@@ -363,14 +363,19 @@ DESCRIBE = """SELECT feature, count(v) AS count, round_even(avg(v), 2) AS mean,
 BOX_Q = "SELECT {k}, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM src GROUP BY {k}"
 METRIC_SQL = f"SELECT model || '%s' AS model, avg((label = prediction)::INT) AS accuracy, {LOSS} AS log_loss FROM s GROUP BY model"
 DAILY = ("loss", "SELECT year(o_orderdate) * 12 + month(o_orderdate) AS iteration, round(avg(o_totalprice) / 1e6, 6) AS loss FROM orders GROUP BY 1")
-PERM_COLS = " UNION ALL ".join(f"SELECT '{c}' AS pf, {i} AS pi, row_id FROM tests" for i, c in enumerate(MIXED_COLS))
+def shuffle_keys(base: str, cols: list[str], repeats: int) -> str:
+    """The bijection pos -> (a * pos + b) % n of every feature and repeat."""
+    names = " UNION ALL ".join(f"SELECT '{c}' AS pf, {i} AS pi" for i, c in enumerate(cols))
+    return f"""SELECT pf, pi, rep, n, list_filter(range(1 + ha % n, 1 + ha % n + 1000), lambda x: gcd(x, n) = 1)[1] AS a, hb % n AS b FROM (
+        SELECT pf, pi, rep, (SELECT count(*) FROM {base}) AS n, ('0x' || substr(md5('42:' || pf || ':' || rep), 1, 8))::BIGINT AS ha,
+          ('0x' || substr(md5('42:' || pf || ':' || rep), 9, 8))::BIGINT AS hb FROM ({names}), range({repeats}) r(rep))"""
 
 
 def permuted_forest() -> list[tuple[str, str]]:
     out = [*FOREST, ("tests", "SELECT * FROM data WHERE split = 'test'"),
-           ("base", "SELECT row_id, label, row_number() OVER (ORDER BY md5(row_id || ':42:pos')) AS pos FROM tests"),
-           ("shuffled", f"""SELECT pf, pi, rep, row_id AS from_row, row_number() OVER (PARTITION BY pf, rep ORDER BY md5(row_id || ':42:' || pf || ':' || rep)) AS pos
-              FROM ({PERM_COLS}), range({PERM_REPEATS}) r(rep)"""),
+           ("base", "SELECT row_id, label, row_number() OVER (ORDER BY md5(row_id || ':42:pos')) - 1 AS pos FROM tests"),
+           ("shuffle_keys", shuffle_keys("base", MIXED_COLS, PERM_REPEATS)),
+           ("shuffled", "SELECT pf, pi, rep, s.row_id AS from_row, b.pos FROM base b, shuffle_keys k JOIN base s ON s.pos = (k.a * b.pos + k.b) % k.n"),
            ("pc0", f"SELECT b.row_id, b.label, s.pf, s.pi, s.rep, s.from_row, t AS tree, 0 AS node FROM base b JOIN shuffled s USING (pos), range({FOREST_TREES}) r(t)")]
     for lv in range(FOREST_DEPTH):
         out.append((f"pc{lv + 1}", f"""SELECT c.row_id, c.label, c.pf, c.pi, c.rep, c.from_row, c.tree,
@@ -482,10 +487,9 @@ ORACLE: dict[str, str] = {
     "colsample_subset": f"""SELECT n_nationkey AS iteration, feature FROM nation, (VALUES {', '.join(f"('{c}')" for c in WIDE_COLS)}) v(feature)
         QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY md5('42:' || n_nationkey || ':' || feature)) <= {VECTOR_SIZE * 8 // 10}""",
     "permute_column": with_([MIXED_RAW, PRESENT, MIXED,
-                             ("base", "SELECT row_id, o_totalprice AS value, row_number() OVER (ORDER BY md5(row_id || ':42:pos')) AS pos FROM mixed"),
-                             ("shuf", """SELECT rep::INT AS rep, o_totalprice AS permuted, row_number() OVER (PARTITION BY rep
-                                    ORDER BY md5(row_id || ':42:o_totalprice:' || rep)) AS pos FROM mixed, range(2) r(rep)""")],
-                            "SELECT row_id, rep, value, permuted FROM base JOIN shuf USING (pos)"),
+                             ("base", "SELECT row_id, o_totalprice AS value, row_number() OVER (ORDER BY md5(row_id || ':42:pos')) - 1 AS pos FROM mixed"),
+                             ("keys", shuffle_keys("base", ["o_totalprice"], 2))],
+                            "SELECT b.row_id, rep::INT AS rep, b.value, s.value AS permuted FROM base b, keys k JOIN base s ON s.pos = (k.a * b.pos + k.b) % k.n"),
     "accuracy": with_(SCORED, "SELECT model, round(avg((label = prediction)::INT), 6) AS accuracy FROM s GROUP BY model"),
     "confusion_matrix": with_(SCORED, """SELECT m.model, a::INT AS label, b::INT AS prediction, count(s.row_id) AS count
         FROM (SELECT DISTINCT model FROM s) m CROSS JOIN range(2) x(a) CROSS JOIN range(2) y(b)

@@ -19,7 +19,7 @@ TREE_DEPTH, TREE_BINS = 4, 64
 SWEEP_DEPTHS = list(range(1, 20))
 FOREST_TREES, FOREST_DEPTH, FOREST_BINS = 12, 4, 32
 FOREST_SIZES, REFERENCE_DEPTH = [1, 5, 10, 20, 50, 100, 200, 300, 500], 8
-PERM_REPEATS = 3
+PERM_REPEATS = 30
 BOOST = boosting.BoostConfig(name="boost", n_rounds=3, learning_rate=0.3, max_depth=2, subsample=0.8,
                              colsample_bytree=0.8, gamma=1.0, reg_lambda=2.0, reg_alpha=0.5)
 REG_BASE = boosting.BoostConfig(n_rounds=3, learning_rate=0.3, max_depth=3)
@@ -479,16 +479,20 @@ def topk_features(spark, d):
 def permutation_scores(spark, d):
     data, found = _mixed_forest(spark, d)
     predict = lambda df: nodes.predict_forest(df, found, MIXED_COLS)
-    return r6(explain.permutation_scores(data.where("split = 'test'"), predict, MIXED_COLS, PERM_REPEATS), "accuracy")
+    return r6(explain.permutation_scores(data.where("split = 'test'"), predict, MIXED_COLS, PERM_REPEATS, used=_used(found)), "accuracy")
 
 
 def permutation_importance(spark, d):
     data, found = _mixed_forest(spark, d)
     predict = lambda df: nodes.predict_forest(df, found, MIXED_COLS)
-    return r6(explain.permutation_importance(data.where("split = 'test'"), predict, MIXED_COLS, PERM_REPEATS),
+    return r6(explain.permutation_importance(data.where("split = 'test'"), predict, MIXED_COLS, PERM_REPEATS, used=_used(found)),
               "importance_mean", "importance_std")
 
 
+def _used(found: list[dict]) -> list[str]:
+    return sorted({r["feature"] for r in found if not r["is_leaf"]})
+
+
 # --- boosting -----------------------------------------------------------------------------------------------------
 
 def _scale_boost(spark, d):
