@@ -10,9 +10,10 @@ count. Each point falls on a random component; a component keeps its first point
 documents is their weighted Jaccard similarity. Points of a document are drawn in order of time until the latest first arrival.
 
 Candidates. Documents that agree on a band meet in its bucket. Buckets of up to four have all their pairs verified. In a larger one
-the hub, the member with most bucket mates, is compared with all members; the parts that are still apart are compared pair by pair, by
-size and sketch inside tasks that hold two lots of the bucket each. First only forests of the closest pairs are verified, which merge
-most parts; at the end every pair of different parts that its sketch allows is verified. Links are verified on whole multisets.
+the hub, the member with most bucket mates, is compared with all members. What is still apart is compared inside tasks that hold two lots
+of the bucket each, with their multisets: pairs of different parts that size and sketch allow are verified there, the closest first, and a
+pair whose parts have met meanwhile is skipped. Only links leave a task. A bucket is taken when it is the largest open one of its
+first member; its links close most other buckets of the same texts before their turn comes.
 
 Texts without words form one class. Null texts count as empty. Equal texts are one node, so copies cost one signature group.
 Rows without doc_id take part; a class's id is its smallest doc_id (null if it has none). Repeated rows stay, in one class.
@@ -38,7 +39,7 @@ SIZE = BANDS * ROWS
 #: Members up to which a bucket has all its pairs compared at once.
 SMALL = 4
 #: Members in a lot of a larger bucket, of which a task compares two.
-LOT = 1024
+LOT = 4096
 #: Share of equal sketch bytes below which a pair is not similar.
 MIN_SKETCH = 0.55
 
@@ -108,7 +109,8 @@ def node_of(text: Column) -> Column:
 
 
 def row_key(doc_id: Column, node: Column) -> Column:
-    return F.xxhash64(doc_id.cast("string"), node)
+    """16 bytes that stand for a text under its doc_id."""
+    return F.unhex(F.md5(F.concat(F.when(doc_id.isNull(), "-").otherwise(F.concat(F.lit("+"), doc_id.cast("string"), F.lit(":"))), F.hex(node))))
 
 
 def banded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -129,7 +131,7 @@ def banded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
     names = ["node", "doc_id", "row_key", "n_shingles", "bands"]
     kind = docs.schema[doc_id].dataType.simpleString()
-    return rows.mapInArrow(run, f"node binary, doc_id {kind}, row_key bigint, n_shingles bigint, bands array<bigint>")
+    return rows.mapInArrow(run, f"node binary, doc_id {kind}, row_key binary, n_shingles bigint, bands array<bigint>")
 
 
 def shingle_bags(rows: DataFrame) -> DataFrame:
@@ -151,15 +153,8 @@ def shingle_bags(rows: DataFrame) -> DataFrame:
 
 
 def overlap(a: bytes, b: bytes) -> int:
-    """Size of the intersection of two sorted multisets of 64-bit hashes."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if not len(x) or not len(y):
-        return 0
-    at_x, at_y = (np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1]))) for v in (x, y))
-    count_x, count_y = np.diff(np.append(at_x, len(x))), np.diff(np.append(at_y, len(y)))
-    keys = x[at_x]
-    place = np.minimum(np.searchsorted(keys, y[at_y]), len(keys) - 1)
-    return int(np.minimum(count_x[place], count_y)[keys[place] == y[at_y]].sum())
+    """Size of the intersection of two multisets of 64-bit hashes."""
+    return common_size(*(np.unique(np.frombuffer(x, np.uint64), return_counts=True) for x in (a, b)))
 
 
 def enough(common, size_a, size_b):
@@ -215,11 +210,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     rows = settle(banded(docs, doc_id, text), "banded")
     nodes = settle(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"),
                                             F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
-    spread = nodes.select("node", "n", F.col("first")["row_key"].alias("row_key"), F.explode("bands").alias("key"))
+    spread = nodes.select("node", "n", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count("*").alias("mates")).where("mates > 1")
     members = settle(spread.join(shared, "key"), "members")
-    candidates = settle(members.groupBy("node").agg(F.sum("mates").alias("degree"), F.first("row_key").alias("row_key")), "candidates")
-    members = members.drop("row_key").join(candidates.select("node", "degree"), "node")
+    degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
+    candidates = settle(nodes.select("node", F.col("first")["row_key"].alias("row_key")).join(degrees, "node"), "candidates")
+    members = members.join(candidates.select("node", "degree"), "node")
     body = docs.select(node_of(F.col(text)).alias("node"), F.col(doc_id).alias("id"), F.col(text).alias("body"))
     bodies = body.withColumn("row_key", row_key(F.col("id"), F.col("node"))).drop("id") \
         .join(candidates.select("row_key", F.col("node").alias("n2")), "row_key").where("node = n2").dropDuplicates(["row_key"])
@@ -235,8 +231,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
     """Labels (node, root) of the candidate nodes after all pairs that meet in a bucket. ``members``: key, node, n, degree, mates.
 
-    Buckets of up to ``SMALL`` have all their pairs verified, larger ones their hub against all members. What is still apart in a larger
-    bucket is compared in its task by sketch: rounds of forests, while they merge parts, then all pairs that are left.
+    Buckets of up to ``SMALL`` have all their pairs verified, larger ones their hub against all members; then open buckets, those with
+    members in different parts, are compared in full, a share of them a round, until none is open.
     """
     lot = F.when(F.col("mates") <= SMALL, F.xxhash64("node"))
     best = F.max_by(F.struct("node", "n"), F.struct("degree", "node")).alias("hub")
@@ -244,40 +240,37 @@ def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
     fits = F.least("n", "hub_n") * SIMILAR[1] >= F.greatest("n", "hub_n") * SIMILAR[0]
     tested = settle(members.join(hubs, "key").where((F.col("node") != F.col("hub")) & fits)
                     .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
-    labels, _ = merged(labels, tested, bags)
+    labels = merged(labels, settle(verified(tested, bags), "links"))
     members = members.where(F.col("mates") > SMALL).select("key", "node", "n")
-    forest = True
     while True:
-        parts = members.join(labels, "node").groupBy("key", "root").agg(F.count("*").alias("size"))
+        parts = members.join(labels, "node").groupBy("key", "root").agg(F.count("*").alias("size"), F.min("node").alias("low"))
         largest = parts.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"),
-                                           (F.sum("size") - F.max("size")).alias("rest")).where("rest > 0")
+                                           (F.sum("size") - F.max("size")).alias("rest"), F.min("low").alias("low")).where("rest > 0")
         open_ = settle(members.join(largest, "key").join(labels, "node"), "open")
         if open_.isEmpty():
             return labels
-        members = open_.select("key", "node", "n")  # buckets of one part are done
-        pairs = settle(across(open_, bags, forest).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        labels, more = merged(labels, pairs, bags)
-        if not forest:
-            return labels
-        forest = more
+        widest = open_.groupBy("node").agg(F.max(F.struct("all", "key")).alias("w"))
+        turn = open_.where("node = low").select("node", "key").join(widest, "node").where("w.key = key").select("key")
+        now = open_.join(turn, "key", "left_semi")
+        members = settle(open_.join(turn, "key", "left_anti").select("key", "node", "n"), "waiting")
+        labels = merged(labels, settle(across(now, bags).distinct(), "links"))
 
 
-def merged(labels: DataFrame, pairs: DataFrame, bags: DataFrame) -> tuple[DataFrame, bool]:
-    """``labels`` after the pairs that are similar, and whether there is one."""
-    links = settle(verified(pairs, bags), "links")
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after the links (a, b)."""
     if links.isEmpty():
-        return labels, False
+        return labels
     ends = links.join(labels.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a") \
-        .join(labels.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b")
-    return components(labels, ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))), True
+        .join(labels.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b").where("root_a != root_b")
+    return components(labels, ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
 
 
-def across(open_: DataFrame, bags: DataFrame, forest: bool) -> DataFrame:
-    """Pairs (a, b) of nodes of different parts of a bucket that their sizes and sketches allow to be similar; with ``forest`` only those of
-    a forest that would join the most of them. ``open_``: key, node, n, root, main (largest part of the bucket), all, rest (members outside it).
+def across(open_: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links (a, b) that join the parts of each bucket as far as its pairs do. ``open_``: key, node, n, root, main (largest part of the
+    bucket), all, rest (members outside it).
 
-    Members outside the largest part are dealt to lots, and so are all members; a task compares one lot with one lot.
+    Members outside the largest part are dealt to lots, and so are all members; a task compares one lot with one lot. It returns a
+    forest: no link between nodes that its other links connect already.
     """
     lots = lambda c: F.ceil(F.col(c) / LOT).cast("int")
     mine = lambda c, salt: F.pmod(F.xxhash64("node", F.lit(salt)), lots(c)).cast("int")
@@ -285,41 +278,63 @@ def across(open_: DataFrame, bags: DataFrame, forest: bool) -> DataFrame:
     common = ["key", "node", "n", "root"]
     left = open_.where(F.col("root") != F.col("main")).select(*common, mine("rest", 1).alias("row"), every("all").alias("col"), F.lit(True).alias("outer"))
     right = open_.select(*common, every("rest").alias("row"), mine("all", 2).alias("col"), F.lit(False).alias("outer"))
-    rows = left.unionByName(right).join(bags.select("node", "sketch"), "node")
+    # a node that is on both sides of a task travels once
+    rows = left.unionByName(right).groupBy(*common, "row", "col").agg(F.max("outer").alias("outer"), F.max(~F.col("outer")).alias("inner")).join(bags, "node")
 
     def run(t: pa.Table) -> pa.Table:
-        outer = t["outer"].to_numpy(zero_copy_only=False)
-        node, root, n = np.array(t["node"].to_pylist(), object), np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)[1], t["n"].to_numpy()
+        outer, inner = (np.flatnonzero(t[c].to_numpy(zero_copy_only=False)) for c in ("outer", "inner"))
+        node, n = t["node"].to_pylist(), t["n"].to_numpy()
+        root = np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)[1]
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
-        x, y = np.flatnonzero(outer), np.flatnonzero(~outer)
-        found = []
-        for i in x if len(y) else ():
-            near = y[(root[y] != root[i]) & (np.minimum(n[y], n[i]) * SIMILAR[1] >= np.maximum(n[y], n[i]) * SIMILAR[0])]
-            same = (sketch[near] == sketch[i]).sum(axis=1)
-            good = same >= MIN_SKETCH * SIZE
-            found += zip((-same[good]).tolist(), [int(i)] * int(good.sum()), near[good].tolist(), strict=True)
-        if forest:
-            up = list(range(int(root.max()) + 1 if len(root) else 0))
-
-            def top(r: int) -> int:
-                while up[r] != r:
-                    up[r] = up[up[r]]
-                    r = up[r]
-                return r
-
-            kept = []
-            for pair in sorted(found):
-                r, q = top(int(root[pair[1]])), top(int(root[pair[2]]))
-                if r != q:
-                    up[r] = q
-                    kept.append(pair)
-            found = kept
-        ends = sorted({(min(node[i], node[j]), max(node[i], node[j])) for _, i, j in found})
-        return pa.table({"a": pa.array([e[0] for e in ends], pa.binary()), "b": pa.array([e[1] for e in ends], pa.binary())})
+        pairs = _allowed(outer, inner, root, n, sketch)
+        up, counts = list(range(int(root.max()) + 1 if len(root) else 0)), {}
+
+        def top(r: int) -> int:
+            while up[r] != r:
+                up[r] = up[up[r]]
+                r = up[r]
+            return r
+
+        def counted(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in counts:
+                counts[i] = np.unique(np.frombuffer(t["bag"][i].as_buffer(), np.uint64), return_counts=True)
+            return counts[i]
+
+        links = []
+        for i, j in pairs:
+            r, q = top(int(root[i])), top(int(root[j]))
+            if r != q and enough(common_size(counted(i), counted(j)), int(n[i]), int(n[j])):
+                up[r] = q
+                links.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pa.table({"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())})
 
     return rows.groupBy("key", "row", "col").applyInArrow(run, "a binary, b binary")
 
 
+def _allowed(outer: np.ndarray, inner: np.ndarray, root: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of different parts that size and sketch allow: first the closest one of each outer member, then the others."""
+    later = []
+    for i in outer.tolist():
+        near = inner[(root[inner] != root[i]) & (np.minimum(n[inner], n[i]) * SIMILAR[1] >= np.maximum(n[inner], n[i]) * SIMILAR[0])]
+        same = (sketch[near] == sketch[i]).sum(axis=1)
+        good = np.flatnonzero(same >= MIN_SKETCH * SIZE)
+        near = near[good[np.argsort(-same[good], kind="stable")]]
+        if len(near):
+            yield i, int(near[0])
+            later.append((i, near[1:]))
+    for i, near in later:
+        for j in near.tolist():
+            yield i, j
+
+
+def common_size(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """Size of the intersection of two multisets given as sorted values and their counts."""
+    if not len(a[0]) or not len(b[0]):
+        return 0
+    place = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+    return int(np.minimum(a[1][place], b[1])[a[0][place] == b[0]].sum())
+
+
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``, all columns, with one row of each class: the one with the smallest doc_id (then text digest)."""
     first = classes(docs, doc_id, text).where("is_first").select(F.col("row_key").alias("_keep_key")).distinct()
