@@ -235,8 +235,8 @@ def test_families_joined_by_one_pair(spark, monkeypatch, lot):
     cross = [(p, q) for p in packed for q in packed if p[:1] == b"0" and q[:1] == b"1" and similar(p, q)]
     assert cross == [(b"0zz", b"1aa")]
     table = spark.createDataFrame([(n, v.tobytes(), sketches[n]) for n, v in packed.items()], "node binary, bag binary, sketch binary")
-    members = spark.createDataFrame([(7, n, len(v), 100 if n.endswith(b"00") else 20, len(packed)) for n, v in packed.items()],
-                                    "key long, node binary, n long, degree long, mates long")
+    members = spark.createDataFrame([(key, band, n, len(v), 100 if n.endswith(b"00") else 20, len(packed)) for n, v in packed.items() for band, key in ((3, 7), (5, 8))],
+                                    "key long, band int, node binary, n long, degree long, mates long")
     labels = table.select("node", F.col("node").alias("root"))
     assert {r["root"] for r in bag.linked(members, table, labels).collect()} == {b"000"}
 

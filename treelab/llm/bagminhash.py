@@ -12,8 +12,7 @@ documents is their weighted Jaccard similarity. Points of a document are drawn i
 Candidates. Documents that agree on a band meet in its bucket. Buckets of up to four have all their pairs verified. In a larger one
 the hub, the member with most bucket mates, is compared with all members. What is still apart is compared inside tasks that hold two lots
 of the bucket each, with their multisets: pairs of different parts that size and sketch allow are verified there, the closest first, and a
-pair whose parts have met meanwhile is skipped. Only links leave a task. A bucket is taken when it is the largest open one of its
-first member; its links close most other buckets of the same texts before their turn comes.
+pair whose parts have met meanwhile is skipped. Only links leave a task, and of the open buckets that a pair shares only the first tests it.
 
 Texts without words form one class. Null texts count as empty. Equal texts are one node, so copies cost one signature group.
 Rows without doc_id take part; a class's id is its smallest doc_id (null if it has none). Repeated rows stay, in one class.
@@ -26,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from treelab.llm import text as X
@@ -210,7 +210,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     rows = settle(banded(docs, doc_id, text), "banded")
     nodes = settle(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"),
                                             F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
-    spread = nodes.select("node", "n", F.explode("bands").alias("key"))
+    spread = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.count("*").alias("mates")).where("mates > 1")
     members = settle(spread.join(shared, "key"), "members")
     degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
@@ -229,10 +229,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labels (node, root) of the candidate nodes after all pairs that meet in a bucket. ``members``: key, node, n, degree, mates.
+    """Labels (node, root) of the candidate nodes after all pairs that meet in a bucket. ``members``: key, band, node, n, degree, mates.
 
     Buckets of up to ``SMALL`` have all their pairs verified, larger ones their hub against all members; then open buckets, those with
-    members in different parts, are compared in full, a share of them a round, until none is open.
+    members in different parts, are compared in full.
     """
     lot = F.when(F.col("mates") <= SMALL, F.xxhash64("node"))
     best = F.max_by(F.struct("node", "n"), F.struct("degree", "node")).alias("hub")
@@ -241,19 +241,12 @@ def linked(members: DataFrame, bags: DataFrame, labels: DataFrame) -> DataFrame:
     tested = settle(members.join(hubs, "key").where((F.col("node") != F.col("hub")) & fits)
                     .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
     labels = merged(labels, settle(verified(tested, bags), "links"))
-    members = members.where(F.col("mates") > SMALL).select("key", "node", "n")
-    while True:
-        parts = members.join(labels, "node").groupBy("key", "root").agg(F.count("*").alias("size"), F.min("node").alias("low"))
-        largest = parts.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"),
-                                           (F.sum("size") - F.max("size")).alias("rest"), F.min("low").alias("low")).where("rest > 0")
-        open_ = settle(members.join(largest, "key").join(labels, "node"), "open")
-        if open_.isEmpty():
-            return labels
-        widest = open_.groupBy("node").agg(F.max(F.struct("all", "key")).alias("w"))
-        turn = open_.where("node = low").select("node", "key").join(widest, "node").where("w.key = key").select("key")
-        now = open_.join(turn, "key", "left_semi")
-        members = settle(open_.join(turn, "key", "left_anti").select("key", "node", "n"), "waiting")
-        labels = merged(labels, settle(across(now, bags).distinct(), "links"))
+    members = members.where(F.col("mates") > SMALL).select("key", "band", "node", "n")
+    parts = members.join(labels, "node").groupBy("key", "root").agg(F.count("*").alias("size"))
+    largest = parts.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"),
+                                       (F.sum("size") - F.max("size")).alias("rest")).where("rest > 0")
+    open_ = settle(members.join(largest, "key").join(labels, "node"), "open")
+    return merged(labels, settle(across(open_, bags).distinct(), "links"))
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -266,27 +259,31 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def across(open_: DataFrame, bags: DataFrame) -> DataFrame:
-    """Links (a, b) that join the parts of each bucket as far as its pairs do. ``open_``: key, node, n, root, main (largest part of the
+    """Links (a, b) that join the parts of each bucket as far as its pairs do. ``open_``: key, band, node, n, root, main (largest part of the
     bucket), all, rest (members outside it).
 
     Members outside the largest part are dealt to lots, and so are all members; a task compares one lot with one lot. It returns a
-    forest: no link between nodes that its other links connect already.
+    forest: no link between nodes that its other links connect already. A pair is tested in the first band in which it meets.
     """
     lots = lambda c: F.ceil(F.col(c) / LOT).cast("int")
     mine = lambda c, salt: F.pmod(F.xxhash64("node", F.lit(salt)), lots(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), lots(c) - 1))
-    common = ["key", "node", "n", "root"]
+    common = ["key", "band", "node", "n", "root"]
     left = open_.where(F.col("root") != F.col("main")).select(*common, mine("rest", 1).alias("row"), every("all").alias("col"), F.lit(True).alias("outer"))
     right = open_.select(*common, every("rest").alias("row"), mine("all", 2).alias("col"), F.lit(False).alias("outer"))
     # a node that is on both sides of a task travels once
-    rows = left.unionByName(right).groupBy(*common, "row", "col").agg(F.max("outer").alias("outer"), F.max(~F.col("outer")).alias("inner")).join(bags, "node")
+    rows = left.unionByName(right).groupBy(*common, "row", "col").agg(F.max("outer").alias("outer"), F.max(~F.col("outer")).alias("inner")) \
+        .join(bags.join(open_.groupBy("node").agg(F.collect_list(F.struct("band", "key")).alias("meets")), "node"), "node")
 
     def run(t: pa.Table) -> pa.Table:
         outer, inner = (np.flatnonzero(t[c].to_numpy(zero_copy_only=False)) for c in ("outer", "inner"))
         node, n = t["node"].to_pylist(), t["n"].to_numpy()
         root = np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)[1]
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
-        pairs = _allowed(outer, inner, root, n, sketch)
+        meets = np.zeros((len(node), BANDS), np.int64)  # key of each band with an open bucket
+        flat = t["meets"].combine_chunks()
+        meets[np.repeat(np.arange(len(node)), np.asarray(pc.list_value_length(flat))), flat.flatten().field("band").to_numpy()] = flat.flatten().field("key").to_numpy()
+        pairs = _allowed(outer, inner, root, n, sketch, meets, t["band"][0].as_py())
         up, counts = list(range(int(root.max()) + 1 if len(root) else 0)), {}
 
         def top(r: int) -> int:
@@ -311,11 +308,13 @@ def across(open_: DataFrame, bags: DataFrame) -> DataFrame:
     return rows.groupBy("key", "row", "col").applyInArrow(run, "a binary, b binary")
 
 
-def _allowed(outer: np.ndarray, inner: np.ndarray, root: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Pairs of different parts that size and sketch allow: first the closest one of each outer member, then the others."""
+def _allowed(outer: np.ndarray, inner: np.ndarray, root: np.ndarray, n: np.ndarray, sketch: np.ndarray, meets: np.ndarray,
+             band: int) -> Iterator[tuple[int, int]]:
+    """Pairs of different parts that meet in ``band`` first and that size and sketch allow: the closest one of each outer member, then the others."""
     later = []
     for i in outer.tolist():
         near = inner[(root[inner] != root[i]) & (np.minimum(n[inner], n[i]) * SIMILAR[1] >= np.maximum(n[inner], n[i]) * SIMILAR[0])]
+        near = near[~((meets[near, :band] == meets[i, :band]) & (meets[i, :band] != 0)).any(axis=1)]
         same = (sketch[near] == sketch[i]).sum(axis=1)
         good = np.flatnonzero(same >= MIN_SKETCH * SIZE)
         near = near[good[np.argsort(-same[good], kind="stable")]]
