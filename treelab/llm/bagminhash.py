@@ -43,6 +43,9 @@ LOT = 4096
 #: Share of equal sketch bytes below which a pair is not similar.
 MIN_SKETCH = 0.55
 
+#: Size of the filter that keeps texts which are no candidates from being looked at twice: 8 MB.
+FILTER_BITS = 1 << 26
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -134,22 +137,51 @@ def banded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return rows.mapInArrow(run, f"node binary, doc_id {kind}, row_key binary, n_shingles bigint, bands array<bigint>")
 
 
-def shingle_bags(rows: DataFrame) -> DataFrame:
-    """``node``, its multiset as a sorted array of 64-bit hashes with repeats, in bytes, and a ``sketch``: a byte of each signature
-    value; ``rows``: node, body."""
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A bit per hash value of ``column`` (16 random bytes): which rows cannot be among ``keys``. Its size is fixed; a full one lets all pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in X.steps(batches, "body"):
-            doc, key, count = shingle_counts(b["body"])
-            flat = np.repeat(key, count)
-            ends = np.searchsorted(np.repeat(doc, count), np.arange(b.num_rows + 1))
-            bags = [flat[ends[i] : ends[i + 1]].tobytes() for i in range(b.num_rows)]
-            full = np.flatnonzero(np.diff(ends))
-            sketches = np.zeros((b.num_rows, SIZE), np.uint8)
-            sketches[full] = signatures(len(full), np.searchsorted(full, doc), key, count) & 0xFF
-            yield pa.RecordBatch.from_arrays([b["node"], pa.array(bags, pa.binary()), pa.array([x.tobytes() for x in sketches], pa.binary())],
-                                             names=["node", "bag", "sketch"])
+        words = np.zeros(FILTER_BITS // 64, np.int64)
+        for b in batches:
+            _set_bits(words, _key_hash(b[column]))
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], names=["at", "bits"])
+
+    found = keys.select(column).mapInArrow(run, "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def _key_hash(keys: pa.Array) -> np.ndarray:
+    return (np.frombuffer(b"".join(keys.to_pylist()), "<u8")[::2] % np.uint64(FILTER_BITS)).astype(np.int64)
 
-    return rows.select("node", "body").mapInArrow(run, "node binary, bag binary, sketch binary")
+
+def _set_bits(words: np.ndarray, at: np.ndarray) -> None:
+    np.bitwise_or.at(words, at >> 6, np.left_shift(np.int64(1), at & 63))
+
+
+def shingle_bags(rows: DataFrame, keys: np.ndarray | None = None) -> DataFrame:
+    """``row_key``, ``node``, its multiset as a sorted array of 64-bit hashes with repeats, in bytes, and a ``sketch``: a byte of each
+    signature value; ``rows``: row_key, node, body. With ``keys`` only rows that the filter lets pass."""
+    sent = None if keys is None else rows.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            if sent is not None and whole.num_rows:
+                at = _key_hash(whole["row_key"])
+                whole = whole.filter(pa.array((sent.value[at >> 6] >> (at & 63) & 1).astype(bool)))
+            for b in X.steps(iter([whole]), "body"):
+                doc, key, count = shingle_counts(b["body"])
+                flat = np.repeat(key, count)
+                ends = np.searchsorted(np.repeat(doc, count), np.arange(b.num_rows + 1))
+                bags = [flat[ends[i] : ends[i + 1]].tobytes() for i in range(b.num_rows)]
+                full = np.flatnonzero(np.diff(ends))
+                sketches = np.zeros((b.num_rows, SIZE), np.uint8)
+                sketches[full] = signatures(len(full), np.searchsorted(full, doc), key, count) & 0xFF
+                yield pa.RecordBatch.from_arrays([b["row_key"], b["node"], pa.array(bags, pa.binary()), pa.array([x.tobytes() for x in sketches], pa.binary())],
+                                                 names=["row_key", "node", "bag", "sketch"])
+
+    return rows.select("row_key", "node", "body").mapInArrow(run, "row_key binary, node binary, bag binary, sketch binary")
 
 
 def overlap(a: bytes, b: bytes) -> int:
@@ -216,10 +248,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
     candidates = settle(nodes.select("node", F.col("first")["row_key"].alias("row_key")).join(degrees, "node"), "candidates")
     members = members.join(candidates.select("node", "degree"), "node")
-    body = docs.select(node_of(F.col(text)).alias("node"), F.col(doc_id).alias("id"), F.col(text).alias("body"))
-    bodies = body.withColumn("row_key", row_key(F.col("id"), F.col("node"))).drop("id") \
-        .join(candidates.select("row_key", F.col("node").alias("n2")), "row_key").where("node = n2").dropDuplicates(["row_key"])
-    bags = settle(shingle_bags(bodies), "bags")
+    node = node_of(F.col(text))
+    bodies = docs.select(row_key(F.col(doc_id), node).alias("row_key"), node.alias("node"), F.col(text).alias("body"))
+    made = shingle_bags(bodies, key_filter(candidates, "row_key"))  # texts are not shuffled, only the multisets of candidates
+    bags = settle(made.join(candidates.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).drop("row_key"), "bags")
     labels = linked(members, bags, candidates.select("node", F.col("node").alias("root")))
     named = nodes.select("node", "doc_id", "first").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min("first").alias("head"))
