@@ -107,3 +107,13 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         storage.shared_dir(Other)
+
+
+def test_nan_is_missing_in_profiles(spark):
+    from treelab.operators import profile
+
+    rows = [(float(i), 0) for i in range(10)]
+    holes = rows + [(float("nan"), 0), (None, 0)]
+    frames = [spark.createDataFrame(r, "x double, label int") for r in (rows, holes)]
+    for look in (lambda d: profile.describe(d, ["x"]), lambda d: profile.class_histograms(d, ["x"], bins=4)):
+        assert sorted(map(tuple, look(frames[0]).collect())) == sorted(map(tuple, look(frames[1]).collect()))

@@ -17,9 +17,9 @@ def class_ratio(df: DataFrame, split: str = "split", label: str = "label") -> Da
 
 
 def to_long(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
-    """One row per (row, feature)."""
+    """One row per (row, feature); NaN is missing, as null is."""
     keep = keep or []
-    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(keep, cols, "feature", "value")
+    return df.select(*keep, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols]).unpivot(keep, cols, "feature", "value")
 
 
 def describe(df: DataFrame, cols: list[str], digits: int = 2) -> DataFrame:
