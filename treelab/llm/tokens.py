@@ -73,10 +73,12 @@ class Encoder:
             self.parts = {}
         cut = [self._cut(t) for t in texts]
         get = self.parts.get
-        known = [[get(p) for p in parts] for parts in cut]
-        self._learn({p for parts, ids in zip(cut, known, strict=True) if None in ids for p, x in zip(parts, ids, strict=True) if x is None})
-        look = self.parts.__getitem__
-        return [b"".join(map(look, parts) if None in ids else ids) for parts, ids in zip(cut, known, strict=True)]
+        known = [list(map(get, parts)) for parts in cut]
+        holes = [(parts, ids, at) for parts, ids in zip(cut, known, strict=True) if None in ids for at in _empty_places(ids)]
+        self._learn({parts[at] for parts, _, at in holes})
+        for parts, ids, at in holes:
+            ids[at] = self.parts[parts[at]]
+        return [b"".join(ids) for ids in known]
 
     def _cut(self, text: str) -> list[str]:
         if self._plain(text):
@@ -121,6 +123,13 @@ class Encoder:
                     self.parts[p] = self._pack(e.ids)
 
 
+def _empty_places(ids: list[bytes | None]) -> Iterator[int]:
+    at = -1
+    for _ in range(ids.count(None)):
+        at = ids.index(None, at + 1)
+        yield at
+
+
 def latin_pattern(pattern: str) -> str:
     """The pattern with its classes of letters, numbers and white space spelled out for the characters up to U+00FF."""
     chars = [chr(i) for i in range(256)]
@@ -175,7 +184,7 @@ def build(ids: np.ndarray, ends: np.ndarray, doc_ids: pa.Array) -> bytes:
     pack = zstandard.ZstdCompressor(level=1)
     zeros, directory, blocks = [], [], []
     for plane in range(planes):
-        bit = ((codes >> (planes - 1 - plane)) & 1).astype(bool)
+        bit = (codes & codes.dtype.type(1 << (planes - 1 - plane))) != 0
         ones = 0
         for begin in range(0, max(len(codes), 1), BLOCK_BITS):
             part = bit[begin : begin + BLOCK_BITS]
@@ -183,9 +192,9 @@ def build(ids: np.ndarray, ends: np.ndarray, doc_ids: pa.Array) -> bytes:
             directory.append((len(data), ones))
             blocks.append(data)
             ones += int(np.count_nonzero(part))
-        low = codes[~bit]
+        low = np.compress(~bit, codes)
         zeros.append(len(low))
-        codes = np.concatenate((low, codes[bit]))
+        codes = np.concatenate((low, np.compress(bit, codes)))
     lead = struct.pack(HEADER, MAGIC, len(ids), len(ends), planes, BLOCK_BITS, len(alphabet), len(names))
     lead += alphabet.tobytes() + ends.astype("<u8").tobytes() + np.array(zeros, "<u8").tobytes() + names
     at = len(lead) + struct.calcsize(ENTRY) * len(directory)
@@ -291,8 +300,8 @@ class WaveletMatrix:
                 self.cached.pop((plane, j), None)
             out = np.empty_like(codes)
             zeros = int(self.zeros[plane])
-            out[~bit] = codes[:zeros]
-            out[bit] = codes[zeros:] | codes.dtype.type(1 << (self.planes - 1 - plane))
+            out[np.flatnonzero(~bit)] = codes[:zeros]
+            out[np.flatnonzero(bit)] = codes[zeros:] | codes.dtype.type(1 << (self.planes - 1 - plane))
             codes = out
         return self.alphabet[codes]
 
