@@ -467,6 +467,27 @@ def test_wavelet_matrix(matrix, monkeypatch):
     assert m.all_ids().tolist() == ids.tolist()
 
 
+def test_wavelet_matrix_reads_few_blocks(monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_BITS", 2048)
+    monkeypatch.setattr(tokens, "CACHE_BLOCKS", 3)
+    ids = np.random.default_rng(8).integers(0, 9, 10_000).astype(np.uint16)
+    data = tokens.build(ids, np.array([10_000]), pa.array([1]))
+    m = tokens.WaveletMatrix(lambda at, n: data[at : at + n])
+    for token in range(9):
+        places = np.flatnonzero(ids == token)
+        ends = [0, 1, 511, 512, 513, 2047, 2048, 2049, 9_999, 10_000]
+        assert [m.rank(token, e) for e in ends] == [int((places < e).sum()) for e in ends]
+        assert [m.select(token, k) for k in range(0, len(places), 97)] == places[::97].tolist()
+    assert len(m.cached) <= 3 and m.all_ids().tolist() == ids.tolist()
+
+
+def test_shards_lie_where_spark_reads(spark, data):
+    place = tokens.folder(spark, "plain").replace("file:", "")
+    shards = tokens.write_shards(spark.read.parquet(f"{data}/documents.parquet"), place, tokens.public_path("word_bpe_49k.json"), 2)
+    paths = [r["path"] for r in shards.collect()]
+    assert paths and all(p.startswith("file:") for p in paths) and spark.read.format("binaryFile").load(paths).count() == len(paths)
+
+
 def test_empty_and_single_token_shards():
     for ids in (np.zeros(0, np.uint16), np.array([2], np.uint16), np.full(5, 9, np.uint16)):
         data = tokens.build(ids, np.array([len(ids)]), pa.array(["x"]))

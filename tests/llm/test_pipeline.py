@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_operators import brute_classes
 from treelab.llm import decontamination, mixing, tokens
-from treelab.llm.shared import settle, table
+from treelab.llm.shared import settle, staged, table
 
 
 def test_stages(spark, data):
@@ -39,6 +39,26 @@ def test_stages(spark, data):
     assert whole.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0] == whole.agg(F.sum("n_tokens")).first()[0]
 
 
+def test_stages_release_what_is_not_read(spark, data):
+    import glob
+    import os
+
+    from treelab.functions.storage import shared_dir
+
+    tables = lambda name: set(glob.glob(os.path.join(shared_dir(spark).replace("file:", ""), f"{name}-*")))
+    before = tables("made")
+    first = staged(lambda spark, docs, sf_dir: settle(docs, "made"))
+    other = staged(lambda spark, docs, sf_dir: docs)
+    docs = table(spark, data, "documents")
+    passed = first(spark, docs, data)
+    made = tables("made") - before
+    assert len(made) == 1
+    kept = other(spark, passed.where("doc_id >= 0"), data)
+    assert tables("made") - before == made and kept.count() == docs.where("doc_id >= 0").count()
+    other(spark, docs, data)
+    assert tables("made") == before
+
+
 def test_empty_documents(spark, data):
     docs = table(spark, data, "documents").limit(0)
     for _, stage in pipe.STAGES:

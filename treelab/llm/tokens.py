@@ -28,13 +28,16 @@ import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from treelab.llm.shared import folder, settle
+from treelab.llm.shared import folder, qualified, settle
 
 MAGIC = b"WVMX0001"
 HEADER, ENTRY = "<8sQQIIIQ", "<QIQ"
 #: Bits of a plane that are compressed together.
 BLOCK_BITS = 1 << 18
 SHARD_BYTES = 32 << 20
+#: Bits between the counts of ones that a reader keeps for an unpacked block, and unpacked blocks that it keeps.
+STEP_BITS = 512
+CACHE_BLOCKS = 256
 #: Entries of the cache of encoded parts that one worker keeps.
 CACHE_PARTS = 900_000
 
@@ -224,28 +227,43 @@ class WaveletMatrix:
         self.unpack = zstandard.ZstdDecompressor()
         names = self.unpack.decompress(rest[at - n_names : at])
         self.doc_ids = pa.ipc.open_stream(names).read_all()["doc_id"].combine_chunks()
-        self.cached: dict[tuple[int, int], np.ndarray] = {}
-
-    def _bits(self, plane: int, block: int) -> np.ndarray:
-        if (plane, block) not in self.cached:
-            offset, size, _ = self.entries[plane * self.per_plane + block]
-            count = min(self.block, self.n - block * self.block)
-            raw = np.frombuffer(self.unpack.decompress(self.read(offset, size), max_output_size=self.block), np.uint8)
-            self.cached[plane, block] = np.unpackbits(raw, count=count, bitorder="little")
-        return self.cached[plane, block]
+        #: Unpacked blocks, the one used last at the end, each with the ones before every ``STEP_BITS`` of it.
+        self.cached: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def _unpacked(self, plane: int, block: int) -> np.ndarray:
+        offset, size, _ = self.entries[plane * self.per_plane + block]
+        raw = np.frombuffer(self.unpack.decompress(self.read(offset, size), max_output_size=self.block), np.uint8)
+        return np.unpackbits(raw, count=min(self.block, self.n - block * self.block), bitorder="little")
+
+    def _bits(self, plane: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+        held = self.cached.pop((plane, block), None)
+        if held is None:
+            bits = self._unpacked(plane, block)
+            steps = np.add.reduceat(bits, np.arange(0, len(bits), STEP_BITS), dtype=np.int64) if len(bits) else np.zeros(0, np.int64)
+            held = bits, np.concatenate(([0], np.cumsum(steps)))
+            while len(self.cached) >= CACHE_BLOCKS:
+                del self.cached[next(iter(self.cached))]
+        self.cached[plane, block] = held
+        return held
 
     def _rank1(self, plane: int, i: int) -> int:
         """Ones before place ``i``."""
         if i >= self.n:
             return self.n - int(self.zeros[plane])
         block, inside = divmod(i, self.block)
-        return self.entries[plane * self.per_plane + block][2] + int(np.count_nonzero(self._bits(plane, block)[:inside]))
+        bits, before = self._bits(plane, block)
+        step = inside // STEP_BITS
+        return self.entries[plane * self.per_plane + block][2] + int(before[step]) + int(np.count_nonzero(bits[step * STEP_BITS : inside]))
 
     def _select(self, plane: int, bit: int, k: int) -> int:
         """Place of the k-th (from 0) ``bit`` of a plane."""
         before = [e[2] if bit else j * self.block - e[2] for j, e in enumerate(self.entries[plane * self.per_plane : (plane + 1) * self.per_plane])]
         block = int(np.searchsorted(before, k, "right")) - 1
-        return block * self.block + int(np.flatnonzero(self._bits(plane, block) == bit)[k - before[block]])
+        bits, ones = self._bits(plane, block)
+        inside = ones if bit else np.minimum(np.arange(len(ones)) * STEP_BITS, len(bits)) - ones
+        step = int(np.searchsorted(inside, k - before[block], "right")) - 1
+        part = bits[step * STEP_BITS : (step + 1) * STEP_BITS]
+        return block * self.block + step * STEP_BITS + int(np.flatnonzero(part == bit)[k - before[block] - int(inside[step])])
 
     def access(self, i: int) -> int:
         """Token at place ``i``."""
@@ -253,7 +271,7 @@ class WaveletMatrix:
             raise IndexError(i)
         code = 0
         for plane in range(self.planes):
-            bit = int(self._bits(plane, i // self.block)[i % self.block])
+            bit = int(self._bits(plane, i // self.block)[0][i % self.block])
             ones = self._rank1(plane, i)
             i = int(self.zeros[plane]) + ones if bit else i - ones
             code = code << 1 | bit
@@ -295,9 +313,7 @@ class WaveletMatrix:
         """All tokens in order; planes are merged from the last to the first."""
         codes = np.zeros(self.n, np.uint16 if len(self.alphabet) <= 1 << 16 else np.uint32)
         for plane in reversed(range(self.planes)):
-            bit = np.concatenate([self._bits(plane, j) for j in range(self.per_plane)]).astype(bool) if self.n else np.zeros(0, bool)
-            for j in range(self.per_plane):
-                self.cached.pop((plane, j), None)
+            bit = np.concatenate([self._unpacked(plane, j) for j in range(self.per_plane)]).view(bool) if self.n else np.zeros(0, bool)
             out = np.empty_like(codes)
             zeros = int(self.zeros[plane])
             out[np.flatnonzero(~bit)] = codes[:zeros]
@@ -314,9 +330,10 @@ class WaveletMatrix:
 
 
 def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and name of a path; one without scheme is local, so ``write_shards`` qualifies its folder first."""
     if "://" not in path and not path.startswith("file:"):
         return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]:", "s3:", path)))
 
 
 def write_file(path: str, data: bytes) -> None:
@@ -338,7 +355,11 @@ def open_shard(path: str) -> WaveletMatrix:
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Writes the shards and returns their settled list: shard, path, n_docs, n_tokens, n_bytes."""
+    """Writes the shards and returns their settled list: shard, path, n_docs, n_tokens, n_bytes.
+
+    A ``path`` without scheme lies where Spark's own readers would look for it, not on the disk of the task.
+    """
+    path = qualified(docs.sparkSession, path)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("body"))
     total = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_bytes))
