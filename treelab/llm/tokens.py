@@ -186,6 +186,7 @@ def build(ids: np.ndarray, ends: np.ndarray, doc_ids: pa.Array) -> bytes:
     planes = max(1, int(max(len(alphabet) - 1, 1)).bit_length())
     pack = zstandard.ZstdCompressor(level=1)
     zeros, directory, blocks = [], [], []
+    after = np.empty_like(codes)
     for plane in range(planes):
         bit = (codes & codes.dtype.type(1 << (planes - 1 - plane))) != 0
         ones = 0
@@ -195,9 +196,10 @@ def build(ids: np.ndarray, ends: np.ndarray, doc_ids: pa.Array) -> bytes:
             directory.append((len(data), ones))
             blocks.append(data)
             ones += int(np.count_nonzero(part))
-        low = np.compress(~bit, codes)
-        zeros.append(len(low))
-        codes = np.concatenate((low, np.compress(bit, codes)))
+        zeros.append(len(codes) - ones)
+        np.compress(bit, codes, out=after[zeros[-1] :])
+        np.compress(np.logical_not(bit, out=bit), codes, out=after[: zeros[-1]])
+        codes, after = after, codes
     lead = struct.pack(HEADER, MAGIC, len(ids), len(ends), planes, BLOCK_BITS, len(alphabet), len(names))
     lead += alphabet.tobytes() + ends.astype("<u8").tobytes() + np.array(zeros, "<u8").tobytes() + names
     at = len(lead) + struct.calcsize(ENTRY) * len(directory)
@@ -316,8 +318,9 @@ class WaveletMatrix:
             bit = np.concatenate([self._unpacked(plane, j) for j in range(self.per_plane)]).view(bool) if self.n else np.zeros(0, bool)
             out = np.empty_like(codes)
             zeros = int(self.zeros[plane])
-            out[np.flatnonzero(~bit)] = codes[:zeros]
-            out[np.flatnonzero(bit)] = codes[zeros:] | codes.dtype.type(1 << (self.planes - 1 - plane))
+            codes[zeros:] |= codes.dtype.type(1 << (self.planes - 1 - plane))
+            out[np.flatnonzero(bit)] = codes[zeros:]
+            out[np.flatnonzero(np.logical_not(bit, out=bit))] = codes[:zeros]
             codes = out
         return self.alphabet[codes]
 
