@@ -3,7 +3,7 @@
 Each line with a word is good or bad. Its score is linear in features of the line and of the lines before and after; neighbouring
 states interact. Forward-backward gives each line's probability of being good; their mean, weighted by the lines' lengths, goes
 through a fitted logistic curve and is the document's score. The field is trained on labelled documents (each line carries its
-document's label) from a bounded sample: ``max_rows`` rows with the smallest hash of doc_id and at most ``MAX_LINES`` lines each.
+document's label) from a bounded sample: ``max_rows`` rows with the smallest hash of doc_id; of these, texts of more than ``MAX_LINES`` lines are left out.
 Every document is scored over all its lines.
 
 Scores use the text alone. Null and empty texts, and texts without words, have no lines and get the share of label 1 in the sample.
