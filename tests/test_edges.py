@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from treelab.functions import ranks, storage
 from treelab.operators import bins, boosting, metrics, pruning, resample
+from treelab.plans import compare
 from treelab.sources import sinks
 
 
@@ -117,3 +118,9 @@ def test_nan_is_missing_in_profiles(spark):
     frames = [spark.createDataFrame(r, "x double, label int") for r in (rows, holes)]
     for look in (lambda d: profile.describe(d, ["x"]), lambda d: profile.class_histograms(d, ["x"], bins=4)):
         assert sorted(map(tuple, look(frames[0]).collect())) == sorted(map(tuple, look(frames[1]).collect()))
+
+
+def test_a_thread_without_an_active_session_scores_boosted_models(spark):
+    rows = spark.range(60).selectExpr("id AS row_id", "id % 7 * 1.0D AS x", "CAST(id % 7 > 3 AS INT) AS label", "CAST(id % 3 AS INT) AS fold").persist()
+    fits = {"boost": compare.boost_fit(boosting.BoostConfig(n_rounds=2, max_depth=1, learning_rate=1.0, min_child_weight=0.0), ["x"])}
+    assert [(r.fold, r.accuracy) for r in compare.cv_scores(rows, fits, 3, parallelism=2).orderBy("fold").collect()] == [(0, 1.0), (1, 1.0), (2, 1.0)]

@@ -48,7 +48,7 @@ def model_nodes(model, cols: list[str]) -> list[dict]:
 
     ``value`` is the class-1 share for a classification tree and the prediction for a regression tree.
     """
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.active()
     path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
     model.write().save(path)
     data = spark.read.parquet(f"{path}/data")
@@ -180,8 +180,8 @@ def tree_sum(nodes: DataFrame | list[dict], cols: list[str], value: str = "value
 
 
 def broadcast_trees(nodes: DataFrame | list[dict], value: str = "value") -> list:
-    """The node arrays, broadcast in groups of bounded size."""
-    context = SparkSession.getActiveSession().sparkContext
+    """The node arrays, broadcast in groups of bounded size; a thread of its own has no active session, so the default one counts too."""
+    context = SparkSession.active().sparkContext
     return [context.broadcast(vars(TreeArrays(group, value))) for group in tree_groups(rows_of(nodes))]
 
 
