@@ -94,6 +94,15 @@ def test_permuted_column_keeps_its_values(spark):
         assert sum(r.permuted == r.value for r in part) < 10
 
 
+def test_a_column_is_shuffled_anew_in_every_repeat(spark):
+    def order(tail):
+        return sorted(range(50), key=lambda i: hashlib.md5(f"{i}:42:{tail}".encode()).hexdigest())
+
+    df = spark.range(50).select(F.col("id").alias("row_id"), (F.col("id") * 2.0).alias("v"))
+    got = {(r.row_id, r.rep): (r.value, r.permuted) for r in resample.permute_column(df, "v", 3).collect()}
+    assert got == {(i, rep): (2.0 * i, 2.0 * j) for rep in range(3) for i, j in zip(order("pos"), order(f"v:{rep}"))}
+
+
 def test_encoding_is_lexicographic_and_keeps_missing_targets(spark):
     df = spark.createDataFrame([("10",), ("2",), (None,), ("2",)], "t string")
     assert [r.t for r in clean.encode_sorted(df, ["t"]).collect()] == [0, 1, 2, 1]
