@@ -599,3 +599,23 @@ def test_unmarked_pages_lose_what_their_host_repeats(spark):
     assert len(out) == len(rows) and all(got[i]["text"] == body(i) and got[i]["n_chars"] == len(body(i)) for i in range(70))
     assert got[100]["text"] == body(999) and got[200]["text"] == "" and got[201]["n_chars"] == 0 and got[None]["text"].startswith("Welcome")
     assert got[1]["n_repeated"] > 0 and extraction.extract(pages.limit(0)).count() == 0
+
+
+def test_what_a_host_repeats_is_found_between_arrays(spark, monkeypatch):
+    """A host dealt to many arrays gives the same as one array: frames on two pages only, runs of just the least length, copies, marked pages."""
+    rng = np.random.default_rng(8)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    rare, least, short = words(30), words(extraction.MIN_RUN - 1), words(extraction.MIN_RUN - 2)
+    rows = [(i, "http://h.example/a", f"<p>{words(50)}</p>" + (f"<div>{rare}</div>" if i in (3, 44) else f"<div>{least}</div>" if i in (5, 50) else
+             f"<p>{short}</p>" if i in (6, 51) else "")) for i in range(60)]
+    rows += [(100 + i, "http://h.example/b", f"<p>{rare[:0]}same {' '.join(map(str, range(40)))}</p>") for i in range(9)]
+    rows += [(200 + i, f"http://h.example/{i}", f"<article><p>{words(20)}</p></article><p>{rare}</p>") for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").persist()
+    got = {}
+    for size in (3, 1000):
+        monkeypatch.setattr(extraction, "PAGES_PER_ARRAY", size)
+        got[size] = sorted(map(tuple, extraction.extract(pages).collect()))
+    assert got[3] == got[1000]
+    by = {r[0]: r for r in got[3]}
+    assert rare not in by[3][2] and rare not in by[44][2] and least not in by[5][2] and short in by[6][2]
+    assert by[6][5] == by[100][5] == by[0][5] == 0 and by[5][5] == extraction.MIN_RUN - 1 and by[200][5] == 30 and by[100][2].startswith("same 0 1")

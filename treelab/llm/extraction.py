@@ -10,8 +10,10 @@ by prefix doubling to the depth of ``MIN_RUN`` tokens; every run of at least tha
 or more is a repeat. Blocks covered by repeats are boilerplate and go, unique runs stay; a page that is covered as a whole is a copy and keeps its
 text. How many tokens of a page repeat on its host is returned for all pages.
 
-Hosts of more than ``PAGES_PER_ARRAY`` pages are dealt to several arrays by hash, each holding a fair sample of the host's frame, so
-no host is ever in one task.
+Hosts of more than ``PAGES_PER_ARRAY`` pages are dealt to several arrays by hash, so no host is ever in one task. What repeats between
+arrays is found in two rounds. In each, an array sends keys and is told which of them stand on two distinct pages of the host. The keys of the
+first round are 32 bits of the least hash of ``PICK`` tokens in each run, which equal runs share; those of the second are the 64-bit hashes of the
+runs whose pick is shared, so that only few are sent, and the answer is the same as from one array over the whole host.
 
 Null or empty html gives an empty text; a null url is a host of its own; equal pages count as one page, repeated rows all get a row;
 very long pages are parsed whole; unclosed and misnested markup never fails. An empty table gives an empty result.
@@ -19,12 +21,14 @@ very long pages are parsed whole; unclosed and misnested markup never fails. An
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from treelab.llm import text as X
@@ -32,6 +36,10 @@ from treelab.llm.shared import settle
 
 MIN_RUN = 12
 PAGES_PER_ARRAY = 64
+#: Tokens of the part by which runs are compared first.
+PICK = 4
+#: Arrays whose keys are compared in one group, up to ``MOST_PARTS`` groups a host; above that, ``MOST_LOTS`` of them.
+FEW_LOTS, MOST_PARTS, MOST_LOTS = 16, 64, 1024
 #: A block goes if this share of its tokens repeats; a page is a copy if this share of its open blocks' tokens does.
 COVERED = 0.8
 
@@ -212,22 +220,132 @@ def repeats(page: np.ndarray, token: np.ndarray, copy: np.ndarray, depth: int =
     return (np.cumsum(cover)[:size] > 0)[place]
 
 
-def main_texts(pages: list[list[tuple[str, int, bool]]]) -> list[tuple[str, int, int]]:
-    """Text, tokens and repeated tokens of each page of a host, from the blocks of all of them."""
-    flat = [b for p in pages for b in p]
-    of = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
-    w = X.words(pa.array([b[0] for b in flat], pa.string()))[2]
-    size = np.diff(w.first)
-    # one token that opens each block, then its words
-    begin = w.first[:-1] + np.arange(len(flat))
-    token = np.zeros(len(w.hash) + len(flat), np.uint64)
-    is_word = np.ones(len(token), bool)
-    is_word[begin] = False
-    token[is_word] = w.hash
-    copies: dict = {}
-    copy = np.array([copies.setdefault(tuple(p), len(copies)) for p in pages], np.int64)
-    page = np.repeat(of, size + 1)
-    again = repeats(page, token, copy[page] if len(pages) else page) & is_word
+def packed_blocks(blocks: list[tuple[str, int, bool]]) -> bytes:
+    """A line per block, which begins with its zone and whether it may belong to the article; blocks have no line breaks."""
+    return "\n".join(f"{chr(48 + 2 * zone + ok)}{text}" for text, zone, ok in blocks).encode()
+
+
+def unpacked_blocks(data: bytes) -> list[tuple[str, int, bool]]:
+    return [(x[1:], (ord(x[0]) - 48) >> 1, bool((ord(x[0]) - 48) & 1)) for x in data.decode().split("\n")] if data else []
+
+
+class Tokens:
+    """The token streams of some pages of a host one after the other; a token of its own opens each block."""
+
+    def __init__(self, pages: list[list[tuple[str, int, bool]]]):
+        self.flat = [b for p in pages for b in p]
+        of = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
+        w = X.words(pa.array([b[0] for b in self.flat], pa.string()))[2]
+        self.size = np.diff(w.first)
+        self.begin = w.first[:-1] + np.arange(len(self.flat))
+        self.token = np.zeros(len(w.hash) + len(self.flat), np.uint64)
+        self.is_word = np.ones(len(self.token), bool)
+        self.is_word[self.begin] = False
+        self.token[self.is_word] = w.hash
+        self.page = np.repeat(of, self.size + 1)
+        digests = [int.from_bytes(hashlib.blake2b(packed_blocks(p), digest_size=8).digest(), "big") >> 1 for p in pages]
+        self.copy = np.array(digests, np.int64)[self.page]  # equal pages have equal numbers, in all arrays
+
+
+def run_hashes(token: np.ndarray, depth: int) -> np.ndarray:
+    """Hash of the ``depth`` tokens from each place on."""
+    out = np.zeros(max(len(token) - depth + 1, 0), np.uint64)
+    for k in range(depth):
+        out += token[k : k + len(out)] * X.PLACE_KEY[k]
+    return X.mix(out)
+
+
+def runs_of(t: Tokens, depth: int = MIN_RUN, part: int = PICK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, hash and pick (least hash of ``part`` tokens in it) of every run inside a page."""
+    whole, short = run_hashes(t.token, depth), run_hashes(t.token, part)
+    n = len(whole)
+    least = short[:n].copy()
+    for k in range(1, depth - part + 1):
+        np.minimum(least, short[k : k + n], out=least)
+    at = np.flatnonzero(t.page[:n] == t.page[len(t.page) - n :])
+    return at, whole[at], least[at]
+
+
+def holders(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the lowest and the highest owner of each."""
+    order = np.lexsort((owners, keys))
+    keys, owners = keys[order], owners[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], owners[first], owners[np.append(first[1:], len(keys))[: len(first)] - 1]
+
+
+def sent_keys(keys: np.ndarray, lots: int, whole: bool) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """What is sent of distinct keys, and the places of those that go to each part of the host, in the order sent."""
+    parts = max(min(MOST_PARTS, -(-lots // FEW_LOTS)), -(-lots // MOST_LOTS))
+    part = (keys >> np.uint64(32)) % np.uint64(parts)
+    sent = keys.astype(">u8") if whole else (keys & np.uint64(0xFFFFFFFF)).astype(">u4")
+    order = np.lexsort((sent, part))
+    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    return sent, [(i, order[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+
+
+def planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second bytes, and so on: the first ones of sorted values compress well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def unplaned(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+KEYS = pa.schema([("host", pa.string()), ("lot", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary()), ("several", pa.binary())])
+ANSWERS = pa.schema([("host", pa.string()), ("lot", pa.int64()), ("part", pa.int32()), ("hits", pa.binary())])
+
+
+def keys_table(host: str, lot: int, lots: int, keys: np.ndarray, owners: np.ndarray, whole: bool) -> pa.Table:
+    """A row per part of the host: the array's keys, whether each has several owners here and, for whole keys, one owner."""
+    keys, low, high = holders(keys, owners)
+    sent, places = sent_keys(keys, lots, whole)
+    rows = [{"host": host, "lot": lot, "part": i, "keys": planes(sent[x]), "owners": planes(low[x].astype(">i8")) if whole else b"",
+             "several": np.packbits(low[x] != high[x]).tobytes()} for i, x in places]
+    return pa.Table.from_pylist(rows, schema=KEYS)
+
+
+def answers(t: pa.Table) -> pa.Table:
+    """For each array, which of its keys stand on two distinct pages; keys without owners need only be sent twice."""
+    rows = t.to_pylist()
+    whole = bool(rows[0]["owners"])
+    keys = [unplaned(r["keys"], ">u8" if whole else ">u4") for r in rows]
+    sizes = [len(k) for k in keys]
+    several = np.concatenate([np.unpackbits(np.frombuffer(r["several"], np.uint8), count=n) for r, n in zip(rows, sizes, strict=True)]) > 0
+    key = np.concatenate(keys).astype(np.uint64)
+    owner = np.concatenate([unplaned(r["owners"], ">i8") for r in rows]).astype(np.int64) if whole else np.arange(len(key))
+    known, low, high = holders(key, owner)
+    place = np.searchsorted(known, key)
+    hit = low != high
+    hit[place[several]] = True
+    out = np.split(hit[place], np.cumsum(sizes)[:-1])
+    return pa.Table.from_pylist([{"host": r["host"], "lot": r["lot"], "part": r["part"], "hits": np.packbits(x).tobytes()} for r, x in zip(rows, out, strict=True)],
+                                schema=ANSWERS)
+
+
+def answered(keys: np.ndarray, lots: int, whole: bool, got: pa.Table) -> np.ndarray:
+    """The answers to an array's keys, for each of ``keys`` (with repeats)."""
+    known, place = np.unique(keys, return_inverse=True)
+    hit, hits = np.zeros(len(known), bool), dict(zip(got["part"].to_pylist(), got["hits"].to_pylist(), strict=True))
+    for i, x in sent_keys(known, lots, whole)[1]:
+        hit[x] = np.unpackbits(np.frombuffer(hits[i], np.uint8), count=len(x)) > 0
+    return hit[place]
+
+
+def main_texts(pages: list[list[tuple[str, int, bool]]], elsewhere=None) -> list[tuple[str, int, int]]:
+    """Text, tokens and repeated tokens of each page of a host, from the blocks of all of them. ``elsewhere`` gives, of the tokens, the
+    begins of runs that repeat on pages of the host that are not here."""
+    t = Tokens(pages)
+    flat, size, begin, token = t.flat, t.size, t.begin, t.token
+    again = repeats(t.page, token, t.copy)
+    if elsewhere is not None:
+        cover = np.zeros(len(token) + 1, np.int64)
+        at = elsewhere(t)
+        cover[at] += 1
+        cover[at + MIN_RUN] -= 1
+        again |= np.cumsum(cover)[:-1] > 0
+    again &= t.is_word
     covered = X.per_text(again, np.append(begin, len(token))) if len(flat) else np.zeros(0, np.int64)
     out, at = [], 0
     for p in pages:
@@ -250,21 +368,59 @@ def extract(pages: DataFrame) -> DataFrame:
     hosts = settle(rows.groupBy("host").count().select("host", F.ceil(F.col("count") / PAGES_PER_ARRAY).cast("int").alias("lots")), "hosts")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for b in X.steps(batches, "html"):
-            found = [blocks_of(p) for p in b["html"].to_pylist()]
-            flat = [x for f in found for x in f]
-            ends = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array([x[k] for x in flat], kind)) for k, kind in enumerate((pa.string(), pa.int32(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], b["host"], *lists], names=["page_id", "url", "host", "texts", "zones", "ok"])
-
-    def judge(t: pa.Table) -> pa.Table:
-        columns = [t[c].to_pylist() for c in ("texts", "zones", "ok")]
-        out = main_texts([list(zip(*x, strict=True)) for x in zip(*columns, strict=True)])
-        text, n, again = zip(*out, strict=True)
+            found = [packed_blocks(blocks_of(p)) for p in b["html"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], b["host"], pa.array([len(x) for x in found], pa.int32()),
+                                              pa.array([codec.compress(x, asbytes=True) for x in found], pa.binary())],
+                                             names=["page_id", "url", "host", "size", "blocks"])
+
+    def parsed_pages(t: pa.Table) -> list:
+        codec = pa.Codec("zstd")
+        return [unpacked_blocks(codec.decompress(x, n, asbytes=True)) for x, n in zip(t["blocks"].to_pylist(), t["size"].to_pylist(), strict=True)]
+
+    def lots_of(t: pa.Table) -> int:
+        return t["lots"][0].as_py()
+
+    def send_picks(t: pa.Table) -> pa.Table:
+        if lots_of(t) == 1:
+            return KEYS.empty_table()
+        held = Tokens(parsed_pages(t))
+        at, _, pick = runs_of(held)
+        return keys_table(t["host"][0].as_py(), t["lot"][0].as_py(), lots_of(t), pick, held.copy[at], False)
+
+    def send_runs(t: pa.Table, got: pa.Table) -> pa.Table:
+        if lots_of(t) == 1:
+            return KEYS.empty_table()
+        held = Tokens(parsed_pages(t))
+        at, run, pick = runs_of(held)
+        shared = answered(pick, lots_of(t), False, got)
+        return keys_table(t["host"][0].as_py(), t["lot"][0].as_py(), lots_of(t), run[shared], held.copy[at[shared]], True)
+
+    def judge(t: pa.Table, picks: pa.Table | None = None, runs: pa.Table | None = None) -> pa.Table:
+        def elsewhere(held: Tokens) -> np.ndarray:
+            at, run, pick = runs_of(held)
+            shared = answered(pick, lots_of(t), False, picks)
+            return at[shared][answered(run[shared], lots_of(t), True, runs)]
+
+        text, n, again = zip(*main_texts(parsed_pages(t), elsewhere if picks is not None and lots_of(t) > 1 else None), strict=True)
         return pa.table([t["page_id"], t["url"], pa.array(text, pa.string()), pa.array([len(x) for x in text], pa.int64()), pa.array(n, pa.int64()),
                          pa.array(again, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_tokens", "n_repeated"])
 
+    def judge_all(t: pa.Table, got: pa.Table) -> pa.Table:
+        whole = pc.equal(got["round"], 2)
+        return judge(t, got.filter(pc.invert(whole)), got.filter(whole))
+
     ids = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string"
-    parsed = rows.mapInArrow(parse, f"{ids}, host string, texts array<string>, zones array<int>, ok array<boolean>")
+    out = f"{ids}, text string, n_chars bigint, n_tokens bigint, n_repeated bigint"
+    parsed = rows.mapInArrow(parse, f"{ids}, host string, size int, blocks binary")
     dealt = parsed.join(hosts, "host").withColumn("lot", F.pmod(F.xxhash64("page_id", "url"), F.col("lots")))
-    return dealt.groupBy("host", "lot").applyInArrow(judge, f"{ids}, text string, n_chars bigint, n_tokens bigint, n_repeated bigint")
+    arrays = dealt.groupBy("host", "lot")
+    if (hosts.agg(F.max("lots")).first()[0] or 0) <= 1:
+        return arrays.applyInArrow(lambda t: judge(t), out)
+    keys, hits = "host string, lot bigint, part int, keys binary, owners binary, several binary", "host string, lot bigint, part int, hits binary"
+    # all three read the same shuffle of the pages
+    first = arrays.applyInArrow(send_picks, keys).groupBy("host", "part").applyInArrow(answers, hits)
+    second = arrays.cogroup(first.groupBy("host", "lot")).applyInArrow(send_runs, keys).groupBy("host", "part").applyInArrow(answers, hits)
+    both = first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
+    return arrays.cogroup(both.groupBy("host", "lot")).applyInArrow(judge_all, out)
