@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from treelab.functions import ranks
+from treelab.functions.hashing import unit_below, unit_hash
 from treelab.operators import clean, profile, resample
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -151,3 +152,9 @@ def test_shuffles_are_bijections(spark, monkeypatch):
                 a, b = resample.shuffle_key(n, "vw"[slot // 3], slot % 3)
                 assert sorted((r.pos, r.permuted - 100 * (slot // 3)) for r in rows if r.slot == slot) == [(p, (a * p + b) % n) for p in range(n)]
     assert resample.permuted_values(base.limit(0), ["v"], 2, 0).collect() == []
+
+
+def test_a_share_is_the_same_by_digits_and_by_number(spark):
+    rows = spark.range(3000).select(*[(unit_hash(F.col("id"), "s") < f).eqNullSafe(unit_below(f, F.col("id"), "s")).alias(f"c{i}")
+                                      for i, f in enumerate((-0.5, 0.0, 1e-12, 0.05, 0.5, 0.8, 1 - 2**-33, 1.0))])
+    assert all(all(r) for r in rows.collect())

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from treelab.operators import boosting, forest, nodes
 from treelab.plans.queries import r6
@@ -78,3 +79,27 @@ def test_stops_when_nothing_changes(spark, sample):
     assert 4 <= len(curve) < 40 and curve[-1] + 0.01 >= max(curve[-4:-1])
     assert all(curve[i] + 0.01 < max(curve[i - 3:i]) for i in range(3, len(curve) - 1))
     assert {r["tree_id"] for r in nodes.rows_of(model.nodes)} == set(range(len(curve)))
+
+
+def test_rounds_in_one_task_are_one_job_and_equal_those_over_a_table(spark, sample, monkeypatch):
+    df, _ = sample
+    df = df.withColumn("fold", F.col("row_id").cast("int") % 3).withColumn("split", F.when(F.col("row_id") % 5 == 0, "test").otherwise("train"))
+    configs = [boosting.BoostConfig(name=str(i), n_rounds=n, learning_rate=0.3, max_depth=2, subsample=share, seed=seed, holdout_fold=fold)
+               for i, (n, share, seed, fold) in enumerate([(4, 0.7, 1, None), (2, 0.7, 1, 0), (4, 0.4, 2, 1), (3, 1.0, 2, None)])]
+    models = {}
+    for cells in (0, 10**9):
+        monkeypatch.setattr(boosting, "TASK_CELLS", cells)
+        models[cells] = boosting.boost(df, COLS, configs, role="split", fold="fold")
+    for a, b in zip(models[0], models[10**9], strict=True):
+        assert [(r["tree_id"], r["node_id"], r["feature"], r["threshold"], r["n_samples"]) for r in a.nodes] == [
+            (r["tree_id"], r["node_id"], r["feature"], r["threshold"], r["n_samples"]) for r in b.nodes]
+        assert [r["value"] for r in a.nodes] == pytest.approx([r["value"] for r in b.nodes])
+        key = lambda h: (h["iteration"], h["eval_set"])
+        assert [(*key(h), pytest.approx(h["logloss"])) for h in sorted(a.history, key=key)] == [(*key(h), h["logloss"]) for h in sorted(b.history, key=key)]
+    jobs = []
+    for n in (1, 12):
+        spark.sparkContext.setJobGroup(f"rounds {n}", "")
+        boosting.boost(df, COLS, [boosting.BoostConfig(n_rounds=n, max_depth=2, subsample=0.5)], role="split")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds {n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] > 0
