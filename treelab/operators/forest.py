@@ -16,8 +16,8 @@ from treelab.operators.bins import Bins, fit_bins
 from treelab.functions.storage import cut_lineage, local_table
 from treelab.operators.grower import (BINS, WEIGHTS, GiniRule, GiniSource, Growth, feature_choice, gini_leaf, grow_gini, matrix_of, node_rows,
                                       packed, trees_per_pass)
-from treelab.operators.nodes import rows_of, tree_values
-from treelab.operators.resample import bootstrap_weights
+from treelab.operators.nodes import TreeArrays, broadcast_trees, rows_of, tree_values
+from treelab.operators.resample import bootstrap_weights, packed_weights
 
 #: Deepest tree Spark's estimators accept.
 SPARK_MAX_DEPTH = 30
@@ -54,7 +54,7 @@ def grow_forest(train: DataFrame, cols: list[str], n_trees: int = 100, max_depth
                 method: str = "quantile", row_id: str = "row_id", seed: int = 42) -> list[dict]:
     """Bagged gini trees with square-root feature subsets, all bags growing at once."""
     bins = fit_bins(train, cols, max_bins, method)
-    binned = packed(bootstrap_weights(train, n_trees, row_id, seed), bins, ["label"], {"bag": WEIGHTS}).persist()
+    binned = packed(packed_weights(train, n_trees, row_id, seed), bins, ["label", "bag"]).persist()
     nodes = grow_gini(binned, bins, n_trees, "bag", max_depth, 1.0, "sqrt", seed)
     binned.unpersist()
     return nodes
@@ -115,14 +115,54 @@ def _prefix_hits(batches):
 
 
 def forest_size_curve(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str], split: str = "split") -> DataFrame:
-    """Train and test accuracy of every forest prefix, from one growth."""
-    return prefix_accuracy(df.select(F.col(split).alias("split"), "label", tree_values(rows_of(nodes), cols).alias("p")))
+    """Train and test accuracy of every forest prefix, from one growth.
+
+    The votes of a row are added up where the row is walked down the trees; only counts per split and prefix leave a task.
+    """
+    groups = broadcast_trees(nodes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = [TreeArrays.of(g.value) for g in groups]
+        total: dict[str, np.ndarray] = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            part = b["split"].dictionary_encode()
+            names, code = part.dictionary.to_pylist(), part.indices.fill_null(len(part.dictionary)).to_numpy()
+            names.append(None)
+            positive = b["label"].fill_null(-1).to_numpy() == 1
+            x = np.column_stack([b[f"x{i}"].to_numpy(zero_copy_only=False) for i in range(len(cols))])
+            hits, ones = [], np.zeros(len(x))
+            for model in models:
+                for leaf in model.each_leaf(x):
+                    ones += model.value[leaf]
+                    hits.append(np.bincount(code[_majority(ones, len(hits) + 1) == positive], minlength=len(names)))
+            seen = np.bincount(code, minlength=len(names))
+            for i, name in enumerate(names):
+                if seen[i]:
+                    total[name] = total.get(name, 0) + np.column_stack(([h[i] for h in hits], np.full(len(hits), seen[i])))
+        for name, sums in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(sums), pa.string()), pa.array(np.arange(1, len(sums) + 1, dtype=np.int32)),
+                                              pa.array(sums[:, 0].astype(np.int64)), pa.array(sums[:, 1].astype(np.int64))], names=["split", "n_trees", "hits", "n"])
+
+    rows = df.select(F.col(split).cast("string").alias("split"), F.col("label").cast("int").alias("label"),
+                     *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    return _prefix_table(rows.mapInArrow(run, "split string, n_trees int, hits long, n long"))
+
+
+def _majority(ones: np.ndarray, votes) -> np.ndarray:
+    """Whether the sum of so many votes is above their half; within 5e-10 it is an exact half with float noise."""
+    return (ones - votes / 2.0) * 1e9 > 0.5
 
 
 def prefix_accuracy(voted: DataFrame) -> DataFrame:
     """Accuracy of the mean of the first n votes ``p`` (an array per row), for every n, per split."""
     parts = voted.select("split", F.col("label").cast("int").alias("label"), "p").mapInPandas(
         _prefix_accuracy, "split string, n_trees int, hits long, n long")
+    return _prefix_table(parts)
+
+
+def _prefix_table(parts: DataFrame) -> DataFrame:
     by = parts.groupBy("split", "n_trees").agg((F.sum("hits") / F.sum("n")).alias("acc"))
     return by.groupBy("n_trees").agg(F.max(F.when(F.col("split") == "train", F.col("acc"))).alias("train_acc"),
                                      F.max(F.when(F.col("split") == "test", F.col("acc"))).alias("test_acc"))
@@ -196,24 +236,15 @@ def warm_curve(forest: WarmForest) -> DataFrame:
 
 
 def _with_bag(state: DataFrame, ids: range, seed: int) -> DataFrame:
-    weighted = bootstrap_weights(state, len(ids), "row_id", seed, "weights", ids[0])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from treelab.operators.grower import _lists, pack
-
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*[b[c] for c in names], pack(_lists(b["weights"]).astype(WEIGHTS))], names=[*names, "bag"])
-
-    names = state.columns
-    return weighted.mapInArrow(run, T.StructType([*state.schema.fields, T.StructField("bag", T.BinaryType())]))
+    return packed_weights(state, len(ids), "row_id", seed, "bag", ids[0])
 
 
 def _running_votes(b: pa.RecordBatch, trees: dict, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Votes and their sum of a batch's rows after each tree, by the trees whose bags left the row out."""
-    x, bag = matrix_of(b["bins"], BINS), matrix_of(b["bag"], WEIGHTS)
+    x, bag = matrix_of(b["bins"], BINS), np.ascontiguousarray(matrix_of(b["bag"], WEIGHTS).T)
     votes, ones = b["votes"].to_numpy().copy(), b["ones"].to_numpy().copy()
     for t in sorted(trees):
-        out = np.flatnonzero(bag[:, t - first] == 0)
+        out = np.flatnonzero(bag[t - first] == 0)
         votes[out] += 1
         if len(out) and len(trees[t].value):
             ones[out] += trees[t].value[trees[t].walk(x[out])]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import operator
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -125,12 +126,28 @@ class TreeArrays:
             at = nxt
             yield at
 
+    def each_leaf(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """Per tree, the position of the leaf each row ends in."""
+        flat, first = np.ascontiguousarray(x).reshape(-1), np.arange(len(x)) * x.shape[1]
+        holes = bool(np.isnan(flat).any())
+        child = np.stack((self.left, self.right), axis=1).reshape(-1)
+        for root in self.roots:
+            at = np.full(len(x), root)
+            for _ in range(self.depth):
+                v = flat.take(first + self.feature.take(at))
+                right = v > self.threshold.take(at)
+                if holes:
+                    right |= np.isnan(v) & ~self.missing_left.take(at)
+                nxt = child.take(2 * at + right)
+                if (nxt == at).all():
+                    break
+                at = nxt
+            yield at
+
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """(rows, trees) position of the leaf each row ends in."""
         out = np.empty((len(x), len(self.roots)), dtype=np.int64)
-        for t, root in enumerate(self.roots):
-            for at in self.walk(x, root):
-                pass
+        for t, at in enumerate(self.each_leaf(x)):
             out[:, t] = at
         return out
 
