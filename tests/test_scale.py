@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from treelab.functions.hashing import POISSON_CDF
-from treelab.operators import forest, nodes, resample
+from treelab.operators import forest, full_tree as full, nodes, resample
 
 
 def plan_of(df):
@@ -50,3 +50,22 @@ def test_walks_send_missing_values_where_the_node_says(spark):
                "is_leaf": True, "value": float(i), "tree_weight": 1.0} for i in (1, 2)]]
     tree = nodes.TreeArrays(rows)
     assert tree.value[tree.leaves(np.array([[1.0], [2.0], [np.nan], [np.inf], [-np.inf]]))[:, 0]].tolist() == [1.0, 2.0, 2.0, 2.0, 1.0]
+
+
+def test_wide_nodes_are_split_by_looking_into_few_buckets(spark, monkeypatch):
+    """The top of a full tree over ties, mass points and noise is the one a task finds, and most values are never sent."""
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.normal(size=3000), rng.integers(0, 5, 3000), np.round(rng.normal(size=3000), 1)])
+    y = ((x[:, 0] > 1.0) ^ (rng.random(3000) < 0.05)).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "label": y}))
+    monkeypatch.setattr(full, "BUCKETS", 64)
+    sums = np.zeros((8, 2))
+    sums[:, 0], sums[3:5, 1], sums[5, 0] = 50, 40, 0
+    feature, bucket, before, following = full._open_buckets(sums, np.array([0, 8]))
+    assert bucket.tolist() == [2, 3, 4] and following.tolist() == [3, 4, 6] and before[1].tolist() == [150, 0]
+    want = full.grow_exact(x, y)
+    got = {r["path"]: r for r in full.full_tree(df, ["a", "b", "c"], task_rows=100)[0].collect()}
+    assert set(got) == set(want)
+    for path, (s0, s1, j, threshold, gain) in want.items():
+        r = got[path]
+        assert (r["count_0"], r["count_1"], r["feature"], r["threshold"], r["gain"]) == (s0, s1, None if j is None else "abc"[j], threshold, gain)
