@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from treelab.functions.hashing import POISSON_CDF
-from treelab.operators import forest, full_tree as full, nodes, resample
+from treelab.operators import boosting, forest, full_tree as full, grower, nodes, resample
+from treelab.operators.bins import fit_bins
 
 
 def plan_of(df):
@@ -69,3 +70,24 @@ def test_wide_nodes_are_split_by_looking_into_few_buckets(spark, monkeypatch):
     for path, (s0, s1, j, threshold, gain) in want.items():
         r = got[path]
         assert (r["count_0"], r["count_1"], r["feature"], r["threshold"], r["gain"]) == (s0, s1, None if j is None else "abc"[j], threshold, gain)
+
+
+def test_rounds_pass_rows_in_blocks(spark, rows, monkeypatch):
+    """A pass over the rows of a round moves blocks, not records, and gives what one task gives."""
+    config = boosting.BoostConfig(n_rounds=12, max_depth=2, subsample=0.7, base_score="prior")
+    state = grower.packed(rows.select("label", "a", "b"), fit_bins(rows, ["a", "b"]), ["label"], in_blocks=True)
+    held = state.collect()
+    assert state.columns == ["block", "n"] and sum(r["n"] for r in held) == 400 and len(held) <= 8
+    fits = []
+    for cells in (10**9, 0):
+        monkeypatch.setattr(boosting, "TASK_CELLS", cells)
+        fits += boosting.boost(rows, ["a", "b"], [config], role="split")
+    one, many = fits
+    assert [(r["feature"], r["threshold"], r["n_samples"]) for r in one.nodes] == [(r["feature"], r["threshold"], r["n_samples"]) for r in many.nodes]
+    assert all(a["logloss"] == pytest.approx(b["logloss"]) for a, b in zip(sorted(one.history, key=str), sorted(many.history, key=str), strict=True) if a["eval_set"] == b["eval_set"])
+
+
+def test_bins_need_one_pass_and_know_few_values(spark):
+    df = spark.createDataFrame([(float(i % 5), float(i), None if i % 2 else 1.0, float("nan")) for i in range(200)], "a double, b double, c double, d double")
+    bins = fit_bins(df.repartition(4), ["a", "b", "c", "d"], 8, "width")
+    assert bins.edges == [[0.5, 1.5, 2.5, 3.5], [199.0 * k / 8 for k in range(1, 8)], [], []] and bins.missing

@@ -44,7 +44,7 @@ def grow_tree(train: DataFrame, cols: list[str], max_depth: int = 5, max_bins: i
               min_leaf: float = 1.0) -> tuple[list[dict], Bins]:
     """One gini tree by the shared grower; its node rows carry exact counts and impurities."""
     bins = fit_bins(train, cols, max_bins, method)
-    binned = packed(train, bins, ["label"]).persist()
+    binned = packed(train, bins, ["label"], in_blocks=True).persist()
     nodes = grow_gini(binned, bins, 1, None, max_depth, min_leaf)
     binned.unpersist()
     return nodes, bins
@@ -54,7 +54,7 @@ def grow_forest(train: DataFrame, cols: list[str], n_trees: int = 100, max_depth
                 method: str = "quantile", row_id: str = "row_id", seed: int = 42) -> list[dict]:
     """Bagged gini trees with square-root feature subsets, all bags growing at once."""
     bins = fit_bins(train, cols, max_bins, method)
-    binned = packed(packed_weights(train, n_trees, row_id, seed), bins, ["label", "bag"]).persist()
+    binned = packed(packed_weights(train, n_trees, row_id, seed), bins, ["label", "bag"], in_blocks=True).persist()
     nodes = grow_gini(binned, bins, n_trees, "bag", max_depth, 1.0, "sqrt", seed)
     binned.unpersist()
     return nodes
@@ -65,7 +65,7 @@ def cross_validated_trees(folded: DataFrame, cols: list[str], k: int, max_depth:
     """The trees of all k folds in one growth: tree f is grown on the rows outside fold f."""
     bins = fit_bins(folded, cols, max_bins, method)
     outside = F.array(*[(F.col(fold) != f).cast("tinyint") for f in range(k)])
-    binned = packed(folded.withColumn("bag", outside), bins, ["label"], {"bag": WEIGHTS}).persist()
+    binned = packed(folded.withColumn("bag", outside), bins, ["label"], {"bag": WEIGHTS}, in_blocks=True).persist()
     nodes = grow_gini(binned, bins, k, "bag", max_depth)
     binned.unpersist()
     return nodes
