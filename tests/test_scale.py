@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from treelab.functions.hashing import POISSON_CDF
 from treelab.operators import boosting, forest, full_tree as full, grower, nodes, resample
 from treelab.operators.bins import fit_bins
+from treelab.sources import tables
 
 
 def plan_of(df):
@@ -91,3 +92,21 @@ def test_bins_need_one_pass_and_know_few_values(spark):
     df = spark.createDataFrame([(float(i % 5), float(i), None if i % 2 else 1.0, float("nan")) for i in range(200)], "a double, b double, c double, d double")
     bins = fit_bins(df.repartition(4), ["a", "b", "c", "d"], 8, "width")
     assert bins.edges == [[0.5, 1.5, 2.5, 3.5], [199.0 * k / 8 for k in range(1, 8)], [], []] and bins.missing
+
+
+def test_a_spread_scan_gets_more_tasks_as_it_grows(spark, tmp_path):
+    """Two files stand for two partitions of a scan: with fewer than cores they were spread over the cores alone, however much they held."""
+    cores = spark.sparkContext.defaultParallelism
+    counts = []
+    for parts in (1, cores - 1):
+        path = str(tmp_path / f"t{parts}")
+        spark.range(0, 1000, 1, parts).write.parquet(path)
+        size = spark.conf.get("spark.sql.files.openCostInBytes")
+        spark.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        try:
+            df = tables.read_table(spark, path)
+            counts.append(df.rdd.getNumPartitions())
+            assert df.count() == 1000
+        finally:
+            spark.conf.set("spark.sql.files.openCostInBytes", size)
+    assert counts == [cores, tables.PIECES * (cores - 2)]
