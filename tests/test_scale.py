@@ -4,11 +4,12 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from treelab.functions.hashing import POISSON_CDF
-from treelab.operators import boosting, forest, full_tree as full, grower, nodes, resample
+from treelab.operators import boosting, explain, forest, full_tree as full, grower, nodes, resample
 from treelab.operators.bins import fit_bins
 from treelab.sources import tables
 
@@ -110,3 +111,36 @@ def test_a_spread_scan_gets_more_tasks_as_it_grows(spark, tmp_path):
         finally:
             spark.conf.set("spark.sql.files.openCostInBytes", size)
     assert counts == [cores, tables.PIECES * (cores - 2)]
+
+
+def test_a_forest_scores_shuffled_blocks_as_it_scores_rows(spark, rows, monkeypatch):
+    """Blocks of small and deep trees, with missing values and labels and an unused feature, equal a row per row, feature and repeat."""
+    monkeypatch.setattr(resample, "BLOCK_VALUES", 1 << 10)
+    found = forest.grow_forest(rows.where("split = 'train'"), ["a", "b"], 5, 3)
+    test = rows.where("split = 'test'").select("row_id", F.when(F.col("row_id") % 7 > 0, F.col("a")).alias("a"), "b", F.lit(1.0).alias("c"),
+                                               F.when(F.col("row_id") % 11 > 0, F.col("label")).alias("label")).persist()
+    plain = explain.permutation_scores(test, lambda df: nodes.predict_forest(df, found, ["a", "b"]), ["b", "c", "a"], 4)
+    want = sorted(map(tuple, plain.collect()))
+    for per_level in (nodes.NODES_PER_LEVEL, 0):
+        monkeypatch.setattr(nodes, "NODES_PER_LEVEL", per_level)
+        got = explain.permutation_scores(test, nodes.ForestPredictor(found, ["a", "b"]), ["b", "c", "a"], 4, used=["a", "b"])
+        assert [(f, r, pytest.approx(s)) for f, r, s in want] == sorted(map(tuple, got.collect()))
+    assert "ArrowEvalPython" not in plan_of(explain.permutation_scores(test, nodes.ForestPredictor(found, ["a", "b"]), ["a", "b"], 4))  # no row per repeat
+    assert explain.permutation_scores(test.limit(0), nodes.ForestPredictor(found, ["a", "b"]), ["a", "b"], 2).collect() == []
+
+
+def test_shuffled_blocks_carry_what_single_values_carry(spark, monkeypatch):
+    base = spark.range(700).selectExpr("id AS pos", "CAST(id AS DOUBLE) AS v", "CAST(id + 1000 AS DOUBLE) AS w", "CAST(id % 2 AS INT) AS label")
+    want = sorted((r.pos, r.slot, r.permuted) for r in resample.permuted_values(base, ["w", "v"], 2, 700).collect())
+    monkeypatch.setattr(resample, "SEND_VALUES", 900)
+    for limit in (resample.MAX_PRODUCT_ROWS, 0):
+        monkeypatch.setattr(resample, "MAX_PRODUCT_ROWS", limit)
+        blocks = {}
+        for r in resample.permuted_blocks(base, ["v", "w"], ["w", "v"], 2, 700).collect():
+            blocks.setdefault(r.block, []).append(r.asDict())
+        size, got = resample.block_rows(700, 7), []
+        for k, part in blocks.items():
+            values = resample.received(pa.Table.from_pylist(part), 7, 700)
+            assert values[4].tolist() == [k * size + i for i in range(values.shape[1])] and values[6].tolist() == [x % 2 for x in values[4].tolist()]
+            got += [(k * size + i, slot, values[slot, i]) for slot in range(4) for i in range(values.shape[1])]
+        assert sorted(got) == want and len(blocks) > 1

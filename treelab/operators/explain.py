@@ -7,12 +7,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from treelab.functions.storage import cut_lineage, local_table
 from treelab.operators.metrics import accuracy
-from treelab.operators.nodes import TreeArrays, broadcast_trees, rows_of, vector_column
-from treelab.operators.resample import permuted_values, row_positions
+from treelab.operators.nodes import ForestPredictor, TreeArrays, broadcast_trees, rows_of, shuffled_predictions, vector_column
+from treelab.operators.resample import permuted_blocks, permuted_values, received, row_positions
 
 
 def impurity_importance(nodes: DataFrame, cols: list[str]) -> DataFrame:
@@ -36,13 +37,17 @@ def top_features(importance: DataFrame, k: int, value: str = "importance") -> Da
     return importance.orderBy(F.desc(value), F.asc("feature")).limit(k)
 
 
+def _positioned(df: DataFrame, cols: list[str], row_id: str, seed: int) -> DataFrame:
+    return cut_lineage(row_positions(df.select(row_id, "label", *[F.col(c).cast("double").alias(c) for c in cols]), row_id, seed))
+
+
 def permuted_rows(df: DataFrame, cols: list[str], repeats: int = 30, row_id: str = "row_id", seed: int = 42, shuffle: list[str] | None = None) -> DataFrame:
     """One row per (row, feature, repeat) in which that feature holds the shuffled value; ``shuffle`` names the features (default: all).
 
     The shuffled values of a row meet it once, as an array; the rows are written out after that, within the task.
     """
     shuffle = cols if shuffle is None else shuffle
-    base = cut_lineage(row_positions(df.select(row_id, "label", *[F.col(c).cast("double").alias(c) for c in cols]), row_id, seed))
+    base = _positioned(df, cols, row_id, seed)
     sent = permuted_values(base, shuffle, repeats, base.count(), seed)
     received = sent.groupBy("pos").agg(F.collect_list(F.struct("slot", "permuted")).alias("got"))  # features x repeats of one row
     both = base.join(received, "pos").select(row_id, "label", *cols, F.explode("got").alias("g"))
@@ -52,15 +57,37 @@ def permuted_rows(df: DataFrame, cols: list[str], repeats: int = 30, row_id: str
     return both.select(row_id, "label", "feature", "rep", *[F.when(F.col("feature") == c, F.col("g.permuted")).otherwise(F.col(c)).alias(c) for c in cols])
 
 
+def _forest_scores(df: DataFrame, predict: ForestPredictor, cols: list[str], repeats: int, row_id: str, seed: int, shuffle: list[str]) -> DataFrame:
+    """The accuracies of ``permuted_rows`` under a forest: a block of rows receives its shuffled values as arrays and is scored where it is."""
+    base = _positioned(df, cols, row_id, seed)
+    n, own, models = base.count(), len(shuffle) * repeats, predict.broadcast()
+    of_model, asked = [cols.index(c) for c in predict.cols], [predict.cols.index(c) for c in shuffle]
+
+    def run(block: pa.Table) -> pa.Table:
+        got = received(block, own + len(cols) + 1, n)
+        x, label, trees = np.ascontiguousarray(got[own:-1][of_model].T), got[-1], [TreeArrays.of(m.value) for m in models]
+        hits = [int((found == label).sum()) for i, feature in enumerate(asked)
+                for found in shuffled_predictions(trees, x, feature, got[i * repeats : (i + 1) * repeats])]
+        return pa.table({"slot": pa.array(range(own), pa.int32()), "hits": pa.array(hits, pa.int64()), "n": pa.array([int((~np.isnan(label)).sum())] * own, pa.int64())})
+
+    sums = permuted_blocks(base, cols, shuffle, repeats, n, seed).groupBy("block").applyInArrow(run, "slot int, hits long, n long")
+    name = F.element_at(F.array(*[F.lit(c) for c in shuffle]), F.floor(F.col("slot") / repeats).cast("int") + 1)
+    return sums.groupBy("slot").agg(F.try_divide(F.sum("hits"), F.sum("n")).alias("accuracy")).select(
+        name.alias("feature"), (F.col("slot") % repeats).cast("int").alias("rep"), "accuracy")
+
+
 def permutation_scores(df: DataFrame, predict, cols: list[str], repeats: int = 30, row_id: str = "row_id",
                        seed: int = 42, used: list[str] | None = None) -> DataFrame:
     """Accuracy per (feature, rep) with that feature shuffled; ``predict`` adds ``prediction`` to a table.
 
     ``used`` names the features that the model asks for; shuffling any other changes nothing, so it gets the accuracy as it is.
+    A ``ForestPredictor`` scores the shuffled values as arrays; any other function gets a row per row, feature and repeat.
     """
     shuffle = [c for c in cols if used is None or c in used]
     parts = []
-    if shuffle:
+    if shuffle and isinstance(predict, ForestPredictor) and set(shuffle) <= set(predict.cols) <= set(cols):
+        parts.append(_forest_scores(df, predict, cols, repeats, row_id, seed, shuffle))
+    elif shuffle:
         parts.append(accuracy(predict(permuted_rows(df, cols, repeats, row_id, seed, shuffle)), ["feature", "rep"]))
     if len(shuffle) < len(cols):
         idle = F.array(*[F.lit(c) for c in cols if c not in shuffle])

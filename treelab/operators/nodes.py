@@ -126,12 +126,12 @@ class TreeArrays:
             at = nxt
             yield at
 
-    def each_leaf(self, x: np.ndarray) -> Iterator[np.ndarray]:
-        """Per tree, the position of the leaf each row ends in."""
+    def each_leaf(self, x: np.ndarray, roots: np.ndarray | None = None) -> Iterator[np.ndarray]:
+        """Per tree (all, or those with the given roots), the position of the leaf each row ends in."""
         flat, first = np.ascontiguousarray(x).reshape(-1), np.arange(len(x)) * x.shape[1]
         holes = bool(np.isnan(flat).any())
         child = np.stack((self.left, self.right), axis=1).reshape(-1)
-        for root in self.roots:
+        for root in self.roots if roots is None else roots:
             at = np.full(len(x), root)
             for _ in range(self.depth):
                 v = flat.take(first + self.feature.take(at))
@@ -151,6 +151,32 @@ class TreeArrays:
             out[:, t] = at
         return out
 
+    def asking(self, feature: int) -> np.ndarray:
+        """Per tree, whether a split of it asks for the feature; the nodes of a tree begin with its root."""
+        return np.logical_or.reduceat((self.feature == feature) & (self.left != np.arange(self.rows)), self.roots)
+
+    def asks_below(self, node: int, feature: int) -> bool:
+        """Whether the node or one below it asks for the feature."""
+        return bool(self.left[node] != node and (self.feature[node] == feature or self.asks_below(self.left[node], feature)
+                                                 or self.asks_below(self.right[node], feature)))
+
+    def settled(self, node: int, feature: int, columns: np.ndarray, out: dict) -> dict:
+        """The values below the topmost nodes with nothing below that asks for the feature, by node."""
+        if not self.asks_below(node, feature):
+            out[node] = self.chosen(node, columns, {})
+        else:
+            for side in (self.left[node], self.right[node]):
+                self.settled(side, feature, columns, out)
+        return out
+
+    def chosen(self, node: int, columns: np.ndarray, known: dict) -> np.ndarray:
+        """The value of the leaf below the node that each row ends in, by one choice for all rows at every node that is not known."""
+        if node in known or self.left[node] == node:
+            return known.get(node, self.value[node])
+        v, threshold = columns[self.feature[node]], self.threshold[node]
+        left = ~(v > threshold) if self.missing_left[node] else v <= threshold
+        return np.where(left, self.chosen(self.left[node], columns, known), self.chosen(self.right[node], columns, known))
+
     def path(self, x: np.ndarray, root: int) -> np.ndarray:
         """(rows, depth + 1) nodes on the way down; the leaf repeats."""
         steps = list(self.walk(x, root))
@@ -219,6 +245,45 @@ def predict_forest(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str]
     return scored.withColumn("prediction", (F.round(F.col("p1") - 0.5, 9) > 0).cast("int"))
 
 
+class ForestPredictor:
+    """``predict_forest`` with one model, as a function of a table; it also scores shuffled columns of arrays inside a task."""
+
+    def __init__(self, nodes: DataFrame | list[dict], cols: list[str]):
+        self.rows, self.cols = rows_of(nodes), cols
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return predict_forest(df, self.rows, self.cols)
+
+    def broadcast(self) -> list:
+        return broadcast_trees(self.rows)
+
+
+#: Nodes per tree and level up to which trees are evaluated node by node for all rows, and the deepest such tree; others are walked row by row.
+NODES_PER_LEVEL, MAX_CHOICES_DEEP = 16, 64
+
+
+def shuffled_predictions(models: list[TreeArrays], x: np.ndarray, feature: int, shuffled: np.ndarray) -> Iterator[np.ndarray]:
+    """Predictions of ``predict_forest`` for the rows of ``x`` with one column replaced by each row of ``shuffled``.
+
+    Trees that do not ask for the column are evaluated once, and so are the parts of small trees that do not.
+    """
+    x, columns, n_trees = x.copy(), np.ascontiguousarray(x.T), sum(len(m.roots) for m in models)
+    rest, again = np.zeros(len(x)), []
+    for m in models:
+        asks = m.asking(feature)
+        for leaf in m.each_leaf(x, m.roots[~asks]):
+            rest += m.value.take(leaf)
+        small = m.depth <= MAX_CHOICES_DEEP and m.rows <= NODES_PER_LEVEL * m.depth * len(m.roots)
+        again.append((m, m.roots[asks], [m.settled(root, feature, columns, {}) for root in m.roots[asks]] if small else None))
+    for values in shuffled:
+        x[:, feature] = columns[feature] = values
+        total = rest.copy()
+        for m, roots, known in again:
+            for part in (m.value.take(leaf) for leaf in m.each_leaf(x, roots)) if known is None else (m.chosen(r, columns, k) for r, k in zip(roots, known)):
+                total += part
+        yield total / n_trees - 0.5 >= 5e-10  # above 0 once rounded to nine places
+
+
 def tree_summary(nodes: DataFrame) -> DataFrame:
     """Depth, leaves and root split per tree."""
     return nodes.groupBy("tree_id").agg(
