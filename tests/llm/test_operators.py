@@ -9,6 +9,7 @@ import random
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -619,3 +620,31 @@ def test_what_a_host_repeats_is_found_between_arrays(spark, monkeypatch):
     by = {r[0]: r for r in got[3]}
     assert rare not in by[3][2] and rare not in by[44][2] and least not in by[5][2] and short in by[6][2]
     assert by[6][5] == by[100][5] == by[0][5] == 0 and by[5][5] == extraction.MIN_RUN - 1 and by[200][5] == 30 and by[100][2].startswith("same 0 1")
+
+
+def test_counts_added_up_once_drop_most_candidates_and_lose_none(data, monkeypatch):
+    """With the tables of words by items and without them a search finds the same, and with them few candidates are looked at word by word."""
+    bench, docs = (pq.read_table(f"{data}/{name}.parquet", columns=["text"])["text"].combine_chunks() for name in ("benchmark", "documents"))
+    texts = pa.array([*docs.to_pylist()[:60], *bench.to_pylist()[:20], None, "", " ".join(bench.to_pylist()[:40])])
+    columns = np.unique(decon.X.terms(bench)[3].hash >> np.uint64(48)).astype(np.int64)
+    idf, basis = np.ones(decon.BUCKETS, np.float32), np.abs(np.random.default_rng(1).standard_normal((len(columns), 24))).astype(np.float32)
+    items = decon.index_items(list(range(len(bench))), bench.to_pylist(), idf, columns, basis)
+    seen, place = [0], decon.pair_place
+    monkeypatch.setattr(decon, "pair_place", lambda item, word, size: seen.__setitem__(0, seen[0] + len(item)) or place(item, word, size))
+    few, with_tables = decon.search(texts, items, idf, columns, basis), seen[0]
+    items.member = items.entry = None
+    assert decon.search(texts, items, idf, columns, basis) == few and len(few) >= 20
+    assert with_tables < 0.5 * (seen[0] - with_tables)
+    monkeypatch.setattr(decon, "MEMBER_BYTES", 0)
+    assert decon.index_items([1], ["a b"], idf, columns[:0], basis[:0, :0]).member is None
+
+
+def test_sums_and_totals_in_small_steps_are_the_same():
+    rng = np.random.default_rng(2)
+    table, index, value = rng.standard_normal((50, 9)).astype(np.float32), rng.integers(0, 50, 5000), rng.random(5000).astype(np.float32)
+    head = np.unique(np.append(0, rng.integers(0, 3000, 900)))  # the last segment is longer than a step
+    assert np.array_equal(decon._segment_sums(table, index, value, head), np.add.reduceat(table[index] * value[:, None], head, axis=0))
+    for n in (0, 1, 64, 65, 1000):
+        counts = rng.integers(0, 255, (n, 5)).astype(np.uint8)
+        want = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(counts, axis=0, dtype=np.int64)))
+        assert np.array_equal(decon._running_totals(counts)[: n + 1], (want % (1 << 16)).astype(np.uint16))

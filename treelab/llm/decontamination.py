@@ -41,6 +41,10 @@ BLOCK_BYTES = 8 << 20
 CHUNK = 1 << 16
 #: Candidates whose words are counted at a time.
 CANDIDATES = 1 << 13
+#: Largest table of words by items, and words of a step whose counts are added up for all items of that table.
+MEMBER_BYTES, STEP_WORDS = 1 << 24, 4
+#: Rows that are summed at a time, and steps in a slab of running totals, so that they stay in the processor's cache.
+SUM_ROWS, SLAB = 1024, 64
 
 
 def term_ids(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -84,6 +88,32 @@ def inverse_frequencies(ids: DataFrame) -> np.ndarray:
     return np.log((1 + total) / (1 + counts)).astype(np.float32)
 
 
+def _segment_sums(table: np.ndarray, index: np.ndarray, value: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Sums of table[index] * value from each head to the next, in order."""
+    out, ends, at = np.empty((len(head), table.shape[1]), np.float32), np.append(head, len(index)), 0
+    while at < len(head):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + SUM_ROWS, "right")) - 1)
+        part = table.take(index[ends[at] : ends[stop]], axis=0)
+        part *= value[ends[at] : ends[stop], None]
+        np.add.reduceat(part, head[at:stop] - ends[at], axis=0, out=out[at:stop])
+        at = stop
+    return out
+
+
+def _running_totals(counts: np.ndarray) -> np.ndarray:
+    """Totals of the rows before each row, and of all rows, modulo 2^16: slabs of rows are added up side by side."""
+    slabs = max(1, -(-len(counts) // SLAB))
+    padded = np.zeros((slabs * SLAB, counts.shape[1]), counts.dtype)
+    padded[: len(counts)] = counts
+    padded, total = padded.reshape(slabs, SLAB, -1), np.zeros((slabs * SLAB + 1, counts.shape[1]), np.uint16)
+    inner = total[1:].reshape(slabs, SLAB, -1)
+    inner[:, 0] = padded[:, 0]
+    for k in range(1, SLAB):
+        np.add(inner[:, k - 1], padded[:, k], out=inner[:, k])
+    inner[1:] += np.cumsum(inner[:-1, -1], axis=0, dtype=np.uint16)[:, None]
+    return total
+
+
 def latent_space(ids: DataFrame, idf: np.ndarray, columns: np.ndarray, rank: int = RANK, oversampling: int = OVERSAMPLING) -> np.ndarray:
     """Leading right singular vectors (one row per entry of ``columns``, the sorted buckets) of the matrix of all passages."""
     width = min(rank + oversampling, len(columns))
@@ -105,12 +135,12 @@ def latent_space(ids: DataFrame, idf: np.ndarray, columns: np.ndarray, rank: int
                 # a chunk may cut a passage in two; its parts then count as two rows
                 c, p, v = (a[begin : begin + CHUNK] for a in (column, passage, value))
                 head = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-                rows = np.add.reduceat(omega[c] * v[:, None], head, axis=0)
+                rows = _segment_sums(omega, c, v, head)
                 row_of = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(p))))
                 order = np.argsort(c.astype(np.uint16), kind="stable")
                 sorted_c = c[order]
                 cut = np.flatnonzero(np.concatenate(([True], sorted_c[1:] != sorted_c[:-1])))
-                out[sorted_c[cut]] += np.add.reduceat(rows[row_of[order]] * v[order][:, None], cut, axis=0)
+                out[sorted_c[cut]] += _segment_sums(rows, row_of[order], v[order], cut)
         used = np.flatnonzero(out.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(out[used].ravel()), width).cast(pa.list_(pa.float32()))],
                                          names=["col", "row"])
@@ -169,7 +199,12 @@ class Items:
     #: Where hashes meet the larger value stands, so no word of an item is ever missed.
     vocabulary: np.ndarray
     pairs: np.ndarray
-    #: Of items of up to 64 words: item * len(vocabulary) + word in order, the word's places in the item and its answer as bits; by item, all places.
+    #: By number of a word (the last row for foreign words) and item, whether the item has the word; None if that is a large table.
+    member: np.ndarray | None
+    #: As ``member`` for items of up to 64 words: where the masks of item and word stand, the last one if it has none.
+    entry: np.ndarray | None
+    #: Of items of up to 64 words: item * len(vocabulary) + word in order, the word's places in the item and its answer as bits (and none at the
+    #: end); by item, all places.
     keys: np.ndarray
     masks: np.ndarray
     places: np.ndarray
@@ -179,11 +214,28 @@ class Items:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == hashes, at, -1) if len(self.vocabulary) else np.full(len(hashes), -1)
 
+    def most_met(self, item: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """At least the number of places of word[low:high] with words of the item: counts of whole steps of words, added up once for all items."""
+        begin = int(low.min())
+        part = word[begin : int(high.max())]
+        part = np.concatenate((part, np.full(-len(part) % STEP_WORDS, -1, part.dtype)))
+        counts = self.member.take(part[::STEP_WORDS], axis=0, mode="wrap")  # -1 is the last row
+        for j in range(1, STEP_WORDS):
+            counts += self.member.take(part[j::STEP_WORDS], axis=0, mode="wrap")
+        total = _running_totals(counts)  # differences of stretches of less than 2^16 words are right modulo 2^16
+        return total[(high - begin + STEP_WORDS - 1) // STEP_WORDS, item] - total[(low - begin) // STEP_WORDS, item]
+
     def may_hold(self, item: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Whether word[low:high] has as many places with words of the item, and of its answer, as the rule asks to be in order."""
         out = np.zeros(len(item), bool)
-        for i in range(0, len(item), CANDIDATES):
-            d, a, z = item[i : i + CANDIDATES], low[i : i + CANDIDATES], high[i : i + CANDIDATES]
+        if not len(item):
+            return out
+        left = np.arange(len(item))
+        if self.member is not None and (high - low).max() + 2 * STEP_WORDS < 1 << 16:
+            left = np.flatnonzero(self.most_met(item, word, low, high) >= MIN_PARAPHRASE * self.size[item])
+        for i in range(0, len(left), CANDIDATES):
+            c = left[i : i + CANDIDATES]
+            d, a, z = item[c], low[c], high[c]
             met, of_answer = np.zeros(len(d), np.int32), np.zeros(len(d), np.int32)
             for j in range(int((z - a).max())):
                 w = word[np.minimum(a + j, len(word) - 1)]
@@ -191,7 +243,7 @@ class Items:
                 kind[(a + j >= z) | (w < 0)] = 0
                 met += kind > 0
                 of_answer += kind > 1
-            out[i : i + CANDIDATES] = (met >= MIN_COMMON * self.size[d]) | ((met >= MIN_PARAPHRASE * self.size[d]) & (of_answer >= MIN_ANSWER * self.answer_size[d]))
+            out[c] = (met >= MIN_COMMON * self.size[d]) | ((met >= MIN_PARAPHRASE * self.size[d]) & (of_answer >= MIN_ANSWER * self.answer_size[d]))
         return out
 
     def common(self, item: np.ndarray, hashes: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,10 +262,13 @@ class Items:
             every = self.places[:, d]
             row = every.copy()
             for j in range(int((z - a).max())):
-                w = word[np.minimum(a + j, len(word) - 1)]
-                key = d * len(self.vocabulary) + w
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                met = row & np.where((a + j < z) & (w >= 0) & (self.keys[at] == key), self.masks[:, at], np.uint64(0))
+                w = np.where(a + j < z, word[np.minimum(a + j, len(word) - 1)], -1)
+                if self.entry is not None:
+                    met = row & self.masks.take(self.entry[w, d], axis=1)
+                else:
+                    key = d * len(self.vocabulary) + w
+                    at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                    met = row & np.where((w >= 0) & (self.keys[at] == key), self.masks[:, at], np.uint64(0))
                 row = (row + met) | (row - met)
             out[:, c] = np.bitwise_count(every & ~row)
         return out[0], out[1]
@@ -260,11 +315,18 @@ def index_items(ids: list, texts: list[str], idf: np.ndarray, columns: np.ndarra
     short = np.flatnonzero(size <= 64)
     entries = sorted((int(d) * len(vocabulary) + int(np.searchsorted(vocabulary, np.uint64(h))), bits, answers[d].get(h, 0))
                      for d in short for h, bits in words[d].items())
+    keys = np.array([e[0] for e in entries], np.int64)
+    member = entry = None
+    if (len(vocabulary) + 1) * len(texts) <= MEMBER_BYTES:
+        member = np.zeros((len(vocabulary) + 1, len(texts)), np.uint8)
+        member[number, w.doc] = 1
+        entry = np.full(member.shape, len(keys), np.int32)
+        entry[keys % max(len(vocabulary), 1), keys // max(len(vocabulary), 1)] = np.arange(len(keys))
     places = np.zeros((2, len(texts)), np.uint64)
     for d in short:
         places[:, d] = [(1 << int(n)) - 1 for n in (size[d], len(listed(a, d)))]
-    return Items(ids, size, words, answers, np.diff(a.first), vectors, owner, offset, vocabulary, pairs, np.array([e[0] for e in entries], np.int64),
-                 np.array([[e[1] for e in entries], [e[2] for e in entries]], np.uint64), places)
+    return Items(ids, size, words, answers, np.diff(a.first), vectors, owner, offset, vocabulary, pairs, member, entry, keys,
+                 np.array([[e[1] for e in entries] + [0], [e[2] for e in entries] + [0]], np.uint64), places)
 
 
 def search(texts: pa.Array, items: Items, idf: np.ndarray, columns: np.ndarray, basis: np.ndarray) -> list[tuple[int, int, float, float, float]]:
@@ -289,14 +351,14 @@ def search(texts: pa.Array, items: Items, idf: np.ndarray, columns: np.ndarray,
         for i in range(0, len(cut), 4096):
             stop = min(i + 4096 + length // stride - 1, len(cut))
             head = cut[i:stop]
-            sums = weighted[column[head]]
+            sums = np.zeros((len(head) + 1, weighted.shape[1]), np.float32)  # the last row stands for runs beyond the end
+            sums[:-1] = weighted.take(column[head], axis=0)
             for j in range(1, stride):
-                sums += weighted[np.where(left[head] > j, column[np.minimum(head + j, len(column) - 1)], -1)]
+                sums[:-1] += weighted.take(np.where(left[head] > j, column[np.minimum(head + j, len(column) - 1)], -1), axis=0)
             at = np.flatnonzero(opens[i : i + 4096])
-            b, latent = cut[i + at], sums[at]
+            b, latent = cut[i + at], sums.take(at, axis=0)
             for j in range(1, length // stride):
-                more = np.flatnonzero(left[b] > j * stride)
-                latent[more] += sums[at[more] + j]
+                latent += sums.take(np.where(left[b] > j * stride, at + j, -1), axis=0)
             latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
             cosine = latent @ items.vectors[k].T
             row, query = np.divmod(np.flatnonzero(cosine.ravel() >= MIN_COSINE), cosine.shape[1])
