@@ -636,7 +636,7 @@ def test_counts_added_up_once_drop_most_candidates_and_lose_none(data, monkeypat
     assert decon.search(texts, items, idf, columns, basis) == few and len(few) >= 20
     assert with_tables < 0.5 * (seen[0] - with_tables)
     monkeypatch.setattr(decon, "MEMBER_BYTES", 0)
-    assert decon.index_items([1], ["a b"], idf, columns[:0], basis[:0, :0]).member is None
+    assert decon.index_items([0], bench.to_pylist()[:1], idf, columns, basis).member is None
 
 
 def test_sums_and_totals_in_small_steps_are_the_same():
