@@ -648,3 +648,32 @@ def test_sums_and_totals_in_small_steps_are_the_same():
         counts = rng.integers(0, 255, (n, 5)).astype(np.uint8)
         want = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(counts, axis=0, dtype=np.int64)))
         assert np.array_equal(decon._running_totals(counts)[: n + 1], (want % (1 << 16)).astype(np.uint16))
+
+
+def test_search_in_blocks_of_any_size_aligns_once(data, monkeypatch):
+    """Blocks of runs share their sums between window sizes and lose nothing where they meet; the candidates of all blocks are aligned in one call."""
+    bench, docs = (pq.read_table(f"{data}/{name}.parquet", columns=["text"])["text"].combine_chunks() for name in ("benchmark", "documents"))
+    texts = pa.array([*docs.to_pylist()[:300], *bench.to_pylist()[:20], "one two", None, ""])
+    columns = np.unique(decon.X.terms(bench)[3].hash >> np.uint64(48)).astype(np.int64)
+    idf, basis = np.ones(decon.BUCKETS, np.float32), np.abs(np.random.default_rng(1).standard_normal((len(columns), 24))).astype(np.float32)
+    items = decon.index_items(list(range(len(bench))), bench.to_pylist(), idf, columns, basis)
+    calls, common, got = [], decon.Items.common, {}
+    monkeypatch.setattr(decon.Items, "common", lambda *args: calls.append(len(args[1])) or common(*args))
+    for runs in (8, 56, 1 << 12):
+        monkeypatch.setattr(decon, "RUNS", runs, raising=False)
+        got[runs] = [(d, i, common, answer) for d, i, _, common, answer in decon.search(texts, items, idf, columns, basis)]
+    assert len(calls) == 3
+    assert got[8] == got[56] == got[1 << 12] and len(got[8]) >= 20
+
+
+def test_sums_side_by_side_and_numbers_by_bucket():
+    rng = np.random.default_rng(4)
+    size = np.append(rng.integers(0, 40, 1500), [0, 0])
+    table, index = rng.standard_normal((50, 9)).astype(np.float32), rng.integers(0, 50, int(size.sum()))
+    want = np.array([table[part].sum(axis=0) for part in np.split(index, np.cumsum(size)[:-1])])
+    assert np.allclose(decon._piece_sums(table, index, size), want, atol=1e-4)
+    text = " ".join(f"{a}{b}{c}{d}" for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx" for d in "yzabcd")  # some words share a bucket
+    items = decon.index_items([0], [text], np.ones(decon.BUCKETS, np.float32), np.arange(decon.BUCKETS), np.ones((decon.BUCKETS, 1), np.float32))
+    hashes = decon.X.terms(pa.array([text + " foreign words and more"]))[3].hash
+    numbers = items.numbers(hashes)
+    assert items.crowded.any() and (items.vocabulary[numbers[:-4]] == hashes[:-4]).all() and (numbers[-4:] == -1).all()

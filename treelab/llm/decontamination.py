@@ -6,8 +6,8 @@ randomised singular value decomposition of all passages, over the terms that the
 and W a random matrix, one pass sums A'(A W), and the Nystroem form of A'A gives the leading right singular vectors.
 
 Windows of every document (two sizes, so that short items fill a window too) are projected and compared with the benchmark's
-own windows by cosine. A candidate whose stretch of the document has fewer places with words of the item than a common subsequence
-needs is dropped, which loses nothing. The others are aligned: the longest common subsequence of the item and the stretch of the
+own windows by cosine; both sizes share the sums of short runs of words. A candidate whose stretch of the document has fewer places with
+words of the item than a common subsequence needs is dropped, which loses nothing. The others are aligned, all of a run of texts at once: the longest common subsequence of the item and the stretch of the
 document where the item would lie, and that of the item's answer (its last sentence). A document holds an item if 80 % of the item's
 words are there in order, or 50 % with 60 % of the answer's (a paraphrase).
 
@@ -18,6 +18,7 @@ Empty tables give empty results. Very long texts are searched whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,14 +38,16 @@ MIN_COSINE = 0.5
 MIN_COMMON, MIN_PARAPHRASE, MIN_ANSWER = 0.8, 0.5, 0.6
 #: Bytes of benchmark text that are sent to the tasks at a time.
 BLOCK_BYTES = 8 << 20
-#: Words whose rows are gathered at a time.
-CHUNK = 1 << 16
+#: Candidates that are aligned at a time, passages whose rows are summed at a time, and runs of words whose windows are projected at a time.
+CHUNK, PASSAGES, RUNS = 1 << 16, 1 << 12, 1 << 12
 #: Candidates whose words are counted at a time.
 CANDIDATES = 1 << 13
 #: Largest table of words by items, and words of a step whose counts are added up for all items of that table.
 MEMBER_BYTES, STEP_WORDS = 1 << 24, 4
 #: Rows that are summed at a time, and steps in a slab of running totals, so that they stay in the processor's cache.
 SUM_ROWS, SLAB = 1024, 64
+#: Sums that are taken side by side, and most rows of a column in one of them.
+SIDE, PIECE = 512, 16
 
 
 def term_ids(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -100,6 +103,18 @@ def _segment_sums(table: np.ndarray, index: np.ndarray, value: np.ndarray, head:
     return out
 
 
+def _piece_sums(table: np.ndarray, index: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of table[index] over consecutive pieces of ``size`` (below 2^16) entries: pieces of like size are added up side by side."""
+    order = np.argsort(size.astype(np.uint16), kind="stable")[::-1]
+    begin, size, out = (np.cumsum(size) - size)[order], size[order], np.zeros((len(size), table.shape[1]), table.dtype)
+    for i in range(0, len(order), SIDE):
+        at, total = begin[i : i + SIDE], np.zeros((min(SIDE, len(order) - i), table.shape[1]), table.dtype)
+        for j, n in enumerate(np.searchsorted(-size[i : i + SIDE], -np.arange(size[i])).tolist()):  # the first n have an entry j
+            total[:n] += table.take(index[at[:n] + j], axis=0)
+        out[order[i : i + SIDE]] = total
+    return out
+
+
 def _running_totals(counts: np.ndarray) -> np.ndarray:
     """Totals of the rows before each row, and of all rows, modulo 2^16: slabs of rows are added up side by side."""
     slabs = max(1, -(-len(counts) // SLAB))
@@ -120,27 +135,33 @@ def latent_space(ids: DataFrame, idf: np.ndarray, columns: np.ndarray, rank: int
     if not width:
         return np.zeros((0, 0), np.float32)
     omega = np.random.default_rng(5).standard_normal((len(columns), width)).astype(np.float32)
+    weighted = omega * idf[columns][:, None]
     column_of = np.full(BUCKETS, -1, np.int32)
     column_of[columns] = np.arange(len(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((len(columns), width), np.float32)
         for term, passage in _passages(batches):
-            energy = np.bincount(passage, weights=idf[term].astype(np.float64) ** 2)
-            known = column_of[term] >= 0
-            term, passage = term[known], passage[known]
-            value = (idf[term] / np.sqrt(np.maximum(energy[passage], 1e-12))).astype(np.float32)
+            energy = np.maximum(np.bincount(passage, weights=idf[term].astype(np.float64) ** 2), 1e-12).astype(np.float32)
             column = column_of[term]
-            for begin in range(0, len(term), CHUNK):
-                # a chunk may cut a passage in two; its parts then count as two rows
-                c, p, v = (a[begin : begin + CHUNK] for a in (column, passage, value))
-                head = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-                rows = _segment_sums(omega, c, v, head)
-                row_of = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(p))))
+            known = np.flatnonzero(column >= 0)
+            column, size = column[known], np.bincount(passage[known], minlength=len(energy))
+            ends = np.cumsum(size)
+            for begin in range(0, len(size), PASSAGES):
+                n = size[begin : begin + PASSAGES]
+                c = column[ends[begin] - n[0] : ends[begin + len(n) - 1]]
+                if not len(c):
+                    continue
+                rows = _piece_sums(weighted, c, n)
+                rows /= energy[begin : begin + PASSAGES, None]  # a row of A W times the length that the passage's entries are divided by
                 order = np.argsort(c.astype(np.uint16), kind="stable")
-                sorted_c = c[order]
-                cut = np.flatnonzero(np.concatenate(([True], sorted_c[1:] != sorted_c[:-1])))
-                out[sorted_c[cut]] += _segment_sums(rows, row_of[order], v[order], cut)
+                per_column = np.bincount(c, minlength=len(columns))
+                pieces = -(-per_column // PIECE)
+                of_piece = np.repeat(np.arange(len(columns)), pieces)
+                place = np.arange(len(of_piece)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                sums = _piece_sums(rows, np.repeat(np.arange(len(n)), n)[order], np.minimum(per_column[of_piece] - place * PIECE, PIECE))
+                head = np.flatnonzero(place == 0)
+                out[of_piece[head]] += _segment_sums(sums, np.arange(len(sums)), idf[columns[of_piece]], head)
         used = np.flatnonzero(out.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(out[used].ravel()), width).cast(pa.list_(pa.float32()))],
                                          names=["col", "row"])
@@ -199,6 +220,9 @@ class Items:
     #: Where hashes meet the larger value stands, so no word of an item is ever missed.
     vocabulary: np.ndarray
     pairs: np.ndarray
+    #: By bucket, the number of its first word, and whether it has more.
+    first: np.ndarray
+    crowded: np.ndarray
     #: By number of a word (the last row for foreign words) and item, whether the item has the word; None if that is a large table.
     member: np.ndarray | None
     #: As ``member`` for items of up to 64 words: where the masks of item and word stand, the last one if it has none.
@@ -211,8 +235,15 @@ class Items:
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each word in the block's vocabulary, or -1."""
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, at, -1) if len(self.vocabulary) else np.full(len(hashes), -1)
+        if not len(self.vocabulary):
+            return np.full(len(hashes), -1)
+        bucket = (hashes >> np.uint64(48)).astype(np.uint16)
+        at = self.first[bucket]
+        same = self.vocabulary[at] == hashes
+        other = np.flatnonzero(self.crowded[bucket] & ~same)
+        at[other] = np.minimum(np.searchsorted(self.vocabulary, hashes[other]), len(self.vocabulary) - 1)
+        same[other] = self.vocabulary[at[other]] == hashes[other]
+        return np.where(same, at, -1)
 
     def most_met(self, item: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """At least the number of places of word[low:high] with words of the item: counts of whole steps of words, added up once for all items."""
@@ -226,13 +257,19 @@ class Items:
         return total[(high - begin + STEP_WORDS - 1) // STEP_WORDS, item] - total[(low - begin) // STEP_WORDS, item]
 
     def may_hold(self, item: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Whether word[low:high] has as many places with words of the item, and of its answer, as the rule asks to be in order."""
+        """False only where word[low:high] has fewer places with words of the item, or of its answer, than the rule asks to be in order.
+
+        Candidates that the bound of ``most_met`` leaves are looked at word by word only if their items are too long to be aligned all at once.
+        """
         out = np.zeros(len(item), bool)
         if not len(item):
             return out
         left = np.arange(len(item))
         if self.member is not None and (high - low).max() + 2 * STEP_WORDS < 1 << 16:
-            left = np.flatnonzero(self.most_met(item, word, low, high) >= MIN_PARAPHRASE * self.size[item])
+            left = np.flatnonzero(self.most_met(item, word, low, high) >= (MIN_PARAPHRASE * self.size)[item])
+            short = self.size[item[left]] <= 64
+            out[left[short]] = True
+            left = left[~short]
         for i in range(0, len(left), CANDIDATES):
             c = left[i : i + CANDIDATES]
             d, a, z = item[c], low[c], high[c]
@@ -312,6 +349,8 @@ def index_items(ids: list, texts: list[str], idf: np.ndarray, columns: np.ndarra
     pairs[pair_place(w.doc, number, len(pairs))] = 1
     pairs[pair_place(a.doc, np.searchsorted(vocabulary, a.hash), len(pairs))] = 2
     words, answers = ([places_of(listed(x, d)) for d in range(len(texts))] for x in (w, a))
+    first = np.searchsorted(vocabulary, np.arange(BUCKETS + 1, dtype=np.uint64)[:-1] << np.uint64(48))
+    crowded = np.diff(np.append(first, len(vocabulary))) > 1
     short = np.flatnonzero(size <= 64)
     entries = sorted((int(d) * len(vocabulary) + int(np.searchsorted(vocabulary, np.uint64(h))), bits, answers[d].get(h, 0))
                      for d in short for h, bits in words[d].items())
@@ -325,54 +364,68 @@ def index_items(ids: list, texts: list[str], idf: np.ndarray, columns: np.ndarra
     places = np.zeros((2, len(texts)), np.uint64)
     for d in short:
         places[:, d] = [(1 << int(n)) - 1 for n in (size[d], len(listed(a, d)))]
-    return Items(ids, size, words, answers, np.diff(a.first), vectors, owner, offset, vocabulary, pairs, member, entry, keys,
+    return Items(ids, size, words, answers, np.diff(a.first), vectors, owner, offset, vocabulary, pairs, np.minimum(first, max(len(vocabulary) - 1, 0)), crowded,
+                 member, entry, keys,
                  np.array([[e[1] for e in entries] + [0], [e[2] for e in entries] + [0]], np.uint64), places)
 
 
 def search(texts: pa.Array, items: Items, idf: np.ndarray, columns: np.ndarray, basis: np.ndarray) -> list[tuple[int, int, float, float, float]]:
     """(text number, item number, cosine, share of the item, share of its answer) of every item that a text holds."""
     w = X.terms(texts)[3]
-    if not len(w.hash) or not len(items.ids):
+    kinds = [(k, length, stride) for k, (length, stride) in enumerate(WINDOWS) if len(items.vectors[k])]
+    if not len(w.hash) or not kinds:
         return []
-    bucket = (w.hash >> np.uint64(48)).astype(np.int64)
     column_of = np.full(BUCKETS, -1, np.int32)
     column_of[columns] = np.arange(len(columns))
-    column = column_of[bucket]
+    column = column_of[(w.hash >> np.uint64(48)).astype(np.uint16)]
     weighted = np.vstack((basis * idf[columns][:, None], np.zeros((1, basis.shape[1]), np.float32)))  # the last row is for foreign words
     word = items.numbers(w.hash)
     place = np.arange(len(w.hash)) - w.first[:-1][w.doc]
     left = w.first[1:][w.doc] - np.arange(len(w.hash))
-    found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for k, (length, stride) in enumerate(WINDOWS):
-        if not len(items.vectors[k]):
-            continue
-        cut = np.flatnonzero(place % stride == 0)  # windows are runs of whole strides
-        opens = (place[cut] == 0) | (left[cut] > length - stride)
-        for i in range(0, len(cut), 4096):
-            stop = min(i + 4096 + length // stride - 1, len(cut))
-            head = cut[i:stop]
-            sums = np.zeros((len(head) + 1, weighted.shape[1]), np.float32)  # the last row stands for runs beyond the end
-            sums[:-1] = weighted.take(column[head], axis=0)
-            for j in range(1, stride):
-                sums[:-1] += weighted.take(np.where(left[head] > j, column[np.minimum(head + j, len(column) - 1)], -1), axis=0)
-            at = np.flatnonzero(opens[i : i + 4096])
-            b, latent = cut[i + at], sums.take(at, axis=0)
+    unit = math.gcd(*(stride for _, _, stride in kinds))
+    cut = np.flatnonzero(place % unit == 0)  # windows are runs of whole strides, and those of whole units
+    # vectors by eights, so that comparisons are looked through eight at a time
+    vectors = {k: np.vstack((items.vectors[k], np.zeros((-len(items.vectors[k]) % 8, basis.shape[1]), np.float32))).T for k, _, _ in kinds}
+    kept = []
+    for i in range(0, len(cut), RUNS):
+        head = cut[i : i + RUNS + max(length for _, length, _ in kinds) // unit - 1]
+        runs = np.zeros((len(head) + 1, weighted.shape[1]), np.float32)  # the last row stands for runs beyond the end
+        runs[:-1] = weighted.take(column[head], axis=0)
+        for j in range(1, unit):
+            runs[:-1] += weighted.take(np.where(left[head] > j, column[np.minimum(head + j, len(column) - 1)], -1), axis=0)
+        near = []
+        for k, length, stride in kinds:
+            own, sums = np.flatnonzero(place[head] % stride == 0), runs
+            if stride > unit:
+                sums = np.zeros((len(own) + 1, weighted.shape[1]), np.float32)
+                sums[:-1] = runs.take(own, axis=0)
+                for j in range(1, stride // unit):
+                    sums[:-1] += runs.take(np.where(left[head[own]] > j * unit, np.minimum(own + j, len(head)), -1), axis=0)
+            at = np.flatnonzero((own < RUNS) & ((place[head[own]] == 0) | (left[head[own]] > length - stride)))
+            b, latent = head[own[at]], sums.take(at, axis=0)
             for j in range(1, length // stride):
                 latent += sums.take(np.where(left[b] > j * stride, at + j, -1), axis=0)
-            latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-            cosine = latent @ items.vectors[k].T
-            row, query = np.divmod(np.flatnonzero(cosine.ravel() >= MIN_COSINE), cosine.shape[1])
-            item, start = items.owner[k][query], b[row] - items.offset[k][query]
-            slack = stride + items.size[item] // 8
-            low = np.maximum(w.first[w.doc[b[row]]], start - slack)
-            high = np.minimum(w.first[w.doc[b[row]] + 1], start + items.size[item] + slack)
-            may = np.flatnonzero(items.may_hold(item, word, low, high))
-            common, answer = (x / y for x, y in zip(items.common(item[may], w.hash, word, low[may], high[may]),
-                                                    (items.size[item[may]], np.maximum(items.answer_size[item[may]], 1)), strict=True))
-            holds = np.flatnonzero((common >= MIN_COMMON) | ((common >= MIN_PARAPHRASE) & (answer >= MIN_ANSWER)))
-            for c, of_item, of_answer in zip(may[holds].tolist(), common[holds].tolist(), answer[holds].tolist(), strict=True):
-                place_of = int(w.doc[b[row[c]]]), int(item[c])
-                found[place_of] = max(found.get(place_of, (0.0, 0.0, 0.0)), (of_item, of_answer, float(cosine[row[c], query[c]])))
+            latent /= np.maximum(np.sqrt(np.einsum("ij,ij->i", latent, latent)), 1e-9)[:, None]
+            cosine = latent @ vectors[k]
+            hits = (cosine >= MIN_COSINE).reshape(-1, 8)
+            some = np.flatnonzero(hits.view(np.uint64).ravel())
+            eight, bit = np.nonzero(hits.take(some, axis=0))
+            hit = some[eight] * 8 + bit
+            row, query = np.divmod(hit, cosine.shape[1])
+            item, slack = items.owner[k], stride + items.size[items.owner[k]] // 8
+            start, begins, ends = b[row], (b - place[b])[row], (b + left[b])[row]
+            near.append((item[query], np.maximum(begins, start - (items.offset[k] + slack)[query]),
+                         np.minimum(ends, start + (items.size[item] + slack - items.offset[k])[query]), cosine.ravel()[hit]))
+        item, low, high, cosine = (np.concatenate(x) for x in zip(*near, strict=True))
+        may = np.flatnonzero(items.may_hold(item, word, low, high))
+        kept.append((item[may], low[may], high[may], cosine[may]))
+    item, low, high, cosine = (np.concatenate(x) for x in zip(*kept, strict=True))
+    common, answer = (x / y for x, y in zip(items.common(item, w.hash, word, low, high),
+                                            (items.size[item], np.maximum(items.answer_size[item], 1)), strict=True))
+    holds = np.flatnonzero((common >= MIN_COMMON) | ((common >= MIN_PARAPHRASE) & (answer >= MIN_ANSWER)))
+    found: dict[tuple[int, int], tuple[float, float, float]] = {}
+    for doc, it, *rank in zip(w.doc[low[holds]].tolist(), item[holds].tolist(), common[holds].tolist(), answer[holds].tolist(), cosine[holds].tolist(), strict=True):
+        found[doc, it] = max(found.get((doc, it), (0.0, 0.0, 0.0)), tuple(rank))
     return [(doc, item, c, share, answer) for (doc, item), (share, answer, c) in sorted(found.items())]
 
 
