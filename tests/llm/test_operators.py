@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from treelab.llm import bagminhash as bag, chat, decontamination as decon, extraction, mixing, pii, quality_crf as crf, quality_rules, tokens, toxicity
 from treelab.llm.queries import ORACLE, QUERIES
+from treelab.llm.shared import arrow_rows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -677,3 +678,29 @@ def test_sums_side_by_side_and_numbers_by_bucket():
     hashes = decon.X.terms(pa.array([text + " foreign words and more"]))[3].hash
     numbers = items.numbers(hashes)
     assert items.crowded.any() and (items.vocabulary[numbers[:-4]] == hashes[:-4]).all() and (numbers[-4:] == -1).all()
+
+
+def test_shards_are_built_and_read_in_little_memory():
+    """Beside the ids, building and reading a shard holds a few bytes an id: no index of eight bytes an id."""
+    import tracemalloc
+
+    ids = (np.random.default_rng(3).zipf(1.3, 3_000_000) % 49_000).astype("<u2")
+    ends, names, peaks = np.array([1_000_000, 3_000_000]), pa.array([1, 2]), []
+    for step in (lambda: tokens.build(ids, ends, names), lambda: tokens.WaveletMatrix(lambda at, n: data[at : at + n]).all_ids()):
+        tracemalloc.start()
+        data = step() if not peaks else data
+        back = step() if peaks else None
+        peaks.append(tracemalloc.get_traced_memory()[1] / len(ids))
+        tracemalloc.stop()
+    assert np.array_equal(back, ids) and peaks[0] < 12 and peaks[1] < 9
+
+
+def test_arrow_rows_holds_inside_only(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, sizes = spark.conf.get(name), lambda: spark.range(0, 3000, 1, 1).mapInArrow(
+        lambda batches: (b.slice(0, 1).set_column(0, "id", pa.array([b.num_rows])) for b in batches), "id long").collect()
+    with arrow_rows(spark, 512):
+        inside = [r[0] for r in sizes()]
+        with arrow_rows(spark, 4096):
+            assert spark.conf.get(name) == "512"
+    assert max(inside) <= 512 and sum(inside) == 3000 and spark.conf.get(name) == before

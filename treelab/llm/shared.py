@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import gc
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,6 +38,21 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs that begin inside send a Python task at most ``most`` rows at a time; a smaller setting of the session stands."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= most:
+        yield
+        return
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
     """Intermediate tables go when the driver ends; results that are still to be read need them until then."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

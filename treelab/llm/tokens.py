@@ -28,7 +28,7 @@ import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from treelab.llm.shared import folder, qualified, settle
+from treelab.llm.shared import arrow_rows, folder, qualified, settle
 
 MAGIC = b"WVMX0001"
 HEADER, ENTRY = "<8sQQIIIQ", "<QIQ"
@@ -40,6 +40,8 @@ STEP_BITS = 512
 CACHE_BLOCKS = 256
 #: Entries of the cache of encoded parts that one worker keeps.
 CACHE_PARTS = 900_000
+#: Ids that are looked up in a table at a time (numpy widens them to eight bytes), and rows that a worker is sent at a time.
+STEP_IDS, BATCH_ROWS = 1 << 18, 512
 
 # --- tokenizer ---------------------------------------------------------------------------------------------------------
 
@@ -173,32 +175,47 @@ def encoder(path: str) -> Encoder:
 # --- wavelet matrix ----------------------------------------------------------------------------------------------------
 
 
+def _looked_up(table: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """table[index], in steps."""
+    out = np.empty(len(index), table.dtype)
+    for i in range(0, len(index), STEP_IDS):
+        out[i : i + STEP_IDS] = table[index[i : i + STEP_IDS]]
+    return out
+
+
 def build(ids: np.ndarray, ends: np.ndarray, doc_ids: pa.Array) -> bytes:
     """File of a shard: ``ids`` of all its documents, ``ends`` and ``doc_ids`` of the documents in it."""
     names = pa.BufferOutputStream()
     with pa.ipc.new_stream(names, pa.schema([("doc_id", doc_ids.type)])) as out:
         out.write_batch(pa.RecordBatch.from_arrays([doc_ids], names=["doc_id"]))
     names = zstandard.ZstdCompressor(level=1).compress(names.getvalue())
-    seen = np.bincount(ids, minlength=1) > 0 if len(ids) else np.zeros(1, bool)
+    seen = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
+    for i in range(0, len(ids), STEP_IDS):
+        seen[ids[i : i + STEP_IDS]] = True
     alphabet = np.flatnonzero(seen).astype("<u4")
     place = (np.cumsum(seen) - 1).astype(np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
-    codes = place[ids]
+    codes = _looked_up(place, ids)
     planes = max(1, int(max(len(alphabet) - 1, 1)).bit_length())
     pack = zstandard.ZstdCompressor(level=1)
     zeros, directory, blocks = [], [], []
-    after = np.empty_like(codes)
+    after, bit = np.empty_like(codes), np.empty(len(codes), bool)
     for plane in range(planes):
-        bit = (codes & codes.dtype.type(1 << (planes - 1 - plane))) != 0
-        ones = 0
+        mask, ones = codes.dtype.type(1 << (planes - 1 - plane)), 0
         for begin in range(0, max(len(codes), 1), BLOCK_BITS):
             part = bit[begin : begin + BLOCK_BITS]
+            np.not_equal(codes[begin : begin + BLOCK_BITS] & mask, 0, out=part)
             data = pack.compress(np.packbits(part, bitorder="little").tobytes())
             directory.append((len(data), ones))
             blocks.append(data)
             ones += int(np.count_nonzero(part))
         zeros.append(len(codes) - ones)
-        np.compress(bit, codes, out=after[zeros[-1] :])
-        np.compress(np.logical_not(bit, out=bit), codes, out=after[: zeros[-1]])
+        zero, one = 0, zeros[-1]
+        for begin in range(0, len(codes), BLOCK_BITS):
+            part, code = bit[begin : begin + BLOCK_BITS], codes[begin : begin + BLOCK_BITS]
+            n = int(np.count_nonzero(part))
+            np.compress(part, code, out=after[one : one + n])
+            np.compress(np.logical_not(part, out=part), code, out=after[zero : zero + len(code) - n])
+            zero, one = zero + len(code) - n, one + n
         codes, after = after, codes
     lead = struct.pack(HEADER, MAGIC, len(ids), len(ends), planes, BLOCK_BITS, len(alphabet), len(names))
     lead += alphabet.tobytes() + ends.astype("<u8").tobytes() + np.array(zeros, "<u8").tobytes() + names
@@ -312,17 +329,22 @@ class WaveletMatrix:
         return at
 
     def all_ids(self) -> np.ndarray:
-        """All tokens in order; planes are merged from the last to the first."""
+        """All tokens in order; planes are merged from the last to the first, block by block."""
         codes = np.zeros(self.n, np.uint16 if len(self.alphabet) <= 1 << 16 else np.uint32)
+        out = np.empty_like(codes)
         for plane in reversed(range(self.planes)):
-            bit = np.concatenate([self._unpacked(plane, j) for j in range(self.per_plane)]).view(bool) if self.n else np.zeros(0, bool)
-            out = np.empty_like(codes)
             zeros = int(self.zeros[plane])
             codes[zeros:] |= codes.dtype.type(1 << (self.planes - 1 - plane))
-            out[np.flatnonzero(bit)] = codes[zeros:]
-            out[np.flatnonzero(np.logical_not(bit, out=bit))] = codes[:zeros]
-            codes = out
-        return self.alphabet[codes]
+            for block in range(self.per_plane if self.n else 0):
+                bit, begin = self._unpacked(plane, block).view(bool), block * self.block
+                one = zeros + self.entries[plane * self.per_plane + block][2]
+                zero, part = begin + zeros - one, out[begin : begin + len(bit)]
+                ones = np.flatnonzero(bit)
+                part[ones] = codes[one : one + len(ones)]
+                part[np.flatnonzero(np.logical_not(bit, out=bit))] = codes[zero : zero + len(bit) - len(ones)]
+            codes, out = out, codes
+        del out
+        return _looked_up(self.alphabet, codes)
 
     def document(self, d: int) -> list[int]:
         """Tokens of document ``d`` of the shard, one by one."""
@@ -380,7 +402,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
                 for data in code.encode(b["body"].slice(i, 256).to_pylist()):
                     parts.append(data + end)
                     sizes.append(len(parts[-1]) // code.dtype.itemsize)
-            ids.append(b["doc_id"])
+            ids.append(b["doc_id"].take(pa.array(np.arange(b.num_rows))))  # a copy: the column itself would hold the texts of its batch
+            b = None
         if not sizes:
             return
         number = TaskContext.get().partitionId()
@@ -391,7 +414,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
         write_file(name, data)
         yield pa.RecordBatch.from_pylist([{"shard": number, "path": name, "n_docs": len(sizes), "n_tokens": len(tokens), "n_bytes": len(data)}])
 
-    return settle(ordered.mapInArrow(run, "shard bigint, path string, n_docs bigint, n_tokens bigint, n_bytes bigint"), "shards")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return settle(ordered.mapInArrow(run, "shard bigint, path string, n_docs bigint, n_tokens bigint, n_bytes bigint"), "shards")
 
 
 def with_starts(shards: DataFrame) -> DataFrame:
