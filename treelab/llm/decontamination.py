@@ -38,7 +38,7 @@ MIN_COSINE = 0.5
 MIN_COMMON, MIN_PARAPHRASE, MIN_ANSWER = 0.8, 0.5, 0.6
 #: Bytes of benchmark text that are sent to the tasks at a time.
 BLOCK_BYTES = 8 << 20
-#: Candidates that are aligned at a time, passages whose rows are summed at a time, and runs of words whose windows are projected at a time.
+#: Candidates that are aligned at a time (and words of a batch of passages between cuts), passages whose rows are summed at a time, and runs of words whose windows are projected at a time.
 CHUNK, PASSAGES, RUNS = 1 << 16, 1 << 12, 1 << 12
 #: Candidates whose words are counted at a time.
 CANDIDATES = 1 << 13
@@ -145,13 +145,13 @@ def latent_space(ids: DataFrame, idf: np.ndarray, columns: np.ndarray, rank: int
             energy = np.maximum(np.bincount(passage, weights=idf[term].astype(np.float64) ** 2), 1e-12).astype(np.float32)
             column = column_of[term]
             known = np.flatnonzero(column >= 0)
-            column, size = column[known], np.bincount(passage[known], minlength=len(energy))
-            ends = np.cumsum(size)
+            column, own = column[known], passage[known]
+            # a passage is cut in two at every ``CHUNK`` words; its parts then count as two rows
+            head = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])) | (np.arange(len(own)) % CHUNK == 0)) if len(own) else known
+            size, energy = np.diff(np.append(head, len(own))), energy[own[head]]
             for begin in range(0, len(size), PASSAGES):
                 n = size[begin : begin + PASSAGES]
-                c = column[ends[begin] - n[0] : ends[begin + len(n) - 1]]
-                if not len(c):
-                    continue
+                c = column[head[begin] : head[begin] + int(n.sum())]
                 rows = _piece_sums(weighted, c, n)
                 rows /= energy[begin : begin + PASSAGES, None]  # a row of A W times the length that the passage's entries are divided by
                 order = np.argsort(c.astype(np.uint16), kind="stable")
@@ -160,8 +160,8 @@ def latent_space(ids: DataFrame, idf: np.ndarray, columns: np.ndarray, rank: int
                 of_piece = np.repeat(np.arange(len(columns)), pieces)
                 place = np.arange(len(of_piece)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 sums = _piece_sums(rows, np.repeat(np.arange(len(n)), n)[order], np.minimum(per_column[of_piece] - place * PIECE, PIECE))
-                head = np.flatnonzero(place == 0)
-                out[of_piece[head]] += _segment_sums(sums, np.arange(len(sums)), idf[columns[of_piece]], head)
+                cut = np.flatnonzero(place == 0)
+                out[of_piece[cut]] += _segment_sums(sums, np.arange(len(sums)), idf[columns[of_piece]], cut)
         used = np.flatnonzero(out.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(out[used].ravel()), width).cast(pa.list_(pa.float32()))],
                                          names=["col", "row"])
