@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from treelab.functions import gang
 from treelab.operators import boosting, cells
 from treelab.operators.bins import fit_bins
+from treelab.plans import queries
 
 COLS = ["a", "b", "c"]
 
@@ -101,3 +102,10 @@ def test_a_gang_is_as_large_as_the_session(spark):
     with gang.anywhere(spark):
         assert conf.get("spark.locality.wait") == "0s"
     assert not conf.contains("spark.locality.wait")
+
+
+def test_regularised_models_take_all_rounds(spark, data):
+    """The reference fits 200 rounds of depth four; three of depth three were left."""
+    assert (queries.REG_BASE.n_rounds, queries.REG_BASE.max_depth, queries.REG_BASE.learning_rate) == (200, 4, 0.1)
+    table = {r["label"]: r["leaves"] for r in queries.regularisation_table(spark, data).collect()}
+    assert len(table) == 5 and table["default"] > 200 * 3
