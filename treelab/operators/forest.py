@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,14 +15,18 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from treelab.operators.bins import Bins, fit_bins
+from treelab.functions.hashing import text_key
 from treelab.functions.storage import cut_lineage, local_table
-from treelab.operators.grower import (BINS, WEIGHTS, GiniRule, GiniSource, Growth, feature_choice, gini_leaf, grow_gini, matrix_of, node_rows,
-                                      packed, trees_per_pass)
+from treelab.operators.cells import bins_of, can_count, cell_sizes, cells_of, count_cells, task_holds
+from treelab.operators.grower import (BINS, MAX_DEPTH, WEIGHTS, GiniRule, GiniSource, Growth, HeldBins, TaskGrowth, block_of, blocks, chunks, feature_choice,
+                                      gini_leaf, grow_gini, matrix_of, node_rows, pack, packed, trees_per_pass)
 from treelab.operators.nodes import TreeArrays, broadcast_trees, rows_of, tree_values
-from treelab.operators.resample import bootstrap_weights, packed_weights
+from treelab.operators.resample import RUN_ROWS, bootstrap_weights, packed_weights, summed_weights
 
 #: Deepest tree Spark's estimators accept.
 SPARK_MAX_DEPTH = 30
+#: Cells that are walked down the trees together.
+SCORED_ROWS = 1 << 14
 
 
 def decision_tree(max_depth: int | None = None, max_bins: int = 32, seed: int = 42, **params) -> DecisionTreeClassifier:
@@ -52,14 +58,78 @@ def grow_tree(train: DataFrame, cols: list[str], max_depth: int = 5, max_bins: i
 
 def grow_forest(train: DataFrame, cols: list[str], n_trees: int = 100, max_depth: int = 8, max_bins: int = 32,
                 method: str = "quantile", row_id: str = "row_id", seed: int = 42) -> list[dict]:
-    """Bagged gini trees with square-root feature subsets, all bags growing at once."""
+    """Bagged gini trees with square-root feature subsets, all bags growing at once.
+
+    Rows with equal bins and labels are added up to cells, with the sum of their weights per bag. Where a task can hold all cells, it grows some of
+    the trees by itself; otherwise all trees take a job per level over the rows.
+    """
     bins = fit_bins(train, cols, max_bins, method)
+    if task_holds(bins):
+        return _grow_apart(train, bins, n_trees, max_depth, row_id, seed)
     binned = packed(packed_weights(train, n_trees, row_id, seed), bins, ["label", "bag"], in_blocks=True).persist()
     nodes = grow_gini(binned, bins, n_trees, "bag", max_depth, 1.0, "sqrt", seed)
     binned.unpersist()
     return nodes
 
 
+#: Trees that a task grows, a multiple of the four that share an md5, and rows whose bags are drawn together.
+TREES_PER_TASK, BAG_ROWS = 8, 50_000
+
+
+def _grow_apart(train: DataFrame, bins: Bins, n_trees: int, max_depth: int, row_id: str, seed: int) -> list[dict]:
+    """The trees of ``grow_forest``, each grown by one task over all cells."""
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth is at most {MAX_DEPTH}")
+    edges, sizes, feats = [np.array(e) for e in bins.edges], cell_sizes(bins), feature_choice(bins.cols, "sqrt", seed)
+    groups = -(-n_trees // TREES_PER_TASK)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b["key"], b["label"], pa.array(cells_of(b, edges, sizes))], names=["key", "label", "cell"])
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in chunks(batches):
+            cell, label = t["cell"].to_numpy(), t["label"].to_numpy()
+            order = np.lexsort((label, cell))
+            cell, label = cell[order], label[order]
+            first = np.flatnonzero(np.concatenate(([True], (np.diff(cell) != 0) | (np.diff(label) != 0))))
+            place = np.arange(len(cell)) - np.repeat(first, np.diff(np.append(first, len(cell))))
+            starts = np.flatnonzero(place % RUN_ROWS == 0)
+            weight, seen = summed_weights(t["key"].take(pa.array(order)).cast(pa.binary()).combine_chunks().to_pylist(), n_trees, starts)
+            cell, label = pa.array(cell[starts].astype(np.int32)), pa.array(label[starts].astype(np.float32))
+            for g in range(groups):
+                mine = slice(g * TREES_PER_TASK, (g + 1) * TREES_PER_TASK)
+                block = block_of(pa.table({"cell": cell, "label": label, "weight": pack(weight[:, mine]), "seen": pack(seen[:, mine])}))
+                yield block.append_column("place", pa.array([g], pa.int32()))
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, held = 0, []
+        for b in batches:
+            if b.num_rows:
+                g = b["place"][0].as_py()
+                held += [(bins_of(t["cell"].to_numpy().astype(np.int64), bins), t["label"].to_numpy(), matrix_of(t["weight"], "<u1"), matrix_of(t["seen"], "<u1"))
+                         for t in blocks([b])]
+        if not held:
+            return
+        x, label, weight, seen = (np.concatenate(parts) for parts in zip(*held))
+        held.clear()
+        rows, items = HeldBins(x, len(x), bins), []
+        for i in range(weight.shape[1]):
+            w, n, tree = weight[:, i].astype(np.float32), seen[:, i].astype(np.float32), g * TREES_PER_TASK + i
+            stats = [np.where(w > 0, w * (1 - label), np.float32(0)), np.where(w > 0, w * label, np.float32(0))], n
+            growth = TaskGrowth(rows, lambda _, stats=stats: stats, GiniRule(), {tree: max_depth}, feats, bins)
+            growth.grow(None, None)
+            items += growth.nodes.items()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(items)], pa.binary())], names=["grown"])
+
+    given = train.select(text_key(F.col(row_id), seed).alias("key"), F.col("label").cast("double").alias("label"),
+                         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(bins.cols)])
+    drawn = given.mapInArrow(number, "key string, label double, cell long").repartition(max(1, -(-bins.rows // BAG_ROWS)), "cell").mapInArrow(
+        draw, "block binary, n long, place int")
+    grown = drawn.repartitionById(groups, F.col("place")).mapInArrow(grow, "grown binary")
+    return node_rows([x for r in grown.collect() for x in pickle.loads(r["grown"])], bins, gini_leaf)  # the nodes of all trees, as any growth holds them
+
+
 def cross_validated_trees(folded: DataFrame, cols: list[str], k: int, max_depth: int = 5, max_bins: int = 32,
                           method: str = "quantile", fold: str = "fold") -> list[dict]:
     """The trees of all k folds in one growth: tree f is grown on the rows outside fold f."""
@@ -117,9 +187,27 @@ def _prefix_hits(batches):
 def forest_size_curve(df: DataFrame, nodes: DataFrame | list[dict], cols: list[str], split: str = "split") -> DataFrame:
     """Train and test accuracy of every forest prefix, from one growth.
 
-    The votes of a row are added up where the row is walked down the trees; only counts per split and prefix leave a task.
+    Rows between the same thresholds get the same votes and are counted as one. The votes of a row are added up where it is walked down the trees;
+    only counts per split and prefix leave a task.
     """
-    groups = broadcast_trees(nodes)
+    rows = rows_of(nodes)
+    groups = broadcast_trees(rows)
+    given = df.select(F.col(split).cast("string").alias("role"), F.lit(None).cast("int").alias("fold"), F.col("label").cast("int").alias("label"),
+                      *[F.col(c).cast("double").alias(c) for c in cols])
+    # no split stands between two values with the same thresholds around them
+    bins = Bins(cols, [sorted({r["threshold"] for r in rows if r["feature"] == c and not r["is_leaf"] and math.isfinite(r["threshold"])}) for c in cols])
+
+    def votes(names: list, code: np.ndarray, positive: np.ndarray, x: np.ndarray, n: np.ndarray, models: list[TreeArrays], total: dict) -> None:
+        hits, ones = [], np.zeros(len(x))
+        for model in models:
+            for leaf in model.each_leaf(x):
+                ones += model.value[leaf]
+                fine = _majority(ones, len(hits) + 1) == positive
+                hits.append(np.bincount(code[fine], n[fine], minlength=len(names)))
+        seen = np.bincount(code, n, minlength=len(names))
+        for i, name in enumerate(names):
+            if seen[i]:
+                total[name] = total.get(name, 0) + np.column_stack(([h[i] for h in hits], np.full(len(hits), seen[i])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = [TreeArrays.of(g.value) for g in groups]
@@ -127,27 +215,26 @@ def forest_size_curve(df: DataFrame, nodes: DataFrame | list[dict], cols: list[s
         for b in batches:
             if not b.num_rows:
                 continue
-            part = b["split"].dictionary_encode()
+            if "cells" in b.schema.names:
+                for r in b.to_pylist():
+                    cells, n = np.frombuffer(r["cells"], np.int64), np.frombuffer(r["counts"], np.int64).astype(float)
+                    for lo in range(0, len(cells), SCORED_ROWS):
+                        at = bins_of(cells[lo : lo + SCORED_ROWS], bins)
+                        # the greatest value of the bin; missing ones come last
+                        x = np.column_stack([np.array([*e, np.inf, np.nan])[at[:, i]] for i, e in enumerate(bins.edges)])
+                        votes([r["role"]], np.zeros(len(x), np.int64), np.full(len(x), r["label"] == 1), x, n[lo : lo + SCORED_ROWS], models, total)
+                continue
+            part = b["role"].dictionary_encode()
             names, code = part.dictionary.to_pylist(), part.indices.fill_null(len(part.dictionary)).to_numpy()
-            names.append(None)
-            positive = b["label"].fill_null(-1).to_numpy() == 1
-            x = np.column_stack([b[f"x{i}"].to_numpy(zero_copy_only=False) for i in range(len(cols))])
-            hits, ones = [], np.zeros(len(x))
-            for model in models:
-                for leaf in model.each_leaf(x):
-                    ones += model.value[leaf]
-                    hits.append(np.bincount(code[_majority(ones, len(hits) + 1) == positive], minlength=len(names)))
-            seen = np.bincount(code, minlength=len(names))
-            for i, name in enumerate(names):
-                if seen[i]:
-                    total[name] = total.get(name, 0) + np.column_stack(([h[i] for h in hits], np.full(len(hits), seen[i])))
+            x = np.column_stack([b[c].to_numpy(zero_copy_only=False) for c in cols])
+            votes([*names, None], code, b["label"].fill_null(-1).to_numpy() == 1, x, np.ones(len(x)), models, total)
         for name, sums in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(sums), pa.string()), pa.array(np.arange(1, len(sums) + 1, dtype=np.int32)),
                                               pa.array(sums[:, 0].astype(np.int64)), pa.array(sums[:, 1].astype(np.int64))], names=["split", "n_trees", "hits", "n"])
 
-    rows = df.select(F.col(split).cast("string").alias("split"), F.col("label").cast("int").alias("label"),
-                     *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    return _prefix_table(rows.mapInArrow(run, "split string, n_trees int, hits long, n long"))
+    if can_count(bins):
+        given = count_cells(given, bins, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _prefix_table(given.mapInArrow(run, "split string, n_trees int, hits long, n long"))
 
 
 def _majority(ones: np.ndarray, votes) -> np.ndarray:
